@@ -44,8 +44,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     for _ in range(max_rounds):
         both = edge.union(edge.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
-        large = large.union(edge.join(low, "a").select("a", F.col("m").alias("b")).where("a > b")).distinct()
+        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(
             F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")
