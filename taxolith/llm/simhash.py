@@ -49,7 +49,7 @@ def simhash(hashes) -> int:
     octets = hashes.astype("<u8").view(np.uint8).reshape(n, 8) + np.arange(0, 2048, 256, dtype=np.uint16)
     seen = np.bincount(octets.ravel(), minlength=2048).reshape(8, 256)
     bits = (np.arange(256)[:, None] >> np.arange(8)) & 1
-    return int(np.packbits((seen @ bits) * 2 > n, axis=1, bitorder="little").view("<i8")[0, 0])
+    return int(np.packbits((seen @ bits) * 2 > n, axis=1, bitorder="little").ravel().view("<i8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distinct: bool = False, text_hash: bool = False) -> DataFrame:
