@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -149,3 +151,34 @@ def texts(batches: Iterator, id_col: str, text_col: str) -> Iterator[tuple[list,
             if size >= 4_000_000 or k == len(lengths) - 1:
                 yield keys[start : k + 1], values.slice(start, k + 1 - start).to_pylist()
                 start, size = k + 1, 0
+
+
+def shared_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+
+    Unlike a checkpoint it is compressed and keeps its columns apart; the shuffle files
+    behind it are given up once it is written.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="taxolith-"))
+    path = f"{context.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def merged_intervals(intervals: DataFrame, key: str) -> DataFrame:
+    """``key, spans``: the union of each key's half-open ``start, end`` intervals, as sorted disjoint spans."""
+    order = Window.partitionBy(key).orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    islands = intervals.withColumn("_new", F.coalesce((F.col("start") > reach).cast("int"), F.lit(1)))
+    islands = islands.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = islands.groupBy(key, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return spans.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))

@@ -16,6 +16,7 @@ from taxolith.llm.packing import pack_documents
 from taxolith.llm.quality import quality_scores
 from taxolith.llm.sharding import shard_documents
 from taxolith.llm.simhash import near_duplicates
+from taxolith.llm.suffix_dedup import remove_repeats
 from taxolith.llm.token_bins import token_bins
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,13 @@ def op6_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_bins(table(spark, sf_dir, "documents"), max_tokens=1024)
 
 
+def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    removed = F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"]), F.lit(0))
+    spans = F.coalesce(F.array_size("spans"), F.lit(0)).cast("long")
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), spans.alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.withColumn("similarity", F.round("similarity", 6))
@@ -72,6 +80,7 @@ def queries() -> dict[str, Query]:
         "op4_piecewise_hashes": op4_piecewise_hashes,
         "op5_rendezvous_shards": op5_rendezvous_shards,
         "op6_token_matrix": op6_token_matrix,
+        "op7_repeated_bytes": op7_repeated_bytes,
         "op8_benchmark_leaks": op8_benchmark_leaks,
         "op9_line_dedup": op9_line_dedup,
         "op10_quality_scores": op10_quality_scores,
