@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from taxolith.llm.common import unused
+
 BITS = 64
 #: Up to this many benchmark shingles or items are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
@@ -118,5 +120,6 @@ def agreements(radius: int) -> list[str]:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found, with all their columns; rows with a null id stay."""
-    found = leaks(docs, benchmark, **options).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(found, F.col(options.get("id_col", "doc_id")) == F.col("_hit"), "left_anti")
+    hit = unused(docs, "_hit")
+    found = leaks(docs, benchmark, **options).select(F.col("doc_id").alias(hit)).distinct()
+    return docs.join(found, F.col(options.get("id_col", "doc_id")) == F.col(hit), "left_anti")

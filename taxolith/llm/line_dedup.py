@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from taxolith.llm.common import unused
+
 
 def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
     """``_id, _pos, _h, _g``: every run of ``size`` consecutive lines by its first line's number and two hashes."""
@@ -46,17 +48,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keeps its row with an empty text; an empty table stays empty; columns of any other
     name stay.
     """
-    spans = removed_spans(docs, id_col, text_col, size)
-    joined = docs.join(spans, F.col(id_col) == F.col("_id"), "left")
+    key, cuts = unused(docs, "_id"), unused(docs, "_spans")
+    spans = removed_spans(docs, id_col, text_col, size).select(F.col("_id").alias(key), F.col("_spans").alias(cuts))
+    joined = docs.join(spans, F.col(id_col) == F.col(key), "left")
     lines = F.split(F.col(text_col), "\n")
-    begins = F.concat(F.array(F.lit(0)), F.transform("_spans", lambda s: s["end"]))
-    ends = F.concat(F.transform("_spans", lambda s: s["start"]), F.array(F.size(lines)))
+    begins = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda s: s["end"]))
+    ends = F.concat(F.transform(cuts, lambda s: s["start"]), F.array(F.size(lines)))
     # rows that share an id may be shorter than the spans: clip to their own lines
     kept = F.flatten(F.zip_with(begins, ends, lambda a, b: F.slice(lines, a + 1, F.greatest(F.least(b, F.size(lines)) - a, F.lit(0)))))
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    text = F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     out = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
     if report:
         total = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines))
-        removed = F.when(F.col("_spans").isNull(), 0).otherwise(total - F.size(kept))
+        removed = F.when(F.col(cuts).isNull(), 0).otherwise(total - F.size(kept))
         out += [total.cast("int").alias("n_lines"), removed.cast("int").alias("n_removed")]
     return joined.select(*out)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from taxolith.llm.common import texts
+from taxolith.llm.common import unused
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Stands for a token that repeats the one before it.
@@ -170,5 +170,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").alias("label")).where(~held)
     weights = train(docs, known, sample)
     names = [c for c in docs.columns if c != "text"]
-    rows = score(docs.select(*names, "text"), weights, name="_score")
-    return rows.where(F.col("_score") >= threshold).select(*docs.columns)
+    own = unused(docs, "_score")
+    rows = score(docs.select(*names, "text"), weights, name=own)
+    return rows.where(F.col(own) >= threshold).select(*docs.columns)

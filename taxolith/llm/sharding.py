@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from taxolith.llm.common import unused
+
 BITS = 52  # of a digest: as many as a double holds
 
 
@@ -42,8 +44,9 @@ def assign_shards(docs: DataFrame, key_col: str = "doc_id", weights: Sequence[fl
     text ``null``, rows with equal keys share a shard, and an empty table stays empty. A
     column that is named as ``shard_col`` is replaced; all others stay.
     """
+    own = unused(docs, "_key")
     key = F.coalesce(F.col(key_col).cast("string"), F.lit("null"))
-    return docs.withColumn("_key", key).withColumn(shard_col, choose(F.col("_key"), weights)).drop("_key")
+    return docs.withColumn(own, key).withColumn(shard_col, choose(F.col(own), weights)).drop(own)
 
 
 def number_slots(rows: DataFrame, shard_col: str, order_by: Sequence[str], buckets: int = 256, slot_col: str = "slot") -> DataFrame:

@@ -7,6 +7,7 @@ from itertools import combinations, repeat
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from taxolith.llm.common import components, cut, texts
 
@@ -14,6 +15,8 @@ LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 WORD_BITS = 64
 #: The index compares this many bits of the fingerprints at each level of its tree.
 LEVEL_BITS = 16
+#: Times that a crowded bucket is dealt anew.
+SPLITS = 3
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -148,8 +151,8 @@ class GrayIndex:
         np = self.np
         if level == len(self.children):
             keep = a < b
-            if keep.any():
-                yield a[keep], b[keep], distance[keep]
+            if keep.any():  # a leaf is the first row of its fingerprint
+                yield self.starts[-1][a[keep]], self.starts[-1][b[keep]], distance[keep]
             return
         first, width = self.children[level]
         shift = np.uint64(WORD_BITS - LEVEL_BITS * (level + 1))
@@ -207,14 +210,33 @@ def forest(n: int, chunks: Iterator):
     return out
 
 
+def gray_order(code: Column) -> Column:
+    """The Gray rank as a signed number that sorts as the unsigned one."""
+    return gray_rank(code).bitwiseXOR(F.lit(-(1 << 63)))
+
+
+def chunk_pairs(rows: DataFrame, half: int) -> DataFrame:
+    """Crowded buckets ``(mask, pattern, c, f, n)``, c fingerprints each, as groups of two chunks of ``half`` in Gray order.
+
+    Every two fingerprints of a bucket meet in one of the groups, which are tasks of their own.
+    """
+    order = Window.partitionBy("mask", "pattern").orderBy(gray_order(F.col("f")))
+    chunks = F.ceil(F.col("c") / half)
+    own = F.floor((F.row_number().over(order) - 1) / half)
+    spread = rows.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+    pair = F.least("_own", "_other") * chunks + F.greatest("_own", "_other")
+    return spread.select("mask", "pattern", pair.cast("long").alias("pair"), "f", "n")
+
+
 def hamming_links(nodes: DataFrame, radius: int = 2, blocks: int = 4, bucket_limit: int = 4096) -> DataFrame:
     """Links ``(a, b, distance)`` that connect all ``nodes(node, fingerprint)`` within ``radius`` bits.
 
     Fingerprints meet in buckets: those within the radius agree on ``blocks - radius`` of
     ``blocks`` bit blocks, so each is dealt once for every such choice. A bucket of more
     than ``bucket_limit`` fingerprints is dealt anew by a part of its other bits, by the
-    same argument, until it is small or no bits are left, so no task gets an unbounded
-    bucket and no pair is lost. In a bucket the Gray-order tree finds all pairs within the
+    same argument, up to three times for a radius of 3 or less; what is still crowded is
+    cut into chunks, each two of which are a group (``chunk_pairs``). So no task gets an
+    unbounded bucket and no pair is lost. In a bucket the Gray-order tree finds all pairs within the
     radius, and a spanning forest of them, nearest first, is returned: it joins exactly
     what all pairs would join. Nodes with equal fingerprints are chained at distance 0.
 
@@ -226,30 +248,38 @@ def hamming_links(nodes: DataFrame, radius: int = 2, blocks: int = 4, bucket_lim
     same = base.groupBy("f").agg(F.min("n").alias("first"))
     # equal fingerprints: each to the smallest node, which alone enters the buckets
     equal = base.join(same, "f").where("n != first").select(F.col("first").alias("a"), F.col("n").alias("b"), F.lit(0).alias("distance"))
-    keyed = None
     masks = block_masks(radius, blocks)
     rows = same.select(F.explode(F.array(*[F.lit(signed(m)) for m in masks])).alias("mask"), "f", F.col("first").alias("n"))
     rows = rows.withColumn("pattern", F.col("f").bitwiseAND(F.col("mask")))
-    while True:
-        crowded = cut(rows.groupBy("mask", "pattern").agg(F.count("*").alias("c")).where(F.col("c") > bucket_limit).drop("c"))
-        deeper = {m: finer_masks(m, radius) for m in masks}
-        if not any(deeper.values()) or crowded.isEmpty():
-            keyed = rows if keyed is None else keyed.union(rows)
-            break
-        fits = rows.join(crowded, ["mask", "pattern"], "left_anti")
+    keyed = None
+    for depth in range(SPLITS + 1):
+        crowded = cut(rows.groupBy("mask", "pattern").agg(F.count("*").alias("c")).where(F.col("c") > bucket_limit))
+        none = crowded.isEmpty()
+        fits = rows if none else rows.join(crowded, ["mask", "pattern"], "left_anti")
+        fits = fits.select("mask", "pattern", F.lit(0).cast("long").alias("pair"), "f", "n")
         keyed = fits if keyed is None else keyed.union(fits)
-        finer = spark.createDataFrame([(signed(m), [signed(x) for x in d]) for m, d in deeper.items()], "mask long, finer array<long>")
+        if none:
+            break
+        rows = rows.join(crowded, ["mask", "pattern"])
         # one row for each mask in use: their number depends on radius and blocks alone
-        rows = rows.join(crowded, ["mask", "pattern"]).join(F.broadcast(finer), "mask").select(F.explode("finer").alias("mask"), "f", "n")
+        in_use = [r["mask"] & (1 << WORD_BITS) - 1 for r in crowded.select("mask").distinct().collect()]
+        deeper = {m: finer_masks(m, radius) for m in in_use}
+        if depth == SPLITS or radius > 3 or not all(deeper.values()):
+            keyed = keyed.union(chunk_pairs(rows, max(1, bucket_limit // 2)))
+            break
+        finer = spark.createDataFrame([(signed(m), [signed(x) for x in d]) for m, d in deeper.items()], "mask long, finer array<long>")
+        rows = rows.join(F.broadcast(finer), "mask").select(F.explode("finer").alias("mask"), "f", "n").distinct()
         rows = cut(rows.withColumn("pattern", F.col("f").bitwiseAND(F.col("mask"))))
-        masks = sorted({x for d in deeper.values() for x in d})
 
     def search(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        def solve(mask, pattern, f, n):
-            change = (mask[1:] != mask[:-1]) | (pattern[1:] != pattern[:-1])
+        def differ(mask, pattern, pair):
+            return (mask[1:] != mask[:-1]) | (pattern[1:] != pattern[:-1]) | (pair[1:] != pair[:-1])
+
+        def solve(mask, pattern, pair, f, n):
+            change = differ(mask, pattern, pair)
             bucket = np.concatenate([[0], np.cumsum(change)])
             crowd = np.bincount(bucket)[bucket] > 1  # a lone fingerprint has no partner here
             bucket, f, n = bucket[crowd], f[crowd], n[crowd]
@@ -263,11 +293,10 @@ def hamming_links(nodes: DataFrame, radius: int = 2, blocks: int = 4, bucket_lim
 
         held = None
         for batch in batches:
-            new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+            new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
             held = new if held is None else [np.concatenate([x, y]) for x, y in zip(held, new)]
-            mask, pattern = held[:2]
-            last = np.flatnonzero((mask[1:] != mask[:-1]) | (pattern[1:] != pattern[:-1]))
-            if len(mask) >= 50_000 and len(last):
+            last = np.flatnonzero(differ(*held[:3]))
+            if len(held[0]) >= 50_000 and len(last):
                 to = int(last[-1]) + 1
                 out = solve(*(x[:to] for x in held))
                 held = [x[to:] for x in held]
@@ -278,8 +307,8 @@ def hamming_links(nodes: DataFrame, radius: int = 2, blocks: int = 4, bucket_lim
             if out is not None:
                 yield out
 
-    dealt = keyed.repartition("mask", "pattern").withColumn("gray", gray_rank(F.col("f")).bitwiseXOR(F.lit(-(1 << 63))))
-    dealt = dealt.sortWithinPartitions("mask", "pattern", "gray").select("mask", "pattern", "f", "n")
+    dealt = keyed.repartition("mask", "pattern", "pair").withColumn("gray", gray_order(F.col("f")))
+    dealt = dealt.sortWithinPartitions("mask", "pattern", "pair", "gray").select("mask", "pattern", "pair", "f", "n")
     return dealt.mapInArrow(search, "a long, b long, distance int").union(equal)
 
 
