@@ -12,6 +12,7 @@ from taxolith.llm.ctph import edited_fingerprints
 from taxolith.llm.decontam import leaks
 from taxolith.llm.html_extract import extract_pages
 from taxolith.llm.line_dedup import dedup_lines
+from taxolith.llm.oracles import SQL
 from taxolith.llm.packing import pack_documents
 from taxolith.llm.quality import quality_scores
 from taxolith.llm.sharding import shard_documents
@@ -88,4 +89,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

@@ -41,7 +41,9 @@ def test_stages_keep_columns_and_do_their_work(spark, folder):
 def test_run(spark, folder):
     rows = corpus_pipeline.run(spark, folder).collect()
     found = {r.doc_id for r in rows}
-    assert set(range(60)) <= found and not found & {200, 201, 202, *range(100, 140)}
+    assert set(range(60)) <= found and not found & {202, *range(100, 140)}
+    # line dedup empties the copy; of the empty documents one stays
+    assert len(found & {200, 205, 206}) == 1
     assert all(r.length <= 1024 for r in rows)
 
 
