@@ -79,3 +79,8 @@ def upper_median(values: str | Column) -> Column:
 def share(value: str, by: Sequence[str] = ()) -> Column:
     """Share of the total within ``by`` (WIN-10)."""
     return F.try_divide(F.col(value).cast("double"), F.sum(value).over(Window.partitionBy(*by)))
+
+
+def correlation(x: str, y: str) -> Column:
+    """Aggregate: Pearson correlation, null where either side is constant."""
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from taxolith.functions.distributions import fisher_greater, hypergeom_cdf, hypergeom_sf, norm_cdf, norm_ppf, rank_correlation_p
 from taxolith.functions.scalar import has_homopolymer, kmer_runs, kmers_at, lineage_share, log2_ratio
-from taxolith.functions.windows import adjusted, average_rank, first_n, upper_median
+from taxolith.functions.windows import adjusted, average_rank, correlation, first_n, upper_median
 
 
 def read_reasons(reads: DataFrame, lineage: DataFrame, host: str | None = None, min_fraction: float = 0.5, homopolymer: int = 0) -> DataFrame:
@@ -74,7 +74,7 @@ def kmer_evidence(reads: DataFrame, k: int = 35, max_barcodes: int = 1000) -> Da
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
     """``by, n, rho, p`` of the rank correlation; null for fewer than three rows or a constant (STA-1)."""
     rows = average_rank(average_rank(df, x, by, "_rx"), y, by, "_ry")
-    per = rows.groupBy(*by).agg(F.count("*").alias("n"), F.corr("_rx", "_ry").alias("rho"), F.count_distinct(x).alias("_dx"), F.count_distinct(y).alias("_dy"))
+    per = rows.groupBy(*by).agg(F.count("*").alias("n"), correlation("_rx", "_ry").alias("rho"), F.count_distinct(x).alias("_dx"), F.count_distinct(y).alias("_dy"))
     rho = F.when((F.col("n") >= 3) & (F.col("_dx") > 1) & (F.col("_dy") > 1), F.col("rho"))
     return per.withColumn("rho", rho).withColumn("p", rank_correlation_p(F.col("rho"), F.col("n"))).drop("_dx", "_dy")
 

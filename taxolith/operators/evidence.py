@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from taxolith.functions.distributions import rank_correlation_p
 from taxolith.functions.scalar import carries_host, rank_word
-from taxolith.functions.windows import adjusted, average_rank, n50
+from taxolith.functions.windows import adjusted, average_rank, correlation, n50
 from taxolith.operators.lineage import credit_ancestors
 
 
@@ -69,7 +69,7 @@ def proportional(reports: DataFrame, min_samples: int = 5, min_reads: float = 0,
     for name in ("reads", "observed", "distinct"):
         usable = average_rank(usable, name, ["taxid"], f"r_{name}")
     pairs = [("reads", "observed"), ("reads", "distinct"), ("observed", "distinct")]
-    per = usable.groupBy("taxid").agg(F.count("*").alias("n"), *[F.corr(f"r_{a}", f"r_{b}").alias(f"rho_{a}_{b}") for a, b in pairs])
+    per = usable.groupBy("taxid").agg(F.count("*").alias("n"), *[correlation(f"r_{a}", f"r_{b}").alias(f"rho_{a}_{b}") for a, b in pairs])
     per = per.where(F.col("n") >= min_samples).na.drop(subset=[f"rho_{a}_{b}" for a, b in pairs])
     for a, b in pairs:
         per = per.withColumn(f"p_{a}_{b}", rank_correlation_p(F.col(f"rho_{a}_{b}"), F.col("n")))

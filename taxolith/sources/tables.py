@@ -104,7 +104,7 @@ def read_featurecounts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         rows = tsv(spark, path, comment="#")
         own = rows.select(
             F.regexp_extract(F.regexp_extract("_path", r"([^/]+)$", 1), r"^(.+?)\.(?:host\d*|target)\b", 1).alias("sample"), F.col("_path").alias("path"), F.col("Geneid").alias("gene"),
-            lenient("Length").alias("length"), lenient(rows.columns[-2]).alias("count"),
+            lenient("Length").alias("length"), lenient(F.col(f"`{rows.columns[-2]}`")).alias("count"),
         )
         out = own if out is None else out.unionByName(own)
     refuse(out.groupBy("sample").agg(F.count_distinct("path").alias("files")).where("files > 1"), "two tables for one sample")

@@ -1,18 +1,26 @@
+import time
+
 from taxolith.streaming.groups import first_runs, release_groups, running_taxa
 
 
-def drain(frame, name, mode):
+def drain(frame, name, mode, rows):
+    """The sink once it has as many rows; a stream with timeouts never runs out of batches."""
     query = frame.writeStream.format("memory").queryName(name).outputMode(mode).start()
-    query.processAllAvailable()
-    query.stop()
-    return frame.sparkSession.sql(f"SELECT * FROM {name}").collect()
+    try:
+        until = time.time() + 90
+        while time.time() < until and query.exception() is None and frame.sparkSession.table(name).count() < rows:
+            time.sleep(1)
+        assert query.exception() is None
+    finally:
+        query.stop()
+    return frame.sparkSession.table(name).collect()
 
 
 def test_groups_come_out_when_complete(spark, tmp_path):
     rows = [("a", "m1", 2), ("a", "m2", 2), ("b", "m1", 3), ("a", "m2", 2)]
     spark.createDataFrame(rows, "key string, member string, expected long").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("key string, member string, expected long").parquet(str(tmp_path / "in"))
-    got = drain(release_groups(stream), "released", "append")
+    got = drain(release_groups(stream), "released", "append", 1)
     assert [(r.key, r.members, r.complete) for r in got] == [("a", ["m1", "m2"], True)]
 
 
@@ -20,7 +28,7 @@ def test_running_counts_and_first_runs(spark, tmp_path):
     rows = [("S", "7", "7:3"), ("S", "7", "9606:1 7:2"), ("S", "8", "8:1")]
     spark.createDataFrame(rows, "sample string, taxid string, runs string").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("sample string, taxid string, runs string").parquet(str(tmp_path / "in"))
-    got = drain(running_taxa(stream, "9606"), "counts", "complete")
+    got = drain(running_taxa(stream, "9606"), "counts", "complete", 2)
     assert sorted((r.taxid, r.reads, r.host_reads) for r in got) == [("7", 2, 1), ("8", 1, 0)]
-    once = drain(first_runs(stream.selectExpr("taxid AS run")), "runs", "append")
+    once = drain(first_runs(stream.selectExpr("taxid AS run")), "runs", "append", 2)
     assert sorted(r.run for r in once) == ["7", "8"]
