@@ -56,10 +56,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ends = F.concat(F.transform(cuts, lambda s: s["start"]), F.array(F.size(lines)))
     # rows that share an id may be shorter than the spans: clip to their own lines
     kept = F.flatten(F.zip_with(begins, ends, lambda a, b: F.slice(lines, a + 1, F.greatest(F.least(b, F.size(lines)) - a, F.lit(0)))))
-    text = F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    # columns of their own: a cleaned text must not stand for the text in what follows
+    left, all_lines = unused(docs, "_kept"), unused(docs, "_n_lines")
+    joined = joined.withColumn(left, kept).withColumn(all_lines, F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("int"))
+    text = F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
     out = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
     if report:
-        total = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines))
-        removed = F.when(F.col(cuts).isNull(), 0).otherwise(total - F.size(kept))
-        out += [total.cast("int").alias("n_lines"), removed.cast("int").alias("n_removed")]
+        removed = F.when(F.col(cuts).isNull(), 0).otherwise(F.col(all_lines) - F.size(left))
+        out += [F.col(all_lines).alias("n_lines"), removed.cast("int").alias("n_removed")]
     return joined.select(*out)
