@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations, repeat
 
@@ -17,6 +18,8 @@ WORD_BITS = 64
 LEVEL_BITS = 16
 #: Times that a crowded bucket is dealt anew.
 SPLITS = 3
+#: Frequent shingles that every task is told of.
+FREQUENT = 200_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -344,27 +347,109 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(compute, "doc_id long, hashes array<long>")
 
 
-def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 8, blocks: int = 10, bucket_limit: int = 4096) -> DataFrame:
+def prefix_size(n: int, similarity: float) -> int:
+    """How many of the ``n`` first shingles of a set hold one of every set as alike as asked for."""
+    return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
+
+
+def frequent_shingles(rows: DataFrame, size: int):
+    """Hashes of the shingles that many texts share, sorted, and how frequent each is (a power of two).
+
+    They are counted in a sample of the texts (one in 16, or about 20,000 where that is
+    more), and only the ``FREQUENT`` most common ones go to the driver. They decide in
+    which order shingles are tried, never which pairs are found.
+    """
+    import numpy as np
+
+    step = max(1, min(16, rows.count() // 20_000))
+    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
+    counted = shingle_sets(sample, size).select(F.explode("hashes").alias("h")).groupBy("h").agg(F.count("*").alias("c")).where("c >= 4")
+    found = counted.orderBy(F.desc("c"), "h").limit(FREQUENT).collect()
+    hashes = np.array([r["h"] for r in found], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.array([r["c"].bit_length() for r in found], np.int64)[order]
+
+
+def shingle_prefixes(rows: DataFrame, size: int, similarity: float) -> DataFrame:
+    """``doc_id, same, n, prefix``: a text's number of different shingles and the first of them in a fixed order.
+
+    The order is the same for all texts: rare shingles before frequent ones, then by hash.
+    ``same`` is equal for equal sets of shingles only (128-bit hash as a string).
+    """
+    known = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows, size))
+
+    def compute(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import xxhash
+
+        common, level = known.value
+        for keys, values in texts(batches, "doc_id", "text"):
+            same, sizes, prefixes = [], [], []
+            for text in values:
+                own = np.unique(shingle_hashes(text, size))
+                same.append(xxhash.xxh128_hexdigest(own.tobytes()))
+                sizes.append(len(own))
+                if len(common) and len(own):
+                    place = np.minimum(np.searchsorted(common, own), len(common) - 1)
+                    own = own[np.argsort(np.where(common[place] == own, level[place], 0), kind="stable")]
+                prefixes.append(own[: prefix_size(len(own), similarity)].view(np.int64))
+            columns = [pa.array(keys, pa.int64()), pa.array(same), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "same", "n", "prefix"])
+
+    return rows.mapInArrow(compute, "doc_id long, same string, n int, prefix array<long>")
+
+
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """Groups of texts with a Jaccard similarity of ``similarity`` or more: ``doc_id, component_id``.
 
-    Candidates come from the same index over SimHashes of the different words of a text,
-    which change less under small edits than those of longer shingles: pairs at 0.8 on
-    five words differ in 4 of 64 bits on average, and 99 in 100 of them in 8 or fewer. The
-    forest of nearest links is then verified: a link stays if the sets of ``shingle``-word
-    shingles of its two texts have the similarity asked for. Equal word sequences are one
-    node and need no check. Defined results for odd rows are those of ``near_duplicates``;
+    The similarity is that of the sets of ``shingle``-word shingles, and all pairs that
+    have it are found, without chance: with the shingles of all texts in one order, two
+    such sets of sizes m and n share one of the first m - ceil(m * similarity) + 1 and
+    n - ceil(n * similarity) + 1 (``shingle_prefixes``). Texts meet by those, rare ones
+    first, so shingles that many texts share seldom bring any together. Two rounds keep
+    large groups from being compared pair by pair:
+
+    1. Each text is compared with the first text of each shingle; pairs that are alike
+       enough are contracted to groups.
+    2. All pairs that still lie in different groups and share such a shingle are compared,
+       but for those that failed in round 1.
+
+    Only a pair whose sizes and places in the order rule the similarity out is not compared.
+    Equal sets are one node and need no check. Defined results for odd rows are those of ``near_duplicates``;
     a text without words is in a group of its own kind only.
     """
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    prints = cut(fingerprints(rows, shingle=1, distinct=True, text_hash=True))
-    nodes = cut(prints.groupBy("same", "fingerprint").agg(F.min("doc_id").alias("node")))
-    links = cut(hamming_links(nodes, radius, blocks, bucket_limit).select("a", "b").distinct())
-    ends = links.select(F.col("a").alias("doc_id")).union(links.select("b")).distinct()
-    sets = shingle_sets(rows.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle)
-    left = links.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")), "a")
-    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    good = both.where(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
-    roots = components(good)
-    nodes = nodes.join(roots, "node", "left").select("same", F.coalesce("root", "node").alias("component_id"))
+    prints = cut(shingle_prefixes(rows, shingle, similarity))
+    classes = prints.groupBy("same").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("first"))
+    post = classes.select(F.col("first.doc_id").alias("node"), F.col("first.n").alias("n"), F.posexplode("first.prefix").alias("pos", "h"))
+    post = post.select("h", F.struct("node", "n", "pos").alias("x"))
+    shared = post.groupBy("h").agg(F.min("x").alias("y"), F.count("*").alias("c")).where("c > 1").drop("c")
+    met = cut(post.join(shared, "h"))
+
+    # what is left of both sets from the shared shingle on must hold the overlap needed
+    fits = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (1 + similarity) >= similarity * (F.col("x.n") + F.col("y.n")) - 1e-6
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        sets = shingle_sets(rows.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle)
+        left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")), "a")
+        both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")), "b")
+        common = F.size(F.array_intersect("x", "y"))
+        return both.where(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        ends = F.col("x.node"), F.col("y.node")
+        return pairs.where(fits & (ends[0] != ends[1])).select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+
+    tried = cut(ordered(met))
+    good = cut(alike(tried))
+    roots = cut(components(good))
+    own = met.select("h", "x", F.col("x.node").alias("node")).join(roots, "node", "left").select("h", "x", F.coalesce("root", "node").alias("g"))
+    mixed = own.groupBy("h").agg(F.min("g").alias("least"), F.max("g").alias("most")).where("least < most").select("h")
+    own = cut(own.join(mixed, "h", "left_semi"))
+    other = own.select("h", F.col("x").alias("y"), F.col("g").alias("k"))
+    more = cut(ordered(own.join(other, "h").where("g < k")).join(tried, ["a", "b"], "left_anti"))
+    roots = components(good.union(alike(more)))
+    nodes = classes.select("same", F.col("first.doc_id").alias("node")).join(roots, "node", "left").select("same", F.coalesce("root", "node").alias("component_id"))
     return prints.join(nodes, "same").select("doc_id", "component_id")

@@ -124,3 +124,32 @@ def test_reordered_words_are_not_similar(spark, docs):
 def test_hex(spark, docs):
     row = near_duplicates(docs([(1, "")])).select(F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("f")).first()
     assert row.f == "0" * 16
+
+
+def word_jaccard(x, y, size=5):
+    a, b = ({tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} for w in (x.lower().split(), y.lower().split()))
+    return len(a & b) / len(a | b)
+
+
+def plain_groups(pairs, similarity=0.8):
+    """Smallest reachable id over all pairs that are alike enough."""
+    out = {i: i for i, _ in pairs}
+    links = [(i, j) for i, x in pairs for j, y in pairs if i < j and word_jaccard(x, y) >= similarity]
+    for _ in pairs:
+        for i, j in links:
+            out[i] = out[j] = min(out[i], out[j])
+    return out
+
+
+def test_unlike_texts_hide_no_similar_pair(spark, docs):
+    """The least id has the words of two near copies in another order, so all three share a word set."""
+    pairs = []
+    for k in range(4):
+        words = sorted(set(prose(300 + k, 600).split()))
+        random.Random(k).shuffle(words)
+        swapped = list(words)
+        swapped[40], swapped[90] = words[90], words[40]
+        pairs += [(10 * k + 1, " ".join(sorted(words))), (10 * k + 2, " ".join(words)), (10 * k + 3, " ".join(swapped))]
+    want = plain_groups(pairs)
+    assert all(want[10 * k + 3] == 10 * k + 2 for k in range(4))
+    assert {r.doc_id: r.component_id for r in similar_groups(docs(pairs)).collect()} == want
