@@ -34,14 +34,12 @@ def shingles_of(words: list[bytes], size: int) -> list[bytes]:
     return [b" ".join(t) for t in zip(*(words[k:] for k in range(size)))]
 
 
-def shingle_hashes(text: str | None, size: int, distinct: bool = False):
+def shingle_hashes(text: str | None, size: int):
     """XXH64 (seed 42) of each shingle as an unsigned array."""
     import numpy as np
     import xxhash
 
     shingles = shingles_of(words_of(text), size)
-    if distinct:
-        shingles = list(set(shingles))
     return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), dtype=np.uint64, count=len(shingles))
 
 
@@ -58,27 +56,18 @@ def simhash(hashes) -> int:
     return int(np.packbits((seen @ bits) * 2 > n, axis=1, bitorder="little").ravel().view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distinct: bool = False, text_hash: bool = False) -> DataFrame:
-    """SimHash of every text: ``doc_id, fingerprint`` (64 bits as a long).
-
-    With ``distinct`` each different shingle counts once. With ``text_hash`` there is a
-    further column ``same``, equal for equal word sequences only (128-bit hash as a string).
-    """
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """SimHash of every text: ``doc_id, fingerprint`` (64 bits as a long)."""
 
     def compute(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import xxhash
 
         for keys, values in texts(batches, "doc_id", "text"):
-            columns = [pa.array(keys, pa.int64()), pa.array([simhash(shingle_hashes(t, shingle, distinct)) for t in values], pa.int64())]
-            names = ["doc_id", "fingerprint"]
-            if text_hash:
-                columns.append(pa.array([xxhash.xxh128_hexdigest(b" ".join(words_of(t))) for t in values]))
-                names.append("same")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            columns = [pa.array(keys, pa.int64()), pa.array([simhash(shingle_hashes(t, shingle)) for t in values], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fingerprint"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(compute, "doc_id long, fingerprint long" + ", same string" * text_hash)
+    return source.mapInArrow(compute, "doc_id long, fingerprint long")
 
 
 def gray_rank(code: Column) -> Column:

@@ -153,3 +153,19 @@ def test_unlike_texts_hide_no_similar_pair(spark, docs):
     want = plain_groups(pairs)
     assert all(want[10 * k + 3] == 10 * k + 2 for k in range(4))
     assert {r.doc_id: r.component_id for r in similar_groups(docs(pairs)).collect()} == want
+
+
+def test_appended_cut_and_edited_copies_match_brute_force(spark, docs):
+    """Copies from 0.8 up by one long edit, which moves the words of a text much further than scattered ones."""
+    pairs = []
+    for k in range(10):
+        words = prose(400 + k, 150 + 20 * k).split()
+        more = prose(480 + k, 80).split()
+        n = len(words) * (10 + k) // 80
+        spliced = words[:50] + more[:n] + words[50:]
+        texts = [words, words + more[:n], words[n:] if n < len(words) // 5 else words[: -(len(words) // 6)], spliced, words + prose(900 + k, 400).split()]
+        pairs += [(20 * k + j, " ".join(t)) for j, t in enumerate(texts)]
+        pairs.append((20 * k + 9, edited(" ".join(words), k, 2 + k // 2)))
+    want = plain_groups(pairs)
+    assert sum(i != g for i, g in want.items()) > 20 and all(want[20 * k + 4] == 20 * k + 4 for k in range(10))
+    assert {r.doc_id: r.component_id for r in similar_groups(docs(pairs)).collect()} == want
