@@ -45,6 +45,17 @@ def weighted_similarity(a: str, b: str) -> Column:
     return F.expr(f"{shared} / (size({a}) + size({b}) - {shared})")
 
 
+def starts_of(last: Column) -> Column:
+    """Starts up to ``last`` of all windows of ``size`` shingles that hold at least ``need`` of the sorted places ``p``."""
+
+    def span(k: Column) -> Column:
+        low = F.greatest(F.element_at("p", k + F.col("need") - 1) - F.col("size") + 1, F.lit(0))
+        high = F.least(F.element_at("p", k), last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.size("p") - F.col("need") + 1), span)))
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Marked for broadcast only if its counted size is bounded."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
@@ -63,17 +74,17 @@ def leaks(
 ) -> DataFrame:
     """Benchmark items found in documents: ``doc_id, item_id, start, n_words, similarity``.
 
-    1. A window is as many words as an item has. Wherever a document shares a shingle of
-       ``shingle`` words with an item, the window starts where the item would start. A
-       window as alike as asked for shares shingles, so every one of those has such a start
-       or lies next to one.
+    1. A window is as many words as an item has. Windows at all starts count, aligned with
+       the item or not, that hold as many shingles shared with it as the similarity asked
+       for needs; no other window can have it.
     2. Each different window gets a SimHash, and a multi-index of ``radius + 1`` bit blocks,
        kept apart by item size, finds all item fingerprints within ``radius`` bits:
        20 bits are over four standard deviations beyond the 9.7 expected at 0.8.
     3. The weighted Jaccard similarity of the shingle counts decides.
 
-    The best window of each document and item is returned, the first of equal ones;
-    ``start`` counts words from 0. Only texts with a shared shingle go beyond step 1. Both sides of the
+    The best window of each document and item is returned; of equal ones, the first of those
+    that start where a shared shingle places the item, if there are such, else the first;
+    ``start`` counts words from 0. Only texts with such a window go beyond step 1. Both sides of the
     joins are DataFrames; the benchmark is broadcast if its counted rows allow it.
 
     Null and empty texts and items match nothing; a text or item of fewer than ``shingle``
@@ -83,16 +94,22 @@ def leaks(
     """
     items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item_id"), words(F.col(item_text_col)).alias("w"))
     items = items.select("item_id", F.size("w").alias("n_words"), shingles("w", shingle).alias("item_shingles")).where("n_words > 0")
-    places = items.select("item_id", "n_words", F.posexplode("item_shingles").alias("item_pos", "h"))
+    places = items.select("item_id", "n_words", F.size("item_shingles").alias("m"), F.posexplode("item_shingles").alias("item_pos", "h"))
     n_places = places.count()
     text = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("w"))
     spread = text.select("doc_id", F.size("w").alias("n"), F.posexplode(shingles("w", shingle)).alias("pos", "h"))
     start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("item_pos"), F.col("n") - F.col("n_words")))
-    aligned = spread.join(small(places, n_places), "h").select("doc_id", "n_words", start.alias("start")).distinct()
-    starts = aligned.groupBy("doc_id").agg(F.collect_list(F.struct("n_words", "start")).alias("at"))
-    window = text.join(starts, "doc_id").select("doc_id", "w", F.explode("at").alias("at"))
-    window = window.select("doc_id", F.col("at.n_words").alias("n_words"), F.col("at.start").alias("start"), F.slice("w", F.col("at.start") + 1, F.col("at.n_words")).alias("ww"))
-    window = window.select("doc_id", "n_words", "start", shingles("ww", shingle).alias("shingles"))
+    met = spread.join(small(places, n_places), "h").groupBy("doc_id", "item_id", "n_words", "n", "m")
+    met = met.agg(F.array_sort(F.collect_set("pos")).alias("p"), F.collect_set(start).alias("aligned"))
+    # shingles of a window, and how many of them must be shared: o / (size + m - o) >= similarity
+    met = met.withColumn("size", F.greatest(F.least("n", "n_words") - shingle + 1, F.lit(1)))
+    met = met.withColumn("need", F.greatest(F.ceil(similarity / (1 + similarity) * (F.col("size") + F.col("m")) - 1e-6), F.lit(1)).cast("int"))
+    starts = met.where("size(p) >= need").withColumn("start", F.explode(starts_of(F.greatest(F.col("n") - F.col("n_words"), F.lit(0)))))
+    starts = starts.select("doc_id", "item_id", "n_words", "start", F.array_contains("aligned", F.col("start")).alias("aligned"))
+    held = starts.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "n_words", "start", "aligned")).alias("at"))
+    window = text.join(held, "doc_id").select("doc_id", "w", F.explode("at").alias("at")).select("doc_id", "w", "at.*")
+    window = window.select("doc_id", "item_id", "n_words", "start", "aligned", F.slice("w", F.col("start") + 1, F.col("n_words")).alias("ww"))
+    window = window.select("doc_id", "item_id", "n_words", "start", "aligned", shingles("ww", shingle).alias("shingles"))
     window = window.withColumn("window", F.xxhash64("shingles"))
     # a passage that many documents share is one window
     distinct = window.groupBy("n_words", "window").agg(F.first("shingles").alias("shingles")).withColumn("fingerprint", simhash("shingles"))
@@ -105,10 +122,10 @@ def leaks(
     first = F.expr(" ".join(["CASE", *[f"WHEN {m} THEN {k}" for k, m in enumerate(agreements(radius))], "END"]))
     near = near.where(F.col("b.block") == first)
     near = near.withColumn("similarity", weighted_similarity("shingles", "item_shingles")).where(F.col("similarity") >= similarity)
-    hits = window.select("doc_id", "n_words", "start", "window").join(near.select("n_words", "window", "item_id", "similarity"), ["n_words", "window"])
-    best = hits.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.min("n_words").alias("n_words"))
-    at = hits.join(best.select("doc_id", "item_id", F.col("similarity").alias("top")), ["doc_id", "item_id"]).where("similarity = top")
-    return at.groupBy("doc_id", "item_id").agg(F.min("start").alias("start"), F.min("n_words").alias("n_words"), F.max("similarity").alias("similarity"))
+    hits = window.drop("shingles").join(near.select("n_words", "window", "item_id", "similarity"), ["n_words", "window", "item_id"])
+    order = F.struct("similarity", "aligned", (-F.col("start")).alias("back"), "n_words")
+    best = hits.groupBy("doc_id", "item_id").agg(F.max(order).alias("top"))
+    return best.select("doc_id", "item_id", (-F.col("top.back")).alias("start"), F.col("top.n_words").alias("n_words"), F.col("top.similarity").alias("similarity"))
 
 
 def agreements(radius: int) -> list[str]:

@@ -72,3 +72,36 @@ def test_shuffled_join_gives_the_same(spark, docs, monkeypatch):
     before = sorted(map(tuple, leaks(frame, bench).collect()))
     monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
     assert sorted(map(tuple, leaks(frame, bench).collect())) == before and len(before) == 5
+
+
+def all_starts(pairs, items, size=5, similarity=0.8):
+    """Best similarity over all item-sized windows by brute force."""
+    out = {}
+    for i, t in pairs:
+        doc = re.findall(r"[^\W_]+", t.lower())
+        for item, u in items:
+            asked = re.findall(r"[^\W_]+", u.lower())
+            count = lambda w: collections.Counter(tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1)))
+            want = count(asked)
+            for start in range(max(1, len(doc) - len(asked) + 1)):
+                own = count(doc[start : start + len(asked)])
+                value = (own & want).total() / (own | want).total()
+                if value >= similarity:
+                    out[i, item] = max(value, out.get((i, item), 0))
+    return {k: round(v, 9) for k, v in out.items()}
+
+
+def test_windows_that_no_shingle_aligns(spark, docs):
+    items = [(k, prose(40 + k, 60 + 20 * k)) for k in range(4)]
+    pairs = []
+    for k, (_, text) in enumerate(items):
+        w = text.split()
+        half = len(w) // 2
+        pairs.append((10 + k, " ".join(prose(60 + k, 30).split() + w[half:] + w[:half] + prose(70 + k, 30).split())))
+        pairs.append((20 + k, " ".join(prose(80 + k, 25).split() + w[half:] + w[: half - 2])))
+        pairs.append((30 + k, " ".join(prose(90 + k, 20).split() + w[: half // 2] + prose(99, 40).split() + w[half // 2 :])))
+    frame, bench = build(spark, docs, pairs, items)
+    want = all_starts(pairs, items)
+    assert all((10 + k, k) in want for k in range(4))
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in leaks(frame, bench).collect()} == want
+    assert {r.doc_id for r in decontaminate(frame, bench).collect()} == {i for i, _ in pairs} - {i for i, _ in want}
