@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from taxolith.llm.common import components, cut, texts
+from taxolith.llm.common import components, cut, shared_table, texts
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 WORD_BITS = 64
@@ -409,12 +409,17 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     a text without words is in a group of its own kind only.
     """
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    prints = cut(shingle_prefixes(rows, shingle, similarity))
-    classes = prints.groupBy("same").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("first"))
-    post = classes.select(F.col("first.doc_id").alias("node"), F.col("first.n").alias("n"), F.posexplode("first.prefix").alias("pos", "h"))
-    post = post.select("h", F.struct("node", "n", "pos").alias("x"))
-    shared = post.groupBy("h").agg(F.min("x").alias("y"), F.count("*").alias("c")).where("c > 1").drop("c")
-    met = cut(post.join(shared, "h"))
+    prints = shared_table(shingle_prefixes(rows, shingle, similarity))
+    classes = shared_table(prints.groupBy("same").agg(F.min("doc_id").alias("node")))
+    # a node goes with one row only: its number of shingles and the place fill one word
+    firsts = prints.join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    post = firsts.select(F.col("doc_id").alias("node"), "n", F.posexplode("prefix").alias("pos", "h"))
+    post = post.select("h", "node", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("np"))
+    bucket = Window.partitionBy("h")
+    met = post.withColumn("_least", F.min(F.struct("node", "np")).over(bucket)).withColumn("_most", F.max("node").over(bucket))
+    side = lambda node, np: F.struct(node.alias("node"), F.shiftright(np, 32).cast("int").alias("n"), np.bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"))
+    met = met.where(F.col("_least.node") < F.col("_most")).select("h", side(F.col("node"), F.col("np")).alias("x"), side(F.col("_least.node"), F.col("_least.np")).alias("y"))
+    met = shared_table(met)
 
     # what is left of both sets from the shared shingle on must hold the overlap needed
     fits = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (1 + similarity) >= similarity * (F.col("x.n") + F.col("y.n")) - 1e-6
@@ -431,14 +436,14 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
         ends = F.col("x.node"), F.col("y.node")
         return pairs.where(fits & (ends[0] != ends[1])).select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
 
-    tried = cut(ordered(met))
-    good = cut(alike(tried))
+    tried = shared_table(ordered(met))
+    good = shared_table(alike(tried))
     roots = cut(components(good))
     own = met.select("h", "x", F.col("x.node").alias("node")).join(roots, "node", "left").select("h", "x", F.coalesce("root", "node").alias("g"))
     mixed = own.groupBy("h").agg(F.min("g").alias("least"), F.max("g").alias("most")).where("least < most").select("h")
-    own = cut(own.join(mixed, "h", "left_semi"))
+    own = shared_table(own.join(mixed, "h", "left_semi"))
     other = own.select("h", F.col("x").alias("y"), F.col("g").alias("k"))
-    more = cut(ordered(own.join(other, "h").where("g < k")).join(tried, ["a", "b"], "left_anti"))
+    more = shared_table(ordered(own.join(other, "h").where("g < k")).join(tried, ["a", "b"], "left_anti"))
     roots = components(good.union(alike(more)))
-    nodes = classes.select("same", F.col("first.doc_id").alias("node")).join(roots, "node", "left").select("same", F.coalesce("root", "node").alias("component_id"))
+    nodes = classes.join(roots, "node", "left").select("same", F.coalesce("root", "node").alias("component_id"))
     return prints.join(nodes, "same").select("doc_id", "component_id")
