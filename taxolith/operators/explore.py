@@ -11,6 +11,9 @@ from pyspark.sql.window import Window
 from taxolith.functions.scalar import plain_name, stratum_taxon
 from taxolith.operators.abundance import capped, top_by
 
+#: Letters by which names and queries meet.
+KEY = 4
+
 
 def filter_view(
     report: DataFrame, rank: str | None = None, samples: Sequence[str] = (), min_percent: float = 0.0, min_reads: float = 0.0, minima: dict[str, float] | None = None, discard: DataFrame | None = None
@@ -32,11 +35,15 @@ def match_names(names: DataFrame, queries: DataFrame) -> DataFrame:
     """``query, name, strategy``: exact, else contained, else of the same genus, by plain names (FLT-6).
 
     A query takes the first strategy that finds anything. ``queries(query)`` is what a user
-    typed; each is compared with the different names only.
+    typed; each is compared with the different names only, namely those that hold the first
+    letters (at most ``KEY``) of its first word, for which names and queries are joined by equality.
     """
     own = names.select("name").distinct().withColumn("_n", plain_name(F.col("name")))
     asked = queries.select("query").distinct().withColumn("_q", plain_name(F.col("query"))).where("_q != ''")
-    rows = own.join(F.broadcast(asked.limit(10_000)), F.col("_n").contains(F.col("_q")) | F.col("_n").contains(F.substring_index("_q", " ", 1)))
+    asked = asked.withColumn("_g", F.substring_index("_q", " ", 1)).withColumn("_key", F.substring("_g", 1, KEY))
+    lengths, start = F.sequence(F.lit(0), F.lit(KEY)), F.sequence(F.lit(1), F.length("_n") + 1)
+    parts = F.array_distinct(F.flatten(F.transform(start, lambda k: F.transform(lengths, lambda n: F.substring(F.col("_n"), k, n)))))
+    rows = own.withColumn("_key", F.explode(parts)).join(asked, "_key").where(F.col("_n").contains(F.col("_q")) | F.col("_n").contains(F.col("_g"))).drop("_key", "_g")
     level = F.when(F.col("_n") == F.col("_q"), 1).when(F.col("_n").contains(F.col("_q")), 2).otherwise(3)
     rows = rows.withColumn("_level", level).withColumn("_best", F.min("_level").over(Window.partitionBy("query"))).where("_level = _best")
     return rows.select("query", "name", F.element_at(F.array(F.lit("exact"), F.lit("substring"), F.lit("genus")), F.col("_level")).alias("strategy"))

@@ -7,6 +7,7 @@ from taxolith.operators import abundance as A
 from taxolith.operators import accounting as AC
 from taxolith.operators import cells as C
 from taxolith.operators import evidence as E
+from taxolith.operators import explore as X
 from taxolith.operators import lineage as L
 from taxolith.plans.filtering import apply_filters
 
@@ -142,3 +143,13 @@ def test_shuffle_compare(spark):
     fake = spark.createDataFrame([("S", "0", 999), ("S", "1", 1), ("S", "7", 20)], "sample string, taxid string, reads long")
     got = {r.taxid: r.verdict for r in E.shuffle_compare(real, fake).collect()}
     assert got == {"7": "composition_only", "8": "clean", "9": "untested_low_depth"}
+
+
+def test_no_query_of_many_is_dropped(spark):
+    names = spark.createDataFrame([(f"s__Genus{k} species{k}",) for k in range(0, 12_000, 100)] + [("Xa y",)], "name string")
+    asked = spark.range(12_000).select(F.concat(F.lit("genus"), F.col("id").cast("string"), F.lit(" species"), F.col("id").cast("string")).alias("query"))
+    more = spark.createDataFrame([("a",), ("xa z",), ("nothing",), ("",)], "query string")
+    got = {(r.query, r.name, r.strategy) for r in X.match_names(names, asked.union(more)).collect()}
+    assert {(f"genus{k} species{k}", f"s__Genus{k} species{k}", "exact") for k in range(0, 12_000, 100)} <= got
+    assert ("a", "Xa y", "substring") in got and ("xa z", "Xa y", "genus") in got
+    assert not any(q in ("nothing", "") for q, _, _ in got)
