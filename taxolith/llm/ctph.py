@@ -45,22 +45,23 @@ def levels(data: bytes):
 
 
 def signature(data: bytes, marks, level: int) -> str:
-    """Two digits per chunk; what follows twice the wanted number of chunks is one chunk more.
+    """Two digits per chunk, over the whole text.
 
     A chunk of four block sizes ends without a trigger, so that a text that repeats itself
-    and never meets one still has a signature.
+    and never meets one still has a signature; one of less than an eighth of a block does
+    not end, so that a text that repeats a trigger has no more than some 8 times ``CHUNKS``.
     """
     import numpy as np
 
-    longest = (LEAST << level) * 4
+    longest, least = (LEAST << level) * 4, (LEAST << level) // 8
     ends, start = [], 0
-    for end in [*(np.flatnonzero(marks >= level) + 1).tolist(), len(data)]:
-        ends += range(start + longest, end, longest)
-        ends.append(end)
-        start = end
-        if len(ends) > 2 * CHUNKS:
-            ends[2 * CHUNKS :] = [len(data)]
-            break
+    for end in (np.flatnonzero(marks >= level) + 1).tolist():
+        if end - start >= least:
+            ends += range(start + longest, end, longest)
+            ends.append(end)
+            start = end
+    ends += range(start + longest, len(data), longest)
+    ends.append(len(data))
     out, start = [], 0
     for end in dict.fromkeys(ends):
         value = zlib.crc32(data[start:end])

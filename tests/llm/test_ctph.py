@@ -66,3 +66,11 @@ def test_small_tables(spark, docs):
     assert edited_fingerprints(docs([(1, "x")]).limit(0)).count() == 0
     assert edited_fingerprints(docs([(2, "b"), (2, "a"), (2, "a")])).count() == 3
     assert document_fingerprints(docs([(1, None)])).first().fingerprint == "3::"
+
+
+def test_repeated_lines_count_to_the_end():
+    for k in range(40):
+        text = (prose(k, 12) + "\n") * 400
+        half = fingerprint(edited_text(text, prose(100 + k, 12_000)))
+        assert likeness(fingerprint(text), half) < 0.75
+        assert all(len(part) <= 2 * 64 * 12 for part in half.split(":")[1:])
