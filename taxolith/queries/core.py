@@ -862,7 +862,7 @@ def sta14_group_sums(spark, d):
 
 @query()
 def sta14_beta_variance(spark, d):
-    return CO.beta_variance(T.cohort(spark, d), T.groups(spark, d), permutations=49)
+    return CO.beta_variance(T.cohort(spark, d), T.groups(spark, d))
 
 
 @query()
@@ -908,7 +908,7 @@ def sta17_decontam(spark, d):
 @query()
 def sta18_clr_group_test(spark, d):
     two = T.groups(spark, d).where("group IN ('R0', 'R1')")
-    return CO.clr_group_test(T.cohort(spark, d).join(two, "sample", "left_semi"), two, "R0", draws=8)
+    return CO.clr_group_test(T.cohort(spark, d).join(two, "sample", "left_semi"), two, "R0")
 
 
 GENES = """genes AS (SELECT n_name AS sample, CAST(l_partkey % 97 AS VARCHAR) AS gene, SUM(l_quantity) AS count FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)"""
@@ -955,12 +955,12 @@ def sta20_sparcc(spark, d):
 
 @query()
 def cmp20_host_microbe(spark, d):
-    return CO.host_microbe(genes(spark, d), T.cohort(spark, d), max_genes=50, max_taxa=20)
+    return CO.host_microbe(genes(spark, d), T.cohort(spark, d))
 
 
 @query()
 def cmp21_network(spark, d):
-    return CO.network(T.cohort(spark, d), top=20, reps=20)
+    return CO.network(T.cohort(spark, d))
 
 
 # explore, merge, reads, markers ------------------------------------------------------
@@ -1064,7 +1064,7 @@ def agg21_fragment_stats(spark, d):
 @query()
 def cmp22_polya(spark, d):
     reads = T.table(spark, d, "conversations").select(F.lit("all").alias("sample"), F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("read_id"), F.lit(1).alias("mate"), F.upper("text").alias("seq"))
-    return R.polya(reads, (3, 4), permutations=5)
+    return R.polya(reads, (3, 4))
 
 
 @query()
@@ -1079,9 +1079,11 @@ GENOMES = """genomes AS (SELECT CAST(c_custkey AS VARCHAR) AS genome, c_mktsegme
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity <= 25)"""
 
 
-def clusters(spark, d):
+def clusters(spark, d, most=None):
     s = lambda c: F.col(c).cast("string")
-    rows = T.table(spark, d, "lineitem").where("l_quantity <= 25").join(T.table(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = T.table(spark, d, "lineitem")
+    rows = rows if most is None else rows.where(F.col("l_quantity") <= most)
+    rows = rows.join(T.table(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     own = rows.select((F.col("l_partkey") % 53).cast("string").alias("cluster"), F.concat_ws("-", s("l_orderkey"), s("l_linenumber"), s("l_partkey")).alias("gene"), s("o_custkey").alias("genome")).distinct()
     return own, T.table(spark, d, "customer").select(s("c_custkey").alias("genome"), F.col("c_mktsegment").alias("taxid"))
 
@@ -1092,7 +1094,7 @@ def clusters(spark, d):
     GENOMES,
 )
 def cmp27_coreness(spark, d):
-    own, species = clusters(spark, d)
+    own, species = clusters(spark, d, most=25)
     return M.coreness(own, species).select("cluster", "taxid", "genomes", *r6("coreness"))
 
 

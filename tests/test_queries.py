@@ -37,3 +37,10 @@ def test_matches_sql(spark, duck, name):
     names = ", ".join(f'"{c}"' for c in columns)
     want = sorted(([plain(v) for v in r] for r in duck.sql(f"SELECT {names} FROM ({core.SQL[name]})").fetchall()), key=repr)
     assert got == want
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables here")
+def test_queries_without_sql_take_all_rows(spark):
+    assert core.QUERIES["cmp20_host_microbe"](spark, FOLDER).select("gene").distinct().count() == 97
+    own, _ = core.clusters(spark, FOLDER)
+    assert own.count() == spark.read.parquet(f"{FOLDER}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey").distinct().count()
