@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-import tempfile
 import uuid
 from array import array
 from collections.abc import Iterator
@@ -13,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from taxolith.plans.materialise import cut, shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
@@ -27,31 +28,19 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder that all executors share.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset, as in
-    a local test, a temporary folder is used.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="taxolith-"))
-    return df.checkpoint(eager=True)
-
-
-def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)`` as ``(node, root)``, root the smallest node.
 
     Alternates the large-star and small-star steps: every node hands its neighbours the
-    smallest one among them, until the edges are stars. A step is one aggregate and one
-    join on the node; edges live in Spark tables, never on the driver. Empty edges give
-    an empty result; self loops and repeated edges are ignored.
+    smallest one among them, until no step changes an edge: then the edges are stars. A step
+    is one aggregate and one join on the node; edges live in Spark tables, never on the
+    driver. The number of steps grows as the logarithm of the longest chain. Empty edges
+    give an empty result; self loops and repeated edges are ignored.
     """
     edge = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
     edge = cut(edge)
-    before = None
-    for _ in range(max_rounds):
+    before = now = None
+    while now is None or now != before:
         both = edge.union(edge.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -60,10 +49,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
             F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")
         )
         edge = cut(small.where("a > b").distinct())
-        now = edge.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
+        before, now = now, edge.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     nodes = edge.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return nodes.union(edge.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
@@ -168,10 +154,7 @@ def shared_table(df: DataFrame) -> DataFrame:
     behind it are given up once it is written.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="taxolith-"))
-    path = f"{context.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, "false")
     spark.conf.set(name, "true")
@@ -190,3 +173,25 @@ def merged_intervals(intervals: DataFrame, key: str) -> DataFrame:
     islands = islands.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     spans = islands.groupBy(key, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     return spans.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+
+
+#: Bits of a bitmap row, and the most rows (8 MB) that are broadcast.
+BITMAP_BITS, BITMAP_ROWS = 1 << 15, 2048
+
+
+def may_hold(rows: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
+    """Add the column ``name``: false only where no row of the one-column ``keys`` equals ``key``.
+
+    A bitmap of hashed keys, 4 KB for 500 keys and 8 MB at most, is broadcast; beyond a
+    million keys it marks more rows than it must, but never fewer. It keeps the rows that a
+    join with few keys leaves alone out of the shuffle. A null key is marked false.
+    """
+    held = keys.select(F.col(keys.columns[0]).cast(rows.schema[key].dataType).alias("k")).where("k is not null")
+    width = min(BITMAP_ROWS, 1 << (held.count() * 64 // BITMAP_BITS).bit_length())
+    bit = lambda k: F.pmod(F.xxhash64(k), F.lit(width * BITMAP_BITS))
+    place, word, bits = unused(rows, "_place"), unused(rows, "_word"), unused(rows, "_bits")
+    bitmap = held.select(bit("k").alias("p")).groupBy(F.expr(f"p div {BITMAP_BITS}").alias(word)).agg(F.expr(f"bitmap_construct_agg(p % {BITMAP_BITS})").alias(bits))
+    placed = rows.withColumn(place, bit(key)).join(F.broadcast(bitmap), F.expr(f"{place} div {BITMAP_BITS}") == F.col(word), "left")
+    octet = f"cast(conv(hex(substring({bits}, cast({place} % {BITMAP_BITS} div 8 as int) + 1, 1)), 16, 10) as int)"
+    marked = F.expr(f"coalesce(shiftright({octet}, cast({place} % 8 as int)) & 1, 0) = 1") & F.col(key).isNotNull()
+    return placed.withColumn(name, marked).drop(place, word, bits)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from taxolith.llm.common import components, cut, shared_table, texts
+from taxolith.llm.common import components, cut, may_hold, shared_table, texts
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 WORD_BITS = 64
@@ -360,7 +360,7 @@ def frequent_shingles(rows: DataFrame, size: int):
 
 
 def shingle_prefixes(rows: DataFrame, size: int, similarity: float) -> DataFrame:
-    """``doc_id, same, n, prefix``: a text's number of different shingles and the first of them in a fixed order.
+    """``doc_id, same, fingerprint, n, prefix``: SimHash, number of different shingles and the first of them in a fixed order.
 
     The order is the same for all texts: rare shingles before frequent ones, then by hash.
     ``same`` is equal for equal sets of shingles only (128-bit hash as a string).
@@ -374,59 +374,59 @@ def shingle_prefixes(rows: DataFrame, size: int, similarity: float) -> DataFrame
 
         common, level = known.value
         for keys, values in texts(batches, "doc_id", "text"):
-            same, sizes, prefixes = [], [], []
+            same, prints, sizes, prefixes = [], [], [], []
             for text in values:
                 own = np.unique(shingle_hashes(text, size))
                 same.append(xxhash.xxh128_hexdigest(own.tobytes()))
+                prints.append(simhash(own))
                 sizes.append(len(own))
                 if len(common) and len(own):
                     place = np.minimum(np.searchsorted(common, own), len(common) - 1)
                     own = own[np.argsort(np.where(common[place] == own, level[place], 0), kind="stable")]
                 prefixes.append(own[: prefix_size(len(own), similarity)].view(np.int64))
-            columns = [pa.array(keys, pa.int64()), pa.array(same), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "same", "n", "prefix"])
+            columns = [pa.array(keys, pa.int64()), pa.array(same), pa.array(prints, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "same", "fingerprint", "n", "prefix"])
 
-    return rows.mapInArrow(compute, "doc_id long, same string, n int, prefix array<long>")
+    return rows.mapInArrow(compute, "doc_id long, same string, fingerprint long, n int, prefix array<long>")
 
 
-def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 3, blocks: int = 5) -> DataFrame:
     """Groups of texts with a Jaccard similarity of ``similarity`` or more: ``doc_id, component_id``.
 
-    The similarity is that of the sets of ``shingle``-word shingles, and all pairs that
-    have it are found, without chance: with the shingles of all texts in one order, two
-    such sets of sizes m and n share one of the first m - ceil(m * similarity) + 1 and
-    n - ceil(n * similarity) + 1 (``shingle_prefixes``). Texts meet by those, rare ones
-    first, so shingles that many texts share seldom bring any together. Two rounds keep
-    large groups from being compared pair by pair:
-
-    1. Each text is compared with the first text of each shingle; pairs that are alike
-       enough are contracted to groups.
-    2. All pairs that still lie in different groups and share such a shingle are compared,
-       but for those that failed in round 1.
+    The similarity is that of the sets of ``shingle``-word shingles; all pairs that have it
+    are linked, without chance. Candidates come in three rounds; each compares only texts
+    that the rounds before have not joined, and the sets themselves decide:
+
+    1. SimHash: fingerprints within ``radius`` bits, by the Gray-order index
+       (``hamming_links``). At 0.8 fingerprints differ in 10 bits of 64, more than any index
+       can serve, so this round finds the nearer copies only, and the others complete it.
+    2. With the shingles of all texts in one order, two sets of sizes m and n that are alike
+       enough share one of the first m - ceil(m * similarity) + 1 and n - ceil(n * similarity) + 1
+       (``shingle_prefixes``). Texts meet by those, rare ones first, so shingles that many
+       texts share seldom bring any together. Each text is compared with the first of each
+       shingle, so that large groups are not compared pair by pair.
+    3. All pairs that still lie in different groups and share such a shingle are compared,
+       but for those that failed in round 2.
 
     Only a pair whose sizes and places in the order rule the similarity out is not compared.
-    Equal sets are one node and need no check. Defined results for odd rows are those of ``near_duplicates``;
-    a text without words is in a group of its own kind only.
+    Equal sets are one node and need no check.
+
+    Null and empty texts and texts without words are one group of their own; a text of fewer
+    words than a shingle is one shingle; very long texts are compared whole; null ids take no
+    part and are left out; repeated rows keep a row each; of rows that share an id but not
+    the text one stands for the id in comparisons with other ids, as many rows come back as
+    went in; an empty table gives no rows; other columns are left out, whatever their names.
     """
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     prints = shared_table(shingle_prefixes(rows, shingle, similarity))
-    classes = shared_table(prints.groupBy("same").agg(F.min("doc_id").alias("node")))
-    # a node goes with one row only: its number of shingles and the place fill one word
-    firsts = prints.join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    post = firsts.select(F.col("doc_id").alias("node"), "n", F.posexplode("prefix").alias("pos", "h"))
-    post = post.select("h", "node", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("np"))
-    bucket = Window.partitionBy("h")
-    met = post.withColumn("_least", F.min(F.struct("node", "np")).over(bucket)).withColumn("_most", F.max("node").over(bucket))
-    side = lambda node, np: F.struct(node.alias("node"), F.shiftright(np, 32).cast("int").alias("n"), np.bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"))
-    met = met.where(F.col("_least.node") < F.col("_most")).select("h", side(F.col("node"), F.col("np")).alias("x"), side(F.col("_least.node"), F.col("_least.np")).alias("y"))
-    met = shared_table(met)
-
+    classes = shared_table(prints.groupBy("same").agg(F.min(F.struct(F.col("doc_id").alias("node"), "fingerprint")).alias("one")).select("same", "one.*"))
     # what is left of both sets from the shared shingle on must hold the overlap needed
     fits = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (1 + similarity) >= similarity * (F.col("x.n") + F.col("y.n")) - 1e-6
 
     def alike(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        sets = shingle_sets(rows.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle)
+        held = may_hold(rows, "doc_id", ends, "_held").where("_held").drop("_held")
+        sets = shingle_sets(held.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle)
         left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")), "a")
         both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")), "b")
         common = F.size(F.array_intersect("x", "y"))
@@ -436,8 +436,26 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
         ends = F.col("x.node"), F.col("y.node")
         return pairs.where(fits & (ends[0] != ends[1])).select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
 
-    tried = shared_table(ordered(met))
-    good = shared_table(alike(tried))
+    def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        """Pairs whose ends are not in one group yet."""
+        p, q = (roots.select(F.col("node").alias(end), F.col("root").alias("root_" + end)) for end in "ab")
+        return pairs.join(p, "a", "left").join(q, "b", "left").where("not (root_a <=> root_b) or root_a is null").select("a", "b")
+
+    near = shared_table(hamming_links(classes.select("node", "fingerprint"), radius, blocks).select("a", "b"))
+    good = shared_table(alike(near))
+
+    # a node goes with one row only: its number of shingles and the place fill one word
+    nodes = classes.select(F.col("node").alias("doc_id")).distinct()
+    post = prints.join(nodes, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "n", F.posexplode("prefix").alias("pos", "h"))
+    post = shared_table(post.select("h", "node", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("np")))
+    shared = post.groupBy("h").agg(F.min(F.struct("node", "np")).alias("least"), F.max("node").alias("most"))
+    shared = shared_table(shared.where("least.node < most").select("h", "least"))
+    side = lambda node, np: F.struct(node.alias("node"), F.shiftright(np, 32).cast("int").alias("n"), np.bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"))
+    met = may_hold(post, "h", shared.select("h"), "_held").where("_held").join(shared, "h")
+    met = shared_table(met.select("h", side(F.col("node"), F.col("np")).alias("x"), side(F.col("least.node"), F.col("least.np")).alias("y")))
+
+    tried = shared_table(apart(ordered(met), components(good)))
+    good = shared_table(good.union(alike(tried)))
     roots = cut(components(good))
     own = met.select("h", "x", F.col("x.node").alias("node")).join(roots, "node", "left").select("h", "x", F.coalesce("root", "node").alias("g"))
     mixed = own.groupBy("h").agg(F.min("g").alias("least"), F.max("g").alias("most")).where("least < most").select("h")
