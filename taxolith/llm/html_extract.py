@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -15,140 +16,288 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td "
     "tfoot th thead title tr ul".split()
 )
+#: Blocks that hold text; the other ones are containers, and each container tag is a blank line.
+TEXT_BLOCKS = frozenset("address blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 legend li p pre summary td th tr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 RAW = ("script", "style", "noscript", "template", "iframe", "object", "svg", "canvas", "textarea", "select", "button", "head", "title")
 FURNITURE = frozenset("nav footer aside form menu dialog fieldset".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|adsense|banner|sponsor|sponsored|promo|promotion|cookie|cookies|consent|gdpr|notice|notices|"
-    r"alert|popup|modal|overlay|newsletter|subscribe|signup|login|comment|comments|respond|reply|replies|disqus|discussion|sidebar|side|widget|widgets|"
-    r"menu|menubar|nav|navbar|navigation|breadcrumb|breadcrumbs|pagination|pager|toc|footer|foot|masthead|topbar|toolbar|header|share|sharing|social|"
-    r"related|recommended|recommendations|popular|trending|tags|search|skip|copyright|legal|disclaimer)(?:$|[\s_-])",
-    re.I,
-)
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog".split())
+#: Words that name furniture wherever they begin or end a name.
+STRONG = frozenset(
+    "ad ads advert adverts advertisement adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr popup modal overlay newsletter "
+    "subscribe signup login comment comments respond reply replies disqus sidebar widget widgets menu menubar nav navbar navigation breadcrumb "
+    "breadcrumbs pagination pager toc footer masthead topbar toolbar share sharing social related recommended recommendations".split()
+)
+#: Words that name furniture outside an article, if all the other words of the name are neutral.
+WEAK = frozenset("header notice notices alert alerts discussion side foot popular trending tags search skip copyright legal disclaimer".split())
+NEUTRAL = frozenset("site page main global top bottom left right box list area section wrap wrapper container block bar item items link links inner outer row".split())
+#: Words that say what a page has, not what an element is, and words that name the element around it.
+SAYING = frozenset("has have with no without is not show hide hidden toggle".split())
+AROUND = frozenset("layout page template grid theme enabled disabled free".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TAG = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+SPECIAL = {"<!--": "-->", "<![CDATA[": "]]>", "<!": ">", "<?": ">"}
+QUOTE_OR_END = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 SPACE = re.compile(r"\s+")
+WORD = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 
 
-def furniture(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is page furniture by its name, role, class or id."""
-    if name in FURNITURE or name == "header" and not in_article:
+def named_furniture(name: str, in_article: bool) -> bool:
+    """Whether one class token or id names page furniture, read as words between hyphens, underscores and capitals."""
+    parts = [p.lower() for p in WORD.split(name) if p]
+    if not parts or SAYING & set(parts) or parts[-1] in AROUND:
+        return False
+    if parts[0] in STRONG or parts[-1] in STRONG:
         return True
+    return not in_article and any(p in WEAK for p in parts) and all(p in WEAK or p in NEUTRAL for p in parts)
+
+
+def furniture(name: str, attributes: str, in_article: bool) -> int:
+    """2 if an element is page furniture by its name, role or being hidden, 1 if a class or id says so, else 0."""
+    if name in FURNITURE or name == "header" and not in_article:
+        return 2
     if name in ("html", "body", "article", "main"):
-        return False
+        return 0
+    named = 0
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), next((v for v in m.groups()[1:] if v is not None), "")
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key == "role" and value.lower() in ROLES or key in ("class", "id") and MARKED.search(value):
-            return True
-    return False
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "role" and value.lower() in ROLES:
+            return 2
+        if key in ("class", "id") and any(named_furniture(t, in_article) for t in value.split()):
+            named = 1
+    return named
+
+
+class Tags:
+    """Reads the tags of a page from left to right, in time that grows with its length alone."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, {c: page.rfind(c) for c in ">\"'"}
+        self.never: set[str] = set()  # what is known not to come any more
+
+    def find(self, what: str, at: int) -> int:
+        """Where ``what`` comes next, or -1; the rest of the page is searched in vain only once."""
+        if what in self.never or self.last.get(what, len(self.page)) < at:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.never.add(what)
+        return found
+
+    def end(self, at: int) -> int:
+        """Where a tag ends whose name ends at ``at``: at the next > outside quotes, -1 if there is none."""
+        while self.last[">"] >= at:
+            m = QUOTE_OR_END.search(self.page, at)
+            if m[0] == ">":
+                return m.start()
+            closing = self.find(m[0], m.end())
+            if closing < 0 or self.last[">"] < closing:  # a stray quote
+                return self.find(">", m.end())
+            at = closing + 1
+        return -1
+
+    def after(self, name: str, at: int) -> int:
+        """Where the page goes on after the closing tag of a raw element, -1 if it is never closed."""
+        if name in self.never:
+            return -1
+        m = re.compile(rf"</{name}(?=[\s/>])", re.I).search(self.page, at)
+        stop = self.find(">", m.end()) if m else -1
+        if stop < 0:
+            self.never.add(name)
+        return stop + 1 if stop >= 0 else -1
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
-    """Strip the markup: a line for each block of text.
+class Line:
+    """A line of text: ``gap`` blank lines before it, unlinked characters, and the marks it lies under."""
 
-    A line is its text, how many of its characters are link text, whether it lies in page
-    furniture and whether it lies in an ``article`` or ``main`` element.
+    __slots__ = ("text", "gap", "plain", "mark", "article", "heading", "bad")
+
+    def __init__(self, text: str, gap: int, plain: int, mark: int, article: bool, heading: bool, bad: bool):
+        self.text, self.gap, self.plain, self.mark, self.article, self.heading, self.bad = text, gap, plain, mark, article, heading, bad
+
+
+def lines_of(page: str) -> list[Line]:
+    """Strip the markup: a line for each block of text, and a blank line for each container tag between.
+
+    A line is ``bad`` in an element that is furniture by its name or role, or by a class or
+    id unless that element holds the article: an ``article`` or ``main``, or else a first
+    heading and over half of all unlinked text. Text of furniture inside a line is left out.
     """
-    out: list[tuple[str, int, bool, bool]] = []
-    open_: list[tuple[str, bool]] = []  # element, whether it begins furniture
+    out: list[Line] = []
+    open_: list[tuple[str, int, int, int]] = []  # element, 1 if furniture by its name, its mark or -1, 1 if its text is left out
+    named: Counter = Counter()
+    marks: list[list[int]] = []  # of elements named as furniture: outer mark, article within, first heading within, characters
     parts: list[str] = []
-    linked = bad = links = articles = 0
-    at, end = 0, len(page)
+    linked = bad = muted = links = articles = gap = 0
+    mark, heading = -1, False
+    tags, at, end = Tags(page), 0, len(page)
 
     def flush() -> None:
-        nonlocal parts, linked
+        nonlocal parts, linked, gap
         if parts:
             text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                out.append((text, linked, bad > 0, articles > 0))
+                out.append(Line(text, gap, 0 if linked > len(text) / 2 else len(text), mark, articles > 0, heading, bad > 0))
+                gap = 0
             parts = []
         linked = 0
 
     def close(to: int) -> None:
-        nonlocal bad, links, articles
-        for name, marked in reversed(open_[to:]):
-            bad -= marked
+        nonlocal bad, muted, links, articles, mark, heading
+        for name, hard, own, inline in reversed(open_[to:]):
+            named[name] -= 1
+            bad -= hard
+            muted -= inline
             links -= name == "a"
             articles -= name in ("article", "main")
+            heading = heading and name not in HEADINGS
+            if own >= 0:
+                mark = marks[own][0]
         del open_[to:]
 
     while at < end:
-        m = TOKEN.search(page, at)
-        text = page[at : m.start() if m else end]
-        if text:
+        m = TAG.search(page, at)
+        text, stop, name = page[at : m.start() if m else end], end, ""
+        if m and m[0] in SPECIAL:
+            close_mark = SPECIAL[m[0]]
+            found = tags.find(close_mark, m.end())
+            stop = found + len(close_mark) if found >= 0 else end  # one that is never closed takes the rest
+        elif m:
+            found = tags.end(m.end())
+            if found < 0:  # no tag at all
+                text, stop = page[at : m.end()], m.end()
+            else:
+                name, stop = m[2].lower(), found + 1
+        if text and not muted:
             parts.append(text)
             if links:
                 linked += len(text.strip())
-        if not m:
-            break
-        at = m.end()
-        name = (m[2] or "").lower()
+        at = stop
         if not name:
             continue
         if name in BLOCKS:
             flush()
-        elif name in ("br", "wbr", "img", "input"):
-            parts.append(" " if name != "wbr" else "")
+            gap += name not in TEXT_BLOCKS
+        elif name in ("br", "img", "input"):
+            parts.append(" ")
         if m[1]:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == name:
-                    close(k)
-                    break
-        elif name in RAW and not m[3].endswith("/"):
-            stop = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            if stop or name not in ("head", "title"):
-                at = stop.end() if stop else end
-        elif name not in VOID and not m[3].endswith("/"):
+            if named[name]:
+                k = len(open_) - 1
+                while open_[k][0] != name:
+                    k -= 1
+                close(k)
+            continue
+        attributes = page[m.end() : found]
+        if name in RAW and not attributes.endswith("/"):
+            go_on = tags.after(name, at)
+            if go_on >= 0 or name not in ("head", "title"):
+                at = go_on if go_on >= 0 else end
+        elif name not in VOID and not attributes.endswith("/"):
             if name in ("p", "li") and open_ and open_[-1][0] == name:
                 close(len(open_) - 1)
-            marked = furniture(name, m[3] or "", articles > 0)
-            open_.append((name, marked))
-            bad += marked
+            kind, own = furniture(name, attributes, articles > 0), -1
+            inline = bool(kind) and name not in BLOCKS
+            if kind == 1 and not inline:
+                own = len(marks)
+                marks.append([mark, 0, 0, 0])
+                mark = own
+            open_.append((name, int(kind == 2), own, int(inline)))
+            named[name] += 1
+            bad += kind == 2
+            muted += inline
             links += name == "a"
             articles += name in ("article", "main")
+            if mark >= 0 and kind < 2:
+                marks[mark][1] += name in ("article", "main")
+                marks[mark][2] += name == "h1"
+            heading = heading or name in HEADINGS
     flush()
+    for line in out:
+        if line.mark >= 0 and not line.bad:
+            marks[line.mark][3] += line.plain
+    for outer, *held in reversed(marks):  # an element's own come after it
+        if outer >= 0:
+            for k, x in enumerate(held, 1):
+                marks[outer][k] += x
+    total = sum(line.plain for line in out if not line.bad)
+    marked: list[bool] = []
+    for outer, article, first, size in marks:
+        marked.append(outer >= 0 and marked[outer] or not article and not (first and 2 * size > total))
+    for line in out:
+        line.bad = line.bad or line.mark >= 0 and marked[line.mark]
+    return out
+
+
+def surges(weight: list[int], window: int, surge: int) -> list[tuple[int, int]]:
+    """Half-open stretches between surge and dive points of the sums over ``window`` lines.
+
+    A surge is the first block whose sum reaches ``surge`` (or half of the highest sum, if
+    that is less), a dive the next block without text. A block begins at its line.
+    """
+    n = len(weight)
+    total = [0]
+    for w in weight:
+        total.append(total[-1] + w)
+    sums = [total[min(k + window, n)] - total[k] for k in range(n)]
+    least = min(surge, max(sums, default=0) / 2)
+    out, k = [], 0
+    while k < n:
+        if sums[k] and sums[k] >= least:
+            start = k
+            while k < n and sums[k]:
+                k += 1
+            out.append((start, k))
+        else:
+            k += 1
     return out
 
 
-def main_text(page: str | None, window: int = 3, link_share: float = 0.5, weak: float = 0.1) -> str:
+def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     """The text between the surge and dive points of the line-block distribution.
 
-    A line counts for its characters, or for none if it is page furniture, mostly links or
-    outside the article where the page marks one. Blocks are runs of ``window`` lines. A
-    surge is where the block sums rise from nothing, a dive where they fall to nothing
-    again; text between them is kept but for furniture. Where the page marks no article, a stretch with
-    less than ``weak`` of the text of the longest one is left out.
+    The page is lines of text with blank lines between them where containers begin or end.
+    A line counts for its characters, or for none if it is furniture, mostly link text or
+    outside the article of a page that marks one; within a marked article every line counts
+    for ``surge`` at least. Sums over ``window`` lines surge where they reach ``surge`` and
+    dive where they fall to nothing; everything between is kept but for furniture, and so
+    are headings right before a surge. Lines whose sums never surge are left out: lone
+    notices, adverts and lists of links.
     """
     lines = lines_of(page or "")
-    marked = any(article and not bad for _, _, bad, article in lines)
-    weight = []
-    for text, linked, bad, article in lines:
-        listing = linked > link_share * len(text) and not article
-        weight.append(0 if bad or listing or marked and not article else len(text))
-    n, half = len(lines), window // 2
-    sums = [sum(weight[max(0, k - half) : k + half + 1]) for k in range(n)]
-    stretches, k = [], 0
-    while k < n:
-        if not sums[k]:
+    marked = any(line.article and not line.bad for line in lines)
+    weight, where = [], []
+    for line in lines:
+        weight += [0] * min(line.gap, window)
+        where.append(len(weight))
+        if line.bad or marked and not line.article:
+            weight.append(0)
+        else:
+            weight.append(max(len(line.text), surge) if marked else line.plain)
+    kept, k = [], 0
+    for start, end in surges(weight, window, surge):
+        while k < len(lines) and where[k] < start:
             k += 1
-            continue
-        surge = k
-        while k < n and sums[k]:
+        # a heading goes with the text that follows it
+        head = k
+        while head and lines[head - 1].heading and weight[where[head - 1]] and where[head] - where[head - 1] <= window and (not kept or kept[-1] < head - 1):
+            head -= 1
+        first = k = head
+        while k < len(lines) and where[k] < end:
             k += 1
-        own = [j for j in range(surge, k) if weight[j]]
-        stretches.append((sum(weight[j] for j in own), own))
-    most = max((size for size, _ in stretches), default=0)
-    return "\n".join(lines[j][0] for size, own in stretches if marked or size >= weak * most for j in own)
+        own = [j for j in range(first, k) if not lines[j].bad and (lines[j].article or not marked)]
+        while own and not weight[where[own[-1]]]:  # links after the last text
+            own.pop()
+        kept += own
+    return "\n".join(lines[j].text for j in kept)
 
 
-def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", window: int = 3) -> DataFrame:
+def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", window: int = 3, surge: int = 80) -> DataFrame:
     """Main text of HTML pages: ``page_id, url, text``, text empty if there is none.
 
-    Every page is worked on alone and whole, next to the scan. Null and empty pages give
+    Every page is worked on alone and whole, next to the scan, in time and memory that grow
+    with its length, whatever its markup. Null and empty pages give
     the empty string; null ids and urls stay null; repeated rows keep a row each; broken
     markup (unclosed or stray tags, cut-off entities) is read as far as it goes; an empty
     table gives no rows; other columns are left out, whatever their names.
@@ -163,7 +312,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = pa.array([main_text(v.as_py(), window) for v in part.column(2)], pa.string())
+                found = pa.array([main_text(v.as_py(), window, surge) for v in part.column(2)], pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), found], names=["page_id", "url", "text"])
 
     return source.mapInArrow(compute, f"page_id {kind}, url string, text string")

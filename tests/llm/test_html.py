@@ -1,4 +1,14 @@
-from taxolith.llm.html_extract import extract_pages, main_text
+import html
+import random
+import re
+import time
+from html.parser import HTMLParser
+
+import pytest
+
+from taxolith.llm import html_extract
+from taxolith.llm.html_extract import extract_pages, main_text, surges
+from tests.llm.conftest import prose
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header><h2>Site</h2></header><nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav><!-- ad 1 -->
@@ -8,6 +18,7 @@ a line break that goes on for a while.<br><p>Is.</p><p>Second &lt;paragraph&gt;
 <aside>Related stories that nobody reads</aside><div class="comments"><p>A reader's comment that is rather long, longer than many paragraphs are.</p></div></article>
 <form><p>Subscribe to our letter</p><input name=x></form><footer>&copy; site &middot; words</footer></body></html>"""
 WANT = "The & title\nFirst long paragraph with bold words and a line break that goes on for a while.\nIs.\nSecond <paragraph> of the article, a good deal longer than the one before it."
+LONG = ("Real text of the page. " * 20).strip()
 
 
 def test_article_only():
@@ -20,8 +31,10 @@ def test_without_article_element():
 
 
 def test_link_lists_are_not_text():
-    page = "<div><p>" + "Real text of the page. " * 20 + "</p></div><div>" + "".join(f"<p><a href='/{k}'>Another story {k}</a></p>" for k in range(30)) + "</div>"
-    assert main_text(page) == ("Real text of the page. " * 20).strip()
+    page = f"<div><p>{LONG}</p></div><div>" + "".join(f"<p><a href='/{k}'>Another story {k}</a></p>" for k in range(30)) + "</div>"
+    assert main_text(page) == LONG
+    one = f"<div><p>{LONG}</p><p><a href='/'>A sentence that is a link.</a></p><p>{LONG}</p></div>"
+    assert main_text(one) == f"{LONG}\nA sentence that is a link.\n{LONG}"
 
 
 def test_broken_markup():
@@ -29,8 +42,147 @@ def test_broken_markup():
     assert main_text("<p>a < b and c > d</p>") == "a < b and c > d"
     assert main_text("<script>never closed <p>text</p>") == ""
     assert main_text("<p>kept</p><!-- never closed <p>gone</p>") == "kept"
+    assert main_text("<!-- never closed") == "" and main_text("<p>x</p><b") == "x\n<b"
     assert main_text("plain text only") == "plain text only"
     assert main_text("<nav>menu</nav>") == ""
+    assert main_text("<p title='it's'>quoted</p>") == "quoted"
+
+
+def test_the_distribution_decides():
+    """No tag and no class tells the lines apart: what surges is kept, what never does is not."""
+    body = "".join(f"<p>{prose(k, 30).replace(chr(10), ' ')}</p>" for k in range(4))
+    lone = "<div><div><div>Buy our thing now.</div></div></div>"
+    page = f"<body>{lone}<div><div><h2>Head</h2>{body}</div></div>{lone}<div><div><div>{body}</div></div></div>{lone}</body>"
+    got = main_text(page).split("\n")
+    assert len(got) == 9 and got[0] == "Head" and not any("Buy" in x for x in got)
+    assert "Buy" in main_text(page, window=1, surge=1)
+    assert surges([10, 0, 0, 0, 50, 50, 0, 0, 0, 90, 0, 0, 0, 5], 3, 80) == [(2, 6), (7, 10)]
+    assert surges([10, 0, 0, 0, 20], 3, 80) == [(0, 1), (2, 5)] and surges([], 3, 80) == surges([0, 0], 3, 80) == []
+
+
+def test_short_parts_far_from_the_body():
+    """Inside an article nothing is dropped for its length; neither is a long enough part elsewhere, whatever the rest."""
+    gap = "<ul>" + "".join(f"<li><a href=/{k}>story {k}</a></li>" for k in range(6)) + "</ul>"
+    end = "A closing paragraph with some words in it, but far fewer than the long body has got."
+    assert main_text(f"<div><p>{LONG * 30}</p></div>{gap}<div><p>{end}</p></div>") == LONG * 30 + "\n" + end
+    assert main_text(f"<article><p>{LONG}</p></article><div><article><p>Ok.</p></article></div>") == f"{LONG}\nOk."
+
+
+def test_names_that_only_sound_like_furniture():
+    for wrapper in ("layout has-sidebar", "with-sidebar", "sidebar-layout", "no-ads content", "hasSidebar"):
+        assert main_text(f'<body><div class="{wrapper}"><p>{LONG}</p></div></body>') == LONG
+    assert main_text(f'<article><div class="article-header"><h1>Title</h1></div><p>{LONG}</p></article>') == f"Title\n{LONG}"
+    assert main_text(f'<div><div class="entry-header"><h1>Title</h1></div><p>{LONG}</p></div>') == f"Title\n{LONG}"
+    assert main_text(f'<div class="widget"><article><p>{LONG}</p></article></div>') == LONG
+    assert main_text(f'<div class="menu-page comments"><h1>Title</h1><p>{LONG}</p></div><p>x</p>') == f"Title\n{LONG}\nx"
+    assert main_text(f"<article><p>{LONG}</p><section id='discussion'><h2>Discussion</h2><p>So.</p></section></article>") == f"{LONG}\nDiscussion\nSo."
+    for name in ("ad", "cookie-banner", "post-comments", "commentList", "sidebar-left", "related_posts", "site-header", "legal"):
+        assert main_text(f'<body><p>{LONG}</p><div class="x {name}">{prose(1, 30)}</div></body>') == LONG, name
+    assert main_text(f'<p>{LONG} <span class="share-count">31 shares</span> More.</p>') == f"{LONG} More."
+
+
+@pytest.mark.parametrize(
+    "page",
+    ['<a "' * 250_000, "<a '\"" * 200_000 + ">", "<script></script " * 60_000, "<title>" * 140_000, "<div>" * 100_000 + "</b>" * 100_000, "<!--" * 250_000, "<div class=ad>x" * 70_000, "<p class='" * 100_000]
+    + ["<b>" * 150_000 + "</i></b>" * 60_000, "<" * 1_000_000, "&" * 1_000_000, "<a class" * 120_000 + ">"],
+)
+def test_hostile_pages_take_linear_time(page):
+    began = time.time()
+    main_text(page)
+    assert time.time() - began < 20
+
+
+class Plain(HTMLParser):
+    """A second version for well-formed pages: lines by the standard parser, and the same rule on a list."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.lines, self.open, self.text, self.link, self.gap = [], [], "", 0, 0
+
+    def flush(self):
+        text = re.sub(r"\s+", " ", self.text).strip()
+        if text:
+            bad = any(n in html_extract.FURNITURE | {"script", "style", "header"} or c in ("ad", "comments", "cookie-bar") for n, c in self.open)
+            self.lines += [("", 0, True)] * min(3, self.gap) + [(text, 0 if bad or self.link > len(text) / 2 else len(text), bad)]
+            self.gap = 0
+        self.text, self.link = "", 0
+
+    def boundary(self, tag):
+        if tag in html_extract.BLOCKS:
+            self.flush()
+            self.gap += tag not in html_extract.TEXT_BLOCKS
+
+    def handle_starttag(self, tag, attrs):
+        self.boundary(tag)
+        self.open.append((tag, dict(attrs).get("class")))
+
+    def handle_endtag(self, tag):
+        self.boundary(tag)
+        self.open.pop()
+
+    def handle_data(self, data):
+        if self.open and self.open[-1][0] in ("script", "style"):
+            return
+        self.text += data
+        self.link += len(data.strip()) if any(n == "a" for n, _ in self.open) else 0
+
+    def main(self, window=3, surge=80):
+        self.flush()
+        weight = [w for _, w, _ in self.lines]
+        sums = [sum(weight[k : k + window]) for k in range(len(weight))]
+        least = min(surge, max(sums, default=0) / 2)
+        kept, inside = [], False
+        for k, (text, w, bad) in enumerate(self.lines):
+            inside = sums[k] > 0 and (inside or sums[k] >= least)
+            if inside and text and not bad and sum(weight[k:]) and any(weight[j] for j in range(k, next((m for m in range(k, len(sums)) if not sums[m]), len(sums)))):
+                kept.append(text)
+        return "\n".join(kept)
+
+
+def built(seed):
+    """A well-formed page of nested containers without headings or an article."""
+    draw = random.Random(seed)
+
+    def words(n):
+        return html.escape(prose(draw.randrange(10**6), n)) + draw.choice(["", " &eacute; &#8212; x", " <b>bold</b> &amp; more"])
+
+    def part(depth):
+        kind = draw.randrange(9)
+        if kind < 4 or depth > 4:
+            return f"<p>{words(draw.choice([1, 2, 4, 12, 40]))}</p>"
+        if kind == 4:
+            return "<ul>" + "".join(f"<li><a href='/{k}'>{words(2)}</a></li>" for k in range(draw.randint(1, 5))) + "</ul>"
+        if kind == 5:
+            tag = draw.choice(["nav", "footer", "aside", "form", "header"])
+            return f"<{tag}>{words(10)}</{tag}>"
+        if kind == 6:
+            return f'<div class="{draw.choice(["ad", "comments", "cookie-bar"])}">{words(8)}</div>'
+        tag = draw.choice(["div", "section", "blockquote"])
+        return f"<{tag}>" + "".join(part(depth + 1) for _ in range(draw.randint(1, 4))) + f"</{tag}>"
+
+    return "<html><body>" + "".join(part(0) for _ in range(draw.randint(1, 8))) + "<script>var x = '<p>no</p>';</script></body></html>"
+
+
+def test_matches_a_second_version():
+    found = 0
+    for seed in range(300):
+        page = built(seed)
+        plain = Plain()
+        plain.feed(page)
+        plain.close()
+        assert main_text(page) == plain.main(), seed
+        found += bool(plain.main())
+    assert found > 200
+
+
+def test_given_pages_need_neither_article_mark_nor_class_words(spark, monkeypatch):
+    """On most of the given pages the distribution alone finds what the article mark and the class words find."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    want = [main_text(p) for p in pages]
+    assert all(want) and all(w.split("\n")[0] == re.sub(r"\s+", " ", html.unescape(re.search("<h1>(.*?)</h1>", p)[1])).strip() for w, p in zip(want, pages))
+    monkeypatch.setattr(html_extract, "named_furniture", lambda name, in_article: False)
+    bare = [main_text(re.sub("</?article>", lambda m: m[0].replace("article", "section"), p)) for p in pages]
+    assert sum(a == b for a, b in zip(want, bare)) / len(pages) > 0.8  # the others begin with an advert as long as a paragraph
 
 
 def test_pages(spark):
