@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from taxolith.llm.common import unused
+from taxolith.llm.common import may_hold, shared_table, unused
 
 
 def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
@@ -23,12 +23,14 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     The first occurrence of a window is the one in the document with the smallest id, and
     there the first; all others are removed. Only hashes and numbers are shuffled, summed
-    per task first. Covered windows that touch or overlap merge into one span.
+    per task first; those of windows that occur once stay where they are after that. Covered windows that touch or overlap merge into one span.
     """
     place = F.col("_id").cast("decimal(28,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("_pos")
     rows = line_windows(docs, id_col, text_col, size).withColumn("_at", place.cast("decimal(38,0)"))
-    first = rows.groupBy("_h", "_g").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    later = rows.join(first, ["_h", "_g"]).where("_at > _first").select("_id", "_pos")
+    # a table of its own, so that Spark can split the places of a very common window
+    first = shared_table(rows.groupBy("_h", "_g").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n"))
+    held = may_hold(rows, "_h", first.select("_h"), "_held").where("_held").drop("_held")
+    later = held.join(first, ["_h", "_g"]).where("_at > _first").select("_id", "_pos")
     inside = Window.partitionBy("_id").orderBy("_pos")
     later = later.withColumn("_new", F.coalesce((F.col("_pos") - F.lag("_pos").over(inside) > size).cast("int"), F.lit(1)))
     later = later.withColumn("_span", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
@@ -40,7 +42,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Remove later occurrences of every run of ``size`` lines, from all documents at once.
 
     Returns the rows and columns of ``docs`` with the text cleaned; with ``report`` also
-    ``n_lines`` and ``n_removed``. Lines are what ``\\n`` separates, compared as they are.
+    ``n_lines`` and ``n_removed`` (with underscores before them where ``docs`` has such columns). Lines are what ``\\n`` separates, compared as they are.
 
     Null texts stay null; empty texts and those of fewer than ``size`` lines have no window
     and stay as they are; rows with a null id stay as they are and take no part; rows that
@@ -48,9 +50,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keeps its row with an empty text; an empty table stays empty; columns of any other
     name stay.
     """
-    key, cuts = unused(docs, "_id"), unused(docs, "_spans")
-    spans = removed_spans(docs, id_col, text_col, size).select(F.col("_id").alias(key), F.col("_spans").alias(cuts))
-    joined = docs.join(spans, F.col(id_col) == F.col(key), "left")
+    key, cuts, held = unused(docs, "_id"), unused(docs, "_spans"), unused(docs, "_held")
+    spans = shared_table(removed_spans(docs, id_col, text_col, size).select(F.col("_id").alias(key), F.col("_spans").alias(cuts)))
+    # texts that lose nothing are not shuffled
+    marked = may_hold(docs, id_col, spans.select(key), held)
+    joined = marked.where(held).drop(held).join(spans, F.col(id_col) == F.col(key), "left").drop(key)
+    joined = joined.union(marked.where(~F.col(held)).drop(held).withColumn(cuts, F.lit(None).cast(spans.schema[cuts].dataType)))
     lines = F.split(F.col(text_col), "\n")
     begins = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda s: s["end"]))
     ends = F.concat(F.transform(cuts, lambda s: s["start"]), F.array(F.size(lines)))
@@ -63,5 +68,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
     if report:
         removed = F.when(F.col(cuts).isNull(), 0).otherwise(F.col(all_lines) - F.size(left))
-        out += [F.col(all_lines).alias("n_lines"), removed.cast("int").alias("n_removed")]
+        out += [F.col(all_lines).alias(unused(docs, "n_lines")), removed.cast("int").alias(unused(docs, "n_removed"))]
     return joined.select(*out)

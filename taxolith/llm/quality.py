@@ -92,8 +92,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, learners: in
     """Weights learnt from labelled documents, as an array whose last entry is the intercept.
 
     ``labels(doc_id, label)`` may hold any number of rows; at most ``sample`` of them, those
-    with the least hash of the id, are learnt from, each in one of ``learners`` tasks, whose
-    weights are averaged. What reaches the driver is ``learners`` arrays of ``2^bits`` numbers.
+    with the least hash of the id, are learnt from, each by the one of ``learners`` that its id
+    decides; their weights are averaged by the rows they saw, so the model is the same for any
+    number of partitions. What reaches the driver is ``learners`` arrays of ``2^bits`` numbers.
     Null labels, ids and labels without a document are left out; without any label all
     weights are zero.
     """
@@ -104,25 +105,41 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, learners: in
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # at most ``sample`` rows
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
-    rows = rows.repartition(learners, F.pmod(F.xxhash64("doc_id"), F.lit(learners))).sortWithinPartitions(F.xxhash64("doc_id", F.lit(7)), "doc_id")
+    # keys that Spark's hash deals to different tasks, so that learners work side by side
+    spread = {r["at"]: r["id"] for r in docs.sparkSession.range(64 * learners).select("id", F.pmod(F.hash("id"), F.lit(learners)).alias("at")).collect()}
+    keys = F.array(*[F.lit(spread.get(k, k)) for k in range(learners)])
+    rows = rows.withColumn("learner", F.pmod(F.xxhash64("doc_id"), F.lit(learners)).cast("int")).withColumn("key", keys[F.col("learner")])
+    rows = rows.repartition(learners, "key").sortWithinPartitions("learner", F.xxhash64("doc_id", F.lit(7)), "doc_id", "text")
 
     def learn(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        features, learner, seen = Features(bits, order), Learner(size), []
+        features, learner, seen, own = Features(bits, order), None, [], None
+
+        def done():
+            for epoch in range(1, epochs):
+                for k in np.random.default_rng(epoch).permutation(len(seen)):
+                    learner.learn(*seen[k])
+            weights = learner.weights(np.arange(size + 1)).astype("<f4").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), pa.array([len(seen)], pa.int64()), pa.array([weights])], names=["learner", "n", "weights"])
+
         for batch in batches:
-            for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
+            for which, text, label in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                if which != own:
+                    if seen:
+                        yield done()
+                    learner, seen, own = Learner(size), [], which
                 index, value = features(text.as_py())
                 seen.append((index.astype(np.int32), value.astype(np.float32), int(label)))
                 learner.learn(index, value, int(label))
-        for epoch in range(1, epochs):
-            for k in np.random.default_rng(epoch).permutation(len(seen)):
-                learner.learn(*seen[k])
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([learner.weights(np.arange(size + 1)).astype("<f4").tobytes()])], names=["weights"])
+            yield done()
 
-    found = [np.frombuffer(r["weights"], "<f4") for r in rows.select("text", "label").mapInArrow(learn, "weights binary").collect()]
-    return np.mean(found, axis=0, dtype=np.float64).astype(np.float32) if found else np.zeros(size + 1, np.float32)
+    found = rows.select("learner", "text", "label").mapInArrow(learn, "learner int, n long, weights binary").collect()
+    if not found:
+        return np.zeros(size + 1, np.float32)
+    found.sort(key=lambda r: r["learner"])
+    return np.average([np.frombuffer(r["weights"], "<f4") for r in found], axis=0, weights=[r["n"] for r in found]).astype(np.float32)
 
 
 def score(docs: DataFrame, weights, bits: int = 18, order: int = 2, name: str = "score") -> DataFrame:
@@ -165,7 +182,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, s
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = 20_000) -> DataFrame:
-    """Documents with a score of ``threshold`` or more, with all their columns."""
+    """Documents with a score of ``threshold`` or more, with all their columns, whatever their names.
+
+    Null and empty texts have the score of the intercept, a null id is scored by its text,
+    repeated rows and equal texts share their fate, and an empty table stays empty.
+    """
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").alias("label")).where(~held)
     weights = train(docs, known, sample)

@@ -57,17 +57,18 @@ def number_slots(rows: DataFrame, shard_col: str, order_by: Sequence[str], bucke
     number it starts from; within a part a window counts on. More buckets make smaller
     windows; the number of rows does not change that of parts.
     """
+    own, row, before = unused(rows, "_part"), unused(rows, "_row"), unused(rows, "_before")
+    shard, part, counted = unused(rows, "_s"), unused(rows, "_p"), unused(rows, "_n")
     hashed = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in order_by])
-    part = F.conv(F.substring(F.md5(hashed.cast("binary")), 1, 8), 16, 10).cast("long") % buckets
-    dealt = rows.withColumn("_part", part)
-    counts = dealt.groupBy(F.col(shard_col).alias("_s"), F.col("_part").alias("_p")).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_s").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("_s", "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inner = Window.partitionBy(shard_col, "_part").orderBy(*order_by)
-    dealt = dealt.withColumn("_row", F.row_number().over(inner) - 1)
+    dealt = rows.withColumn(own, F.conv(F.substring(F.md5(hashed.cast("binary")), 1, 8), 16, 10).cast("long") % buckets)
+    counts = dealt.groupBy(F.col(shard_col).alias(shard), F.col(own).alias(part)).agg(F.count("*").alias(counted))
+    earlier = Window.partitionBy(shard).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(shard, part, F.coalesce(F.sum(counted).over(earlier), F.lit(0)).alias(before))
+    inner = Window.partitionBy(shard_col, own).orderBy(*order_by)
+    dealt = dealt.withColumn(row, F.row_number().over(inner) - 1)
     # at most shards x buckets rows, whatever the input
-    joined = dealt.join(F.broadcast(counts), (F.col(shard_col).eqNullSafe(F.col("_s"))) & (F.col("_part") == F.col("_p")))
-    return joined.withColumn(slot_col, (F.col("_before") + F.col("_row")).cast("long")).drop("_part", "_row", "_before", "_s", "_p")
+    joined = dealt.join(F.broadcast(counts), (F.col(shard_col).eqNullSafe(F.col(shard))) & (F.col(own) == F.col(part)))
+    return joined.withColumn(slot_col, (F.col(before) + F.col(row)).cast("long")).drop(own, row, before, shard, part)
 
 
 def shard_documents(

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxolith.llm.common import merged_intervals, shared_table
+from taxolith.llm.common import may_hold, merged_intervals, shared_table
 
 #: Bytes that are hashed at a time; a longer document is read in overlapping stretches.
 STRETCH = 1 << 20
@@ -202,25 +202,31 @@ def refine_buckets(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def refine_crowded(contexts: DataFrame, length: int) -> DataFrame:
-    """As ``refine_buckets``, for anchors with too many contexts for one task: strings meet by their own hash."""
+    """As ``refine_buckets``, for anchors with too many contexts for one task.
+
+    A place's bucket is the hash of the first half of its string, and its pointer the bucket
+    of the place where the other half begins; places with equal buckets and pointers repeat
+    each other. The sort on (bucket, pointer) is a shuffle, so a crowd is spread over all tasks.
+    """
+    half = (length + 1) // 2
     places = contexts.select("anchor", "context", "body", F.explode(F.sequence(F.lit(0), F.octet_length("body") - length)).alias("s"))
-    string = F.substring(F.col("body"), F.col("s") + 1, F.lit(length))
-    keyed = places.select("anchor", "context", "s", F.xxhash64(string).alias("p"), F.xxhash64(string, F.lit(1)).alias("q"))
-    again = keyed.groupBy("p", "q").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    found = keyed.join(again, ["p", "q"])
-    return found.select("anchor", "context", F.col("s").cast("long"), (F.col("s") + 1).cast("long").alias("e"))
+    bucket = lambda at: F.xxhash64(F.substring(F.col("body"), at + 1, F.lit(half)))
+    keyed = places.select("anchor", "context", F.col("s").cast("long").alias("s"), bucket(F.col("s")).alias("bucket"), bucket(F.col("s") + length - half).alias("pointer"))
+    again = shared_table(keyed.groupBy("bucket", "pointer").agg(F.count("*").alias("c")).where("c > 1").drop("c"))
+    return keyed.join(again, ["bucket", "pointer"]).select("anchor", "context", "s", (F.col("s") + 1).alias("e"))
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 64, crowd: int = 4096) -> DataFrame:
     """``doc_id, spans``: bytes of ``docs(doc_id, text)`` that lie in a string of ``length`` bytes found again."""
     anchors = shared_table(anchor_table(docs, length, gram))
-    again = anchors.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    anchors = shared_table(anchors.join(again, "anchor"))
+    # what is joined is a table of its own, so that Spark can split a crowded key of the other side
+    again = shared_table(anchors.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").drop("c"))
+    anchors = shared_table(may_hold(anchors, "anchor", again, "held").where("held").drop("held").join(again, "anchor"))
     # places with equal contexts repeat each other whole; one of them stands for all
-    kinds = anchors.groupBy("anchor", "context").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "at", "n")).alias("one"))
-    wide = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    kinds = shared_table(kinds.join(wide, "anchor").select("anchor", "context", "c", "kinds", "one.*"))
-    wanted = kinds.where("kinds > 1").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "context", "kinds", "at", "n")).alias("parts"))
+    kinds = shared_table(anchors.groupBy("anchor", "context").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "at", "n")).alias("one")).select("anchor", "context", "c", "one.*"))
+    wide = shared_table(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    wanted = kinds.join(wide, "anchor").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "context", "kinds", "at", "n")).alias("parts"))
+    wanted = shared_table(wanted)
     data = F.col("text").cast("binary")
     cut_out = F.transform(
         "parts",
@@ -230,8 +236,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 64, crowd: in
         ),
     )
     # rows that share an id have one text here
-    bodies = docs.join(wanted, "doc_id").select(F.inline(cut_out))
-    bodies = shared_table(bodies)
+    holders = may_hold(docs, "doc_id", wanted.select("doc_id"), "held").where("held").drop("held")
+    bodies = shared_table(holders.join(wanted, "doc_id").select(F.inline(cut_out)))
     partial = refine_buckets(bodies.where(F.col("kinds") <= crowd), length)
     partial = partial.union(refine_crowded(bodies.where(F.col("kinds") > crowd), length))
     whole = kinds.where("c > 1").select("anchor", "context", F.lit(0).cast("long").alias("s"), F.col("n").alias("e"))
@@ -250,8 +256,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     those of equal anchors. Anchors found once are done with after one count. Places with
     an equal whole context are settled by its hash. Of the other contexts each different
     one is sent once to the bucket's task, which refines bucket pointers up to depth
-    ``length`` (``repeated_strings``). Buckets of more than ``crowd`` contexts are split:
-    there strings meet by their own hash.
+    ``length`` (``repeated_strings``). Buckets of more than ``crowd`` contexts are refined by
+    the same rule over all tasks (``refine_crowded``).
 
     Returns ``doc_id, n_bytes, spans`` (maximal removed byte runs as (start, end) pairs,
     null if none) and ``kept`` (the other bytes, which may split a character).
@@ -278,5 +284,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 kept.append(data)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.compute.binary_length(batch.column(1)).cast(pa.int64()), batch.column(2), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
-    joined = rows.join(spans, "doc_id", "left")
-    return joined.select("doc_id", "text", "spans").mapInArrow(compute, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    # only texts with removals are shuffled
+    marked = may_hold(rows, "doc_id", spans.select("doc_id"), "held")
+    joined = marked.where("held").join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+    joined = joined.union(marked.where("not held").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType)))
+    return joined.mapInArrow(compute, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")

@@ -49,3 +49,10 @@ def test_columns_and_odd_rows(spark, docs, odd):
 def test_a_copy_keeps_an_empty_row(spark, docs):
     rows = {r.doc_id: r.text for r in dedup_lines(docs([(2, "p\nq\nr\ns"), (1, "p\nq\nr\ns"), (3, "p\nq")])).collect()}
     assert rows == {1: "p\nq\nr\ns", 2: "", 3: "p\nq"}
+
+
+def test_names_of_the_report(spark, docs):
+    frame = docs([(1, "p\nq\nr\ns"), (2, "p\nq\nr\nt")]).withColumnRenamed("lang", "n_lines").withColumnRenamed("w", "_held")
+    out = dedup_lines(frame, report=True)
+    assert out.columns == [*frame.columns, "_n_lines", "n_removed"]
+    assert {(r.doc_id, r._n_lines, r.n_removed, r.n_lines) for r in out.collect()} == {(1, 4, 0, "en"), (2, 4, 3, "en")}

@@ -41,3 +41,12 @@ def test_slots_over_few_buckets(spark, docs):
     per = rows.groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("top"), F.count_distinct("slot").alias("d")).collect()
     assert all(r.n == r.top + 1 == r.d for r in per)
     assert shard_documents(docs([(1, "x")]).limit(0)).count() == 0
+
+
+def test_slots_keep_all_columns(spark):
+    from taxolith.llm.sharding import number_slots
+
+    rows = spark.createDataFrame([(0, k, k, 2, 3, 4, 5, 6) for k in range(20)], "shard int, k int, _part int, _row int, _before int, _s int, _p int, _n int")
+    out = number_slots(rows, "shard", ["k"], buckets=4)
+    assert out.columns == [*rows.columns, "slot"]
+    assert {(r.k, r._part, r._row, r._before, r._s, r._p, r._n) for r in out.collect()} == {(k, k, 2, 3, 4, 5, 6) for k in range(20)}
