@@ -2,22 +2,24 @@
 
 WORDS = r"list_filter(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda x: x <> '')"
 
+# All windows of all pairs of a document and an item that share enough places for any window to reach 0.8.
 LEAKS = f"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents WHERE text IS NOT NULL),
-i AS (SELECT item_id, {WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
-ds AS (SELECT doc_id, n, pos, array_to_string(w[pos + 1 : pos + 5], ' ') AS s
-       FROM (SELECT doc_id, w, len(w) AS n, UNNEST(range(0, greatest(len(w) - 4, 1))) AS pos FROM d WHERE len(w) > 0)),
-ips AS (SELECT item_id, n_words, item_pos, array_to_string(w[item_pos + 1 : item_pos + 5], ' ') AS s
-        FROM (SELECT item_id, w, len(w) AS n_words, UNNEST(range(0, greatest(len(w) - 4, 1))) AS item_pos FROM i WHERE len(w) > 0)),
-st AS (SELECT DISTINCT doc_id, n_words, greatest(0, least(pos - item_pos, n - n_words)) AS start FROM ds JOIN ips USING (s)),
-wn AS (SELECT st.doc_id, st.n_words, st.start, d.w[st.start + 1 : st.start + st.n_words] AS ww FROM st JOIN d USING (doc_id)),
-wc AS (SELECT doc_id, n_words, start, total, array_to_string(ww[k + 1 : k + 5], ' ') AS s, COUNT(*) AS c
-       FROM (SELECT *, greatest(len(ww) - 4, 1) AS total, UNNEST(range(0, greatest(len(ww) - 4, 1))) AS k FROM wn) GROUP BY ALL),
-ic AS (SELECT item_id, n_words, s, COUNT(*) AS c, SUM(COUNT(*)) OVER (PARTITION BY item_id) AS total FROM ips GROUP BY item_id, n_words, s),
-ov AS (SELECT wc.doc_id, ic.item_id, wc.start, wc.n_words, SUM(LEAST(wc.c, ic.c)) AS o, MAX(wc.total) + MAX(ic.total) AS t
-       FROM wc JOIN ic ON wc.s = ic.s AND wc.n_words = ic.n_words GROUP BY 1, 2, 3, 4)
+i AS (SELECT item_id, w, len(w) AS n_words, least(len(w), 5) AS k FROM (SELECT item_id, {WORDS} AS w FROM benchmark WHERE text IS NOT NULL) WHERE len(w) > 0),
+ds AS (SELECT doc_id, n, k, pos, array_to_string(w[pos + 1 : pos + k], ' ') AS s
+       FROM (SELECT doc_id, w, len(w) AS n, k, UNNEST(range(0, len(w) - k + 1)) AS pos FROM d, (SELECT DISTINCT k FROM i) WHERE len(w) >= k)),
+ips AS (SELECT item_id, n_words, k, item_pos, array_to_string(w[item_pos + 1 : item_pos + k], ' ') AS s
+        FROM (SELECT item_id, w, n_words, k, UNNEST(range(0, n_words - k + 1)) AS item_pos FROM i)),
+met AS (SELECT doc_id, item_id, n, n_words, k, pos, s, list(DISTINCT greatest(0, least(pos - item_pos, n - n_words))) AS aligned FROM ds JOIN ips USING (k, s) GROUP BY ALL),
+pair AS (SELECT doc_id, item_id, n, n_words, greatest(least(n, n_words) - k + 1, 1) AS size, n_words - k + 1 AS m, list_distinct(flatten(list(aligned))) AS aligned
+         FROM met GROUP BY doc_id, item_id, n, n_words, k HAVING COUNT(*) >= 0.8 / 1.8 * (size + m) - 1e-6),
+win AS (SELECT *, UNNEST(range(0, greatest(n - n_words, 0) + 1)) AS start FROM pair),
+wc AS (SELECT w.doc_id, w.item_id, w.start, w.n_words, w.size + w.m AS t, list_contains(w.aligned, w.start) AS aligned, met.s, COUNT(*) AS c
+       FROM win w JOIN met ON met.doc_id = w.doc_id AND met.item_id = w.item_id AND met.n = w.n AND met.pos BETWEEN w.start AND w.start + w.size - 1 GROUP BY ALL),
+ic AS (SELECT item_id, s, COUNT(*) AS c FROM ips GROUP BY item_id, s),
+ov AS (SELECT doc_id, item_id, start, n_words, aligned, SUM(LEAST(wc.c, ic.c)) AS o, t FROM wc JOIN ic USING (item_id, s) GROUP BY ALL)
 SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(n_words AS INTEGER) AS n_words, ROUND(o / (t - o), 6) AS similarity
-FROM ov WHERE o / (t - o) >= 0.8 QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id, item_id ORDER BY o / (t - o) DESC, start) = 1
+FROM ov WHERE o / (t - o) >= 0.8 QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id, item_id ORDER BY o / (t - o) DESC, aligned DESC, start) = 1
 """
 
 LINE_DEDUP = """

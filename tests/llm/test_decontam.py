@@ -6,26 +6,27 @@ from tests.llm.conftest import prose
 
 
 def plain_leaks(pairs, items, size=5, similarity=0.8):
-    """Aligned windows by brute force, without fingerprints."""
+    """All item-sized windows by brute force, without fingerprints: best similarity and its start."""
     words = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
     shingles = lambda w: [tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))] if w else []
     out = {}
     for i, t in pairs:
         doc = words(t)
-        own = shingles(doc)
         for item, u in items:
             asked = words(u)
-            want = shingles(asked)
-            place = collections.defaultdict(list)
-            for k, s in enumerate(want):
-                place[s].append(k)
-            starts = {max(0, min(p - k, len(doc) - len(asked))) for p, s in enumerate(own) for k in place[s]}
-            for start in sorted(starts):
-                a, b = collections.Counter(shingles(doc[start : start + len(asked)])), collections.Counter(want)
-                value = sum((a & b).values()) / sum((a | b).values())
-                if value >= similarity and value > out.get((i, item), (0, 0))[0]:
-                    out[i, item] = (value, start)
-    return {k: (round(v, 9), s) for k, (v, s) in out.items()}
+            want = collections.Counter(shingles(asked))
+            for start in range(max(1, len(doc) - len(asked) + 1) if asked and doc else 0):
+                own = collections.Counter(shingles(doc[start : start + len(asked)]))
+                value = (own & want).total() / (own | want).total()
+                if value < similarity:
+                    continue
+                aligned = any(
+                    max(0, min(p - q, len(doc) - len(asked))) == start
+                    for p, s in enumerate(shingles(doc) if len(asked) >= size else zip(*(doc[k:] for k in range(len(asked)))))
+                    for q, x in enumerate(shingles(asked)) if s == x
+                )
+                out[i, item] = max(out.get((i, item), (0, False, 0)), (value, aligned, -start))
+    return {k: (round(v, 9), -s) for k, (v, _, s) in out.items()}
 
 
 def build(spark, docs, pairs, items):
@@ -70,7 +71,7 @@ def test_shuffled_join_gives_the_same(spark, docs, monkeypatch):
     items = [(k, prose(k, 25)) for k in range(5)]
     frame, bench = build(spark, docs, [(k, prose(50 + k, 20) + " " + prose(k, 25)) for k in range(5)], items)
     before = sorted(map(tuple, leaks(frame, bench).collect()))
-    monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
     assert sorted(map(tuple, leaks(frame, bench).collect())) == before and len(before) == 5
 
 
@@ -105,3 +106,21 @@ def test_windows_that_no_shingle_aligns(spark, docs):
     assert all((10 + k, k) in want for k in range(4))
     assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in leaks(frame, bench).collect()} == want
     assert {r.doc_id for r in decontaminate(frame, bench).collect()} == {i for i, _ in pairs} - {i for i, _ in want}
+
+
+def test_short_items_are_found_inside_texts(spark, docs):
+    items = [(1, "the answer is"), (2, "forty"), (3, "Is it?"), (4, "one two three four"), (5, "one two three four five")]
+    pairs = [(1, "some words before the answer is forty two and more"), (2, "The answer is"), (3, "is it, or is it not"), (4, "one two three"), (5, "zero one two three four six"), (6, "one two three four five six"), (7, ""), (8, None)]
+    frame, bench = build(spark, docs, pairs, items)
+    got = {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start) for r in leaks(frame, bench).collect()}
+    assert got == plain_leaks(pairs, items)
+    assert set(got) == {(1, 1), (1, 2), (2, 1), (3, 3), (5, 4), (6, 4), (6, 5)} and got[1, 1] == (1.0, 3) and got[3, 3] == (1.0, 0)
+
+
+def test_rows_that_share_an_id(spark, docs):
+    """Each is a document of its own; the better window counts."""
+    item = prose(3, 40).replace("\n", " ")
+    cut_off = " ".join(item.split()[:-2])
+    frame, bench = build(spark, docs, [(1, prose(8, 30) + " " + cut_off), (1, "x y z " + item), (1, "other"), (2, "other")], [(1, item)])
+    assert [(r.doc_id, r.similarity) for r in leaks(frame, bench).collect()] == [(1, 1.0)]
+    assert sorted(r.doc_id for r in decontaminate(frame, bench).collect()) == [2]
