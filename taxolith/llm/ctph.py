@@ -14,7 +14,8 @@ LEAST = 3
 WINDOW = 7
 #: Chunks that a signature should have; the block size follows the length of the text.
 CHUNKS = 64
-#: Ranges of ids that texts are dealt to; a task streams through its range however long it is.
+#: Ranges of ids that texts are dealt to. Beyond so many parts of the scan the ranges grow with
+#: the input; a task streams through its range and holds two documents, however long it is.
 MOST_PARTS = 4096
 #: Two digits for each chunk, so that different chunks rarely look alike.
 SYMBOL = 2
@@ -177,7 +178,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows with equal ids follow one another in an order of their texts, a single document follows itself, an empty table
     gives no rows, and other columns are left out.
     """
-    if parts is None:  # as many as the scan has, so a task's share does not grow with the input
+    if parts is None:  # as many as the scan has, up to a bound
         parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(docs.rdd.getNumPartitions(), MOST_PARTS))
     dealt = with_next(docs, id_col, text_col, parts)
     dealt = dealt.repartition(max(parts, 1), "part").sortWithinPartitions("part", "guest", "doc_id", "text")

@@ -167,8 +167,8 @@ def pack_documents(
     truncation penalties: nothing at the end of a document, ``sentence_penalty`` at the
     end of a sentence and ``within_penalty`` at every ``within_step``-th id of a sentence.
     It runs over blocks of ``block_tokens`` ids, each taking over the last windows of the
-    one before, so a task holds one block however long its stream or a document is. The
-    last rest of a stream is padded or dealt to power-of-two sequences, whichever is cheaper.
+    one before, so a task holds one block however long its stream is, and besides it the
+    document that fills it, which is encoded whole. The last rest of a stream is padded or dealt to power-of-two sequences, whichever is cheaper.
 
     Returns one row per piece: ``doc_id, start, length`` (in ids of the document),
     ``doc_tokens``, ``sequence_id``, ``offset`` (in the sequence) and ``ids``, the piece as

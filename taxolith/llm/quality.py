@@ -88,13 +88,13 @@ class Learner:
         self.n[index] += gradient**2
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, learners: int = 4, epochs: int = 2, bits: int = 18, order: int = 2):
+def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, learners: int = 4, epochs: int = 2, bits: int = 18, order: int = 2, least: int = 1000):
     """Weights learnt from labelled documents, as an array whose last entry is the intercept.
 
     ``labels(doc_id, label)`` may hold any number of rows; at most ``sample`` of them, those
     with the least hash of the id, are learnt from, each by the one of ``learners`` that its id
     decides; their weights are averaged by the rows they saw, so the model is the same for any
-    number of partitions. What reaches the driver is ``learners`` arrays of ``2^bits`` numbers.
+    number of partitions. There are fewer learners where each would see less than ``least`` rows. What reaches the driver is ``learners`` arrays of ``2^bits`` numbers.
     Null labels, ids and labels without a document are left out; without any label all
     weights are zero.
     """
@@ -103,6 +103,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, learners: in
     size = 1 << bits
     chosen = labels.where("label is not null and doc_id is not null").dropDuplicates(["doc_id"])
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    learners = max(1, min(learners, chosen.count() // least))
     # at most ``sample`` rows
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
     # keys that Spark's hash deals to different tasks, so that learners work side by side

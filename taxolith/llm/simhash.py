@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from taxolith.llm.common import components, cut, may_hold, shared_table, texts
+from taxolith.llm.common import components, cut, may_hold, shared_table, texts, unused
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 WORD_BITS = 64
@@ -465,3 +465,22 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, r
     roots = components(good.union(alike(more)))
     nodes = classes.join(roots, "node", "left").select("same", F.coalesce("root", "node").alias("component_id"))
     return prints.join(nodes, "same").select("doc_id", "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` with one document of each group of ``similar_groups``, the one with the smallest id.
+
+    All columns stay, whatever their names. Null, empty and blank texts are one group; rows
+    with a null id stay and take no part; of repeated rows one stays; of rows that share an id
+    but not the text all stay, unless each of them is in the group of a smaller id; an empty
+    table stays empty. Only rows that may go are shuffled.
+    """
+    groups = shared_table(similar_groups(docs, shingle, similarity))
+    own = groups.groupBy("doc_id").agg(F.min(F.col("doc_id") != F.col("component_id")).alias("gone"), F.count("*").alias("n"))
+    fate, held = unused(docs, "_gone"), unused(docs, "_held")
+    own = shared_table(own.where("gone or n > 1").select(F.col("doc_id").alias(unused(docs, "_own")), F.col("gone").alias(fate)))
+    key = own.columns[0]
+    marked = may_hold(docs, "doc_id", own.select(key), held)
+    some = marked.where(held).join(own, F.col("doc_id") == F.col(key), "left").where(f"not coalesce({fate}, false)")
+    once = some.where(F.col(fate).isNotNull()).dropDuplicates(["doc_id", "text"])
+    return marked.where(~F.col(held)).union(some.where(F.col(fate).isNull()).select(*marked.columns)).union(once.select(*marked.columns)).drop(held)

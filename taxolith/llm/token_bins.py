@@ -87,7 +87,7 @@ def token_bins(
 
     A document is its ids and ``end_id``. One longer than a row is split losslessly into
     full rows and a rest. A task packs blocks of about ``block_tokens`` ids, so its memory
-    is bounded; a block wastes at most its last few rows. Every row of the result is one
+    is bounded by a block and the longest document; a block wastes at most its last few rows. Every row of the result is one
     row of the id matrix:
 
     * ``token_ids``: ``max_tokens`` little-endian unsigned 16-bit ids, padded with ``pad_id``;

@@ -131,11 +131,11 @@ def test_learners_share_the_rows_and_any_partition_count_gives_one_model(spark,
 
     pairs, labels = data
     known = labels.selectExpr("doc_id", "quality as label")
-    first = train(docs(pairs), known, bits=12)
+    first = train(docs(pairs), known, bits=12, least=50)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "17")
-        again = train(docs(pairs).repartition(9), known, bits=12)
+        again = train(docs(pairs).repartition(9), known, bits=12, least=50)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert (first == again).all() and (first != 0).any()

@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from taxolith.llm.common import components
-from taxolith.llm.simhash import block_masks, finer_masks, hamming_links, near_duplicates, similar_groups
+from taxolith.llm.simhash import block_masks, finer_masks, hamming_links, keep_first, near_duplicates, similar_groups
 from tests.llm.conftest import prose
 
 
@@ -169,3 +169,31 @@ def test_appended_cut_and_edited_copies_match_brute_force(spark, docs):
     want = plain_groups(pairs)
     assert sum(i != g for i, g in want.items()) > 20 and all(want[20 * k + 4] == 20 * k + 4 for k in range(10))
     assert {r.doc_id: r.component_id for r in similar_groups(docs(pairs)).collect()} == want
+
+
+def test_components_of_a_long_chain(spark):
+    """Far longer than any fixed number of rounds would settle."""
+    edges = spark.createDataFrame([(k, k + 1) for k in range(3000)], "a long, b long")
+    assert components(edges).groupBy("root").count().collect() == [(0, 3001)]
+
+
+def test_families_of_near_copies(spark, docs):
+    """Six copies each, edited independently, so that many pairs lie close to 0.8."""
+    pairs = []
+    for k in range(40):
+        base = prose(7000 + k, 150)
+        pairs += [(10 * k + j, edited(base, 100 * k + j, j)) for j in range(6)]
+    links = sum(word_jaccard(x, y) >= 0.8 for i, x in pairs for j, y in pairs if i < j and i // 10 == j // 10)
+    assert links > 150
+    assert {r.doc_id: r.component_id for r in similar_groups(docs(pairs)).collect()} == plain_groups(pairs)
+
+
+def test_keep_first(spark, docs, odd):
+    near = edited(prose(8, 120), 1, 1)
+    frame = docs([*odd, (20, near), (21, prose(21, 50)), (21, near), (None, near), (22, prose(21, 50))])
+    out = keep_first(frame)
+    assert out.columns == frame.columns
+    kept = sorted((r.doc_id or 0, r.text or "") for r in out.collect())
+    texts = dict(odd)
+    assert kept == sorted([(0, "no id"), (0, near), (1, ""), (4, "one"), (5, "one two"), (6, texts[6]), (8, texts[8]), (10, texts[10]), (12, texts[12]), (13, texts[13]), (15, texts[15]), (21, prose(21, 50)), (21, near)])
+    assert keep_first(frame.limit(0)).count() == 0
