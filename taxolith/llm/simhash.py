@@ -394,8 +394,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, r
     """Groups of texts with a Jaccard similarity of ``similarity`` or more: ``doc_id, component_id``.
 
     The similarity is that of the sets of ``shingle``-word shingles; all pairs that have it
-    are linked, without chance. Candidates come in three rounds; each compares only texts
-    that the rounds before have not joined, and the sets themselves decide:
+    are linked, without chance. Candidates come in three rounds, and the sets themselves decide:
 
     1. SimHash: fingerprints within ``radius`` bits, by the Gray-order index
        (``hamming_links``). At 0.8 fingerprints differ in 10 bits of 64, more than any index
@@ -406,7 +405,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, r
        texts share seldom bring any together. Each text is compared with the first of each
        shingle, so that large groups are not compared pair by pair.
     3. All pairs that still lie in different groups and share such a shingle are compared,
-       but for those that failed in round 2.
+       but for those that failed before.
 
     Only a pair whose sizes and places in the order rule the similarity out is not compared.
     Equal sets are one node and need no check.
@@ -436,11 +435,6 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, r
         ends = F.col("x.node"), F.col("y.node")
         return pairs.where(fits & (ends[0] != ends[1])).select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
 
-    def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs whose ends are not in one group yet."""
-        p, q = (roots.select(F.col("node").alias(end), F.col("root").alias("root_" + end)) for end in "ab")
-        return pairs.join(p, "a", "left").join(q, "b", "left").where("not (root_a <=> root_b) or root_a is null").select("a", "b")
-
     near = shared_table(hamming_links(classes.select("node", "fingerprint"), radius, blocks).select("a", "b"))
     good = shared_table(alike(near))
 
@@ -454,7 +448,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, r
     met = may_hold(post, "h", shared.select("h"), "_held").where("_held").join(shared, "h")
     met = shared_table(met.select("h", side(F.col("node"), F.col("np")).alias("x"), side(F.col("least.node"), F.col("least.np")).alias("y")))
 
-    tried = shared_table(apart(ordered(met), components(good)))
+    tried = shared_table(ordered(met).join(good, ["a", "b"], "left_anti"))
     good = shared_table(good.union(alike(tried)))
     roots = cut(components(good))
     own = met.select("h", "x", F.col("x.node").alias("node")).join(roots, "node", "left").select("h", "x", F.coalesce("root", "node").alias("g"))
