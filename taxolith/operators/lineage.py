@@ -16,13 +16,20 @@ NON_MICROBIAL = ("33208", "33090", "28384", "12908")
 VIRUSES = "10239"
 
 
-def with_lineage(report: DataFrame, max_depth: int = 40) -> DataFrame:
+def with_lineage(report: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Add ``ancestors``, root first, to ``report(sample, pos, depth, taxid, ...)`` in pre-order (WIN-1).
 
     The ancestor at depth d is the last row at d before this one; it is open still if no
     row of lesser depth came since, which pre-order grants for every d below the own depth.
     A report is a few thousand rows, so its window is small; samples are worked on apart.
+    ``max_depth`` is the deepest depth of the report if it is not given; a row that lies
+    deeper than a given one is an error.
     """
+    if max_depth is None:
+        max_depth = max(1, report.agg(F.max("depth")).first()[0] or 0)
+    else:
+        deep = F.raise_error(F.concat(F.lit(f"a row lies deeper than {max_depth}: "), F.col("taxid").cast("string"))).cast("int")
+        report = report.withColumn("depth", F.when(F.col("depth") > max_depth, deep).otherwise(F.col("depth")))
     order = Window.partitionBy("sample").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     at = [
         F.when(F.col("depth") > d, F.last(F.when(F.col("depth") == d, F.struct("pos", "taxid")), ignorenulls=True).over(order))
@@ -49,15 +56,14 @@ def credit_ancestors(rows: DataFrame, lineage: DataFrame, by: Sequence[str], val
     return spread.groupBy(*by, F.col("_node").alias("taxid")).agg(*[F.sum(v).alias(v) for v in values])
 
 
-def closure(taxonomy: DataFrame, max_levels: int = 40) -> DataFrame:
+def closure(taxonomy: DataFrame) -> DataFrame:
     """``taxid, ancestors`` (root first) of ``taxonomy(taxid, parent)`` by a walk to the parents (JOI-12).
 
-    Each round doubles the known path, so 40 levels take six joins; it is checkpointed, or
-    the plan would double as well. A node that is its own ancestor stops there, so cycles end.
+    Each round doubles the known path, so 40 levels take six joins, and goes on until every
+    path is whole; it is checkpointed, or the plan would double as well. A node that is its own ancestor stops there, so cycles end.
     """
     path = taxonomy.where(F.col("parent").isNotNull() & (F.col("parent") != F.col("taxid"))).select("taxid", F.array("parent").alias("up"), F.col("parent").alias("top"))
-    reach = 1
-    while reach < max_levels:
+    while True:
         further = path.select(F.col("taxid").alias("top"), F.col("up").alias("more"), F.col("top").alias("higher"))
         none = F.array().cast("array<string>")
         joined = path.join(further, "top", "left").withColumn("more", F.coalesce("more", none))
@@ -67,7 +73,6 @@ def closure(taxonomy: DataFrame, max_levels: int = 40) -> DataFrame:
         path = cut(joined.select("taxid", F.concat("up", "fresh").alias("up"), top.alias("top")))
         if path.where("top IS NOT NULL").isEmpty():
             break
-        reach *= 2
     everything = taxonomy.select("taxid").distinct().join(path, "taxid", "left")
     return everything.select("taxid", F.reverse(F.coalesce("up", F.array().cast("array<string>"))).alias("ancestors"))
 

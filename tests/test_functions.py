@@ -1,5 +1,7 @@
 import collections
 import math
+from collections import Counter
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -58,3 +60,26 @@ def test_adjustment_and_ranks(spark):
     assert abs(holm["a"] - 0.03) < 1e-12 and abs(holm["c"] - 0.06) < 1e-12 and abs(holm["b"] - 0.06) < 1e-12
     ranked = W.average_rank(spark.createDataFrame([(1, 5.0), (1, 5.0), (1, 7.0)], "g int, v double"), "v", ["g"]).collect()
     assert sorted(r["rank"] for r in ranked) == [1.5, 1.5, 3.0]
+
+
+def test_incomplete_beta_against_sums():
+    """For whole parameters it is a binomial tail, which sums of exact fractions give."""
+    import numpy as np
+
+    for a, b, num, den in [(1, 1, 1, 3), (2, 5, 1, 4), (7, 3, 4, 5), (30, 40, 2, 5), (200, 3, 97, 100), (1, 90, 1, 100), (500, 500, 51, 100)]:
+        n, x = a + b - 1, Fraction(num, den)
+        exact = sum(math.comb(n, j) * x**j * (1 - x) ** (n - j) for j in range(a, n + 1))
+        assert abs(D.incomplete_beta(a, b, num / den) - float(exact)) < 1e-11, (a, b)
+    assert D.incomplete_beta(2.5, 3.5, 0.0) == 0.0 and D.incomplete_beta(2.5, 3.5, 1.0) == 1.0
+    many = D.incomplete_beta(np.array([1.0, 2.0]), np.array([1.0, 5.0]), np.array([1 / 3, 0.25]))
+    assert many.shape == (2,) and abs(many[0] - 1 / 3) < 1e-12
+
+
+def test_shuffles_keep_pairs_of_letters():
+    """Every dinucleotide stays as often, also over a wide alphabet, and the shuffles of a short read are all met."""
+    for text in ("ACGTACGGTCA", "AAAA", "AB", "the quick brown fox jumps over the lazy dog " * 20):
+        for seed in range(20):
+            out = D.shuffled(text, seed, "dinuc")
+            assert Counter(zip(text, text[1:])) == Counter(zip(out, out[1:])) and out[0] == text[0] and out[-1] == text[-1]
+    seen = Counter(D.shuffled("ABACA", seed, "dinuc") for seed in range(2000))
+    assert set(seen) == {"ABACA", "ACABA"} and min(seen.values()) > 850

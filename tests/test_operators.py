@@ -153,3 +153,19 @@ def test_no_query_of_many_is_dropped(spark):
     assert {(f"genus{k} species{k}", f"s__Genus{k} species{k}", "exact") for k in range(0, 12_000, 100)} <= got
     assert ("a", "Xa y", "substring") in got and ("xa z", "Xa y", "genus") in got
     assert not any(q in ("nothing", "") for q, _, _ in got)
+
+
+def test_deep_trees(spark):
+    """Neither the walk to the parents nor an indented report forgets distant ancestors."""
+    from taxolith.operators.lineage import closure, with_lineage
+
+    chain = spark.createDataFrame([(str(k), str(k - 1) if k else None) for k in range(100)], "taxid string, parent string")
+    own = {r.taxid: r.ancestors for r in closure(chain).collect()}
+    assert own["99"] == [str(k) for k in range(99)] and own["0"] == []
+    ring = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "a")], "taxid string, parent string")
+    assert {r.taxid: r.ancestors for r in closure(ring).collect()}["a"] == ["c", "b"]
+    report = spark.createDataFrame([("S", k, k, f"t{k}") for k in range(60)], "sample string, pos int, depth int, taxid string")
+    deep = {r.taxid: r.ancestors for r in with_lineage(report).collect()}
+    assert deep["t59"] == [f"t{k}" for k in range(59)]
+    with pytest.raises(Exception, match="deeper than 40"):
+        with_lineage(report, max_depth=40).collect()
