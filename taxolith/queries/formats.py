@@ -75,16 +75,22 @@ TREE = """leaf AS (SELECT *, s_suppkey + 1 AS n FROM supplier JOIN nation ON s_n
 tree AS (SELECT 0 AS depth, '9' || r_regionkey AS taxid, r_name AS name, 'P' AS rank, 0 AS direct, COALESCE((SELECT SUM(n) FROM leaf WHERE n_regionkey = r_regionkey), 0) AS clade FROM region
   UNION ALL SELECT 1, '8' || n_nationkey, n_name, 'F', 0, COALESCE((SELECT SUM(n) FROM leaf WHERE s_nationkey = nation.n_nationkey), 0) FROM nation
   UNION ALL SELECT 2, '7' || s_suppkey, s_name, 'S', n, n FROM leaf)"""
-CODE = F.substring(F.upper("rank"), 1, 1)
-INDENTED = F.concat(F.expr("repeat('  ', depth)"), F.col("name"))
+
+
+def code() -> Column:
+    return F.substring(F.upper("rank"), 1, 1)
+
+
+def indented() -> Column:
+    return F.concat(F.expr("repeat('  ', depth)"), F.col("name"))
 
 
 def kraken(spark: SparkSession, d: str) -> str:
-    return as_lines(spark, tree(spark, d).withColumn("value", joined("0.00", F.col("clade"), F.col("direct"), CODE, F.col("taxid"), INDENTED)), "region", "k")
+    return as_lines(spark, tree(spark, d).withColumn("value", joined("0.00", F.col("clade"), F.col("direct"), code(), F.col("taxid"), indented())), "region", "k")
 
 
 def krakenuniq(spark: SparkSession, d: str) -> str:
-    rows = tree(spark, d).withColumn("value", joined("0.5", F.col("clade"), F.col("direct"), F.col("clade") * 3, "1.5", "0.25", F.col("taxid"), F.col("rank"), INDENTED))
+    rows = tree(spark, d).withColumn("value", joined("0.5", F.col("clade"), F.col("direct"), F.col("clade") * 3, "1.5", "0.25", F.col("taxid"), F.col("rank"), indented()))
     return as_lines(spark, rows, "region", "k")
 
 
@@ -254,7 +260,7 @@ def src21_sylph(spark, d):
 
 @query("SELECT CAST(clade AS DOUBLE) AS clade_minimizers, CAST(direct AS DOUBLE) AS taxon_minimizers, rank, taxid, name FROM tree", TREE)
 def src22_inspect(spark, d):
-    rows = tree(spark, d).select(joined("0.1", F.col("clade"), F.col("direct"), CODE, F.col("taxid"), INDENTED).alias("value"))
+    rows = tree(spark, d).select(joined("0.1", F.col("clade"), F.col("direct"), code(), F.col("taxid"), indented()).alias("value"))
     return R.read_inspect(spark, as_lines(spark, rows))
 
 
