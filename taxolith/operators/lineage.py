@@ -117,6 +117,17 @@ def to_mpa(report: DataFrame) -> DataFrame:
     return parts.groupBy("sample", "taxid").agg(path.alias("clade"), F.first("count").alias("count")).select("sample", "clade", "count")
 
 
+def to_krona(report: DataFrame) -> DataFrame:
+    """``sample, count, path``: rows of a hierarchy chart, the reads of a node itself before its names from the root down, between tabs (CMP-24).
+
+    ``report(sample, taxid, ancestors, name, direct_reads)``; nodes without reads of their own have no row.
+    """
+    own = report.where("direct_reads > 0").select("sample", F.col("taxid").alias("_own"), "direct_reads", F.posexplode(F.array_append("ancestors", F.col("taxid"))).alias("_d", "taxid"))
+    named = own.join(report.select("sample", "taxid", F.trim("name").alias("_name")), ["sample", "taxid"])
+    path = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_d", "_name"))), lambda x: x["_name"]), "\t")
+    return named.groupBy("sample", F.col("_own").alias("taxid")).agg(F.first("direct_reads").alias("count"), path.alias("path")).select("sample", "count", "path")
+
+
 def lineage_levels(lineage: DataFrame, taxonomy: DataFrame, ranks: Sequence[str]) -> DataFrame:
     """``taxid`` and a column for each rank with the name of the ancestor there (CMP-26, WIN-8)."""
     path = lineage.select("taxid", F.explode(F.array_append("ancestors", F.col("taxid"))).alias("_node"))

@@ -286,6 +286,20 @@ def cmp24_to_mpa(spark, d):
     return L.to_mpa(rows).where("count IS NOT NULL")
 
 
+@query(
+    """SELECT a.sample, a.count, 'root' || chr(9) || r.name || chr(9) || n.name || chr(9) || s.name AS path
+       FROM abundance a JOIN taxonomy s USING (taxid) JOIN taxonomy n ON s.parent = n.taxid JOIN taxonomy r ON n.parent = r.taxid WHERE a.count > 0""",
+    T.ABUNDANCE,
+    T.TAXONOMY,
+)
+def cmp24_to_krona(spark, d):
+    taxonomy = T.taxonomy(spark, d)
+    nodes = taxonomy.join(L.closure(taxonomy), "taxid")
+    samples = T.abundance(spark, d)
+    rows = nodes.crossJoin(F.broadcast(samples.select("sample").distinct())).join(samples.select("sample", "taxid", F.col("count").alias("direct_reads")), ["sample", "taxid"], "left")
+    return L.to_krona(rows)
+
+
 # windows and scalars -----------------------------------------------------------------
 
 
