@@ -14,39 +14,92 @@ UNIVEC = "univec"
 def account_reads(trimming: DataFrame, alignments: DataFrame, rrna: DataFrame | None = None, classified: DataFrame | None = None) -> DataFrame:
     """One row per sample from all logs, whichever of them it has (CMP-10, JOI-3).
 
-    ``trimming(sample, raw_reads, trimmed_reads)``, ``alignments(sample, label, paired,
-    total, unaligned)`` with pairs counted in a paired layout, ``rrna(sample, rrna_reads)``
-    and ``classified(sample, classified_reads, unclassified_reads)``. Passes run in the order
-    of their labels with ``univec`` last.
+    ``trimming(sample, raw_reads, trimmed_reads[, per_fragment])``, ``alignments(sample, label,
+    paired, total, unaligned)`` with pairs counted in a paired layout, ``rrna(sample, rrna_reads[,
+    rrna_input_reads])`` and ``classified(sample, classified_reads, unclassified_reads[,
+    host_carryover_reads])``. Passes run in the order of ``pass_order``.
     """
     scale = F.when(F.col("paired"), 2).otherwise(1)
     reads = alignments.select(
-        "sample", "label", (F.col("total") * scale).alias("input"), (F.col("unaligned") * scale).alias("unaligned"), ((F.col("total") - F.col("unaligned")) * scale).alias("aligned")
+        "sample", "label", scale.alias("layout"), (F.col("total") * scale).alias("input"), (F.col("unaligned") * scale).alias("unaligned"),
+        ((F.col("total") - F.col("unaligned")) * scale).alias("aligned"),
     )
     vector = F.col("label") == UNIVEC
-    order = F.struct(vector, F.col("label"))
+    order = pass_order(F.col("label"))
     per = reads.groupBy("sample").agg(
-        F.min_by(F.when(~vector, F.col("input")), order).alias("host_input"), F.sum(F.when(~vector, F.col("aligned"))).alias("host_aligned"),
-        F.max_by(F.when(~vector, F.col("unaligned")), F.when(~vector, F.col("label"))).alias("host_unaligned"), F.sum(F.when(vector, F.col("aligned"))).alias("univec_aligned"),
-        F.max_by("unaligned", order).alias("nonhost"),
+        F.min_by("input", F.when(~vector, order)).alias("host_input"), F.sum(F.when(~vector, F.col("aligned"))).alias("host_aligned"),
+        F.max_by("unaligned", F.when(~vector, order)).alias("host_unaligned"), F.sum(F.when(vector, F.col("aligned"))).alias("univec_aligned"),
+        F.max_by("unaligned", order).alias("nonhost"), F.max_by("layout", order).alias("_layout"),
     )
     out = trimming.join(per, "sample", "full")
     for more in (rrna, classified):
         if more is not None:
             out = out.join(more, "sample", "full")
+    own = F.col("per_fragment") if "per_fragment" in trimming.columns else F.lit(None).cast("int")
+    out = out.withColumn("per_fragment", F.coalesce(own, F.col("_layout"), F.lit(1))).drop("_layout")
     removed = F.coalesce("host_aligned", F.lit(0)) + F.coalesce("univec_aligned", F.lit(0))
     share = F.round(100 * F.try_divide(F.col("nonhost").cast("double"), F.col("raw_reads").cast("double")), 2)
     return out.withColumn("host_removed", F.when(F.col("nonhost").isNotNull(), removed)).withColumn("nonhost_pct_of_raw", share)
 
 
-def read_fate(accounting: DataFrame) -> DataFrame:
-    """Disjoint categories of each library that add up to its raw reads: ``sample, fate, reads`` (AGG-13)."""
+def pass_order(label: Column) -> Column:
+    """Sort key of a pass: ``host1 < host2 < ... < host10 < host < univec``, any other label beside ``host``."""
+    number = F.regexp_extract(label, r"^host([0-9]+)$", 1)
+    return F.struct(F.when(number != "", 0).when(label == UNIVEC, 2).otherwise(1).alias("kind"), F.coalesce(number.try_cast("long"), F.lit(0)).alias("n"), label.alias("label"))
+
+
+def derive_accounting(rows: DataFrame) -> DataFrame:
+    """Columns that need every log of a sample, on the result of ``account_reads`` (PRJ-4).
+
+    Adds ``rrna_removed_reads, rrna_pct, host_removed_reads, nonhost_reads, classified_pct,
+    host_carryover_pct`` and renews ``nonhost_pct_of_raw``. Classified counts are of fragments
+    and become mates by ``per_fragment``. Where a sample has passes and was classified, its
+    classified and unclassified mates are the reads that the last pass let through; without
+    passes all trimmed reads are. rRNA reads are the trimmed ones that no pass received, or the
+    log's own count without passes. Missing counts are zero, and so is a share of nothing;
+    ``rrna_*`` are null where no rRNA log exists.
+    """
+    for name in ("rrna_reads", "rrna_input_reads", "classified_reads", "unclassified_reads", "host_carryover_reads"):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast("long"))
+    for name in ("classified_reads", "unclassified_reads", "host_carryover_reads"):
+        rows = rows.withColumn(name, F.col(name) * F.col("per_fragment"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    rows = accounting.select(
-        "sample", (zero("raw_reads") - zero("trimmed_reads")).alias("trimmed_away"), zero("host_aligned").alias("host"), zero("univec_aligned").alias("vector"),
-        (zero("trimmed_reads") - zero("host_aligned") - zero("univec_aligned")).alias("nonhost"),
+    percent = lambda a, b: F.coalesce(F.round(100 * F.try_divide(a.cast("double"), b.cast("double")), 2), F.lit(0.0))
+    passes = F.col("nonhost").isNotNull()
+    measured = passes & (F.col("classified_reads").isNotNull() | F.col("unclassified_reads").isNotNull())
+    released = zero("classified_reads") + zero("unclassified_reads")
+    nonhost = F.when(measured, released).when(passes, F.col("nonhost")).otherwise(zero("trimmed_reads"))
+    removed = F.when(measured & F.col("host_input").isNotNull(), F.greatest(F.col("host_input") - released, F.lit(0))).otherwise(zero("host_removed"))
+    lost = F.when((zero("trimmed_reads") > 0) & F.col("host_input").isNotNull(), F.greatest(F.col("trimmed_reads") - F.col("host_input"), F.lit(0))).otherwise(zero("rrna_reads"))
+    logged = F.col("rrna_reads").isNotNull() | F.col("rrna_input_reads").isNotNull()
+    out = rows.withColumns({"rrna_removed_reads": F.when(logged, lost), "host_removed_reads": removed, "nonhost_reads": nonhost})
+    base = F.when(zero("trimmed_reads") > 0, F.col("trimmed_reads")).otherwise(F.col("rrna_input_reads"))
+    return out.withColumns(
+        {
+            "rrna_pct": F.when(logged, percent(F.col("rrna_removed_reads"), base)),
+            "classified_pct": percent(zero("classified_reads"), F.col("nonhost_reads")),
+            "host_carryover_pct": percent(zero("host_carryover_reads"), F.col("nonhost_reads")),
+            "nonhost_pct_of_raw": percent(F.col("nonhost_reads"), F.col("raw_reads")),
+        }
+    )
+
+
+FATES = ("trimmed_away", "rrna", "host", "nonhost_classified", "nonhost_unclassified")
+
+
+def read_fate(derived: DataFrame) -> DataFrame:
+    """Disjoint categories of each library: ``sample, fate, reads``, on the result of ``derive_accounting`` (AGG-13).
+
+    Without classification all reads that are not host are unclassified.
+    """
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    judged = (zero("classified_reads") > 0) | (zero("unclassified_reads") > 0)
+    values = (
+        F.greatest(zero("raw_reads") - zero("trimmed_reads"), F.lit(0)), zero("rrna_removed_reads"), zero("host_removed_reads"),
+        zero("classified_reads"), F.when(judged, zero("unclassified_reads")).otherwise(zero("nonhost_reads")),
     )
-    return rows.unpivot("sample", ["trimmed_away", "host", "vector", "nonhost"], "fate", "reads")
+    return derived.select("sample", *[v.alias(n) for n, v in zip(FATES, values)]).unpivot("sample", list(FATES), "fate", "reads")
 
 
 def merge_align_summaries(logs: DataFrame) -> DataFrame:

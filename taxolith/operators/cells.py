@@ -96,7 +96,8 @@ def kmer_denoise(evidence: DataFrame, min_barcodes: int = 4, p: float = 0.05, me
 
 def stouffer(df: DataFrame, by: Sequence[str], p: str, weight: str, name: str = "p") -> DataFrame:
     """Weighted combined one-sided p of each group; null p are skipped (STA-4)."""
-    z = norm_ppf(1 - F.greatest(F.least(F.col(p), F.lit(0.9999)), F.lit(1e-300)))
+    # minus the quantile of p: 1 - p would lose all p below 1e-16
+    z = -norm_ppf(F.greatest(F.least(F.col(p), F.lit(0.9999)), F.lit(1e-300)))
     rows = df.where(F.col(p).isNotNull()).withColumn("_z", z).withColumn("_w", F.col(weight))
     per = rows.groupBy(*by).agg((F.sum(F.col("_w") * F.col("_z")) / F.sqrt(F.sum(F.col("_w") * F.col("_w")))).alias("_z"))
     return per.withColumn(name, norm_cdf(-F.col("_z"))).drop("_z")

@@ -97,8 +97,6 @@ def cmp1_control_filter(spark, d):
     return evidence.select("taxid", "reads", "samples_seen", *r6("level"), "kept_in", "zeroed_in", "verdict")
 
 
-
-
 @query(
     f"""SELECT sample, taxid, count, ROUND(count / SUM(count) OVER (PARTITION BY sample), 6) AS frac FROM abundance WHERE NOT {DROPPED}
         QUALIFY COUNT(*) FILTER (WHERE count / total_left > 0.009) OVER (PARTITION BY taxid) >= 1""".replace(
@@ -228,8 +226,6 @@ def cmp7_expand_clade(spark, d):
     return L.expand_clade(L.closure(taxonomy), taxonomy, taxonomy.where("taxid IN ('3', '8')"), "P")
 
 
-
-
 def report(spark, d):
     """A pre-order report: a row per node with its depth."""
     taxonomy = T.taxonomy(spark, d)
@@ -363,8 +359,6 @@ def win6_merge_intervals(spark, d):
     return W.merge_intervals(rows.withColumn("end", F.col("start") + 60), ["customer"])
 
 
-
-
 @query("SELECT o_custkey, o_orderkey FROM orders QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1")
 def win7_keep_first(spark, d):
     return W.keep_first(T.table(spark, d, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey")
@@ -435,13 +429,6 @@ def cmp2_minimizer_filter(spark, d):
     return rows.select("taxid", "reads", "samples", "distinct", "duplication", *r6("duplication_limit"), "verdict")
 
 
-
-
-@query()
-def cmp2_proportional(spark, d):
-    return E.proportional(reports(spark, d))
-
-
 ASSIGN = """assign AS (SELECT source AS sample, CAST(doc_id AS VARCHAR) AS read_id, CASE WHEN n_chars % 10 = 0 THEN 'U' ELSE 'C' END AS status,
   CAST(LENGTH(lang) + doc_id % 40 AS VARCHAR) AS taxid, CAST(doc_id % 40 AS VARCHAR) || ':' || CAST(n_chars % 30 + 1 AS VARCHAR) || ' |:| ' || CAST(n_chars % 7 AS VARCHAR) || ':2 A:1' AS runs FROM documents)"""
 
@@ -466,8 +453,6 @@ def cmp3_host_kmer_filter(spark, d):
     return rows.withColumn("host_fraction", F.round("host_fraction", 6))
 
 
-
-
 @query(
     """SELECT read_id, LEN(r) AS runs, COALESCE(LIST_SUM(LIST_TRANSFORM(r, lambda x: TRY_CAST(STRING_SPLIT(x, ':')[2] AS BIGINT))), 0) AS kmers,
        LEN(LIST_FILTER(r, lambda x: NOT REGEXP_MATCHES(x, '^[0-9]+:'))) AS ambiguous FROM (SELECT read_id, LIST_FILTER(STRING_SPLIT(REPLACE(runs, '|:|', ' '), ' '), lambda x: CONTAINS(x, ':')) AS r FROM assign)""",
@@ -502,7 +487,6 @@ def cmp4_shuffle_compare(spark, d):
     return E.shuffle_compare(real, shuffled).select("taxid", "real_reads", "shuffled_reads", *r6("ratio"), "verdict")
 
 
-
 CONTIGS = """contigs AS (SELECT l_returnflag AS pool, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS contig, CAST(l_suppkey AS VARCHAR) AS taxid, CAST(l_quantity * 40 AS BIGINT) AS length FROM lineitem)"""
 
 
@@ -528,8 +512,6 @@ def cmp5_contig_evidence(spark, d):
     return rows.select("taxid", "reads", "contigs", "qualifying", "bp", "longest", "n50", "pools", "verdict")
 
 
-
-
 @query(
     """, t AS (SELECT taxon, SUM(value) AS abundance, COUNT(*) AS features, MAX(value) AS top FROM families GROUP BY taxon),
     h AS (SELECT taxon, -SUM(value / abundance * LN(value / abundance)) AS diversity FROM families JOIN t USING (taxon) GROUP BY taxon)
@@ -542,8 +524,6 @@ def cmp6_gene_diversity(spark, d):
     return rows.select("taxon", "features", "abundance", *r6("fprod", "funique", "diversity", "top_fraction"), "verdict")
 
 
-
-
 @query(
     """, scores AS (SELECT sample, taxid, frac * 80 AS score FROM cohort WHERE CAST(taxid AS INTEGER) % 4 > 0),
     s AS (SELECT taxid, MEDIAN(score) AS median_score, COUNT(*) AS samples_scored FROM scores GROUP BY taxid), m AS (SELECT taxid, MAX(count) AS max_reads FROM cohort GROUP BY taxid)
@@ -557,8 +537,6 @@ def cmp8_merge_scores(spark, d):
     return E.merge_scores(scores, rows.select("sample", "taxid", F.col("count").alias("reads")), 0.8).select("taxid", *r6("median_score"), "samples_scored", "max_reads", "verdict")
 
 
-
-
 @query(
     """, rows AS (SELECT sample, taxid, CASE WHEN CAST(read_id AS INTEGER) % 6 = 0 THEN 1 ELSE 0 END AS hit FROM assign WHERE status = 'C'),
     clade AS (SELECT r.sample, c.node AS taxid, COUNT(*) AS reads, SUM(hit) AS rrna_reads FROM rows r JOIN closure c USING (taxid) GROUP BY 1, 2)
@@ -573,7 +551,6 @@ def cmp9_rrna_share(spark, d):
     return out.select("taxid", "reads", "rrna_reads", *r6("max_sample_share", "rrna_share"))
 
 
-
 # accounting --------------------------------------------------------------------------
 
 LOGS = """logs AS (SELECT o_orderpriority AS sample, 'host' || CAST(o_orderkey % 2 + 1 AS VARCHAR) AS label, o_orderstatus <> 'P' AS paired, o_orderkey % 4 AS chunk, COUNT(*) * 10 AS total, COUNT(*) * 4 AS unaligned
@@ -613,6 +590,47 @@ SQL["cmp10_account_reads"] = SQL["cmp10_account_reads"].replace("SUM(p.total - p
     "MAX(p.total) FILTER (WHERE label = 'host1')", "CAST(MAX(p.total) FILTER (WHERE label = 'host1') AS BIGINT)").replace("MAX(p.unaligned) FILTER (WHERE label = 'host2')", "CAST(MAX(p.unaligned) FILTER (WHERE label = 'host2') AS BIGINT)")
 
 
+DERIVED = """passes AS (SELECT o_orderpriority AS sample, ['univec', 'host', 'host2'][o_orderkey % 3 + 1] AS label, COUNT(*) * 20 AS input, COUNT(*) * 8 AS unaligned FROM orders GROUP BY 1, 2),
+more AS (SELECT o_orderpriority AS sample, 6 * COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS classified, 2 * COUNT(*) FILTER (WHERE o_orderstatus = 'O') AS unclassified, 2 * COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS carried,
+  COUNT(*) AS rrna_input, COUNT(*) FILTER (WHERE o_orderkey % 7 = 0) AS rrna, o_orderpriority LIKE '_-%M%' OR o_orderpriority LIKE '2%' OR o_orderpriority LIKE '1%' AS logged FROM orders GROUP BY 1),
+derived AS (SELECT m.sample, raw_reads, trimmed_reads, classified, unclassified, carried, classified + unclassified AS nonhost_reads, GREATEST(p.input - classified - unclassified, 0) AS host_removed_reads,
+  CASE WHEN logged THEN CASE WHEN trimmed_reads > 0 THEN GREATEST(trimmed_reads - p.input, 0) ELSE rrna END END AS rrna_removed_reads, CASE WHEN trimmed_reads > 0 THEN trimmed_reads ELSE rrna_input END AS base
+  FROM more m JOIN passes p ON p.sample = m.sample AND p.label = 'host2' LEFT JOIN accounting a ON a.sample = m.sample)"""
+
+
+def derived(spark, d):
+    orders = T.table(spark, d, "orders").withColumn("sample", F.col("o_orderpriority"))
+    label = F.get(F.array(F.lit("univec"), F.lit("host"), F.lit("host2")), (F.col("o_orderkey") % 3).cast("int"))
+    passes = orders.groupBy("sample", label.alias("label"), F.lit(True).alias("paired")).agg((F.count("*") * 10).alias("total"), (F.count("*") * 4).alias("unaligned"))
+    status = lambda k: F.count_if(F.col("o_orderstatus") == k)
+    classified = orders.groupBy("sample").agg((3 * status("F")).alias("classified_reads"), status("O").alias("unclassified_reads"), status("P").alias("host_carryover_reads"))
+    logged = F.col("sample").rlike("^(.-.*M|2|1)")
+    rrna = orders.where(logged).groupBy("sample").agg(F.count("*").alias("rrna_input_reads"), F.count_if(F.col("o_orderkey") % 7 == 0).alias("rrna_reads"))
+    return AC.derive_accounting(AC.account_reads(accounting(spark, d), passes, rrna, classified))
+
+
+@query(
+    """SELECT sample, rrna_removed_reads, CASE WHEN rrna_removed_reads IS NOT NULL THEN ROUND(100 * rrna_removed_reads / base, 2) END AS rrna_pct, host_removed_reads, nonhost_reads, ROUND(100 * classified / nonhost_reads, 2) AS classified_pct,
+       ROUND(100 * carried / nonhost_reads, 2) AS host_carryover_pct, COALESCE(ROUND(100 * nonhost_reads / raw_reads, 2), 0) AS nonhost_pct_of_raw FROM derived""",
+    ACCOUNTING,
+    DERIVED,
+)
+def prj4_derived_accounting(spark, d):
+    """Passes of which the last is ``univec`` and the first ``host2``, not the first by name."""
+    counts = [F.col(c).cast("long").alias(c) for c in ("rrna_removed_reads", "host_removed_reads", "nonhost_reads")]
+    return derived(spark, d).select("sample", *counts, "rrna_pct", "classified_pct", "host_carryover_pct", "nonhost_pct_of_raw")
+
+
+@query(
+    """, fates AS (SELECT sample, GREATEST(COALESCE(raw_reads, 0) - COALESCE(trimmed_reads, 0), 0) AS trimmed_away, COALESCE(rrna_removed_reads, 0) AS rrna, host_removed_reads AS host, classified AS nonhost_classified, unclassified AS nonhost_unclassified FROM derived)
+    SELECT sample, fate, CAST(reads AS BIGINT) AS reads FROM fates UNPIVOT (reads FOR fate IN (trimmed_away, rrna, host, nonhost_classified, nonhost_unclassified))""",
+    ACCOUNTING,
+    DERIVED,
+)
+def agg13_read_fate(spark, d):
+    return AC.read_fate(derived(spark, d))
+
+
 @query(
     """SELECT conv_id AS sample, LIST_SORT(LIST(turn)) AS runs, COUNT(*) AS n_runs, CASE WHEN COUNT(DISTINCT role) > 1 THEN 'mixed_molecule' ELSE '' END AS problem FROM conversations GROUP BY conv_id"""
 )
@@ -663,14 +681,6 @@ def cmp14_ambient_tables(spark, d):
     return rows.select("taxid", "cells_positive", "empty_positive", "umis_in_cells", "umis_in_empty", *r6("prevalence_ratio"))
 
 
-
-
-@query()
-def cmp14_ambient(spark, d):
-    droplets = T.cells(spark, d).select("barcode", (F.col("barcode").cast("int") % 4 > 0).alias("is_cell"), "host_umis")
-    return C.ambient(C.presence(T.cell_counts(spark, d), 2), droplets)
-
-
 @query(
     """, pos AS (SELECT sample, barcode, taxid FROM cell_counts WHERE count >= 3),
     types AS (SELECT sample, cell_type, COUNT(*) AS n_type, SUM(COUNT(*)) OVER (PARTITION BY sample) AS n_sample FROM cells GROUP BY 1, 2),
@@ -684,13 +694,6 @@ def cmp15_enrichment_tables(spark, d):
     return rows.select("sample", "cell_type", "taxid", "n_type", "n_sample", "n_infected", "a", *r6("expected"))
 
 
-
-
-@query()
-def cmp15_enrichment(spark, d):
-    return C.enrichment(C.presence(T.cell_counts(spark, d), 3), T.cells(spark, d))
-
-
 @query(
     """, pos AS (SELECT sample, barcode, taxid FROM cell_counts WHERE count >= 3), each AS (SELECT sample, taxid, COUNT(*) AS n FROM pos WHERE taxid IN (SELECT taxid FROM pos GROUP BY taxid HAVING COUNT(*) >= 10) GROUP BY 1, 2),
     two AS (SELECT x.sample, x.taxid AS a, y.taxid AS b, COUNT(*) AS n FROM pos x JOIN pos y ON x.sample = y.sample AND x.barcode = y.barcode AND x.taxid < y.taxid GROUP BY 1, 2, 3), size AS (SELECT sample, COUNT(*) AS n_sample FROM cells GROUP BY 1)
@@ -703,18 +706,6 @@ def cmp16_cooccurrence_tables(spark, d):
     return rows.select("sample", "a", "b", "n_a", "n_b", "both", "n_sample", *r6("expected"))
 
 
-
-
-@query()
-def cmp16_cooccurrence(spark, d):
-    return C.cooccurrence(C.presence(T.cell_counts(spark, d), 3), T.cells(spark, d))
-
-
-@query()
-def cmp17_doublets(spark, d):
-    return C.doublets(C.presence(T.cell_counts(spark, d), 3), T.cells(spark, d))
-
-
 def customers(spark, d):
     rows = T.table(spark, d, "customer")
     return rows.select((F.col("c_custkey") % 5).cast("string").alias("sample"), F.col("c_custkey").cast("string").alias("barcode"), F.col("c_mktsegment").alias("cell_type"), "c_nationkey")
@@ -742,13 +733,6 @@ def cmp18_host_de_ranks(spark, d):
     return rows.select("cell_type", "gene", "n1", "n2", "rank_sum")
 
 
-
-
-@query()
-def cmp18_host_de(spark, d):
-    return C.host_de(A.log_normalise(coo(spark, d)), infected(spark, d), min_log2fc=0.05)
-
-
 @query(
     """SELECT s.cell_type, s.sample, s.infected, c.gene, SUM(c.value) AS count, MAX(n.n_cells) AS n_cells FROM states s JOIN coo c USING (sample, barcode)
        JOIN (SELECT cell_type, sample, infected, COUNT(*) AS n_cells FROM states GROUP BY 1, 2, 3) n ON n.cell_type = s.cell_type AND n.sample = s.sample AND n.infected = s.infected GROUP BY 1, 2, 3, 4""",
@@ -759,11 +743,6 @@ def agg12_pseudobulk(spark, d):
     return C.pseudobulk(coo(spark, d), infected(spark, d)).drop("taxid").select("cell_type", "sample", "infected", "gene", "count", "n_cells")
 
 
-@query()
-def cmp19_pseudobulk_groups(spark, d):
-    return C.pseudobulk_groups(C.pseudobulk(coo(spark, d), infected(spark, d)))
-
-
 KMERS = """kmers AS (SELECT taxid, barcode, COUNT(*) AS total, COUNT(DISTINCT kmer) AS "distinct" FROM (SELECT lang AS taxid, source AS barcode, UNNEST(STRING_SPLIT(LOWER(text), ' ')) AS kmer FROM documents) GROUP BY 1, 2)"""
 
 
@@ -781,11 +760,6 @@ def sta1_spearman(spark, d):
     return C.spearman(kmers(spark, d), "total", "distinct", ["taxid"]).select("taxid", "n", *r6("rho"))
 
 
-@query()
-def cmp13_kmer_denoise(spark, d):
-    return C.kmer_denoise(kmers(spark, d))
-
-
 @query(
     """SELECT taxid, COUNT(*) FILTER (WHERE grp = 'R0') AS n1, COUNT(*) FILTER (WHERE grp <> 'R0') AS n2, CAST(SUM(r) FILTER (WHERE grp = 'R0') AS DOUBLE) AS rank_sum FROM (
          SELECT taxid, grp, RANK() OVER (PARTITION BY taxid ORDER BY count) + (COUNT(*) OVER (PARTITION BY taxid, count) - 1) / 2.0 AS r FROM dense JOIN groups USING (sample)) GROUP BY taxid""",
@@ -818,8 +792,6 @@ def sta10_aitchison(spark, d):
     return CO.aitchison(T.cohort(spark, d)).select("a", "b", *r6("distance"))
 
 
-
-
 @query("SELECT x.sample AS a, y.sample AS b, ROUND(1 - 2 * SUM(LEAST(x.count, y.count)) / SUM(x.count + y.count), 6) AS distance FROM dense x JOIN dense y ON x.taxid = y.taxid AND x.sample < y.sample GROUP BY 1, 2", T.COHORT)
 def sta11_bray_curtis(spark, d):
     return CO.beta_distance(T.cohort(spark, d), "bray").select("a", "b", *r6("distance"))
@@ -840,16 +812,6 @@ def agg10_group_medians(spark, d):
     return CO.group_medians(T.cohort(spark, d), T.groups(spark, d)).select("group", "taxid", "median", *r6("mean"), "total")
 
 
-@query()
-def sta7_group_table(spark, d):
-    return CO.group_table(T.cohort(spark, d), T.groups(spark, d))
-
-
-@query()
-def sta8_pairwise_wilcoxon(spark, d):
-    return CO.pairwise_wilcoxon(T.cohort(spark, d), T.groups(spark, d))
-
-
 @query()
 def sta12_ordinate(spark, d):
     return CO.ordinate(T.cohort(spark, d))
@@ -872,18 +834,11 @@ def sta14_group_sums(spark, d):
     return CO.group_sums(clr, T.groups(spark, d)).select(F.round("total_ss", 4).alias("total_ss"), F.round("between_ss", 4).alias("between_ss"))
 
 
-
-
 @query()
 def sta14_beta_variance(spark, d):
     return CO.beta_variance(T.cohort(spark, d), T.groups(spark, d))
 
 
-@query()
-def sta16_rarefaction(spark, d):
-    return CO.rarefaction(T.abundance(spark, d), points=10)
-
-
 META = """meta AS (SELECT n_name AS sample, n_regionkey = 0 AS is_control, 1.0 + n_nationkey AS conc FROM nation)"""
 
 
@@ -903,8 +858,6 @@ def sta17_decontam_prevalence(spark, d):
     return rows.select("taxid", "c", "s", "nc", "ns", *r6("chi2"))
 
 
-
-
 @query(
     """SELECT taxid, COUNT(*) AS n, ROUND(VAR_POP(LN(frac) + LN(conc)) * COUNT(*), 6) AS ss_contaminant, ROUND(VAR_POP(LN(frac)) * COUNT(*), 6) AS ss_real FROM cohort JOIN meta USING (sample) GROUP BY taxid""",
     T.COHORT,
@@ -914,11 +867,6 @@ def sta17_decontam_frequency(spark, d):
     return CO.decontam_frequency(T.cohort(spark, d), metadata(spark, d)).select("taxid", "n", *r6("ss_contaminant", "ss_real"))
 
 
-@query()
-def sta17_decontam(spark, d):
-    return CO.decontam(T.cohort(spark, d), metadata(spark, d), "combined")
-
-
 @query()
 def sta18_clr_group_test(spark, d):
     two = T.groups(spark, d).where("group IN ('R0', 'R1')")
@@ -945,8 +893,6 @@ def sta19_size_factors(spark, d):
     return CO.size_factors(genes(spark, d)).select("sample", *r6("factor"))
 
 
-
-
 @query()
 def sta19_gene_test(spark, d):
     two = T.groups(spark, d).where("group IN ('R0', 'R1')")
@@ -961,16 +907,6 @@ def sta20_log_ratio_variance(spark, d):
     return CO.log_ratio_variance(T.cohort(spark, d)).select("a", "b", *r6("variance"))
 
 
-@query()
-def sta20_sparcc(spark, d):
-    return CO.sparcc(T.cohort(spark, d))
-
-
-@query()
-def cmp20_host_microbe(spark, d):
-    return CO.host_microbe(genes(spark, d), T.cohort(spark, d))
-
-
 @query()
 def cmp21_network(spark, d):
     return CO.network(T.cohort(spark, d))
@@ -988,8 +924,6 @@ def agg10_composition(spark, d):
     return X.composition(T.cohort(spark, d))
 
 
-
-
 @query("SELECT sample, taxid, count FROM cohort WHERE count >= 60 AND sample <> 'NATION_3' AND name <> 'Taxon 5'", T.COHORT)
 def flt5_filter_view(spark, d):
     rows = T.cohort(spark, d)
@@ -1009,13 +943,6 @@ def flt6_match_names(spark, d):
     return X.match_names(part.select(F.col("p_name").alias("name")), typed.union(more))
 
 
-
-
-@query()
-def cmp32_heatmap(spark, d):
-    return X.heatmap(T.cohort(spark, d), 20, T.groups(spark, d))
-
-
 @query("PIVOT (SELECT sample, taxid, count FROM abundance) ON sample IN ('1-URGENT', '2-HIGH', 'EMPTY') USING COALESCE(SUM(count), 0) GROUP BY taxid", T.ABUNDANCE)
 def snk1_wide_matrix(spark, d):
     return ME.wide_matrix(T.abundance(spark, d), "taxid", "count", ["1-URGENT", "2-HIGH", "EMPTY"])
@@ -1067,8 +994,6 @@ def joi14_mask_regions(spark, d):
     return regions.select("name", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
 
 
-
-
 @query("SELECT source AS sample, COUNT(*) AS reads, ROUND(AVG(LENGTH(text)), 6) AS mean_length, ROUND(SUM(LENGTH(REGEXP_REPLACE(text, '[^GCgc]', '', 'g'))) / SUM(LENGTH(text)), 6) AS gc FROM documents GROUP BY 1")
 def agg21_fragment_stats(spark, d):
     return R.fragment_stats(T.table(spark, d, "documents").select(F.col("source").alias("sample"), F.col("text").alias("seq"))).select("sample", "reads", *r6("mean_length", "gc"))
@@ -1110,22 +1035,6 @@ def cmp27_coreness(spark, d):
     return M.coreness(own, species).select("cluster", "taxid", "genomes", *r6("coreness"))
 
 
-
-
-@query()
-def cmp27_marker_candidates(spark, d):
-    own, species = clusters(spark, d)
-    return M.marker_candidates(own, own.select("gene", F.length("gene").alias("length")), species, keep=20)
-
-
-@query()
-def cmp28_select_markers(spark, d):
-    own, species = clusters(spark, d)
-    chosen = M.marker_candidates(own, own.select("gene", F.length("gene").alias("length")), species, keep=20)
-    hits = chosen.join(own.join(species, "genome").select(F.col("cluster").alias("_c"), F.col("taxid").alias("_t"), "genome"), (F.col("cluster") == F.col("_c")) & (F.col("taxid") == F.col("_t"))).select("gene", "genome").distinct()
-    return M.select_markers(chosen, hits, species, least=1)
-
-
 @query("SELECT c_mktsegment AS taxid, CAST(c_custkey AS VARCHAR) AS genome FROM customer QUALIFY ROW_NUMBER() OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey, c_acctbal DESC, CAST(c_custkey AS VARCHAR)) <= 20")
 def top7_mapping_targets(spark, d):
     rows = T.table(spark, d, "customer").select(F.col("c_mktsegment").alias("taxid"), F.col("c_custkey").cast("string").alias("genome"), F.col("c_nationkey").alias("contigs"), F.col("c_acctbal").alias("length"))

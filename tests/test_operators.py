@@ -101,10 +101,30 @@ def test_read_accounting(spark):
     r = rows["Pt01.Visit2"]
     assert (r.host_input, r.host_aligned, r.host_unaligned, r.univec_aligned, r.host_removed, r.nonhost, r.nonhost_pct_of_raw) == (2000, 800, 1200, 20, 820, 1180, 53.64)
     assert (rows["ONT01"].host_aligned, rows["ONT01"].nonhost) == (180, 320)
-    fate = AC.read_fate(AC.account_reads(trimming, logs)).groupBy("sample").agg(F.sum("reads").alias("n")).collect()
+    derived = AC.derive_accounting(AC.account_reads(trimming, logs))
+    fate = AC.read_fate(derived).groupBy("sample").agg(F.sum("reads").alias("n")).collect()
     assert {r["sample"]: r.n for r in fate} == {"Pt01.Visit2": 2200, "ONT01": 550}
 
 
+def test_derived_accounting(spark):
+    """Passes in their order, fragments as mates, what was classified before what a log says."""
+    trimming = spark.createDataFrame([("P", 3000, 2800), ("S", 100, 90), ("N", 70, 60)], "sample string, raw_reads long, trimmed_reads long")
+    passes = [("P", "host", True, 500, 450), ("P", "host2", True, 900, 800), ("P", "host10", True, 800, 500), ("P", "univec", True, 450, 440), ("S", "host", False, 80, 50)]
+    logs = spark.createDataFrame(passes, "sample string, label string, paired boolean, total long, unaligned long")
+    rrna = spark.createDataFrame([("P", 999, 2800), ("N", 12, 60)], "sample string, rrna_reads long, rrna_input_reads long")
+    classified = spark.createDataFrame([("P", 300, 100, 30)], "sample string, classified_reads long, unclassified_reads long, host_carryover_reads long")
+    rows = AC.derive_accounting(AC.account_reads(trimming, logs, rrna, classified))
+    got = {r["sample"]: r for r in rows.collect()}
+    p, s, n = got["P"], got["S"], got["N"]
+    assert (p.host_input, p.host_unaligned, p.nonhost, p.per_fragment) == (1800, 900, 880, 2)
+    assert (p.nonhost_reads, p.host_removed_reads, p.rrna_removed_reads, p.rrna_pct) == (800, 1000, 1000, 35.71)
+    assert (p.classified_pct, p.host_carryover_pct, p.nonhost_pct_of_raw) == (75.0, 7.5, 26.67)
+    assert (s.nonhost_reads, s.host_removed_reads, s.rrna_removed_reads, s.classified_pct, s.nonhost_pct_of_raw) == (50, 30, None, 0.0, 50.0)
+    assert (n.nonhost_reads, n.host_removed_reads, n.rrna_removed_reads, n.rrna_pct) == (60, 0, 12, 20.0)
+    fates = {(r["sample"], r.fate): r.reads for r in AC.read_fate(rows).collect()}
+    assert [fates["P", f] for f in AC.FATES] == [200, 1000, 1000, 600, 200] and fates["S", "nonhost_unclassified"] == 50
+
+
 def test_rpm_without_a_size_is_null(spark):
     rows = flat(spark, {"1": {"S1": 500, "S2": 5}})
     got = cell(A.rpm_total(rows, spark.createDataFrame([("S1", 2000000, 0)], "sample string, raw_reads long, trimmed_reads long")).na.fill(-1.0, ["rpm"]), "rpm")

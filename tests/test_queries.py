@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from taxolith.queries import core, formats  # noqa: F401  (formats registers its queries in core)
+from taxolith.queries import core, formats, statistics  # noqa: F401  (the last two register their queries in core)
 
 FOLDER = "/root/testdata/sf0.001"
 
