@@ -83,6 +83,11 @@ def attach_metadata(view: DataFrame, metadata: DataFrame) -> DataFrame:
     return view.join(metadata, "sample", "left")
 
 
+def group_columns(metadata: DataFrame | None, key: str = "sample") -> list[str]:
+    """Columns of the metadata that can group samples: all but the key; none without metadata (SET-8)."""
+    return [] if metadata is None else [c for c in metadata.columns if c != key]
+
+
 def enrich_features(features: DataFrame, descriptions: DataFrame) -> DataFrame:
     """Readable clade names and descriptions of features (PRJ-8)."""
     shown = F.replace(F.regexp_replace("feature", r"^[a-z]__", ""), F.lit("_"), F.lit(" "))

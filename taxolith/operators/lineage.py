@@ -147,3 +147,29 @@ def lineage_rollup(view: DataFrame, levels: Sequence[str], by: Sequence[str] = (
     rows = view.select(*by, *filled, value.alias("value"))
     total = F.sum("value") if mode == "sum" else F.max("value")
     return rows.rollup(*by, *levels).agg(total.alias("value"), F.grouping_id().alias("level_id"))
+
+
+@F.udtf(returnType="pos int, depth int, rank string, taxid string, name string, ancestors array<string>")
+class ParseReport:
+    """Rows of one report text, ancestors root first, for trees of any depth (UDF-4).
+
+    Two spaces before a name are one level; lines with fewer than six fields or a taxid that is
+    no number are left out. A null or empty text has no rows. Call it by ``parse_reports``.
+    """
+
+    def eval(self, text: str):
+        above: list[str] = []
+        for pos, line in enumerate((text or "").splitlines()):
+            fields = line.split("\t")
+            taxid = fields[-2].strip() if len(fields) >= 6 else ""
+            if taxid.isdigit():
+                name = fields[-1].strip()
+                depth = (len(fields[-1]) - len(fields[-1].lstrip(" "))) // 2
+                above = above[:depth]
+                yield pos, depth, fields[-3].strip(), taxid, name, list(above)
+                above.append(taxid)
+
+
+def parse_reports(reports: DataFrame) -> DataFrame:
+    """``reports(sample, text)``, a report a row, as rows with their lineage (UDF-4)."""
+    return reports.select("sample", "text").lateralJoin(ParseReport(F.col("text").outer())).drop("text")

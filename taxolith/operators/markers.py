@@ -69,6 +69,20 @@ def select_markers(candidates: DataFrame, hits: DataFrame, genomes: DataFrame, s
     return chosen.withColumn("_n", enough).where(F.col("_n") >= least).drop("_n").withColumn("quasi", F.col("other_species") > 0)
 
 
+def genome_sources(sheet: DataFrame, downloads: DataFrame, annotations: DataFrame) -> DataFrame:
+    """``genome, fasta, cds, has_cds``: local files of the sheet and downloaded ones (JOI-13).
+
+    ``sheet(genome, fasta, cds)``; rows without a fasta are downloaded by their accession, and
+    those that ``downloads(genome, fasta)`` lacks are left out. The sheet's CDS goes before that
+    of ``annotations(genome, cds)``, which local genomes do not use.
+    """
+    local = sheet.where("fasta IS NOT NULL").select("genome", "fasta", "cds")
+    wanted = sheet.where("fasta IS NULL").select("genome", F.col("cds").alias("_own"))
+    remote = wanted.join(downloads.select("genome", "fasta"), "genome").join(annotations.select("genome", "cds"), "genome", "left")
+    rows = local.unionByName(remote.select("genome", "fasta", F.coalesce("_own", "cds").alias("cds")))
+    return rows.withColumn("has_cds", F.col("cds").isNotNull())
+
+
 def mapping_targets(genomes: DataFrame, most: int = 100) -> DataFrame:
     """Reference genomes per species: fewest contigs, longest (TOP-7)."""
     return first_n(genomes, ["taxid"], ["contigs", F.desc("length"), "genome"], most)

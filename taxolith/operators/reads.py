@@ -25,6 +25,17 @@ def extract_reads(reads: DataFrame, assignments: DataFrame, lineage: DataFrame,
     return reads.withColumn("_id", F.regexp_replace("read_id", r"/[12]$", "")).join(ids, ["sample", "_id"], "left_semi").drop("_id")
 
 
+def attach_sequences(assignments: DataFrame, reads: DataFrame) -> DataFrame:
+    """Assignments with the upper-case sequence of their read, by sample and read id (JOI-9).
+
+    Neither side has to be in order, and a read that is missing on either side misplaces no
+    other: its assignment is left out. Mate suffixes do not count.
+    """
+    bare = F.regexp_replace("read_id", r"/[12]$", "").alias("_id")
+    first = keep_first(reads.select("sample", bare, F.upper("seq").alias("seq"), "read_id"), ["sample", "_id"], ["read_id"]).drop("read_id")
+    return assignments.select("*", bare).join(first, ["sample", "_id"]).drop("_id")
+
+
 def first_reads(reads: DataFrame, n: int) -> DataFrame:
     """The first n records of each file, mates in step, by record number (TOP-8)."""
     return reads.where(F.col("pos") < n)

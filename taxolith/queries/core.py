@@ -1039,3 +1039,47 @@ def cmp27_coreness(spark, d):
 def top7_mapping_targets(spark, d):
     rows = T.table(spark, d, "customer").select(F.col("c_mktsegment").alias("taxid"), F.col("c_custkey").cast("string").alias("genome"), F.col("c_nationkey").alias("contigs"), F.col("c_acctbal").alias("length"))
     return M.mapping_targets(rows, 20).select("taxid", "genome")
+
+
+@query(
+    """, p AS (SELECT source AS sample, CAST(doc_id AS VARCHAR) AS read_id, UPPER(REPLACE(text, 'ß', 'ss')) AS seq FROM documents WHERE n_chars % 3 > 0)
+    SELECT sample, read_id, taxid, status, seq FROM assign JOIN p USING (sample, read_id)""",
+    ASSIGN,
+)
+def joi9_attach_sequences(spark, d):
+    reads = T.table(spark, d, "documents").where("n_chars % 3 > 0").select(F.col("source").alias("sample"), F.concat(F.col("doc_id").cast("string"), F.lit("/1")).alias("read_id"), F.col("text").alias("seq"))
+    return R.attach_sequences(assignments(spark, d), reads).select("sample", "read_id", "taxid", "status", "seq")
+
+
+@query(
+    """SELECT 'R' || CAST(n_regionkey % 2 AS VARCHAR) AS sample, taxid, rank, name, depth, ancestors FROM (
+         SELECT r_regionkey AS n_regionkey, CAST(9000000 + r_regionkey AS VARCHAR) AS taxid, 'P' AS rank, r_name AS name, 0 AS depth, CAST([] AS VARCHAR[]) AS ancestors FROM region
+         UNION ALL SELECT n_regionkey, CAST(8000000 + n_nationkey AS VARCHAR), 'F', n_name, 1, [CAST(9000000 + n_regionkey AS VARCHAR)] FROM nation
+         UNION ALL SELECT n_regionkey, CAST(s_suppkey AS VARCHAR), 'S', s_name, 2, [CAST(9000000 + n_regionkey AS VARCHAR), CAST(8000000 + n_nationkey AS VARCHAR)] FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
+)
+def udf4_parse_reports(spark, d):
+    """The tree of suppliers as two report texts, read back with lineages."""
+    nation = T.table(spark, d, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("_r"))
+    supplier = T.table(spark, d, "supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    none = F.lit(-1).cast("long")
+    rows = T.table(spark, d, "region").select(F.col("r_regionkey").cast("long").alias("r"), none.alias("n"), none.alias("s"), (9000000 + F.col("r_regionkey")).cast("string").alias("taxid"), F.lit("P").alias("rank"), F.col("r_name").alias("name"))
+    rows = rows.union(nation.select("_r", "n_nationkey", none, (8000000 + F.col("n_nationkey")).cast("string"), F.lit("F"), F.concat(F.lit("  "), "n_name")))
+    rows = rows.union(supplier.select("_r", "n_nationkey", "s_suppkey", F.col("s_suppkey").cast("string"), F.lit("S"), F.concat(F.lit("    "), "s_name")))
+    line = F.concat_ws("\t", F.lit("0.00"), F.lit("0"), F.lit("0"), "rank", "taxid", "name").alias("line")
+    texts = rows.groupBy(F.concat(F.lit("R"), (F.col("r") % 2).cast("string")).alias("sample")).agg(F.sort_array(F.collect_list(F.struct("r", "n", "s", line))).alias("lines"))
+    texts = texts.select("sample", F.array_join("lines.line", "\n").alias("text"))
+    return L.parse_reports(texts).select("sample", "taxid", "rank", "name", "depth", "ancestors")
+
+
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS genome, CASE WHEN c_acctbal < 3000 THEN c_name ELSE 'remote' || CAST(o.k AS VARCHAR) END AS fasta, CASE WHEN c_nationkey % 4 = 0 THEN c_mktsegment WHEN c_acctbal >= 3000 THEN o.status END AS cds,
+       c_nationkey % 4 = 0 OR (c_acctbal >= 3000 AND o.status IS NOT NULL) AS has_cds
+       FROM customer LEFT JOIN (SELECT o_custkey, COUNT(*) AS k, MAX(o_orderstatus) FILTER (WHERE o_orderstatus <> 'O') AS status FROM orders GROUP BY 1) o ON o_custkey = c_custkey WHERE c_acctbal < 3000 OR o.k IS NOT NULL"""
+)
+def joi13_genome_sources(spark, d):
+    key = lambda c: F.col(c).cast("string").alias("genome")
+    sheet = T.table(spark, d, "customer").select(key("c_custkey"), F.when(F.col("c_acctbal") < 3000, F.col("c_name")).alias("fasta"), F.when(F.col("c_nationkey") % 4 == 0, F.col("c_mktsegment")).alias("cds"))
+    orders = T.table(spark, d, "orders")
+    downloads = orders.groupBy(key("o_custkey")).agg(F.concat(F.lit("remote"), F.count("*").cast("string")).alias("fasta"))
+    annotations = orders.where("o_orderstatus <> 'O'").groupBy(key("o_custkey")).agg(F.max("o_orderstatus").alias("cds"))
+    return M.genome_sources(sheet, downloads, annotations)

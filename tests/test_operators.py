@@ -189,3 +189,13 @@ def test_deep_trees(spark):
     assert deep["t59"] == [f"t{k}" for k in range(59)]
     with pytest.raises(Exception, match="deeper than 40"):
         with_lineage(report, max_depth=40).collect()
+
+
+def test_report_texts_of_any_depth(spark):
+    lines = [f"0.1\t1\t1\tS\t{k}\t{'  ' * k}n{k}" for k in range(1, 61)] + ["bad line", "0.1\t1\t1\tS\tx\tno number", "0.1\t1\t1\tG\t99\t    side"]
+    rows = {r.taxid: r for r in L.parse_reports(spark.createDataFrame([("a", "\n".join(lines)), ("b", None), ("c", "")], "sample string, text string")).collect()}
+    assert len(rows) == 61 and len(rows["60"].ancestors) == 59 and rows["99"].ancestors == ["1", "2"] and rows["99"].name == "side"
+
+
+def test_group_columns(spark):
+    assert X.group_columns(None) == [] and X.group_columns(spark.createDataFrame([("s", "g")], "sample string, site string")) == ["site"]
