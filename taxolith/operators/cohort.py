@@ -99,8 +99,14 @@ def ordinate(abundance: DataFrame, axes: int = 2, max_samples: int = 5000) -> Da
     return spark.createDataFrame(out, "sample string, axis int, value double, share double")
 
 
-def pca(view: DataFrame, axes: int = 2) -> DataFrame:
-    """PCA of samples on scaled percentages, taxa without variance left out (STA-13)."""
+def pca(view: DataFrame, axes: int = 2, max_samples: int = 5000) -> DataFrame:
+    """PCA of samples on scaled percentages, taxa without variance left out (STA-13).
+
+    As in ``ordinate``, the samples x samples matrix reaches the driver, refused beyond ``max_samples``.
+    """
+    n = view.select("sample").distinct().count()
+    if n > max_samples:
+        raise ValueError(f"{n} samples; pca takes {max_samples}")
     total = F.sum("count").over(Window.partitionBy("sample"))
     rows = dense(view).withColumn("pct", F.coalesce(F.try_divide(100 * F.col("count"), total), F.lit(0.0)))
     own = Window.partitionBy("taxid")
