@@ -338,7 +338,11 @@ def cmp27_marker_candidates(spark, d):
     STRAINS,
 )
 def cmp28_select_markers(spark, d):
-    """A candidate hits the genomes that hold its cluster; parts are everywhere, so other species are let in up to 0.7."""
+    """A candidate hits the genomes that hold its cluster.
+
+    Parts are in all regions, so the operator's defaults would leave no row: other species are
+    let in up to a share of 0.7 (default 0.01), and one marker is enough for a species (default 10).
+    """
     own, species = strains(spark, d)
     own = own.drop("length")
     chosen = M.marker_candidates(own, strains(spark, d)[0].select("gene", "length"), species)
