@@ -54,4 +54,16 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32,
   ROW_NUMBER() OVER (PARTITION BY shard ORDER BY part, doc_id, size, crc) - 1 AS slot, CAST(grown AS INTEGER) AS grown_shard FROM placed
 """
 
-SQL = {"op5_rendezvous_shards": SHARDS, "op8_benchmark_leaks": LEAKS, "op9_line_dedup": LINE_DEDUP}
+INFILL = """
+WITH d AS (SELECT doc_id, COALESCE(text, '') AS t, length(COALESCE(text, '')) AS n, sha256('1:' || COALESCE(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+draw AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS x, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS y,
+  CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS plain, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS turned FROM d),
+cut AS (SELECT *, least(x, y) AS a, greatest(x, y) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR plain >= 90 THEN 'plain' WHEN turned < 20 THEN 'spm' ELSE 'psm' END AS form FROM draw),
+part AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM part
+"""
+
+SQL = {"op5_rendezvous_shards": SHARDS, "op8_benchmark_leaks": LEAKS, "op9_line_dedup": LINE_DEDUP, "op11_fill_in_middle": INFILL}

@@ -11,6 +11,7 @@ from taxolith.llm.common import table
 from taxolith.llm.ctph import edited_fingerprints
 from taxolith.llm.decontam import leaks
 from taxolith.llm.html_extract import extract_pages
+from taxolith.llm.infill import fill_in_middle, restored
 from taxolith.llm.line_dedup import dedup_lines
 from taxolith.llm.oracles import SQL
 from taxolith.llm.packing import pack_documents
@@ -19,6 +20,7 @@ from taxolith.llm.sharding import shard_documents
 from taxolith.llm.simhash import near_duplicates
 from taxolith.llm.suffix_dedup import remove_repeats
 from taxolith.llm.token_bins import token_bins
+from taxolith.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +75,17 @@ def op10_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle(table(spark, sf_dir, "documents"), seed=1)
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    own = digest(F.col("output")).alias("output_sha256"), digest(restored(F.col("output"), F.col("form"))).alias("restored_sha256")
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *own)
+
+
+def op12_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pack_sequences": op1_pack_sequences,
@@ -85,6 +98,8 @@ def queries() -> dict[str, Query]:
         "op8_benchmark_leaks": op8_benchmark_leaks,
         "op9_line_dedup": op9_line_dedup,
         "op10_quality_scores": op10_quality_scores,
+        "op11_fill_in_middle": op11_fill_in_middle,
+        "op12_toxicity_scores": op12_toxicity_scores,
     }
 
 
