@@ -384,10 +384,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8_000) -> bytes:
         for batch in batches:
             texts += batch.column(0).to_pylist()
             marks += batch.column(1).to_pylist()
-        network, weights = learn(texts, [int(m > 0) for m in marks])
-        yield pa.RecordBatch.from_arrays([pa.array([network.to_bytes() + weights.astype("<f8").tobytes()])], names=["model"])
+        if texts:
+            yield pa.RecordBatch.from_arrays([pa.array([packed(*learn(texts, [int(m > 0) for m in marks]))])], names=["model"])
 
-    return rows.select("text", "label").mapInArrow(compute, "model binary").first()["model"]
+    found = rows.select("text", "label").mapInArrow(compute, "model binary").first()
+    return found["model"] if found else packed(*learn([], []))
+
+
+def packed(network: Network, weights) -> bytes:
+    return network.to_bytes() + weights.astype("<f8").tobytes()
 
 
 def score(docs: DataFrame, model: bytes, name: str = "score") -> DataFrame:
