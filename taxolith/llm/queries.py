@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxolith.llm.common import table
+from taxolith.llm.conversations import damaged, repair_conversations
 from taxolith.llm.ctph import edited_fingerprints
 from taxolith.llm.decontam import leaks
 from taxolith.llm.html_extract import extract_pages
@@ -86,6 +87,10 @@ def op12_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(*damaged(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pack_sequences": op1_pack_sequences,
@@ -100,6 +105,7 @@ def queries() -> dict[str, Query]:
         "op10_quality_scores": op10_quality_scores,
         "op11_fill_in_middle": op11_fill_in_middle,
         "op12_toxicity_scores": op12_toxicity_scores,
+        "op13_repair_conversations": op13_repair_conversations,
     }
 
 
