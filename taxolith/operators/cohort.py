@@ -6,7 +6,7 @@ Re-aimed tests follow the published methods, not another program's exact numbers
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from taxolith.functions.distributions import chi2_sf, norm_cdf, student_p
+from taxolith.functions.draws import key_array, log_gamma, word_array
 from taxolith.functions.windows import adjusted, average_rank
-from taxolith.operators.abundance import cpm_log, dense, nearest_zero, spread, top_by, varying
+from taxolith.operators import geometry as G
+from taxolith.operators.abundance import cpm_log, dense, spread, top_by, varying
 from taxolith.operators.cells import rank_sum, spearman
+from taxolith.plans.materialise import cut
 
 
 def alpha_diversity(abundance: DataFrame) -> DataFrame:
@@ -38,97 +41,82 @@ def alpha_diversity(abundance: DataFrame) -> DataFrame:
     )
 
 
-def pairs_of(wide: DataFrame, value: str, key: str = "taxid") -> DataFrame:
-    """Both values of each taxon for every pair of samples, ``a < b``: the distances' one join."""
-    first, second = wide.select(F.col("sample").alias("a"), key, F.col(value).alias("x")), wide.select(F.col("sample").alias("b"), key, F.col(value).alias("y"))
-    return first.join(second, key).where("a < b")
-
-
 def aitchison(abundance: DataFrame) -> DataFrame:
-    """Euclidean distance of CLR values between samples (STA-10)."""
-    rows = pairs_of(nearest_zero(dense(abundance)), "clr")
-    return rows.groupBy("a", "b").agg(F.sqrt(F.sum((F.col("x") - F.col("y")) * (F.col("x") - F.col("y")))).alias("distance"))
+    """Euclidean distance of CLR values between samples (STA-10).
 
-
-def beta_distance(abundance: DataFrame, method: str = "bray") -> DataFrame:
-    """Bray-Curtis, Jaccard (presence) or Euclidean distance between samples (STA-11)."""
-    rows = pairs_of(dense(abundance), "count")
-    x, y = F.col("x"), F.col("y")
-    value = {
-        "bray": 1 - F.try_divide(2 * F.sum(F.least(x, y)), F.sum(x + y)),
-        "jaccard": 1 - F.try_divide(F.count_if((x > 0) & (y > 0)).cast("double"), F.count_if((x > 0) | (y > 0)).cast("double")),
-        "euclidean": F.sqrt(F.sum((x - y) * (x - y))),
-    }[method]
-    return rows.groupBy("a", "b").agg(F.coalesce(value, F.lit(0.0)).alias("distance"))
+    From products over the taxa that both samples hold; what zeros add is in closed form.
+    """
+    table = G.log_ratios(abundance)
+    rows = G.pair_products(table)
+    square = lambda side: F.col("square_" + side) - F.col("total_" + side) * F.col("total_" + side) / table.width
+    inner = F.col("dot") - F.col("total_a") * F.col("total_b") / table.width
+    return rows.select("a", "b", F.sqrt(F.greatest(square("a") + square("b") - 2 * inner, F.lit(0.0))).alias("distance"))
 
 
-def gram(abundance: DataFrame) -> DataFrame:
-    """``a, b, value``: inner products of samples over taxa, CLR centred by taxon (STA-12)."""
-    rows = nearest_zero(dense(abundance))
-    rows = rows.withColumn("clr", F.col("clr") - F.avg("clr").over(Window.partitionBy("taxid")))
-    first, second = rows.select(F.col("sample").alias("a"), "taxid", F.col("clr").alias("x")), rows.select(F.col("sample").alias("b"), "taxid", F.col("clr").alias("y"))
-    return first.join(second, "taxid").groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("value"))
+def beta_distance(abundance: DataFrame, method: str = "bray") -> DataFrame:
+    """Bray-Curtis, Jaccard (presence) or Euclidean distance between samples (STA-11).
 
+    Only taxa that both samples hold are met; the rest follows from each sample's sums.
+    """
+    counts = G.summed(abundance)
+    if method == "jaccard":
+        counts = counts.withColumn("count", (F.col("count") > 0).cast("double"))
+    rows = G.pair_products(G.sparse(counts, "sample", "taxid", F.col("count")), {"bray": ["mins"], "jaccard": ["shared"], "euclidean": ["dot"]}[method])
+    both = F.col("total_a") + F.col("total_b")
+    value = {
+        "bray": lambda: 1 - F.try_divide(2 * F.col("mins"), both),
+        "jaccard": lambda: 1 - F.try_divide(F.col("shared"), both - F.col("shared")),
+        "euclidean": lambda: F.sqrt(F.greatest(F.col("square_a") + F.col("square_b") - 2 * F.col("dot"), F.lit(0.0))),
+    }[method]()
+    return rows.select("a", "b", F.coalesce(value, F.lit(0.0)).alias("distance"))
 
-def ordinate(abundance: DataFrame, axes: int = 2, max_samples: int = 5000) -> DataFrame:
-    """Principal coordinates of Aitchison distance: ``sample, axis, value, share`` (STA-12).
 
-    Taxa are summed out by Spark; what reaches the driver is the samples x samples matrix
-    of inner products, refused beyond ``max_samples``.
-    """
+def axes_of(columns: G.Columns, axes: int, total: float) -> DataFrame:
+    """``sample, axis, value, share`` of the leading axes; the sample farthest from the middle is on their positive side."""
     import numpy as np
 
-    spark = abundance.sparkSession
-    n = abundance.select("sample").distinct().count()
-    if n > max_samples:
-        raise ValueError(f"{n} samples; ordinate takes {max_samples}")
-    cells = gram(abundance).collect()
-    names = sorted({r["a"] for r in cells})
-    place = {s: k for k, s in enumerate(names)}
-    matrix = np.zeros((n, n))
-    for r in cells:
-        matrix[place[r["a"]], place[r["b"]]] = r["value"]
-    values, vectors = np.linalg.eigh(matrix)
-    total = values[values > 0].sum()
+    values, vectors = G.leading_axes(columns, axes)
     out = []
-    for axis in range(min(axes, n)):
-        k = n - 1 - axis
-        vector = vectors[:, k] * math.sqrt(max(values[k], 0.0))
-        vector *= 1 if vector[np.abs(vector).argmax()] > 0 else -1
-        out += [(s, axis + 1, float(v), float(values[k] / total) if total else 0.0) for s, v in zip(names, vector)]
-    return spark.createDataFrame(out, "sample string, axis int, value double, share double")
+    for k, value in enumerate(values):
+        own = vectors[:, k] * math.sqrt(value)
+        own *= 1 if own[np.abs(own).argmax()] > 0 else -1
+        out += [(s, k + 1, float(v), float(value / total) if total > 0 else 0.0) for s, v in zip(columns.names, own)]
+    return columns.table.sparkSession.createDataFrame(out, "sample string, axis int, value double, share double")
 
 
-def pca(view: DataFrame, axes: int = 2, max_samples: int = 5000) -> DataFrame:
-    """PCA of samples on scaled percentages, taxa without variance left out (STA-13).
+def ordinate(abundance: DataFrame, axes: int = 2) -> DataFrame:
+    """Principal coordinates of Aitchison distance: ``sample, axis, value, share`` (STA-12).
 
-    As in ``ordinate``, the samples x samples matrix reaches the driver, refused beyond ``max_samples``.
+    They are the leading axes of the CLR table centred by taxon, found by subspace iteration over
+    its positive cells; the driver holds the axes. ``share`` is of the whole variance.
     """
-    n = view.select("sample").distinct().count()
-    if n > max_samples:
-        raise ValueError(f"{n} samples; pca takes {max_samples}")
-    total = F.sum("count").over(Window.partitionBy("sample"))
-    rows = dense(view).withColumn("pct", F.coalesce(F.try_divide(100 * F.col("count"), total), F.lit(0.0)))
-    own = Window.partitionBy("taxid")
-    rows = rows.withColumn("_sd", F.stddev_samp("pct").over(own)).where(F.col("_sd") > 0)
-    rows = rows.withColumn("clr", (F.col("pct") - F.avg("pct").over(own)) / F.col("_sd")).select("sample", "taxid", "clr")
-    first, second = rows.select(F.col("sample").alias("a"), "taxid", F.col("clr").alias("x")), rows.select(F.col("sample").alias("b"), "taxid", F.col("clr").alias("y"))
-    products = first.join(second, "taxid").groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("value"))
-    import numpy as np
+    table = G.log_ratios(abundance)
+    columns = G.by_column(table, centred=True)
+    n, width = len(columns.names), table.width
+    # sums of squares about the taxa's means: a taxon's mean is its cells' over n, and the mean of what absent cells are
+    absent = float(columns.base.mean()) if n else 0.0
+    mean = F.aggregate("value", F.lit(0.0), lambda s, v: s + v) / n + absent
+    held = columns.table.agg(F.coalesce(F.sum(mean * mean), F.lit(0.0)), F.count("*")).first()
+    squares = table.rows.agg(F.coalesce(F.sum(F.col("square") - F.col("total") * F.col("total") / max(width, 1)), F.lit(0.0))).first()[0]
+    return axes_of(columns, axes, squares - n * (held[0] + (width - held[1]) * absent * absent))
+
+
+def pca(view: DataFrame, axes: int = 2) -> DataFrame:
+    """PCA of samples on scaled percentages, taxa without variance left out (STA-13).
 
-    cells = products.collect()  # samples x samples
-    names = sorted({r["a"] for r in cells})
-    place = {s: k for k, s in enumerate(names)}
-    matrix = np.zeros((len(names), len(names)))
-    for r in cells:
-        matrix[place[r["a"]], place[r["b"]]] = r["value"]
-    values, vectors = np.linalg.eigh(matrix)
-    out = [
-        (s, axis + 1, float(vectors[k, -1 - axis] * math.sqrt(max(values[-1 - axis], 0))), float(values[-1 - axis] / max(values.sum(), 1e-300)))
-        for axis in range(min(axes, len(names)))
-        for k, s in enumerate(names)
-    ]
-    return view.sparkSession.createDataFrame(out, "sample string, axis int, value double, share double")
+    As ``ordinate``, over the positive cells; a zero per cent needs no term, as centring takes the taxon's mean.
+    """
+    counts = G.summed(view)
+    totals = counts.groupBy("sample").agg(F.sum("count").alias("_all"))
+    percent = counts.join(totals, "sample").select("sample", "taxid", F.coalesce(F.try_divide(100 * F.col("count"), F.col("_all")), F.lit(0.0)).alias("pct"))
+    n = totals.count()
+    some = percent.where("pct <> 0").groupBy("taxid").agg(F.count("*").alias("_k"), F.avg("pct").alias("_m"), F.var_pop("pct").alias("_v"))
+    # squares about the mean of all samples: those about the mean of the positive ones, and of the zeros
+    about = F.col("_v") * F.col("_k") + F.col("_k") * (n - F.col("_k")) / n * F.col("_m") * F.col("_m")
+    scaled = some.withColumn("_sd", F.sqrt(about / max(n - 1, 1))).where(F.col("_sd") > 1e-12 * F.col("_m")).select("taxid", "_sd")
+    cells = percent.join(scaled, "taxid", "left").withColumn("value", F.coalesce(F.col("pct") / F.col("_sd"), F.lit(0.0)))
+    columns = G.by_column(G.sparse(cells, "sample", "taxid", F.col("value")), centred=False)
+    return axes_of(columns, axes, float(columns.table.count() * (n - 1)))
 
 
 def group_sums(clr: DataFrame, groups: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -143,54 +131,185 @@ def group_sums(clr: DataFrame, groups: DataFrame, by: Sequence[str] = ()) -> Dat
     return taxon.groupBy(*by).agg(F.max("n").alias("n"), F.max("groups").alias("groups"), total, between)
 
 
-def beta_variance(abundance: DataFrame, groups: DataFrame, permutations: int = 999, seed: int = 1, strata: str | None = None) -> DataFrame:
-    """Variance of Aitchison distance that a grouping explains, with a permutation p (STA-14).
+def usable_variables(metadata: pd.DataFrame, variables: Sequence[str], strata: str | None = None, max_levels: int = 0) -> tuple[list[str], dict[str, str]]:
+    """Variables that can be tested on the rows of ``metadata``, and why the others cannot (STA-14)."""
+    usable, reasons = [], {}
+    limit = max_levels if max_levels > 0 else max(2, len(metadata) - 1)
+    for name in variables:
+        values = metadata[name]
+        levels = values.dropna().nunique()
+        if levels < 2:
+            reasons[name] = "constant or empty"
+        elif not pd.api.types.is_numeric_dtype(values) and levels > limit:
+            reasons[name] = "saturated"
+        elif values.isna().any():
+            reasons[name] = "missing values"
+        elif strata and not (metadata.groupby(strata)[name].nunique() > 1).any():
+            reasons[name] = "constant within blocks"
+        else:
+            usable.append(name)
+    return usable, reasons
+
+
+def design_of(values: pd.Series):
+    """Columns of a variable in a linear model: a number itself, of a name its levels but the first; booleans are names."""
+    import numpy as np
+
+    if pd.api.types.is_numeric_dtype(values) and not pd.api.types.is_bool_dtype(values):
+        own = values.to_numpy(dtype=float)
+        return ((own - own.mean()) / (own.std() or 1.0))[:, None]
+    names = sorted(set(values.astype(str)))
+    return np.stack([(values.astype(str) == v).to_numpy(dtype=float) for v in names[1:]], axis=1)
 
-    ``groups(sample, group[, strata])``. On a Euclidean distance both R2 and the adjusted R2
-    are ratios of sums of squares. Labels are permuted by a hash of (permutation, sample)
-    within ``strata``, all permutations in one job, whose size is permutations x cells of
-    the sample list, not of the reads.
-    """
-    spark = abundance.sparkSession
-    clr = nearest_zero(dense(abundance)).select("sample", "taxid", "clr")
-    own = groups.select("sample", "group", (F.col(strata) if strata else F.lit(0)).alias("_stratum"))
-    perms = own.crossJoin(spark.range(1, permutations + 1).select(F.col("id").alias("perm")))
-    within = Window.partitionBy("perm", "_stratum")
-    draw = F.xxhash64(F.lit(seed), "perm", "sample")
-    perms = perms.withColumn("_to", F.row_number().over(within.orderBy(draw, "sample"))).withColumn("_from", F.row_number().over(within.orderBy("sample")))
-    shuffled = perms.select("perm", "_stratum", "sample", F.col("_from").alias("_k")).join(
-        perms.select("perm", "_stratum", "group", F.col("_to").alias("_k")), ["perm", "_stratum", "_k"]
-    )
-    real = own.select("sample", "group", F.lit(0).cast("long").alias("perm"))
-    every = real.unionByName(shuffled.select("sample", "group", "perm"))
-    sums = group_sums(clr, every, ["perm"]).withColumn("r2", F.col("between_ss") / F.col("total_ss"))
-    observed = sums.where("perm = 0").select("n", "groups", F.col("r2").alias("_r2"))
-    p = sums.where("perm > 0").crossJoin(F.broadcast(observed.select("_r2"))).agg(((1 + F.count_if(F.col("r2") >= F.col("_r2") - 1e-12)) / (1 + F.count("*"))).alias("p"))
-    adjusted_r2 = 1 - (1 - F.col("_r2")) * (F.col("n") - 1) / (F.col("n") - F.col("groups"))
-    return observed.crossJoin(p).select("n", "groups", F.col("_r2").alias("r2"), F.when(F.col("n") > F.col("groups"), adjusted_r2).alias("adjusted_r2"), "p")
 
+class Projections:
+    """Explained sums of squares of all nested models, from the small matrices of ``geometry.projected``."""
+
+    def __init__(self, design, total: float, products: list):
+        self.plain = design.T @ design
+        self.products, self.total, self.n = products, total, len(design)
+
+    def part(self, chosen: list[int], inner) -> tuple[float, int]:
+        """Sum of squares in the span of the chosen columns, and its dimension."""
+        import numpy as np
 
-def stepwise(abundance: DataFrame, metadata: DataFrame, variables: Sequence[str], permutations: int = 0) -> list[tuple[str, float]]:
-    """Forward selection of grouping variables by the adjusted R2 of their joint groups (STA-15).
+        values, vectors = np.linalg.eigh(self.plain[np.ix_(chosen, chosen)])
+        real = values > 1e-9 * max(values.max(), 1e-300)
+        basis = vectors[:, real] / np.sqrt(values[real])
+        return float(np.trace(basis.T @ inner[np.ix_(chosen, chosen)] @ basis)), int(real.sum())
 
-    Loops on the driver over the few variables; every step is a Spark aggregate.
+    def test(self, given: list[int], own: list[int]):
+        """``ss, rank, f, p`` of the columns ``own`` beyond ``given``: residuals of ``given`` are permuted and fitted anew."""
+        import numpy as np
+
+        q = len(self.plain)
+        observed = self.products[0][0][q:, q:]
+        before, rank_before = self.part(given, observed)
+        both, rank = self.part(given + own, observed)
+        df, rest_df = rank - rank_before, self.n - rank
+        ss, rest = both - before, self.total - both
+        if not df:
+            return 0.0, 0, None, None
+        f = (ss / df) / (rest / rest_df) if rest_df > 0 and rest > 1e-12 * self.total else None
+        if f is None or len(self.products) < 2:
+            return ss, df, f, None
+        inverse = np.linalg.pinv(self.plain[np.ix_(given, given)], rcond=1e-10, hermitian=True)
+        hits = 0
+        for joint, crossing in self.products[1:]:
+            # residuals of the given columns, moved: the moved design less its part in the given columns
+            turn = np.concatenate([np.eye(q), np.zeros((q, q))], axis=1)
+            turn[:, [q + k for k in given]] = -crossing[:, given] @ inverse
+            inner = turn @ joint @ turn.T
+            again, whole = self.part(given, inner)[0], self.part(given + own, inner)[0]
+            left = self.total - before - whole
+            hits += left <= 1e-12 * self.total or ((whole - again) / df) / (left / rest_df) >= f * (1 - 1e-9)
+        return ss, df, f, (1 + hits) / len(self.products)
+
+    def adjusted_r2(self, given: list[int], own: list[int]) -> float | None:
+        """Adjusted share of ``own`` beyond ``given``, whose first column is the intercept."""
+        import numpy as np
+
+        observed = self.products[0][0][len(self.plain) :, len(self.plain) :]
+        mean, _ = self.part(given[:1], observed)
+        before, p = self.part(given, observed)
+        both, m = self.part(given + own, observed)
+        whole, n = self.total - mean, self.n
+        if n - m <= 0 or whole <= 0:
+            return None
+        share = lambda ss, rank: 1 - (1 - (ss - mean) / whole) * (n - 1) / (n - rank)
+        out = share(both, m) - (share(before, p) if p > 1 else 0.0)
+        return float(np.clip(out, -np.inf, 1.0))
+
+
+def beta_variance(
+    abundance: DataFrame, metadata: DataFrame, variables: Sequence[str] | None = None, condition: Sequence[str] = (), strata: str | None = None,
+    permutations: int = 999, seed: int = 1, min_samples: int = 4, max_levels: int = 0, stepwise: bool = True, enter: float = 0.05,
+) -> DataFrame:
+    """Variance of Aitchison distance that each metadata variable explains beyond ``condition`` (STA-14, STA-15).
+
+    ``metadata(sample, ...)``: numeric variables enter as numbers, others by their levels. Each
+    variable is projected on the CLR table after the conditions are taken out of both (the
+    hat matrix of the residual design; on this distance redundancy analysis and permutational
+    analysis of variance are the same). p permutes the residuals of the conditions, within the
+    blocks of ``strata``, as counters of a hash decide. Returns ``variable, levels, n, r2_adj, f,
+    p, permanova_r2, condition, strata, p_adj, cumulative_r2_adj``, the last by forward selection:
+    the variable that raises the adjusted share most enters while its permutation p is at most
+    ``enter`` and, without conditions, the share stays below that of all variables.
+
+    Samples without a value of a condition or of ``strata`` are left out; of fewer than
+    ``min_samples`` nothing is tested. Variables that are constant, saturated, have
+    missing values, never change within a block, or follow from the conditions have no row
+    (``usable_variables`` says why). One pass over the table serves all models and
+    permutations; samples x metadata columns are on the driver, the table never is.
     """
-    clr = nearest_zero(dense(abundance)).select("sample", "taxid", "clr").cache()
-    chosen: list[tuple[str, float]] = []
+    import numpy as np
+
+    spark = abundance.sparkSession
+    schema = "variable string, levels int, n int, r2_adj double, f double, p double, permanova_r2 double, condition string, strata string, p_adj double, cumulative_r2_adj double"
+    meta = metadata.join(abundance.select("sample").distinct(), "sample", "left_semi").dropDuplicates(["sample"]).toPandas()  # a row per sample
+    variables = [c for c in metadata.columns if c != "sample"] if variables is None else list(variables)
+    nuisance = [*condition, *([strata] if strata else [])]
+    unknown = [c for c in [*nuisance, *variables] if c not in meta]
+    if unknown:
+        raise ValueError(f"no metadata column {', '.join(unknown)}")
+    meta = meta.dropna(subset=nuisance)
+    meta = meta.sort_values("sample", key=lambda s: s.astype(str)).reset_index(drop=True)
+    usable, _ = usable_variables(meta, [v for v in variables if v not in nuisance], strata, max_levels)
+    if len(meta) < min_samples or not usable:
+        return spark.createDataFrame([], schema)
+    shared = spark.createDataFrame([(s,) for s in meta["sample"]], metadata.select("sample").schema)
+    # taxa are those of the whole table, so a sample's log-ratios do not depend on the others
+    table = G.log_ratios(abundance)
+    table = table._replace(rows=table.rows.join(shared.withColumnRenamed("sample", "row"), "row", "left_semi"), cells=table.cells.join(shared.withColumnRenamed("sample", "row"), "row", "left_semi"))
+    columns = G.by_column(table, centred=True)
+    squares = table.rows.agg(F.sum(F.col("square") - F.col("total") * F.col("total") / max(table.width, 1))).first()[0]
+    parts, places, start = [np.ones((len(meta), 1))], {}, 1
+    for name in [*condition, *usable]:
+        own = design_of(meta[name])
+        places[name] = list(range(start, start + own.shape[1]))
+        parts.append(own)
+        start += own.shape[1]
+    blocks = pd.factorize(meta[strata], sort=True)[0] if strata else np.zeros(len(meta), int)
+    design = np.concatenate(parts, axis=1)
+    fits = Projections(design, squares, G.projected(columns, design, permutations, seed, blocks))
+    given = [0, *(k for c in condition for k in places[c])]
+    mean = fits.part([0], fits.products[0][0][start:, start:])[0]
+    rows = {}
+    for name in usable:
+        ss, rank, f, p = fits.test(given, places[name])
+        if not rank or ss <= 1e-12 * squares:
+            continue
+        numeric = pd.api.types.is_numeric_dtype(meta[name]) and not pd.api.types.is_bool_dtype(meta[name])
+        levels = None if numeric else int(meta[name].nunique())
+        rows[name] = [name, levels, len(meta), fits.adjusted_r2(given, places[name]), f, p, ss / (squares - mean), ",".join(condition), strata or ""]
+    entered = forward(fits, given, {v: places[v] for v in rows}, enter, not condition) if stepwise and len(rows) > 1 and fits.n > len(rows) + len(condition) + 1 else {}
+    known = sorted((r[5], r[0]) for r in rows.values() if r[5] is not None)
+    q, least = {}, 1.0
+    for k in range(len(known), 0, -1):
+        least = min(least, known[k - 1][0] * len(known) / k)
+        q[known[k - 1][1]] = least
+    return spark.createDataFrame([tuple(r) + (q.get(v), entered.get(v)) for v, r in rows.items()], schema)
+
+
+def forward(fits: Projections, given: list[int], places: dict[str, list[int]], enter: float = 0.05, bounded: bool = True) -> dict[str, float]:
+    """Adjusted share after each variable that enters (STA-15), in the order of entering; works on small matrices only."""
+    chosen: dict[str, float] = {}
+    own: list[int] = []
+    whole = fits.adjusted_r2(given, [k for p in places.values() for k in p])
     best = 0.0
-    while len(chosen) < len(variables):
-        tries = []
-        for v in (v for v in variables if v not in [c for c, _ in chosen]):
-            names = [*[c for c, _ in chosen], v]
-            row = group_sums(clr, metadata.select("sample", F.concat_ws("\x1f", *names).alias("group"))).first()
-            if row and row["n"] > row["groups"] > 1 and row["total_ss"] > 0:
-                r2 = row["between_ss"] / row["total_ss"]
-                tries.append((1 - (1 - r2) * (row["n"] - 1) / (row["n"] - row["groups"]), v))
-        if not tries or max(tries)[0] <= best:
+    while len(chosen) < len(places):
+        tries = {v: fits.adjusted_r2(given, own + p) for v, p in places.items() if v not in chosen}
+        tries = {v: r for v, r in tries.items() if r is not None}
+        if not tries:
             break
-        best, v = max(tries)
-        chosen.append((v, best))
-    clr.unpersist()
+        name = max(sorted(tries), key=tries.__getitem__)
+        if tries[name] <= best or bounded and (whole is None or tries[name] > whole + 1e-9):
+            break
+        p = fits.test(given + own, places[name])[3]
+        if p is not None and p > enter:
+            break
+        chosen[name] = best = tries[name]
+        own = own + places[name]
     return chosen
 
 
@@ -331,18 +450,13 @@ def decontam(abundance: DataFrame, metadata: DataFrame, method: str = "prevalenc
 def clr_group_test(abundance: DataFrame, groups: DataFrame, reference: str, draws: int = 128, seed: int = 1) -> DataFrame:
     """Monte-Carlo CLR test of two groups: ``taxid, effect, p, q`` averaged over draws (STA-18).
 
-    Every draw turns a sample's counts plus one half into Gamma variates, seeded by draw,
-    sample and taxon, so partitions do not matter; CLR, Welch's test and BH follow for each.
+    Every draw turns a sample's counts plus one half into Gamma variates, which are counters of
+    a hash of draw, sample and taxon, so partitions do not matter; CLR, Welch's test and BH
+    follow for each.
     """
     cells = dense(abundance).join(groups, "sample").withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
-
-    @F.pandas_udf("double")
-    def log_gamma_variate(count: pd.Series, own: pd.Series) -> pd.Series:
-        import numpy as np
-
-        return pd.Series([math.log(max(np.random.default_rng(int(s) & (2**63 - 1)).standard_gamma(c + 0.5), 1e-300)) for c, s in zip(count, own)])
-
-    cells = cells.withColumn("_log", log_gamma_variate("count", F.xxhash64(F.lit(seed), "draw", "sample", "taxid")))
+    counter = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in ("draw", "sample", "taxid")])
+    cells = cells.withColumn("_log", log_gamma(F.col("count") + 0.5, counter))
     cells = cells.withColumn("clr", F.col("_log") - F.avg("_log").over(Window.partitionBy("draw", "sample")))
     rows = welch(cells, "clr", F.col("group") != reference, ["draw", "taxid"])
     rows = adjusted(rows, "p", ["draw"], ["taxid"])
@@ -390,10 +504,17 @@ def gene_test(counts: DataFrame, groups: DataFrame, reference: str, block: str |
 
 
 def log_ratio_variance(abundance: DataFrame) -> DataFrame:
-    """``a, b, variance`` of log(x_a / x_b) over samples, zeros counted as one half (STA-20)."""
-    rows = dense(abundance).withColumn("_log", F.log(F.col("count") + 0.5)).select("sample", "taxid", "_log")
-    first, second = rows.select("sample", F.col("taxid").alias("a"), F.col("_log").alias("x")), rows.select("sample", F.col("taxid").alias("b"), F.col("_log").alias("y"))
-    return first.join(second, "sample").where("a < b").groupBy("a", "b").agg(F.var_samp(F.col("x") - F.col("y")).alias("variance"))
+    """``a, b, variance`` of log(x_a / x_b) over samples, zeros counted as one half (STA-20).
+
+    From the taxa's sums, squares and products over samples; logarithms are taken from that of one
+    half, so absent cells add nothing.
+    """
+    counts = G.summed(abundance)
+    n = abundance.select("sample").distinct().count()
+    rows = G.pair_products(G.sparse(counts, "taxid", "sample", F.log(F.col("count") + 0.5) - F.log(F.lit(0.5))))
+    apart = F.col("total_a") - F.col("total_b")
+    squares = F.col("square_a") + F.col("square_b") - 2 * F.col("dot") - apart * apart / n
+    return rows.select("a", "b", (F.greatest(squares, F.lit(0.0)) / (n - 1) if n > 1 else F.lit(None).cast("double")).alias("variance"))
 
 
 def sparcc(abundance: DataFrame) -> DataFrame:
@@ -402,7 +523,7 @@ def sparcc(abundance: DataFrame) -> DataFrame:
     Basis variances are the closed form of the sums t_i of log-ratio variances,
     ``w_i = (t_i - T / (2 (d - 1))) / (d - 2)`` with T the sum of all t; no taxa are excluded in turn.
     """
-    pairs = log_ratio_variance(abundance)
+    pairs = cut(log_ratio_variance(abundance))  # read three times
     ends = pairs.select(F.col("a").alias("taxid"), "variance").union(pairs.select("b", "variance"))
     each = ends.groupBy("taxid").agg(F.sum("variance").alias("_t"), F.count("*").alias("_k"))
     whole = each.agg(F.sum("_t").alias("_all"), F.max("_k").alias("_k1"))
@@ -413,24 +534,66 @@ def sparcc(abundance: DataFrame) -> DataFrame:
     return rows.select("a", "b", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), rho)).alias("rho"))
 
 
-def sparcc_bootstrap(abundance: DataFrame, reps: int = 100, seed: int = 1) -> DataFrame:
-    """``a, b, rho, p``: share of resampled, independently shuffled tables with a correlation as large (STA-20)."""
-    spark = abundance.sparkSession
-    observed = sparcc(abundance)
-    cells = dense(abundance).crossJoin(spark.range(reps).select(F.col("id").alias("rep")))
-    within = Window.partitionBy("rep", "taxid")
-    moved = cells.withColumn("_k", F.row_number().over(within.orderBy(F.xxhash64(F.lit(seed), "rep", "taxid", "sample"), "sample")))
-    logs = moved.select("rep", "_k", "taxid", F.log(F.col("count") + 0.5).alias("_log"))
-    first, second = logs.select("rep", "_k", F.col("taxid").alias("a"), F.col("_log").alias("x")), logs.select("rep", "_k", F.col("taxid").alias("b"), F.col("_log").alias("y"))
-    pairs = first.join(second, ["rep", "_k"]).where("a < b").groupBy("rep", "a", "b").agg(F.var_samp(F.col("x") - F.col("y")).alias("variance"))
-    ends = pairs.select("rep", F.col("a").alias("taxid"), "variance").union(pairs.select("rep", "b", "variance"))
-    each = ends.groupBy("rep", "taxid").agg(F.sum("variance").alias("_t"), F.count("*").alias("_k1"))
-    own = Window.partitionBy("rep")
-    basis = each.withColumn("_w", F.greatest((F.col("_t") - F.sum("_t").over(own) / (2.0 * F.col("_k1"))) / (F.col("_k1") - 1), F.lit(1e-4))).select("rep", "taxid", "_w")
-    rows = pairs.join(basis.select("rep", F.col("taxid").alias("a"), F.col("_w").alias("_wa")), ["rep", "a"]).join(basis.select("rep", F.col("taxid").alias("b"), F.col("_w").alias("_wb")), ["rep", "b"])
-    null = rows.select("a", "b", ((F.col("_wa") + F.col("_wb") - F.col("variance")) / (2 * F.sqrt(F.col("_wa") * F.col("_wb")))).alias("_rho"))
-    per = null.join(observed, ["a", "b"]).groupBy("a", "b", "rho").agg(((1 + F.count_if(F.abs("_rho") >= F.abs("rho"))) / (1 + F.count("*"))).alias("p"))
-    return per
+def basis_correlations(logs):
+    """Correlations of basis abundances from logarithms (taxa x samples), as ``sparcc`` has them, for all pairs of taxa."""
+    import numpy as np
+
+    d, n = logs.shape
+    moved = logs - logs.mean(axis=1, keepdims=True)
+    inner = moved @ moved.T / (n - 1)
+    own = np.diag(inner)
+    variance = own[:, None] + own[None, :] - 2 * inner
+    np.fill_diagonal(variance, 0.0)
+    t = variance.sum(axis=1)
+    w = np.maximum((t - t.sum() / (2.0 * (d - 1))) / (d - 2), 1e-4)
+    return np.clip((w[:, None] + w[None, :] - variance) / (2 * np.sqrt(w[:, None] * w[None, :])), -1.0, 1.0)
+
+
+def sparcc_bootstrap(abundance: DataFrame, reps: int = 100, seed: int = 1, groups: int = 16) -> DataFrame:
+    """``a, b, rho, p``: share of tables, every taxon shuffled by itself, with a correlation as large (STA-20).
+
+    The positive cells go to ``groups`` tasks, each of which makes its replicates one after the other by
+    matrix products; the order of a taxon's values in a replicate follows from counters of a
+    hash. A task holds taxa x samples numbers, so ``abundance`` is to be cut to some hundred taxa
+    first, as ``network`` does. Fewer than three taxa or two samples give no rows.
+    """
+    names = abundance.select("sample").distinct()
+    cells = G.summed(abundance).select("taxid", "sample", "count").union(names.select(F.lit(None).cast("string"), "sample", F.lit(0.0)))
+    dealt = cells.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).repartition(groups, "part").sortWithinPartitions("part", "taxid", "sample")
+    kind = abundance.schema["taxid"].dataType.simpleString()
+
+    def compute(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        parts: dict = {}
+        for batch in batches:
+            for taxid, sample, count, part in zip(*(c.to_pylist() for c in batch.columns)):
+                parts.setdefault(part, []).append((taxid, sample, count))
+        samples = taxa = None
+        for part in sorted(parts):
+            if samples is None:
+                samples = sorted({s for _, s, _ in parts[part]})
+                taxa = sorted({t for t, _, _ in parts[part] if t is not None})
+                if len(taxa) < 3 or len(samples) < 2:
+                    return
+                at_sample, at_taxon = {s: k for k, s in enumerate(samples)}, {t: k for k, t in enumerate(taxa)}
+                logs = np.full((len(taxa), len(samples)), np.log(0.5))
+                for t, s, c in parts[part]:
+                    if t is not None:
+                        logs[at_taxon[t], at_sample[s]] = np.log(c + 0.5)
+                first, second = np.triu_indices(len(taxa), 1)
+                own, of_taxa, of_samples = basis_correlations(logs)[first, second], key_array(taxa)[:, None], key_array(samples)
+            hits, made = np.zeros(len(first), np.int64), 0
+            for rep in range(part, reps, groups):
+                order = np.argsort(word_array(seed, rep, of_taxa, of_samples), axis=1, kind="stable")
+                hits += np.abs(basis_correlations(np.take_along_axis(logs, order, axis=1))[first, second]) >= np.abs(own) - 1e-9
+                made += 1
+            columns = [[taxa[k] for k in first], [taxa[k] for k in second], own, hits, np.full(len(first), made)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "rho", "hits", "made"])
+
+    found = dealt.select("taxid", "sample", "count", "part").mapInArrow(compute, f"a {kind}, b {kind}, rho double, hits long, made long")
+    return found.groupBy("a", "b").agg(F.max("rho").alias("rho"), ((1 + F.sum("hits")) / (1 + F.sum("made"))).alias("p"))
 
 
 def feasible(n: int, tests: int, alpha: float = 0.05, reps: int | None = None) -> bool:

@@ -812,16 +812,6 @@ def agg10_group_medians(spark, d):
     return CO.group_medians(T.cohort(spark, d), T.groups(spark, d)).select("group", "taxid", "median", *r6("mean"), "total")
 
 
-@query()
-def sta12_ordinate(spark, d):
-    return CO.ordinate(T.cohort(spark, d))
-
-
-@query()
-def sta13_pca(spark, d):
-    return CO.pca(T.cohort(spark, d))
-
-
 @query(
     """, clr AS (SELECT sample, taxid, l - AVG(l) OVER (PARTITION BY sample) AS clr FROM (SELECT sample, taxid, LN(CASE WHEN count = 0 THEN MIN(NULLIF(count, 0)) OVER (PARTITION BY sample) / 2 ELSE count END) AS l FROM dense)),
     m AS (SELECT taxid, grp, clr, AVG(clr) OVER (PARTITION BY taxid) AS g, AVG(clr) OVER (PARTITION BY taxid, grp) AS k FROM clr JOIN groups USING (sample))
@@ -834,11 +824,6 @@ def sta14_group_sums(spark, d):
     return CO.group_sums(clr, T.groups(spark, d)).select(F.round("total_ss", 4).alias("total_ss"), F.round("between_ss", 4).alias("between_ss"))
 
 
-@query()
-def sta14_beta_variance(spark, d):
-    return CO.beta_variance(T.cohort(spark, d), T.groups(spark, d))
-
-
 META = """meta AS (SELECT n_name AS sample, n_regionkey = 0 AS is_control, 1.0 + n_nationkey AS conc FROM nation)"""
 
 
@@ -867,12 +852,6 @@ def sta17_decontam_frequency(spark, d):
     return CO.decontam_frequency(T.cohort(spark, d), metadata(spark, d)).select("taxid", "n", *r6("ss_contaminant", "ss_real"))
 
 
-@query()
-def sta18_clr_group_test(spark, d):
-    two = T.groups(spark, d).where("group IN ('R0', 'R1')")
-    return CO.clr_group_test(T.cohort(spark, d).join(two, "sample", "left_semi"), two, "R0")
-
-
 GENES = """genes AS (SELECT n_name AS sample, CAST(l_partkey % 97 AS VARCHAR) AS gene, SUM(l_quantity) AS count FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)"""
 
 
@@ -893,12 +872,6 @@ def sta19_size_factors(spark, d):
     return CO.size_factors(genes(spark, d)).select("sample", *r6("factor"))
 
 
-@query()
-def sta19_gene_test(spark, d):
-    two = T.groups(spark, d).where("group IN ('R0', 'R1')")
-    return CO.gene_test(genes(spark, d).join(two, "sample", "left_semi"), two, "R0")
-
-
 @query(
     """SELECT x.taxid AS a, y.taxid AS b, ROUND(VAR_SAMP(LN(x.count + 0.5) - LN(y.count + 0.5)), 6) AS variance FROM dense x JOIN dense y ON x.sample = y.sample AND x.taxid < y.taxid GROUP BY 1, 2""",
     T.COHORT,
@@ -907,11 +880,6 @@ def sta20_log_ratio_variance(spark, d):
     return CO.log_ratio_variance(T.cohort(spark, d)).select("a", "b", *r6("variance"))
 
 
-@query()
-def cmp21_network(spark, d):
-    return CO.network(T.cohort(spark, d))
-
-
 # explore, merge, reads, markers ------------------------------------------------------
 
 

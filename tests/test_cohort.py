@@ -2,8 +2,11 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from taxolith.functions.draws import key_array, log_gamma, word_array
 from taxolith.operators import cohort as CO
+from taxolith.operators import geometry as G
 
 SAMPLES, TAXA = 9, 7
 
@@ -60,26 +63,171 @@ def test_pca(view, counts):
     assert sorted({round(r["share"], 9) for r in rows}, reverse=True) == pytest.approx(share)
 
 
-@pytest.mark.parametrize("method", [CO.ordinate, CO.pca])
-def test_many_samples_are_refused(view, method):
-    with pytest.raises(ValueError, match="9 samples"):
-        method(view, max_samples=8)
+def test_axes_of_more_samples_than_vectors(spark):
+    """Subspace iteration proper: 70 samples, 26 vectors."""
+    draw = np.random.default_rng(7)
+    table = draw.poisson(np.exp(draw.normal(0, 1, (70, 3)) @ draw.normal(0, 0.8, (3, 40)) + 1.5))
+    rows = [(f"s{i:02}", f"t{j:02}", float(table[i, j])) for i in range(70) for j in range(40) if table[i, j]]
+    df = spark.createDataFrame(rows, "sample string, taxid string, count double").repartition(5)
+    values = clr(table)
+    want, share = expected_scores(values - values.mean(axis=0), 3)
+    got = np.zeros((70, 3))
+    found = CO.ordinate(df, axes=3).collect()
+    for r in found:
+        got[int(r["sample"][1:]), r["axis"] - 1] = r["value"]
+    assert same_up_to_sign(got, want)
+    assert sorted({round(r["share"], 9) for r in found}, reverse=True) == pytest.approx(share)
+
+
+def test_axes_of_small_and_empty_tables(spark):
+    schema = "sample string, taxid string, count double"
+    assert CO.ordinate(spark.createDataFrame([], schema)).collect() == []
+    assert CO.ordinate(spark.createDataFrame([("s", "t", 1.0)], schema)).collect() == []
+    two = CO.ordinate(spark.createDataFrame([("s", "t", 1.0), ("r", "u", 5.0), ("r", "t", 0.0)], schema)).collect()
+    assert {r["sample"]: r["axis"] for r in two} == {"r": 1, "s": 1} and two[0]["share"] == pytest.approx(1)
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_pair_products_in_blocks(spark, counts, view, block, monkeypatch):
+    monkeypatch.setattr(G, "WIDE", 3)
+    odd = view.union(spark.createDataFrame([("empty", "t0", 0.0), (None, "t1", 4.0)], view.schema))
+    got = {(r["a"], r["b"]): r for r in G.pair_products(G.sparse(odd, "sample", "taxid", F.col("count")), ["dot", "mins", "shared"], block).collect()}
+    names = sorted([f"s{i}" for i in range(SAMPLES)] + ["empty"])
+    table = {f"s{i}": counts[i] for i in range(SAMPLES)} | {"empty": np.zeros(TAXA)}
+    assert sorted(got) == [(a, b) for a in names for b in names if a < b]
+    for (a, b), r in got.items():
+        x, y = table[a], table[b]
+        assert (r["dot"], r["mins"], r["shared"]) == pytest.approx((x @ y, np.minimum(x, y).sum(), ((x > 0) & (y > 0)).sum()))
+        assert (r["total_a"], r["square_b"]) == pytest.approx((x.sum(), (y * y).sum()))
+
+
+@pytest.mark.parametrize("method", [lambda v: CO.aitchison(v), lambda v: CO.log_ratio_variance(v), lambda v: CO.beta_distance(v, "bray")])
+def test_distances_fill_no_grid(view, method):
+    plan = method(view)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in plan and "Cartesian" not in plan and "Join Inner, true" not in plan
+
+
+def hat(*designs):
+    u, s, _ = np.linalg.svd(np.column_stack([np.ones(len(designs[0])) if designs else [], *designs]) if designs else np.ones((SAMPLES, 1)), full_matrices=False)
+    u = u[:, s > 1e-9]
+    return u @ u.T
+
 
+def levels_of(values):
+    return [np.array([v == x for v in values], float) for x in sorted(set(values))[1:]]
 
-def explained(values, labels):
+
+def plain_test(values, given, own, moves):
+    """Share, F and p of designs beyond others by explicit projection and by moving rows of residuals."""
+    n = len(values)
+    before, both = hat(np.ones(n), *given), hat(np.ones(n), *given, *own)
+    rank = lambda h: round(np.trace(h))
+    e = values - before @ values
+    df, rest_df = rank(both) - rank(before), n - rank(both)
+
+    def statistic(table):
+        table = table - before @ table
+        ss = ((both @ table) ** 2).sum()
+        return (ss / df) / (((table**2).sum() - ss) / rest_df)
+
+    f = statistic(e)
+    p = (1 + sum(statistic(e[m]) >= f * (1 - 1e-9) for m in moves)) / (1 + len(moves))
     centred = values - values.mean(axis=0)
-    between = sum((labels == g).sum() * (centred[labels == g].mean(axis=0) ** 2).sum() for g in set(labels))
-    return between / (centred**2).sum()
+    whole = (centred**2).sum()
+    ss = lambda h: ((h @ centred) ** 2).sum()
+    share = lambda h: 1 - (1 - ss(h) / whole) * (n - 1) / (n - rank(h))
+    return {"f": f, "p": p, "permanova_r2": (ss(both) - ss(before)) / whole, "r2_adj": share(both) - (share(before) if given else 0)}
 
 
-def test_beta_variance(spark, view, counts):
-    """R2 exactly, and p within the error of the draws: about that of other permutations."""
-    labels = np.array(["a"] * 4 + ["b"] * 5)
-    groups = spark.createDataFrame([(f"s{i}", g) for i, g in enumerate(labels)], "sample string, group string")
-    got = CO.beta_variance(view, groups, permutations=400).first()
-    values = clr(counts)
-    r2 = explained(values, labels)
-    assert got.r2 == pytest.approx(r2) and got.adjusted_r2 == pytest.approx(1 - (1 - r2) * 8 / 7)
-    draw = np.random.default_rng(5)
-    p = np.mean([explained(values, draw.permutation(labels)) >= r2 - 1e-12 for _ in range(2000)])
-    assert abs(got.p - p) < 0.04
+def moves_of(reps, blocks):
+    keys = key_array([f"s{i}" for i in range(SAMPLES)])
+    out = []
+    for number in range(1, reps + 1):
+        places, sources = G.permutation(1, number, keys, np.array(blocks))
+        move = np.empty(SAMPLES, int)
+        move[places] = sources
+        assert all(blocks[k] == blocks[m] for k, m in enumerate(move)) and sorted(move) == list(range(SAMPLES))
+        out.append(move)
+    return out
+
+
+SITE = [0.5, 1.5, 1.0, 4.0, 2.0, 2.5, 6.0, 3.0, 0.1]
+ARM = ["a", "a", "b", "a", "c", "b", "c", "b", "a"]
+BATCH = ["x", "y", "x", "y", "x", "y", "x", "y", "x"]
+
+
+@pytest.fixture(scope="module")
+def metadata(spark):
+    rows = [(f"s{i}", SITE[i], ARM[i], BATCH[i], "one", f"u{i}", None if i == 2 else "z" + BATCH[i], "p" + BATCH[i]) for i in range(SAMPLES)]
+    return spark.createDataFrame(rows + [("absent", 1.0, "a", "x", "one", "u", "z", "p")], "sample string, site double, arm string, batch string, same string, unique string, holes string, twin string")
+
+
+def test_variance_of_numbers_and_names(view, counts, metadata):
+    got = {r["variable"]: r for r in CO.beta_variance(view, metadata, permutations=60).collect()}
+    assert sorted(got) == ["arm", "batch", "site", "twin"]  # constant, saturated and incomplete variables have no row
+    values, moves = clr(counts), moves_of(60, [0] * SAMPLES)
+    for name, own in {"site": [np.array(SITE)], "arm": levels_of(ARM), "batch": levels_of(BATCH)}.items():
+        for key, want in plain_test(values, [], own, moves).items():
+            assert got[name][key] == pytest.approx(want), (name, key)
+    assert got["arm"]["levels"] == 3 and got["site"]["levels"] is None
+    ordered = sorted((r["p"], r["variable"]) for r in got.values())
+    assert got[ordered[-1][1]]["p_adj"] == ordered[-1][0]
+
+
+def test_variance_beyond_conditions_within_blocks(view, counts, metadata):
+    rows = CO.beta_variance(view, metadata, ["arm", "site", "twin"], condition=["batch"], strata="batch", permutations=60).collect()
+    got = {r["variable"]: r for r in rows}
+    assert sorted(got) == ["arm", "site"]  # the twin follows from the condition
+    values, moves = clr(counts), moves_of(60, [int(b == "y") for b in BATCH])
+    for name, own in {"site": [np.array(SITE)], "arm": levels_of(ARM)}.items():
+        for key, want in plain_test(values, levels_of(BATCH), own, moves).items():
+            assert got[name][key] == pytest.approx(want), (name, key)
+    assert {(r["condition"], r["strata"], r["n"]) for r in rows} == {("batch", "batch", SAMPLES)}
+
+
+def test_forward_selection(view, counts, metadata):
+    got = {r["variable"]: r["cumulative_r2_adj"] for r in CO.beta_variance(view, metadata, ["site", "arm"], condition=["batch"], permutations=30, enter=1.0).collect()}
+    values, designs = clr(counts), {"site": [np.array(SITE)], "arm": levels_of(ARM)}
+    own, best, want = [], 0.0, dict.fromkeys(designs)
+    while len(own) < 2:
+        tries = {v: plain_test(values, levels_of(BATCH), [c for o in [*own, v] for c in designs[o]], [])["r2_adj"] for v in designs if v not in own}
+        name = max(tries, key=tries.get)
+        if tries[name] <= best:
+            break
+        own.append(name)
+        want[name] = best = tries[name]
+    assert {k: v is None for k, v in got.items()} == {k: v is None for k, v in want.items()}
+    assert all(got[k] == pytest.approx(want[k]) for k in want if want[k] is not None)
+
+
+def test_variance_is_refused_or_empty(view, metadata):
+    with pytest.raises(ValueError, match="no metadata column nowhere"):
+        CO.beta_variance(view, metadata, ["nowhere"])
+    assert CO.beta_variance(view, metadata.where("sample < 's3'"), ["site"], min_samples=4).collect() == []
+    assert CO.beta_variance(view, metadata, ["same", "unique"]).collect() == []
+
+
+def test_why_variables_are_left_out(metadata):
+    usable, reasons = CO.usable_variables(metadata.toPandas().iloc[:SAMPLES], ["site", "same", "unique", "holes", "twin"], strata="batch")
+    assert usable == ["site"]
+    assert reasons == {"same": "constant or empty", "unique": "saturated", "holes": "missing values", "twin": "constant within blocks"}
+
+
+def test_network_counts_replicates_like_a_loop(spark, view, counts):
+    got = {(r["a"], r["b"]): r for r in CO.sparcc_bootstrap(view, reps=21, groups=4).collect()}
+    logs = np.log(counts.T + 0.5)
+    own = CO.basis_correlations(logs)
+    hits = np.zeros((TAXA, TAXA))
+    taxa, samples = key_array([f"t{j}" for j in range(TAXA)]), key_array([f"s{i}" for i in range(SAMPLES)])
+    for rep in range(21):
+        moved = np.stack([logs[j][np.argsort(word_array(1, rep, taxa[j], samples), kind="stable")] for j in range(TAXA)])
+        hits += np.abs(CO.basis_correlations(moved)) >= np.abs(own) - 1e-9
+    assert len(got) == TAXA * (TAXA - 1) // 2
+    for (a, b), r in got.items():
+        assert r["p"] == pytest.approx((1 + hits[int(a[1:]), int(b[1:])]) / 22) and r["rho"] == pytest.approx(own[int(a[1:]), int(b[1:])])
+
+
+def test_gamma_variates_follow_their_law(spark):
+    for shape in (0.5, 3.0, 400.5):
+        x = np.exp([r[0] for r in spark.range(6000).select(log_gamma(F.lit(shape), F.concat(F.lit("t:"), F.col("id").cast("string")))).collect()])
+        assert abs(x.mean() - shape) < 5 * np.sqrt(shape / 6000) and abs(x.var() / shape - 1) < 0.25
