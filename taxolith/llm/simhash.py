@@ -341,6 +341,22 @@ def prefix_size(n: int, similarity: float) -> int:
     return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
 
 
+#: Longs of a set's parity bitmap, and rows of a shingle that one task compares with as many others.
+PARITY, CHUNK = 8, 4096
+
+
+def parity(hashes):
+    """512 bits, each flipped by every hash that falls on it.
+
+    Bitmaps of two sets differ in no more bits than the sets differ in members, so many
+    different bits prove that two sets are unlike; it is never the other way round.
+    """
+    import numpy as np
+
+    flips = np.bincount((hashes >> np.uint64(7)).astype(np.int64) & 64 * PARITY - 1, minlength=64 * PARITY) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def frequent_shingles(rows: DataFrame, size: int):
     """Hashes of the shingles that many texts share, sorted, and how frequent each is (a power of two).
 
@@ -360,7 +376,7 @@ def frequent_shingles(rows: DataFrame, size: int):
 
 
 def shingle_prefixes(rows: DataFrame, size: int, similarity: float) -> DataFrame:
-    """``doc_id, same, fingerprint, n, prefix``: SimHash, number of different shingles and the first of them in a fixed order.
+    """``doc_id, same, fingerprint, n, bits, prefix``: SimHash, number, parity bitmap of the different shingles, and the first of them in a fixed order.
 
     The order is the same for all texts: rare shingles before frequent ones, then by hash.
     ``same`` is equal for equal sets of shingles only (128-bit hash as a string).
@@ -374,20 +390,48 @@ def shingle_prefixes(rows: DataFrame, size: int, similarity: float) -> DataFrame
 
         common, level = known.value
         for keys, values in texts(batches, "doc_id", "text"):
-            same, prints, sizes, prefixes = [], [], [], []
+            same, prints, sizes, bits, prefixes = [], [], [], [], []
             for text in values:
                 own = np.unique(shingle_hashes(text, size))
                 same.append(xxhash.xxh128_hexdigest(own.tobytes()))
                 prints.append(simhash(own))
                 sizes.append(len(own))
+                bits.append(parity(own))
                 if len(common) and len(own):
                     place = np.minimum(np.searchsorted(common, own), len(common) - 1)
                     own = own[np.argsort(np.where(common[place] == own, level[place], 0), kind="stable")]
                 prefixes.append(own[: prefix_size(len(own), similarity)].view(np.int64))
-            columns = [pa.array(keys, pa.int64()), pa.array(same), pa.array(prints, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "same", "fingerprint", "n", "prefix"])
+            lists = [pa.array(v, pa.list_(pa.int64())) for v in (bits, prefixes)]
+            columns = [pa.array(keys, pa.int64()), pa.array(same), pa.array(prints, pa.int64()), pa.array(sizes, pa.int32()), *lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "same", "fingerprint", "n", "bits", "prefix"])
+
+    return rows.mapInArrow(compute, "doc_id long, same string, fingerprint long, n int, bits array<long>, prefix array<long>")
 
-    return rows.mapInArrow(compute, "doc_id long, same string, fingerprint long, n int, prefix array<long>")
+
+def unlike_groups(rows: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes of different groups that share a shingle and may be as alike as asked for.
+
+    ``rows(h, node, g, n, pos, bits)``: a node in group ``g`` has shingle ``h`` at place ``pos``
+    of its ``n``. What is left of both sets from there on must hold the overlap needed, and the parity
+    bitmaps may not differ in more bits than the sets may in members; pairs that fail
+    either never leave the join. A shingle of more than ``CHUNK`` rows is cut into chunks, each two of which
+    meet in a task of their own.
+    """
+    sizes = rows.groupBy("h").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    dealt = rows.select("h", "node", "g", "n", "pos", *[F.col("bits")[k].alias(f"b{k}") for k in range(PARITY)]).join(sizes, "h")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other", "chunks")
+    x, y = dealt.alias("x"), dealt.alias("y")
+    col = lambda side, name: F.col(f"{side}.{name}")
+    once = (col("x", "own") != col("y", "own")) | (col("x", "i") == col("x", "j"))
+    total = col("x", "n") + col("y", "n")
+    reach = F.least(col("x", "n") - col("x", "pos"), col("y", "n") - col("y", "pos")) * (1 + similarity) >= similarity * total - 1e-6
+    apart = sum((F.bit_count(col("x", f"b{k}").bitwiseXOR(col("y", f"b{k}"))) for k in range(PARITY)), F.lit(0))
+    near = apart * (1 + similarity) <= (1 - similarity) * total + 1e-6
+    same_task = (col("x", "h") == col("y", "h")) & (col("x", "i") == col("y", "i")) & (col("x", "j") == col("y", "j"))
+    pairs = x.join(y, same_task & (col("x", "g") < col("y", "g")) & once & reach & near)
+    ends = col("x", "node"), col("y", "node")
+    return pairs.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
 
 
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 3, blocks: int = 5) -> DataFrame:
@@ -405,9 +449,9 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, r
        texts share seldom bring any together. Each text is compared with the first of each
        shingle, so that large groups are not compared pair by pair.
     3. All pairs that still lie in different groups and share such a shingle are compared,
-       but for those that failed before.
+       but for those that failed before (``unlike_groups``).
 
-    Only a pair whose sizes and places in the order rule the similarity out is not compared.
+    Only a pair whose sizes, places in the order or parity bitmaps rule the similarity out is not compared.
     Equal sets are one node and need no check.
 
     Null and empty texts and texts without words are one group of their own; a text of fewer
@@ -418,7 +462,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, r
     """
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     prints = shared_table(shingle_prefixes(rows, shingle, similarity))
-    classes = shared_table(prints.groupBy("same").agg(F.min(F.struct(F.col("doc_id").alias("node"), "fingerprint")).alias("one")).select("same", "one.*"))
+    classes = shared_table(prints.groupBy("same").agg(F.min(F.struct(F.col("doc_id").alias("node"), "fingerprint", "bits")).alias("one")).select("same", "one.*"))
     # what is left of both sets from the shared shingle on must hold the overlap needed
     fits = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (1 + similarity) >= similarity * (F.col("x.n") + F.col("y.n")) - 1e-6
 
@@ -454,8 +498,8 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, r
     own = met.select("h", "x", F.col("x.node").alias("node")).join(roots, "node", "left").select("h", "x", F.coalesce("root", "node").alias("g"))
     mixed = own.groupBy("h").agg(F.min("g").alias("least"), F.max("g").alias("most")).where("least < most").select("h")
     own = shared_table(own.join(mixed, "h", "left_semi"))
-    other = own.select("h", F.col("x").alias("y"), F.col("g").alias("k"))
-    more = shared_table(ordered(own.join(other, "h").where("g < k")).join(tried, ["a", "b"], "left_anti"))
+    own = own.select("h", "x.*", "g").join(classes.dropDuplicates(["node"]).select("node", "bits"), "node")
+    more = shared_table(unlike_groups(own, similarity).join(tried, ["a", "b"], "left_anti"))
     roots = components(good.union(alike(more)))
     nodes = classes.join(roots, "node", "left").select("same", F.coalesce("root", "node").alias("component_id"))
     return prints.join(nodes, "same").select("doc_id", "component_id")

@@ -47,8 +47,48 @@ def test_run(spark, folder):
     assert all(r.length <= 1024 for r in rows)
 
 
+@pytest.fixture(scope="module")
+def odd_folder(spark, docs, odd, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("odd"))
+    rows = [*odd, *((50 + k, prose(50 + k, 90)) for k in range(20)), *((80 + k, junk(k, 60)) for k in range(20))]
+    docs(rows).write.parquet(f"{out}/documents.parquet")
+    labels = [*((50 + k, 1, 0) for k in range(20)), *((80 + k, 0, 1) for k in range(20)), (None, 1, 0), (50, None, None), (50, 1, 0), (999, 0, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{out}/labels.parquet")
+    spark.createDataFrame([(1, None), (2, ""), (3, prose(51, 90)), (None, prose(52, 90)), (3, prose(51, 90))], "item_id long, text string").write.parquet(f"{out}/benchmark.parquet")
+    return out
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_on_odd_rows(spark, odd_folder, odd, name):
+    """Null ids and texts, repeated rows, ties, very long texts and columns whose names clash."""
+    docs = spark.read.parquet(f"{odd_folder}/documents.parquet")
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, odd_folder)
+    assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+    rows = [(r["doc_id"], r["text"]) for r in out.collect()]
+    given = [*odd, *((50 + k, prose(50 + k, 90)) for k in range(20)), *((80 + k, junk(k, 60)) for k in range(20))]
+    count = lambda pairs, i: sum(p[0] == i for p in pairs)
+    if name == "quality":
+        assert len({count(rows, i) for i in (1, 2)}) == 1 and count(rows, 9) in (0, 2)
+    elif name == "line_dedup":
+        assert sorted(map(str, (i for i, _ in rows))) == sorted(map(str, (i for i, _ in given)))
+        kept = dict((i, t) for i, t in rows if i != 9)
+        assert kept[1] is None and kept[2] == "" and kept[None] == "no id" and kept[8] == prose(8, 120)
+        assert len({t for i, t in rows if i == 9}) == 1
+    elif name == "near_dedup":
+        assert sum(count(rows, i) for i in (1, 2, 3, 14)) == 1 and count(rows, 8) == 1 and count(rows, 9) == 0 and count(rows, 10) == 1 and count(rows, None) == 1
+    else:
+        assert count(rows, 51) == 0 and count(rows, 52) in (0, 1) and count(rows, 1) == 1 and count(rows, 9) == 2 and count(rows, None) == 1
+
+
+def test_run_on_odd_and_empty_tables(spark, docs, odd_folder, tmp_path):
+    assert corpus_pipeline.run(spark, odd_folder).count() > 0
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{odd_folder}/{name}.parquet").where("false").write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_entry_lists_it():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert "pipeline" in names and {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in names if q.startswith("op")}
+    assert "pipeline" in names and {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in names if q.startswith("op")}

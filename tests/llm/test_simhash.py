@@ -197,3 +197,54 @@ def test_keep_first(spark, docs, odd):
     texts = dict(odd)
     assert kept == sorted([(0, "no id"), (0, near), (1, ""), (4, "one"), (5, "one two"), (6, texts[6]), (8, texts[8]), (10, texts[10]), (12, texts[12]), (13, texts[13]), (15, texts[15]), (21, prose(21, 50)), (21, near)])
     assert keep_first(frame.limit(0)).count() == 0
+
+
+def test_templated_texts_are_not_paired_one_by_one(spark, monkeypatch):
+    """Pages of three of twenty passages: pairs that share a passage are many, those that may be alike are few."""
+    import random
+
+    from taxolith.llm import simhash
+
+    made = []
+    whole = simhash.unlike_groups
+
+    def counted(rows, similarity):
+        out = whole(rows, similarity)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "unlike_groups", counted)
+    monkeypatch.setattr(simhash, "CHUNK", 50)
+    draw = random.Random(1)
+    words = [f"w{k}" for k in range(4000)]
+    passages = [" ".join(draw.choice(words) for _ in range(60)) for _ in range(20)]
+    texts = [" ".join(draw.sample(passages, 3)) for _ in range(300)]
+    got = {r["doc_id"]: r["component_id"] for r in similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    sets = [set(zip(*(t.split(" ")[k:] for k in range(5)))) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert got == {k: find(k) for k in range(len(texts))}
+    assert made[0] < 300
+
+
+def test_parity_bitmaps_never_differ_by_more_than_the_sets():
+    import numpy as np
+
+    from taxolith.llm.simhash import parity
+
+    draw = np.random.default_rng(3)
+    for n in (0, 1, 40, 3000):
+        a = np.unique(draw.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: n // 2], draw.integers(0, 2**63, n // 3).astype(np.uint64)]))
+        apart = int(np.bitwise_count((parity(a) ^ parity(b)).view(np.uint64)).sum())
+        assert apart <= len(np.setxor1d(a, b)) and apart % 2 == len(np.setxor1d(a, b)) % 2
