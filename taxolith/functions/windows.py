@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from taxolith.plans.materialise import cut
+
 
 def average_rank(df: DataFrame, value: str, by: Sequence[str], name: str = "rank") -> DataFrame:
     """Rank from 1 within ``by``; ties share their mean rank (WIN-2)."""
@@ -19,22 +21,44 @@ def average_rank(df: DataFrame, value: str, by: Sequence[str], name: str = "rank
 def adjusted(df: DataFrame, p: str, by: Sequence[str], key: Sequence[str], method: str = "bh", name: str = "q") -> DataFrame:
     """Benjamini-Hochberg or Holm adjusted p within each family; null p stay null (WIN-3).
 
-    Families are those of ``by``; ``key`` breaks ties. A family is worked on in one task,
-    so this is for tables of tests, which are as long as there are taxa, pairs or genes. With an empty ``by``
-    the counts and running extremes are those of the whole table.
+    Families are those of ``by``, the whole table if it is empty; ``key`` breaks ties. A scan over
+    ranges: tests are dealt to ranges of (family, p, key), ranked in each; counts and extremes of each
+    range and family, a few rows, are carried over the ranges; so a family of any size is
+    spread over all tasks.
     """
-    df = df.withColumn("_known", F.col(p).isNotNull())
-    family = Window.partitionBy(*by, "_known")
-    df = df.withColumn("_rn", F.row_number().over(family.orderBy(p, *key))).withColumn("_m", F.count("*").over(family))
+    if method not in ("bh", "holm"):
+        raise ValueError(f"unknown method {method}")
+    part, known, rank, size, raw = "_part", "_known", "_rn", "_m", "_raw"
+    order = [*[F.col(c).asc_nulls_first() for c in by], known, F.col(p).asc_nulls_first(), *key]
+    ranges = df.withColumn(known, F.col(p).isNotNull()).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = cut(ranges.withColumn(part, F.spark_partition_id()))
+    own = Window.partitionBy(part, *by, known)
+    ranked = ranges.withColumn(rank, F.row_number().over(own.orderBy(p, *key)))
+    # a row per range and family
+    counts = ranges.groupBy(part, *by, known).agg(F.count("*").alias("_n"))
+    family = Window.partitionBy(*by, known)
+    before = F.coalesce(F.sum("_n").over(family.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(part, *by, known, before.alias("_before"), F.sum("_n").over(family).alias(size))
+    ranked = nullsafe_join(ranked, counts, [part, *by, known]).withColumn(rank, F.col(rank) + F.col("_before")).drop("_before")
     if method == "bh":
-        raw = F.min(F.col(p) * F.col("_m") / F.col("_rn")).over(family.orderBy(F.desc("_rn")).rowsBetween(Window.unboundedPreceding, 0))
-        out = F.least(F.lit(1.0), raw)
-    elif method == "holm":
-        raw = F.least(F.lit(1.0), (F.col("_m") - F.col("_rn") + 1) * F.col(p))
-        out = F.max(raw).over(family.orderBy("_rn").rowsBetween(Window.unboundedPreceding, 0))
+        ranked = ranked.withColumn(raw, F.col(p) * F.col(size) / F.col(rank))
+        local = F.min(raw).over(own.orderBy(F.desc(rank)).rowsBetween(Window.unboundedPreceding, 0))
+        carried, take, best = F.min("_best").over(family.orderBy(part).rowsBetween(1, Window.unboundedFollowing)), F.least, F.min
     else:
-        raise ValueError(f"unknown method {method}")
-    return df.withColumn(name, F.when(F.col("_known"), out)).drop("_known", "_rn", "_m")
+        ranked = ranked.withColumn(raw, F.least(F.lit(1.0), (F.col(size) - F.col(rank) + 1) * F.col(p)))
+        local = F.max(raw).over(own.orderBy(rank).rowsBetween(Window.unboundedPreceding, 0))
+        carried, take, best = F.max("_best").over(family.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.greatest, F.max
+    extremes = ranked.groupBy(part, *by, known).agg(best(raw).alias("_best")).select(part, *by, known, carried.alias("_carried"))
+    out = nullsafe_join(ranked.withColumn("_local", local), extremes, [part, *by, known])
+    value = F.least(F.lit(1.0), take("_local", "_carried"))  # a null, where there is no other range, is passed over
+    return out.select(*df.columns, F.when(F.col(known), value).alias(name))
+
+
+def nullsafe_join(df: DataFrame, few: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys``, in which nulls equal each other."""
+    other = few.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in few.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return df.join(other, same).drop(*[f"_k_{k}" for k in keys])
 
 
 def first_n(df: DataFrame, by: Sequence[str], order: Sequence, n: int) -> DataFrame:
@@ -43,9 +67,11 @@ def first_n(df: DataFrame, by: Sequence[str], order: Sequence, n: int) -> DataFr
     return df.withColumn("_rn", rank).where(F.col("_rn") <= n).drop("_rn")
 
 
-def keep_first(df: DataFrame, by: Sequence[str], order: Sequence) -> DataFrame:
-    """The first row of each group (WIN-7)."""
-    return first_n(df, by, order, 1)
+def keep_first(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each group by columns of ``order`` (WIN-7); groups are cut down in each task before the shuffle."""
+    whole = F.struct(*[F.col(c) for c in df.columns])
+    first = df.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)]).agg(F.min_by(whole, F.struct(*order)).alias("_row"))
+    return first.select("_row.*")
 
 
 def n50(df: DataFrame, by: Sequence[str], length: str) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from taxolith.functions.distributions import fisher_greater, hypergeom_cdf, hypergeom_sf, norm_cdf, norm_ppf, rank_correlation_p
+from taxolith.functions.draws import mixed_array
 from taxolith.functions.scalar import has_homopolymer, kmer_runs, kmers_at, lineage_share, log2_ratio
 from taxolith.functions.windows import adjusted, average_rank, correlation, first_n, upper_median
 
@@ -55,20 +56,122 @@ def filter_cell_taxa(cells: DataFrame, drop: DataFrame, drop_cells: DataFrame) -
     return out
 
 
-def kmer_evidence(reads: DataFrame, k: int = 35, max_barcodes: int = 1000) -> DataFrame:
-    """``taxid, barcode, total, distinct`` k-mers of the runs on the taxon itself (AGG-6, SCA-10).
+#: Letters of a minimiser, and letters that a k-mer may have.
+MINIMISER = 12
+BASES = b"ACGT"
 
-    Runs are filtered by taxid before any k-mer is made; at most ``max_barcodes`` barcodes
-    of a taxon are kept, the first by name.
+
+def super_kmers(text: bytes, k: int):
+    """Maximal stretches of ``text`` whose k-mers share a minimiser: arrays of starts, ends and minimisers.
+
+    The minimiser of a k-mer is its m-mer with the least hash, the first of equal ones; equal k-mers have equal ones.
+    K-mers with other letters than ACGT belong to no stretch.
+    """
+    import numpy as np
+
+    m = min(MINIMISER, k)
+    codes = np.full(256, 4, np.uint8)
+    codes[list(BASES)] = range(4)
+    own = codes[np.frombuffer(text, np.uint8)]
+    n = len(own) - k + 1
+    none = np.zeros(0, np.int64)
+    if n <= 0:
+        return none, none, none
+    bad = np.concatenate([[0], np.cumsum(own == 4)])
+    good = bad[k:] == bad[:-k]
+    word = np.zeros(len(own) - m + 1, np.uint64)
+    for j in range(m):
+        word = (word << np.uint64(2)) | (own[j : j + len(word)] & 3).astype(np.uint64)
+    mixed = mixed_array(word ^ np.uint64(0x5BD1E995))
+    least, width, window = mixed, 1, k - m + 1
+    while 2 * width <= window:
+        least, width = np.minimum(least[:-width], least[width:]), 2 * width
+    least = np.minimum(least[:n], least[window - width : window - width + n])
+    begin = good & np.concatenate([[True], (least[1:] != least[:-1]) | ~good[:-1]])
+    end = good & np.concatenate([(least[1:] != least[:-1]) | ~good[1:], [True]])
+    starts = np.flatnonzero(begin)
+    return starts, np.flatnonzero(end) + k, least[starts].astype(np.int64)
+
+
+def own_runs(reads: DataFrame, k: int) -> DataFrame:
+    """``taxid, barcode, segment``: the stretches of reads whose k-mers were given to the read's own taxon."""
+    runs = reads.select("taxid", "barcode", "seq", "read_id", kmer_runs(F.col("runs")).alias("_runs"))
+    # where each run starts, and the end of the last
+    starts = F.aggregate("_runs", F.array(F.lit(0).cast("long")), lambda acc, r: F.concat(acc, F.array(F.element_at(acc, -1) + r["n"])))
+    placed = runs.withColumn("_at", starts).select("taxid", "barcode", "seq", "_at", F.posexplode("_runs").alias("_i", "_run")).where(F.col("_run.taxid") == F.col("taxid"))
+    at = F.col("_at")[F.col("_i")]
+    return placed.select("taxid", "barcode", F.substring("seq", (at + 1).cast("int"), (F.col("_run.n") + k - 1).cast("int")).alias("segment"), F.col("_run.n").alias("n"))
+
+
+def kmer_evidence(reads: DataFrame, k: int = 35, max_barcodes: int | None = None, sketch: bool = False) -> DataFrame:
+    """``taxid, barcode, total, distinct, capped``: k-mers of the runs on the taxon itself (AGG-6, SCA-10).
+
+    Runs are filtered by taxid before any k-mer is made. What is shuffled is super-k-mers, stretches of k-mers with one
+    minimiser, equal ones summed per task first; equal k-mers meet at their minimiser, where
+    they are counted. With ``sketch`` the distinct count is an estimate from mergeable sketches that need no
+    such meeting. All barcodes are kept unless ``max_barcodes`` asks for the first by name of each
+    taxon; ``capped`` then says whether a taxon had more.
     """
-    runs = reads.select("taxid", "barcode", "seq", F.posexplode(kmer_runs(F.col("runs"))).alias("_i", "_run"), "read_id")
-    order = Window.partitionBy("read_id").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
-    placed = runs.withColumn("_offset", F.coalesce(F.sum("_run.n").over(order), F.lit(0)))
-    own = placed.where(F.col("_run.taxid") == F.col("taxid"))
-    kept = first_n(own.select("taxid", "barcode").distinct(), ["taxid"], ["barcode"], max_barcodes)
-    own = own.join(kept, ["taxid", "barcode"], "left_semi")
-    words = own.select("taxid", "barcode", F.explode(kmers_at(F.col("seq"), F.col("_offset").cast("int"), F.col("_run.n").cast("int"), k)).alias("kmer"))
-    return words.groupBy("taxid", "barcode").agg(F.count("*").alias("total"), F.count_distinct("kmer").alias("distinct"))
+    runs = own_runs(reads, k)
+    if max_barcodes is not None:
+        names = runs.select("taxid", "barcode").distinct()
+        ranked = names.withColumn("_k", F.row_number().over(Window.partitionBy("taxid").orderBy("barcode"))).withColumn("capped", F.count("*").over(Window.partitionBy("taxid")) > max_barcodes)
+        kept = ranked.where(F.col("_k") <= max_barcodes).select("taxid", "barcode", "capped")
+        runs = runs.join(kept, ["taxid", "barcode"])
+    else:
+        runs = runs.withColumn("capped", F.lit(False))
+    keys = ["taxid", "barcode", "capped"]
+    if sketch:
+        words = runs.select(*keys, F.explode(kmers_at(F.col("segment"), F.lit(0), F.col("n").cast("int"), k)).alias("kmer"))
+        return words.groupBy(*keys).agg(F.count("*").alias("total"), F.hll_sketch_estimate(F.hll_sketch_agg("kmer", F.lit(14))).alias("distinct")).select("taxid", "barcode", "total", "distinct", "capped")
+
+    def split(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch.column(3).to_pylist()]
+            sizes = np.array([len(t) + 1 for t in texts], np.int64)
+            body = b"\n".join(texts)
+            starts, ends, minimisers = super_kmers(body, k)
+            row = pa.array(np.searchsorted(np.cumsum(sizes), starts, side="right"))
+            pieces = [body[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in range(3)), pa.array(minimisers), pa.array(pieces, pa.string())], names=[*keys, "minimiser", "piece"])
+
+    typed = ", ".join(f"{c} {runs.schema[c].dataType.simpleString()}" for c in keys)
+    pieces = runs.select(*keys, "segment").mapInArrow(split, f"{typed}, minimiser long, piece string")
+    pieces = pieces.groupBy(*keys, "minimiser", "piece").agg(F.count("*").alias("n"))
+    dealt = pieces.repartition("taxid", "barcode", "minimiser").sortWithinPartitions("taxid", "barcode", "minimiser", "piece")
+
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        now, seen, total = None, set(), 0
+        out: dict = {}
+
+        def close():
+            if now is not None:
+                own = out.setdefault(now[:3], [0, 0])
+                own[0] += total
+                own[1] += len(seen)
+
+        for batch in batches:
+            for taxid, barcode, capped, minimiser, piece, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if (taxid, barcode, capped, minimiser) != now:
+                    close()
+                    now, seen, total = (taxid, barcode, capped, minimiser), set(), 0
+                total += n * (len(piece) - k + 1)
+                seen.update(piece[j : j + k] for j in range(len(piece) - k + 1))
+        close()
+        columns = list(zip(*[(*key, *own) for key, own in out.items()])) or [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, arrow_types)], names=[*keys, "total", "distinct"])
+
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import LongType
+
+    arrow_types = [to_arrow_type(t) for t in [*(runs.schema[c].dataType for c in keys), LongType(), LongType()]]
+    found = dealt.mapInArrow(count, f"{typed}, total long, distinct long")
+    return found.groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct")).select("taxid", "barcode", "total", "distinct", "capped")
 
 
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:

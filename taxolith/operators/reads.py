@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxolith.functions.distributions import shuffle_read
-from taxolith.functions.scalar import at_tract, tiles, translate
+from taxolith.functions.draws import key_array, word_array
+from taxolith.functions.scalar import tiles, translate
 from taxolith.functions.windows import keep_first, merge_intervals
 
 
@@ -41,19 +41,55 @@ def first_reads(reads: DataFrame, n: int) -> DataFrame:
     return reads.where(F.col("pos") < n)
 
 
+def longest_runs(flags):
+    """Longest run of true values in each row."""
+    import numpy as np
+
+    places = np.arange(flags.shape[1])
+    last = np.maximum.accumulate(np.where(flags, -1, places), axis=1)
+    return (places - last).max(axis=1, initial=0)
+
+
 def polya(reads: DataFrame, tracts: Sequence[int] = (6, 8, 10, 12), permutations: int = 20, seed: int = 1) -> DataFrame:
-    """Reads with A/T tracts against composition-preserving shuffles of them (CMP-22, UDF-2).
+    """Reads with A/T tracts against shuffles of their letters (CMP-22, UDF-2).
 
-    The ratio is smoothed by half a count on either side.
+    A shuffle sorts a read's letters by counters of a hash of its id, mate, the permutation and the
+    place. All shuffles of a read are made at once and only counts leave the task. The ratio is smoothed by half a
+    count on either side. Null sequences count as empty; reads that share an id and mate are shuffled alike.
     """
-    draws = reads.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(permutations))))
-    shuffled = shuffle_read(F.col("seq"), F.concat_ws("#", "read_id", F.col("draw").cast("string")), F.col("mate"), seed, "mono")
-    draws = draws.withColumn("_seq", F.when(F.col("draw") == 0, F.col("seq")).otherwise(shuffled))
-    flags = [F.struct(F.lit(kind).alias("tract"), F.lit(n).alias("length"), at_tract(F.col("_seq"), n, kind == "mixed").alias("hit")) for kind in ("mixed", "homopolymer") for n in tracts]
-    rows = draws.select("sample", "draw", F.inline(F.array(*flags)))
-    per = rows.groupBy("sample", "tract", "length").agg(
-        F.count_if(F.col("draw") == 0).alias("reads"), F.count_if((F.col("draw") == 0) & F.col("hit")).alias("observed"), F.count_if((F.col("draw") > 0) & F.col("hit")).alias("shuffled")
-    )
+
+    def compute(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        counts: dict = {}
+        numbers = np.arange(1, permutations + 1)[:, None]
+        for batch in batches:
+            keys = key_array([f"{r}#{m}" for r, m in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())])
+            for sample, key, seq in zip(batch.column(0).to_pylist(), keys, batch.column(3)):
+                octets = np.frombuffer((seq.as_py() or "").encode("utf-32-le", "surrogatepass"), "<u4")
+                own = counts.setdefault(sample, np.zeros((2, len(tracts), 3), np.int64))
+                own[:, :, 0] += 1
+                # a stretch of shuffles at a time, so that a very long read takes bounded room
+                step = max(1, min(permutations, 4_000_000 // max(len(octets), 1)))
+                for at in range(-step, permutations, step):
+                    if at < 0:
+                        some = octets[None, :]
+                    else:
+                        draws = word_array(seed, key, numbers[at : at + step], np.arange(len(octets)))
+                        some = octets[np.argsort(draws, axis=1, kind="stable")]
+                    a, t = some == ord("A"), some == ord("T")
+                    for kind, longest in enumerate((longest_runs(a | t), np.maximum(longest_runs(a), longest_runs(t)))):
+                        for k, n in enumerate(tracts):
+                            own[kind, k, 1 if at < 0 else 2] += int((longest >= n).sum())
+        rows = [(s, ("mixed", "homopolymer")[kind], n, *map(int, own[kind, k])) for s, own in counts.items() for kind in (0, 1) for k, n in enumerate(tracts)]
+        names = ["sample", "tract", "length", "reads", "observed", "shuffled"]
+        kinds = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds)], names=names)
+
+    source = reads.select(F.col("sample").cast("string"), F.col("read_id").cast("string"), F.col("mate").cast("string"), F.col("seq").cast("string"))
+    found = source.mapInArrow(compute, "sample string, tract string, length int, reads long, observed long, shuffled long")
+    per = found.groupBy("sample", "tract", "length").agg(*[F.sum(c).alias(c) for c in ("reads", "observed", "shuffled")])
     expected = (F.col("shuffled") + 0.5) / (permutations + 0.5)
     return per.withColumn("expected", expected).withColumn("ratio", (F.col("observed") + 0.5) / (expected + 0.5))
 

@@ -967,12 +967,6 @@ def agg21_fragment_stats(spark, d):
     return R.fragment_stats(T.table(spark, d, "documents").select(F.col("source").alias("sample"), F.col("text").alias("seq"))).select("sample", "reads", *r6("mean_length", "gc"))
 
 
-@query()
-def cmp22_polya(spark, d):
-    reads = T.table(spark, d, "conversations").select(F.lit("all").alias("sample"), F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("read_id"), F.lit(1).alias("mate"), F.upper("text").alias("seq"))
-    return R.polya(reads, (3, 4))
-
-
 @query()
 def udf2_shuffle_reads(spark, d):
     from taxolith.functions.distributions import shuffle_read

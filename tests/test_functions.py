@@ -1,3 +1,4 @@
+import pytest
 import collections
 import math
 from collections import Counter
@@ -83,3 +84,40 @@ def test_shuffles_keep_pairs_of_letters():
             assert Counter(zip(text, text[1:])) == Counter(zip(out, out[1:])) and out[0] == text[0] and out[-1] == text[-1]
     seen = Counter(D.shuffled("ABACA", seed, "dinuc") for seed in range(2000))
     assert set(seen) == {"ABACA", "ACABA"} and min(seen.values()) > 850
+
+
+def test_adjustment_over_ranges_of_large_families(spark):
+    """Equal to running extremes over each whole family, wherever ranges cut it; no task gets a whole table."""
+    import numpy as np
+
+    draw = np.random.default_rng(4)
+    rows = [(g, int(k), None if draw.random() < 0.02 else float(np.round(draw.random() ** 3, 3))) for g in ("one", "two", None) for k in range(900 if g else 50)]
+    df = spark.createDataFrame(rows, "g string, k int, p double")
+
+    def plain(values, method):
+        values = sorted(values)
+        m, out, best = len(values), {}, None
+        for i in range(m, 0, -1) if method == "bh" else range(1, m + 1):
+            p, k = values[i - 1]
+            own = p * m / i if method == "bh" else min(1.0, (m - i + 1) * p)
+            best = own if best is None else min(best, own) if method == "bh" else max(best, own)
+            out[k] = min(1.0, best)
+        return out
+
+    for method in ("bh", "holm"):
+        for by in (["g"], []):
+            made = W.adjusted(df, "p", by, ["k", "g"], method)
+            families = {}
+            for g, k, p in rows:
+                if p is not None:
+                    families.setdefault(g if by else 0, []).append((p, (k, g is not None, g or "")))
+            want = {key: q for own in families.values() for key, q in plain(own, method).items()}
+            if not by:
+                want = plain(families[0], method)
+            got = {(r["k"], r["g"] is not None, r["g"] or ""): r["q"] for r in made.collect()}
+            assert len(got) == len(rows)
+            for g, k, p in rows:
+                key = (k, g is not None, g or "")
+                assert (got[key] is None) if p is None else got[key] == pytest.approx(want[key])
+        assert "SinglePartition" not in made._jdf.queryExecution().executedPlan().toString()
+    assert W.adjusted(df.where("false"), "p", [], ["k"]).collect() == []

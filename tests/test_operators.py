@@ -199,3 +199,38 @@ def test_report_texts_of_any_depth(spark):
 
 def test_group_columns(spark):
     assert X.group_columns(None) == [] and X.group_columns(spark.createDataFrame([("s", "g")], "sample string, site string")) == ["site"]
+
+
+def test_kmer_evidence_against_all_k_mers(spark):
+    """Super-k-mers count what a row per k-mer would, for any barcode number; the flag says when some are cut."""
+    import random
+
+    from taxolith.operators.cells import kmer_evidence, super_kmers
+
+    draw, k = random.Random(2), 15
+    core = "".join(draw.choice("ACGT") for _ in range(60))
+    rows, want = [], {}
+    for n in range(200):
+        seq = "".join(draw.choice("ACGT") for _ in range(draw.randint(5, 90)))
+        seq = seq[:20] + core[: draw.randint(0, 60)] + ("N" if n % 7 == 0 else "") + seq[20:] + "A" * (n % 40)
+        total = max(len(seq) - k + 1, 0)
+        first, skip = total // 3, total // 4
+        runs = f"7:{first} 0:{skip} 7:{total - first - skip}"
+        taxid, barcode = ("7", "8")[n % 2], f"b{n % 13}" if n % 10 else None
+        rows.append((taxid, barcode, seq, runs if n % 11 else None, f"r{n}"))
+        if taxid == "7" and n % 11:
+            words = [seq[j : j + k] for j in range(total) if (j < first or j >= first + skip) and "N" not in seq[j : j + k]]
+            if words:
+                want.setdefault(barcode, []).extend(words)
+    reads = spark.createDataFrame(rows, "taxid string, barcode string, seq string, runs string, read_id string")
+    got = {r["barcode"]: (r["total"], r["distinct"], r["capped"]) for r in kmer_evidence(reads, k).collect()}
+    assert got == {b: (len(w), len(set(w)), False) for b, w in want.items()}
+    near = {r["barcode"]: (r["total"], r["distinct"]) for r in kmer_evidence(reads, k, sketch=True).collect()}
+    assert all(near[b][0] == t and abs(near[b][1] - d) <= 0.05 * d + 1 for b, (t, d, _) in got.items())
+    few = kmer_evidence(reads.where("barcode IS NOT NULL"), k, max_barcodes=3).collect()
+    assert sorted(r["barcode"] for r in few) == sorted(b for b in want if b)[:3] and all(r["capped"] for r in few)
+    text = (core + "N" + core[:k] + "\n" + core[: k - 1]).encode()
+    starts, ends, _ = super_kmers(text, k)
+    covered = sorted(j for a, b in zip(starts, ends) for j in range(a, b - k + 1))
+    assert covered == [j for j in range(len(text) - k + 1) if set(text[j : j + k]) <= set(b"ACGT")]
+    assert kmer_evidence(reads.where("false"), k).collect() == []

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from taxolith.queries import cohorts, core, formats, statistics  # noqa: F401  (all register their queries in core)
+from taxolith.queries import cohorts, core, formats, reads, statistics  # noqa: F401  (all register their queries in core)
 
 FOLDER = "/root/testdata/sf0.001"
 
