@@ -61,6 +61,15 @@ def nullsafe_join(df: DataFrame, few: DataFrame, keys: Sequence[str]) -> DataFra
     return df.join(other, same).drop(*[f"_k_{k}" for k in keys])
 
 
+def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Rows numbered from 0 in an order, without gathering them in one task: ranges are counted, then numbered each."""
+    ranges = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = ranges.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", before.alias("_before"))  # a row per range
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return ranges.withColumn(name, own.cast("long")).join(F.broadcast(counts), "_part").withColumn(name, F.col(name) + F.col("_before")).select(*df.columns, name)
+
+
 def first_n(df: DataFrame, by: Sequence[str], order: Sequence, n: int) -> DataFrame:
     """The first ``n`` rows of each group (WIN-4, TOP-6, TOP-7)."""
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))

@@ -1004,12 +1004,13 @@ def top7_mapping_targets(spark, d):
 
 
 @query(
-    """, p AS (SELECT source AS sample, CAST(doc_id AS VARCHAR) AS read_id, UPPER(REPLACE(text, 'ß', 'ss')) AS seq FROM documents WHERE n_chars % 3 > 0)
+    """, p AS (SELECT source AS sample, CAST(doc_id AS VARCHAR) AS read_id, UPPER(REPLACE(text, 'ß', 'ss')) AS seq FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))
     SELECT sample, read_id, taxid, status, seq FROM assign JOIN p USING (sample, read_id)""",
     ASSIGN,
 )
 def joi9_attach_sequences(spark, d):
-    reads = T.table(spark, d, "documents").where("n_chars % 3 > 0").select(F.col("source").alias("sample"), F.concat(F.col("doc_id").cast("string"), F.lit("/1")).alias("read_id"), F.col("text").alias("seq"))
+    """Only documents with labels stand for reads here, so most assignments lack theirs."""
+    reads = T.table(spark, d, "documents").join(T.table(spark, d, "labels"), "doc_id", "left_semi").select(F.col("source").alias("sample"), F.concat(F.col("doc_id").cast("string"), F.lit("/1")).alias("read_id"), F.col("text").alias("seq"))
     return R.attach_sequences(assignments(spark, d), reads).select("sample", "read_id", "taxid", "status", "seq")
 
 

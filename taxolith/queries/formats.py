@@ -147,12 +147,12 @@ def src8_assignments(spark, d):
 
 def reads(spark: SparkSession, d: str) -> DataFrame:
     """Conversations as reads of two mates."""
-    rows = T.table(spark, d, "conversations").where("length(text) > 0")
+    rows = T.table(spark, d, "conversations")
     seq = F.translate("text", "\n\r\t ", "NNNN")
     return rows.select(F.lit("all").alias("sample"), (F.col("turn") % 2 + 1).cast("int").alias("mate"), F.xxhash64("conv_id", "turn").alias("pos"), F.concat_ws("-", text("conv_id"), text("turn")).alias("read_id"), seq.alias("seq")).withColumn("qual", F.expr("repeat('I', length(seq))"))
 
 
-READS = r"reads AS (SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS read_id, turn % 2 + 1 AS mate, TRANSLATE(text, chr(10) || chr(13) || chr(9) || ' ', 'NNNN') AS seq FROM conversations WHERE LENGTH(text) > 0)"
+READS = r"reads AS (SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS read_id, turn % 2 + 1 AS mate, TRANSLATE(text, chr(10) || chr(13) || chr(9) || ' ', 'NNNN') AS seq FROM conversations)"
 
 
 def fastq_files(spark: SparkSession, d: str) -> list[str]:
@@ -328,7 +328,7 @@ def snk4_biom(spark, d):
     rows, path = T.abundance(spark, d), folder(spark)
     K.write_biom(rows, rows, rows.select("sample").distinct().withColumn("kind", F.lit("x")), path)
     schema = "rows array<struct<id: string>>, columns array<struct<id: string>>, data array<array<double>>"
-    table = spark.read.text(path).select(F.from_json("value", schema).alias("t")).select("t.rows", "t.columns", F.explode("t.data").alias("c"))
+    table = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("t")).select("t.rows", "t.columns", F.explode("t.data").alias("c"))
     at = lambda k: F.get("c", F.lit(k))
     return table.select(F.get("rows", at(0).cast("int"))["id"].alias("taxid"), F.get("columns", at(1).cast("int"))["id"].alias("sample"), at(2).alias("count"))
 
@@ -347,6 +347,60 @@ def snk6_write_matrix(spark, d):
     return wide.unpivot("taxid", [c for c in wide.columns if c != "taxid"], "sample", "value").select("taxid", "sample", F.col("value").cast("double").alias("count")).where("count > 0")
 
 
+@query("SELECT taxid AS id, taxid, name, SUM(count) AS total_reads, ROUND(COUNT(*) FILTER (WHERE count >= 10) / (SELECT COUNT(DISTINCT sample) FROM cohort), 4) AS prevalence FROM cohort GROUP BY taxid, name", T.COHORT)
+def snk6_otu_labels(spark, d):
+    path = folder(spark)
+    K.write_otu(T.cohort(spark, d), path)
+    rows = spark.read.csv(f"{path}/taxa", sep="\t", header=True)
+    return rows.select("id", "taxid", "name", F.col("total_reads").cast("decimal(38,2)").cast("double").alias("total_reads"), F.col("prevalence").cast("double").alias("prevalence"))
+
+
+@query("SELECT taxid AS id, sample, count FROM cohort WHERE count > 0", T.COHORT)
+def snk6_write_otu(spark, d):
+    path = folder(spark)
+    K.write_otu(T.cohort(spark, d), path)
+    wide = spark.read.csv(f"{path}/otu", sep="\t", header=True)
+    long = wide.unpivot("#OTU ID", [c for c in wide.columns if c != "#OTU ID"], "sample", "value")
+    return long.select(F.col("#OTU ID").alias("id"), "sample", F.col("value").cast("double").alias("count")).where("count > 0")
+
+
+@query("SELECT 'PRJ1' AS query, 'ERR' || o_custkey AS run, CASE WHEN o_custkey % 3 = 0 THEN 'ERR' || o_custkey ELSE 'X' || o_custkey END AS experiment, 'S' || MIN_BY(o_orderpriority, o_orderkey) AS sample FROM orders GROUP BY o_custkey")
+def snk8_write_runsheet(spark, d):
+    """Repeated runs are written once, missing experiments take the run's id."""
+    run, path = F.concat(F.lit("ERR"), text("o_custkey")), folder(spark)
+    rows = T.table(spark, d, "orders").select(F.col("o_orderkey").alias("pos"), run.alias("run"), F.when(F.col("o_custkey") % 3 > 0, F.concat(F.lit("X "), text("o_custkey"))).alias("experiment"), F.concat(F.lit("  S"), "o_orderpriority").alias("sample"))
+    K.write_runsheet(rows, path, "PRJ1")
+    back = spark.read.csv(path, header=True)
+    return back.withColumn("experiment", F.replace("experiment", F.lit(" "), F.lit("")))
+
+
+def touched(spark: SparkSession, names: list[str]) -> str:
+    """A folder of files of one byte with given names, in Spark's file system."""
+    path = folder(spark)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in names:
+        out = files.create(spark._jvm.org.apache.hadoop.fs.Path(at, name))
+        out.write(10)  # Spark passes over empty files
+        out.close()
+    return path
+
+
+@query("SELECT n_name AS sample, CASE WHEN n_nationkey % 2 = 0 THEN 1 ELSE 2 END AS files FROM nation")
+def src26_pair_fastqs(spark, d):
+    """Every other nation has one file, the others have two."""
+    own = [(r["n_name"], r["n_nationkey"] % 2) for r in T.table(spark, d, "nation").select("n_name", "n_nationkey").collect()]  # file names
+    path = touched(spark, [n for name, pair in own for n in ([f"{name}_R1_001.fastq.gz", f"{name}_R2_001.fastq.gz"] if pair else [f"{name}.fq.gz"])])
+    return S.pair_fastqs(spark, path).select("sample", F.size("mates").alias("files"))
+
+
+@query("SELECT DISTINCT 'SRR' || s_nationkey AS accession FROM supplier")
+def src27_parse_accessions(spark, d):
+    """A list with repeats and comments."""
+    own = T.table(spark, d, "supplier").select("s_nationkey", "s_name").collect()  # an argument's text
+    return S.parse_accessions(spark, ",".join(f"SRR{r['s_nationkey']}" if k % 2 else f"\nSRR{r['s_nationkey']} # {r['s_name']}\n" for k, r in enumerate(own)))
+
+
 def drained(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
     """All rows of a stream over what is there now, by way of a table; the last state in complete mode.
 
@@ -369,6 +423,7 @@ def str1_release_groups(spark, d):
     """Orders come out when all their lines are there."""
     lines = T.table(spark, d, "lineitem").select(text("l_orderkey").alias("key"), text("l_linenumber").alias("member"))
     expected = lines.groupBy("key").agg(F.count_distinct("member").alias("expected"))
+    G.use_state_store(spark)
     released = G.release_groups(streamed(spark, lines.join(expected, "key")))
     return drained(spark, released, "append").select("key", F.size("members").cast("long").alias("n"), "complete")
 

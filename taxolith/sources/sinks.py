@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from taxolith.operators.accounting import refuse
+from taxolith.functions.windows import numbered
+from taxolith.operators.accounting import clean_runs, refuse
 from taxolith.operators.merge import wide_matrix
+from taxolith.plans.materialise import cut
 
 # File name patterns of a results bundle.
 BUNDLE = {
@@ -38,38 +39,68 @@ def write_tsv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True, nullValue="NA")
 
 
-def write_runsheet(runs: DataFrame, path: str) -> None:
-    """The cleaned run sheet (SNK-8)."""
-    write_tsv(runs, path)
+def write_runsheet(runs: DataFrame, path: str, query: str = "") -> None:
+    """The cleaned run sheet as CSV, the accession that was asked for first (SNK-8); a sheet without runs is refused."""
+    rows = clean_runs(runs).orderBy("pos")
+    if rows.isEmpty():
+        raise ValueError("no run is left to write")
+    rows.select(F.lit(query).alias("query"), *[c for c in rows.columns if c != "pos"]).coalesce(1).write.mode("overwrite").csv(path, header=True, emptyValue="", nullValue="")
+
+
+def otu_labels(abundance: DataFrame, min_reads: float = 10) -> DataFrame:
+    """``id, taxid, name, total_reads, prevalence``: a label without white space for every taxon, its taxid or else its name (SNK-6)."""
+    samples = abundance.select("sample").distinct().count()
+    label = F.coalesce(F.nullif(F.col("taxid"), F.lit("")), F.translate("name", " ", "_"))
+    per = abundance.groupBy(label.alias("id"), "taxid", "name").agg(F.sum("count").alias("total_reads"), F.count_if(F.col("count") >= min_reads).alias("_seen"))
+    return per.select("id", "taxid", "name", "total_reads", F.round(F.col("_seen") / F.lit(max(samples, 1)), 4).alias("prevalence"))
+
+
+def write_otu(abundance: DataFrame, path: str, min_reads: float = 10) -> None:
+    """``otu``, a table of labels x samples, and ``taxa``, what the labels stand for, under ``path`` (SNK-6); equal labels are refused."""
+    labels = otu_labels(abundance, min_reads)
+    refuse(labels.groupBy("id").agg(F.count("*").alias("taxa")).where("taxa > 1"), "labels that stand for several taxa")
+    named = abundance.withColumn("#OTU ID", F.coalesce(F.nullif(F.col("taxid"), F.lit("")), F.translate("name", " ", "_")))
+    write_matrix(named, "#OTU ID", "count", f"{path}/otu")
+    write_tsv(labels.orderBy("id"), f"{path}/taxa")
 
 
 def biom_triplets(abundance: DataFrame, keep: DataFrame, metadata: DataFrame) -> DataFrame:
     """``row, col, taxid, sample, count`` of kept taxa with rows numbered from 0, zero cells left out (SNK-4)."""
     rows = abundance.join(keep.select("taxid").distinct(), "taxid", "left_semi").where("count > 0")
     refuse(rows.select("sample").distinct().join(metadata, "sample", "left_anti"), "samples without metadata")
-    number = lambda c: F.dense_rank().over(Window.orderBy(c)) - 1
-    taxa, samples = rows.select("taxid").distinct().withColumn("row", number("taxid")), rows.select("sample").distinct().withColumn("col", number("sample"))
+    taxa, samples = numbered(rows.select("taxid").distinct(), ["taxid"], "row"), numbered(rows.select("sample").distinct(), ["sample"], "col")
     return rows.join(taxa, "taxid").join(samples, "sample").select("row", "col", "taxid", "sample", "count")
 
 
 def write_biom(abundance: DataFrame, keep: DataFrame, metadata: DataFrame, path: str) -> None:
     """Sparse BIOM 1.0 JSON in one file; an empty table is refused (SNK-4).
 
-    The format is a single document, so it suits cohort tables of bounded size.
+    The document is written line by line, a row for every taxon, sample and cell, sorted and
+    streamed by the one task that a single document needs; nothing is gathered in memory.
     """
-    cells = biom_triplets(abundance, keep, metadata)
+    cells = cut(biom_triplets(abundance, keep, metadata))
     if cells.isEmpty():
         raise ValueError("no cell is left to export")
-    ordered = lambda *c: F.sort_array(F.collect_set(F.struct(*c)))
+    ends = cells.agg(F.max("row"), F.max("col"), F.max(F.struct("row", "col"))).first()
+    whole = {"ignoreNullFields": "false"}
     columns = [c for c in metadata.columns if c != "sample"]
-    info = cells.select("col", "sample").distinct().join(metadata, "sample").withColumn("metadata", F.to_json(F.struct(*columns)) if columns else F.lit("null"))
-    table = cells.agg(
-        F.transform(ordered("row", "taxid"), lambda x: F.struct(x["taxid"].alias("id"), F.lit(None).cast("string").alias("metadata"))).alias("rows"),
-        F.transform(ordered("row", "col", "count"), lambda x: F.array(x["row"].cast("double"), x["col"].cast("double"), x["count"].cast("double"))).alias("data"),
-        F.array(F.max("row") + 1, F.max("col") + 1).alias("shape"),
-    ).crossJoin(info.agg(F.transform(ordered("col", "sample", "metadata"), lambda x: F.struct(x["sample"].alias("id"), x["metadata"].alias("metadata"))).alias("columns")))
-    fixed = {"id": "table", "format": "Biological Observation Matrix 1.0.0", "type": "Taxon table", "matrix_type": "sparse", "matrix_element_type": "float"}
-    table.select(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in fixed.items()], "rows", "columns", "shape", "data")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    about = F.struct(*columns) if columns else F.lit(None).cast("string")
+    comma = lambda last: F.when(last, "").otherwise(",")
+    zero = F.lit(0).cast("long")
+
+    def part(rows: DataFrame, section: int, a, b, value) -> DataFrame:
+        return rows.select(F.lit(section).alias("section"), a.alias("a"), b.alias("b"), value.alias("value"))
+
+    fixed = '"id":"table","format":"Biological Observation Matrix 1.0.0","type":"Taxon table","matrix_type":"sparse","matrix_element_type":"float"'
+    frame = [(0, "{" + fixed + ',"rows":['), (2, '],"columns":['), (4, f'],"shape":[{ends[0] + 1},{ends[1] + 1}],"data":['), (6, "]}")]
+    lines = abundance.sparkSession.createDataFrame(frame, "section int, value string").select("section", zero.alias("a"), zero.alias("b"), "value")
+    taxa = cells.select("row", "taxid").distinct()
+    lines = lines.union(part(taxa, 1, F.col("row"), zero, F.concat(F.to_json(F.struct(F.col("taxid").alias("id"), F.lit(None).cast("string").alias("metadata")), whole), comma(F.col("row") == ends[0]))))
+    samples = cells.select("col", "sample").distinct().join(metadata, "sample")
+    lines = lines.union(part(samples, 3, F.col("col"), zero, F.concat(F.to_json(F.struct(F.col("sample").alias("id"), about.alias("metadata")), whole), comma(F.col("col") == ends[1]))))
+    number = F.concat(F.lit("["), F.col("row"), F.lit(","), F.col("col"), F.lit(","), F.col("count").cast("double").cast("string"), F.lit("]"), comma((F.col("row") == ends[2]["row"]) & (F.col("col") == ends[2]["col"])))
+    lines = lines.union(part(cells, 5, F.col("row"), F.col("col"), number))
+    lines.repartition(1).sortWithinPartitions("section", "a", "b").select("value").write.mode("overwrite").text(path)
 
 
 def plan_bundle(spark: SparkSession, files: DataFrame, patterns: dict[str, str] = BUNDLE) -> DataFrame:
@@ -84,7 +115,12 @@ def require_one_format(plan: DataFrame) -> None:
 
 
 def write_fastq(reads: DataFrame, path: str) -> None:
-    """Reads back as compressed FASTQ, a folder for each sample and mate, in record order within each file (SNK-7)."""
+    """Reads back as compressed FASTQ, a folder for each sample and mate (SNK-7).
+
+    Reads are dealt to ranges of (sample, mate, pos), so a large sample is written by many tasks. Each
+    writes gzip members; those of a folder, one after the other in the order of their names, are
+    the sample's file in record order. Spark's committer takes back what failed tasks wrote.
+    """
     record = F.concat(F.lit("@"), F.col("read_id"), F.lit("\n"), F.col("seq"), F.lit("\n+\n"), F.col("qual"))
-    rows = reads.select("sample", "mate", "pos", record.alias("value")).repartition("sample", "mate").sortWithinPartitions("sample", "mate", "pos")
+    rows = reads.select("sample", "mate", "pos", record.alias("value")).repartitionByRange("sample", "mate", "pos").sortWithinPartitions("sample", "mate", "pos")
     rows.select("sample", "mate", "value").write.mode("overwrite").partitionBy("sample", "mate").text(path, compression="gzip")

@@ -5,42 +5,69 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from taxolith.functions.scalar import carries_host
 
 
+class Release(StatefulProcessor):
+    """Members of an open group as a map, the number that is expected as a value, and a timer."""
+
+    def __init__(self, timeout_ms: int):
+        self.timeout_ms = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.members = handle.getMapState("members", "member string", "seen boolean")
+        self.open = handle.getValueState("open", "expected long, members long, timer long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        before = self.open.get() if self.open.exists() else None
+        expected, n, timer = before or (0, 0, None)
+        for batch in rows:
+            expected = max(expected, int(batch["expected"].max()))
+            for member in batch["member"].unique():
+                if not self.members.containsKey((member,)):
+                    self.members.updateValue((member,), (True,))
+                    n += 1
+        if timer is not None:
+            self.handle.deleteTimer(timer)
+        if n >= expected:
+            yield self.released(key, True)
+            return
+        timer = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms
+        self.handle.registerTimer(timer)
+        self.open.update((expected, n, timer))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self.released(key, False)
+
+    def released(self, key, complete: bool) -> pd.DataFrame:
+        held = sorted(k[0] for k in self.members.keys())
+        self.members.clear()
+        self.open.clear()
+        return pd.DataFrame({"key": [key[0]], "members": [held], "complete": [complete]})
+
+    def close(self) -> None:
+        pass
+
+
 def release_groups(members: DataFrame, timeout_ms: int = 60_000) -> DataFrame:
     """Release a group as soon as its expected members are there, the rest after a timeout (STR-1).
 
     ``members(key string, member string, expected long)``. Repeated members count once.
-    Returns ``key, members array<string>, complete``. State is one list per open group and goes when it is released.
+    Returns ``key, members array<string>, complete``. A batch adds its members to the group's state and reads
+    the whole group only when it is released; each arrival sets the timer anew. Needs the
+    RocksDB state store (``use_state_store``).
     """
+    return members.groupBy("key").transformWithStateInPandas(Release(timeout_ms), "key string, members array<string>, complete boolean", "Append", "ProcessingTime")
 
-    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = list(state.get[0]) if state.exists else []
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame({"key": [key[0]], "members": [sorted(held)], "complete": [False]})
-            return
-        expected = 0
-        for batch in batches:
-            held += batch["member"].tolist()
-            expected = max(expected, int(batch["expected"].max()))
-        held = sorted(set(held))
-        if len(held) >= expected:
-            if state.exists:
-                state.remove()
-            yield pd.DataFrame({"key": [key[0]], "members": [held], "complete": [True]})
-        else:
-            state.update((held,))
-            state.setTimeoutDuration(timeout_ms)
 
-    return members.groupBy("key").applyInPandasWithState(
-        advance, "key string, members array<string>, complete boolean", "held array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout
-    )
+def use_state_store(spark: SparkSession) -> None:
+    """Keep the state of streams that start from now on in RocksDB, on the executors' disks."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def running_taxa(assignments: DataFrame, host: str) -> DataFrame:
@@ -58,11 +85,3 @@ def first_runs(runs: DataFrame, watermark: str | None = None, time_col: str = "t
 def with_static(stream: DataFrame, static: DataFrame, key: str) -> DataFrame:
     """A stream joined with a table that stays (STR-4)."""
     return stream.join(static, key, "left")
-
-
-def windowed_counts(events: DataFrame, time_col: str = "ts", width: str = "1 hour", late: str = "2 hours") -> DataFrame:
-    """Counts and sums of each window and type, late rows dropped beyond the watermark."""
-    return (
-        events.withWatermark(time_col, late).groupBy(F.window(time_col, width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
-        .select(F.col("w.start").alias("start"), "event_type", "n", "total")
-    )

@@ -1,9 +1,9 @@
-import pytest
 import collections
 import math
 from collections import Counter
 from fractions import Fraction
 
+import pytest
 from pyspark.sql import functions as F
 
 from taxolith.functions import distributions as D

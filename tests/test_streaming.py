@@ -1,6 +1,6 @@
 import time
 
-from taxolith.streaming.groups import first_runs, release_groups, running_taxa
+from taxolith.streaming.groups import first_runs, release_groups, running_taxa, use_state_store
 
 
 def drain(frame, name, mode, rows):
@@ -16,14 +16,38 @@ def drain(frame, name, mode, rows):
     return frame.sparkSession.table(name).collect()
 
 
+MEMBERS = "key string, member string, expected long"
+
+
 def test_groups_come_out_when_complete(spark, tmp_path):
+    use_state_store(spark)
     rows = [("a", "m1", 2), ("a", "m2", 2), ("b", "m1", 3), ("a", "m2", 2)]
-    spark.createDataFrame(rows, "key string, member string, expected long").write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema("key string, member string, expected long").parquet(str(tmp_path / "in"))
+    spark.createDataFrame(rows, MEMBERS).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(MEMBERS).parquet(str(tmp_path / "in"))
     got = drain(release_groups(stream), "released", "append", 1)
     assert [(r.key, r.members, r.complete) for r in got] == [("a", ["m1", "m2"], True)]
 
 
+def test_late_groups_come_out_incomplete(spark, tmp_path):
+    use_state_store(spark)
+    spark.createDataFrame([("a", "m1", 3), ("a", "m2", 3)], MEMBERS).write.parquet(str(tmp_path / "in"))
+    got = drain(release_groups(spark.readStream.schema(MEMBERS).parquet(str(tmp_path / "in")), timeout_ms=1500), "late", "append", 1)
+    assert [(r.key, r.members, r.complete) for r in got] == [("a", ["m1", "m2"], False)]
+
+
+def test_groups_go_on_after_a_restart(spark, tmp_path):
+    """Members that came before the restart are in the state that the checkpoint holds."""
+    use_state_store(spark)
+    source, out, at = (str(tmp_path / n) for n in ("in", "out", "at"))
+    for rows in ([("a", "m1", 3), ("b", "n1", 2)], [("a", "m2", 3), ("a", "m1", 3)], [("a", "m3", 3), ("b", "n2", 2), ("c", "o", 1)]):
+        spark.createDataFrame(rows, MEMBERS).coalesce(1).write.mode("append").parquet(source)
+        stream = release_groups(spark.readStream.schema(MEMBERS).parquet(source), 3_600_000)
+        write = lambda batch, _: batch.write.mode("append").parquet(out)
+        stream.writeStream.outputMode("append").option("checkpointLocation", at).trigger(once=True).foreachBatch(write).start().awaitTermination()
+    got = sorted((r.key, r.members, r.complete) for r in spark.read.parquet(out).collect())
+    assert got == [("a", ["m1", "m2", "m3"], True), ("b", ["n1", "n2"], True), ("c", ["o"], True)]
+
+
 def test_running_counts_and_first_runs(spark, tmp_path):
     rows = [("S", "7", "7:3"), ("S", "7", "9606:1 7:2"), ("S", "8", "8:1")]
     spark.createDataFrame(rows, "sample string, taxid string, runs string").write.parquet(str(tmp_path / "in"))
