@@ -386,10 +386,10 @@ def touched(spark: SparkSession, names: list[str]) -> str:
     return path
 
 
-@query("SELECT n_name AS sample, CASE WHEN n_nationkey % 2 = 0 THEN 1 ELSE 2 END AS files FROM nation")
+@query("SELECT n_name || 'x' AS sample, CASE WHEN n_nationkey % 2 = 0 THEN 1 ELSE 2 END AS files FROM nation")
 def src26_pair_fastqs(spark, d):
     """Every other nation has one file, the others have two."""
-    own = [(r["n_name"], r["n_nationkey"] % 2) for r in T.table(spark, d, "nation").select("n_name", "n_nationkey").collect()]  # file names
+    own = [(r["n_name"] + "x", r["n_nationkey"] % 2) for r in T.table(spark, d, "nation").select("n_name", "n_nationkey").collect()]  # file names
     path = touched(spark, [n for name, pair in own for n in ([f"{name}_R1_001.fastq.gz", f"{name}_R2_001.fastq.gz"] if pair else [f"{name}.fq.gz"])])
     return S.pair_fastqs(spark, path).select("sample", F.size("mates").alias("files"))
 
