@@ -348,7 +348,7 @@ def pairwise_wilcoxon(view: DataFrame, groups: DataFrame, min_n: int = 2) -> Dat
     rows = dense(view).join(groups, "sample").select("taxid", "group", "count")
     sizes = groups.groupBy("group").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_n).select("group")
     pairs = sizes.select(F.col("group").alias("g1")).crossJoin(sizes.select(F.col("group").alias("g2"))).where("g1 < g2")
-    both = rows.join(F.broadcast(pairs), (F.col("group") == F.col("g1")) | (F.col("group") == F.col("g2")))
+    both = rows.join(pairs.withColumn("group", F.explode(F.array("g1", "g2"))), "group")
     return adjusted(rank_sum(both, "count", F.col("group") == F.col("g1"), ["taxid", "g1", "g2"]), "p", ["taxid"], ["g1", "g2"])
 
 
@@ -382,15 +382,17 @@ def rarefaction(abundance: DataFrame, points: int = 20, cap: bool = False) -> Da
     return rows.groupBy("sample", "depth").agg(F.sum("_seen").alias("richness"))
 
 
-def decontam_prevalence(abundance: DataFrame, metadata: DataFrame) -> DataFrame:
+def decontam_prevalence(abundance: DataFrame, metadata: DataFrame, above: float = 0) -> DataFrame:
     """2 x 2 presence counts in controls and samples, and the chi-square score (STA-17).
 
+    A taxon is present in a sample with more than ``above`` reads.
+
     ``metadata(sample, is_control)``. The score is the one-sided p that a taxon is more
     prevalent in samples than in controls, from the signed root of the chi-square with
     continuity correction.
     """
     whole = metadata.agg(F.count_if("is_control").alias("nc"), F.count_if(~F.col("is_control")).alias("ns"))
-    seen = abundance.where("count > 0").select("sample", "taxid").distinct().join(metadata, "sample")
+    seen = abundance.where(F.col("count") > above).select("sample", "taxid").distinct().join(metadata, "sample")
     per = seen.groupBy("taxid").agg(F.count_if("is_control").alias("c"), F.count_if(~F.col("is_control")).alias("s")).crossJoin(F.broadcast(whole))
     n, c, s, nc, ns = (F.col(x).cast("double") if isinstance(x, str) else x for x in ("_n", "c", "s", "nc", "ns"))
     per = per.withColumn("_n", F.col("nc") + F.col("ns"))

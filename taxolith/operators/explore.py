@@ -12,7 +12,7 @@ from taxolith.functions.scalar import plain_name, stratum_taxon
 from taxolith.operators.abundance import capped, top_by
 
 #: Letters by which names and queries meet.
-KEY = 4
+KEY = 3
 
 
 def filter_view(
@@ -31,19 +31,32 @@ def filter_view(
     return out if discard is None else out.join(discard.select("name").distinct(), "name", "left_anti")
 
 
+def letters_of(name: str, n: int):
+    """The different runs of ``n`` letters of a column."""
+    last = F.length(name) - n
+    return F.when(last >= 0, F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(F.col(name), k + 1, F.lit(n)))))
+
+
 def match_names(names: DataFrame, queries: DataFrame) -> DataFrame:
     """``query, name, strategy``: exact, else contained, else of the same genus, by plain names (FLT-6).
 
     A query takes the first strategy that finds anything. ``queries(query)`` is what a user
-    typed; each is compared with the different names only, namely those that hold the first
-    letters (at most ``KEY``) of its first word, for which names and queries are joined by equality.
+    typed; what any strategy finds holds the query's first word, so a query is compared with the
+    different names that hold the rarest three letters of that word, or all of it if it is shorter.
     """
     own = names.select("name").distinct().withColumn("_n", plain_name(F.col("name")))
     asked = queries.select("query").distinct().withColumn("_q", plain_name(F.col("query"))).where("_q != ''")
-    asked = asked.withColumn("_g", F.substring_index("_q", " ", 1)).withColumn("_key", F.substring("_g", 1, KEY))
-    lengths, start = F.sequence(F.lit(0), F.lit(KEY)), F.sequence(F.lit(1), F.length("_n") + 1)
-    parts = F.array_distinct(F.flatten(F.transform(start, lambda k: F.transform(lengths, lambda n: F.substring(F.col("_n"), k, n)))))
-    rows = own.withColumn("_key", F.explode(parts)).join(asked, "_key").where(F.col("_n").contains(F.col("_q")) | F.col("_n").contains(F.col("_g"))).drop("_key", "_g")
+    asked = asked.withColumn("_g", F.substring_index("_q", " ", 1)).withColumn("_k", F.least(F.length("_g"), F.lit(KEY)))
+    # a name has a row for each three letters it holds; shorter ones only if a query is as short
+    short = asked.select("_k").distinct().where(F.col("_k") < KEY)
+    held = own.select("name", "_n", F.explode(letters_of("_n", KEY)).alias("_key"))
+    for n in range(1, KEY):
+        some = own.join(short.where(F.col("_k") == n).select(F.lit(True).alias("_some")), how="cross")  # at most one row
+        held = held.union(some.select("name", "_n", F.explode(letters_of("_n", n)).alias("_key")))
+    keys = asked.select("query", "_q", "_g", F.explode(F.when(F.col("_k") == KEY, letters_of("_g", KEY)).otherwise(F.array("_g"))).alias("_key"))
+    often = held.groupBy("_key").agg(F.count("*").alias("_often"))
+    rarest = keys.join(often, "_key", "left").groupBy("query", "_q", "_g").agg(F.min_by("_key", F.struct(F.coalesce("_often", F.lit(0)), "_key")).alias("_key"))
+    rows = held.join(rarest, "_key").where(F.col("_n").contains(F.col("_q")) | F.col("_n").contains(F.col("_g"))).drop("_key", "_g")
     level = F.when(F.col("_n") == F.col("_q"), 1).when(F.col("_n").contains(F.col("_q")), 2).otherwise(3)
     rows = rows.withColumn("_level", level).withColumn("_best", F.min("_level").over(Window.partitionBy("query"))).where("_level = _best")
     return rows.select("query", "name", F.element_at(F.array(F.lit("exact"), F.lit("substring"), F.lit("genus")), F.col("_level")).alias("strategy"))

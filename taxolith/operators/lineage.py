@@ -85,7 +85,7 @@ def resolve_merged(taxids: DataFrame, merged: DataFrame) -> DataFrame:
 def under(lineage: DataFrame, anchors: DataFrame) -> DataFrame:
     """``taxid, anchor``: every taxon at or under an anchor taxid (CMP-7)."""
     nodes = lineage.select("taxid", F.explode(F.array_append("ancestors", F.col("taxid"))).alias("anchor"))
-    return nodes.join(F.broadcast(anchors.select("anchor").distinct()), "anchor").select("taxid", "anchor").distinct()
+    return nodes.join(anchors.select("anchor").distinct(), "anchor").select("taxid", "anchor").distinct()
 
 
 def expand_clade(lineage: DataFrame, ranks: DataFrame, hosts: DataFrame, rank: str = "O") -> DataFrame:

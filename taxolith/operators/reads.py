@@ -13,7 +13,10 @@ from taxolith.functions.windows import keep_first, merge_intervals
 
 
 def extract_reads(reads: DataFrame, assignments: DataFrame, lineage: DataFrame, taxids: Sequence[str], children: bool = True, parents: bool = False) -> DataFrame:
-    """Reads assigned to the taxa, and to those under or above them if asked (CMP-25, JOI-6)."""
+    """Reads assigned to the taxa, and to those under or above them if asked (CMP-25, JOI-6).
+
+    Mate suffixes of ids do not count; a clade may be as large as it is: Spark chooses the joins.
+    """
     wanted = F.array(*[F.lit(t) for t in taxids])
     chosen = F.col("taxid").isin(list(taxids))
     if children:
@@ -21,7 +24,7 @@ def extract_reads(reads: DataFrame, assignments: DataFrame, lineage: DataFrame,
     listed = lineage.where(chosen).select("taxid")
     if parents:
         listed = listed.union(lineage.where(F.col("taxid").isin(list(taxids))).select(F.explode("ancestors").alias("taxid"))).distinct()
-    ids = assignments.join(F.broadcast(listed), "taxid", "left_semi").select("sample", F.regexp_replace("read_id", r"/[12]$", "").alias("_id")).distinct()
+    ids = assignments.join(listed, "taxid", "left_semi").select("sample", F.regexp_replace("read_id", r"/[12]$", "").alias("_id")).distinct()
     return reads.withColumn("_id", F.regexp_replace("read_id", r"/[12]$", "")).join(ids, ["sample", "_id"], "left_semi").drop("_id")
 
 

@@ -467,7 +467,7 @@ def sca4_kmer_runs(spark, d):
 SQL["sca4_kmer_runs"] = SQL["sca4_kmer_runs"].replace("COALESCE(LIST_SUM", "CAST(COALESCE(LIST_SUM").replace(", 0) AS kmers", ", 0) AS BIGINT) AS kmers")
 
 PAIRED = """reads2 AS (SELECT sample, taxid, CAST(count AS BIGINT) AS reads FROM abundance UNION ALL SELECT sample, '0', CAST(SUM(count) AS BIGINT) FROM abundance GROUP BY sample),
-shuffled AS (SELECT sample, taxid, reads // 3 AS reads FROM reads2 WHERE sample <> '1-URGENT' AND (taxid = '0' OR CAST(taxid AS INTEGER) % 3 = 0))"""
+shuffled AS (SELECT sample, taxid, CASE WHEN taxid = '0' THEN reads // 3 ELSE reads * (CAST(taxid AS BIGINT) % 4) // 12 END AS reads FROM reads2 WHERE sample <> '1-URGENT')"""
 
 
 @query(
@@ -483,7 +483,8 @@ shuffled AS (SELECT sample, taxid, reads // 3 AS reads FROM reads2 WHERE sample
 def cmp4_shuffle_compare(spark, d):
     rows = T.abundance(spark, d).select("sample", "taxid", F.col("count").cast("long").alias("reads"))
     real = rows.union(rows.groupBy("sample").agg(F.lit("0").alias("taxid"), F.sum("reads").alias("reads")))
-    shuffled = real.where("sample <> '1-URGENT' AND (taxid = '0' OR CAST(taxid AS INT) % 3 = 0)").withColumn("reads", F.floor(F.col("reads") / 3))
+    kept = F.expr("if(taxid = '0', reads div 3, reads * (CAST(taxid AS LONG) % 4) div 12)")
+    shuffled = real.where("sample <> '1-URGENT'").withColumn("reads", kept)  # one library has no shuffled pass
     return E.shuffle_compare(real, shuffled).select("taxid", "real_reads", "shuffled_reads", *r6("ratio"), "verdict")
 
 
@@ -839,7 +840,7 @@ def metadata(spark, d):
     META,
 )
 def sta17_decontam_prevalence(spark, d):
-    rows = CO.decontam_prevalence(T.cohort(spark, d).where("count > 40"), metadata(spark, d))
+    rows = CO.decontam_prevalence(T.cohort(spark, d), metadata(spark, d), above=40)
     return rows.select("taxid", "c", "s", "nc", "ns", *r6("chi2"))
 
 

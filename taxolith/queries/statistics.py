@@ -239,13 +239,13 @@ def sta8_pairwise_wilcoxon(spark, d):
 
 @query(
     """, c AS (SELECT sample, CAST(ROUND(count) AS BIGINT) AS x, SUM(CAST(ROUND(count) AS BIGINT)) OVER (PARTITION BY sample) AS total FROM abundance WHERE count > 0),
-    step AS (SELECT GREATEST(1, CAST(CEIL(MAX(total) / 10) AS BIGINT)) AS step FROM c),
+    step AS (SELECT GREATEST(1, CAST(CEIL(MAX(total) / 20) AS BIGINT)) AS step FROM c),
     d AS (SELECT sample, x, CAST(total AS BIGINT) AS total, UNNEST(RANGE(1, CAST(total AS BIGINT) + 1, step)) AS depth FROM c, step)
     SELECT sample, depth, ROUND(SUM(1 - CASE WHEN total - x < depth THEN 0 ELSE EXP(LGAMMA(total - x + 1) - LGAMMA(total - x - depth + 1) - LGAMMA(total + 1) + LGAMMA(total - depth + 1)) END), 4) AS richness FROM d GROUP BY 1, 2""",
     T.ABUNDANCE,
 )
 def sta16_rarefaction(spark, d):
-    return CO.rarefaction(T.abundance(spark, d), points=10).select("sample", "depth", F.round("richness", 4).alias("richness"))
+    return CO.rarefaction(T.abundance(spark, d)).select("sample", "depth", F.round("richness", 4).alias("richness"))
 
 
 @query(

@@ -234,3 +234,28 @@ def test_kmer_evidence_against_all_k_mers(spark):
     covered = sorted(j for a, b in zip(starts, ends) for j in range(a, b - k + 1))
     assert covered == [j for j in range(len(text) - k + 1) if set(text[j : j + k]) <= set(b"ACGT")]
     assert kmer_evidence(reads.where("false"), k).collect() == []
+
+
+def test_match_names_finds_what_comparing_all_does(spark):
+    """Any query against any name, also of one and two letters, by the rarest letters."""
+    import random
+    import re
+
+    from taxolith.operators.explore import match_names
+
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abc") for _ in range(draw.randint(1, 5)))
+    names = sorted({f"{draw.choice(['', 's__', 'g__'])}{word()}_{word()}" if draw.random() < 0.7 else word().title() for _ in range(120)})
+    queries = sorted({draw.choice([word(), word() + " " + word(), names[draw.randrange(len(names))], "--", "zzz"]) for _ in range(60)})
+    plain = lambda x: re.sub("[^a-z0-9]+", " ", re.sub("^[a-z]__", "", x.lower())).strip()
+    want = set()
+    for q in queries:
+        p = plain(q)
+        if not p:
+            continue
+        levels = {"exact": [n for n in names if plain(n) == p], "substring": [n for n in names if p in plain(n)], "genus": [n for n in names if p.split(" ")[0] in plain(n)]}
+        strategy = next((k for k, v in levels.items() if v), None)
+        want |= {(q, n, strategy) for n in levels.get(strategy, [])}
+    got = match_names(spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame([(q,) for q in queries], "query string"))
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
