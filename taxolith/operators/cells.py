@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from taxolith.functions.distributions import fisher_greater, hypergeom_cdf, hypergeom_sf, norm_cdf, norm_ppf, rank_correlation_p
-from taxolith.functions.draws import mixed_array
+from taxolith.functions.kmers import BASES, codes_of, super_kmers
 from taxolith.functions.scalar import has_homopolymer, kmer_runs, kmers_at, lineage_share, log2_ratio
 from taxolith.functions.windows import adjusted, average_rank, correlation, first_n, upper_median
 
@@ -56,43 +56,6 @@ def filter_cell_taxa(cells: DataFrame, drop: DataFrame, drop_cells: DataFrame) -
     return out
 
 
-#: Letters of a minimiser, and letters that a k-mer may have.
-MINIMISER = 12
-BASES = b"ACGT"
-
-
-def super_kmers(text: bytes, k: int):
-    """Maximal stretches of ``text`` whose k-mers share a minimiser: arrays of starts, ends and minimisers.
-
-    The minimiser of a k-mer is its m-mer with the least hash, the first of equal ones; equal k-mers have equal ones.
-    K-mers with other letters than ACGT belong to no stretch.
-    """
-    import numpy as np
-
-    m = min(MINIMISER, k)
-    codes = np.full(256, 4, np.uint8)
-    codes[list(BASES)] = range(4)
-    own = codes[np.frombuffer(text, np.uint8)]
-    n = len(own) - k + 1
-    none = np.zeros(0, np.int64)
-    if n <= 0:
-        return none, none, none
-    bad = np.concatenate([[0], np.cumsum(own == 4)])
-    good = bad[k:] == bad[:-k]
-    word = np.zeros(len(own) - m + 1, np.uint64)
-    for j in range(m):
-        word = (word << np.uint64(2)) | (own[j : j + len(word)] & 3).astype(np.uint64)
-    mixed = mixed_array(word ^ np.uint64(0x5BD1E995))
-    least, width, window = mixed, 1, k - m + 1
-    while 2 * width <= window:
-        least, width = np.minimum(least[:-width], least[width:]), 2 * width
-    least = np.minimum(least[:n], least[window - width : window - width + n])
-    begin = good & np.concatenate([[True], (least[1:] != least[:-1]) | ~good[:-1]])
-    end = good & np.concatenate([(least[1:] != least[:-1]) | ~good[1:], [True]])
-    starts = np.flatnonzero(begin)
-    return starts, np.flatnonzero(end) + k, least[starts].astype(np.int64)
-
-
 def own_runs(reads: DataFrame, k: int) -> DataFrame:
     """``taxid, barcode, segment``: the stretches of reads whose k-mers were given to the read's own taxon."""
     runs = reads.select("taxid", "barcode", "seq", "read_id", kmer_runs(F.col("runs")).alias("_runs"))
@@ -130,12 +93,14 @@ def kmer_evidence(reads: DataFrame, k: int = 35, max_barcodes: int | None = None
         import pyarrow as pa
 
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.column(3).to_pylist()]
-            sizes = np.array([len(t) + 1 for t in texts], np.int64)
-            body = b"\n".join(texts)
-            starts, ends, minimisers = super_kmers(body, k)
-            row = pa.array(np.searchsorted(np.cumsum(sizes), starts, side="right"))
-            pieces = [body[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())]
+            texts = [t or "" for t in batch.column(3).to_pylist()]
+            if not texts:
+                continue
+            codes, bad, begins = codes_of(texts, BASES)
+            starts, ends, minimisers = super_kmers(codes, bad, k)
+            own = np.searchsorted(begins, starts, side="right") - 1
+            row = pa.array(own)
+            pieces = [texts[t][a:b] for t, a, b in zip(own.tolist(), (starts - begins[own]).tolist(), (ends - begins[own]).tolist())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in range(3)), pa.array(minimisers), pa.array(pieces, pa.string())], names=[*keys, "minimiser", "piece"])
 
     typed = ", ".join(f"{c} {runs.schema[c].dataType.simpleString()}" for c in keys)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taxolith.functions.draws import key_array, word_array
-from taxolith.functions.scalar import tiles, translate
+from taxolith.functions.kmers import codes_of, super_kmers
+from taxolith.functions.scalar import translate
 from taxolith.functions.windows import keep_first, merge_intervals
 
 
@@ -103,15 +104,73 @@ def fragment_stats(reads: DataFrame) -> DataFrame:
     return reads.groupBy("sample").agg(F.count("*").alias("reads"), F.avg(F.length("seq")).alias("mean_length"), (F.sum(gc) / F.sum(F.length("seq"))).alias("gc"))
 
 
+#: Stretches of one minimiser that one task compares.
+CROWD = 100_000
+
+
+def stretches(sequences: DataFrame, k: int) -> DataFrame:
+    """``name, start, minimiser, piece``: super-k-mers of ``(name, seq)``; sequences may have any letters."""
+
+    def split(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            if not texts:
+                continue
+            codes, bad, begins = codes_of(texts)
+            starts, ends, minimisers = super_kmers(codes, bad, k)
+            own = np.searchsorted(begins, starts, side="right") - 1
+            at = starts - begins[own]
+            pieces = [texts[t][a : a + n] for t, a, n in zip(own.tolist(), at.tolist(), (ends - starts).tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), pa.array(at), pa.array(minimisers), pa.array(pieces, pa.string())], names=["name", "start", "minimiser", "piece"])
+
+    kind = sequences.schema["name"].dataType.simpleString()
+    return sequences.select("name", F.col("seq").cast("string")).mapInArrow(split, f"name {kind}, start long, minimiser long, piece string")
+
+
 def mask_regions(host: DataFrame, protected: DataFrame, k: int) -> DataFrame:
     """Regions of host sequences that exact k-mers of protected ones cover (JOI-14, WIN-6).
 
-    Both are ``(name, seq)``. Only different protected k-mers take part in the join.
+    Both are ``(name, seq)``. Super-k-mers are shuffled, not k-mers: those of the host whose minimiser no protected
+    sequence has are dropped first, the others meet the different protected ones of their minimiser in a
+    task, which keeps the k-mers of one minimiser at a time. A minimiser of more than ``CROWD`` host stretches is
+    dealt to several tasks. Null and short sequences have no region.
     """
-    ours = host.select("name", F.explode(tiles(F.col("seq"), k, 1)).alias("_t")).select("name", F.col("_t.start").alias("start"), F.col("_t.tile").alias("tile"))
-    theirs = protected.select(F.explode(tiles(F.col("seq"), k, 1)).alias("_t")).select(F.col("_t.tile").alias("tile")).distinct()
-    found = ours.join(theirs, "tile", "left_semi").select("name", "start", (F.col("start") + k).alias("end"))
-    return merge_intervals(found, ["name"])
+    theirs = stretches(protected, k).select("minimiser", "piece").distinct()
+    ours = stretches(host, k).join(theirs.select("minimiser").distinct(), "minimiser", "left_semi")
+    crowds = ours.groupBy("minimiser").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("deals"))
+    dealt = ours.join(crowds, "minimiser").select("minimiser", F.pmod(F.xxhash64("name", "start"), F.col("deals")).cast("int").alias("deal"), F.lit(1).alias("side"), "name", "start", "piece")
+    known = theirs.join(crowds, "minimiser").withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
+    kind = host.schema["name"].dataType
+    known = known.select("minimiser", "deal", F.lit(0).alias("side"), F.lit(None).cast(kind).alias("name"), F.lit(None).cast("long").alias("start"), "piece")
+    met = dealt.union(known).repartition("minimiser", "deal").sortWithinPartitions("minimiser", "deal", "side")
+
+    def compare(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        now, words = None, set()
+        for batch in batches:
+            out = []
+            for minimiser, deal, side, name, start, piece in zip(*(c.to_pylist() for c in batch.columns)):
+                if (minimiser, deal) != now:
+                    now, words = (minimiser, deal), set()
+                if not side:
+                    words.update(piece[j : j + k] for j in range(len(piece) - k + 1))
+                    continue
+                first = None
+                for j in range(len(piece) - k + 2):
+                    hit = j <= len(piece) - k and piece[j : j + k] in words
+                    if hit and first is None:
+                        first = j
+                    elif not hit and first is not None:
+                        out.append((name, start + first, start + j - 1 + k))
+                        first = None
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 3, (to_arrow_type(kind), pa.int64(), pa.int64()))], names=["name", "start", "end"])
+
+    return merge_intervals(met.mapInArrow(compare, f"name {kind.simpleString()}, start long, end long"), ["name"])
 
 
 def mask_summary(host: DataFrame, regions: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from taxolith.operators import cells as C
 from taxolith.operators import evidence as E
 from taxolith.operators import explore as X
 from taxolith.operators import lineage as L
+from taxolith.operators import reads as R
 from taxolith.plans.filtering import apply_filters
 
 
@@ -205,7 +206,8 @@ def test_kmer_evidence_against_all_k_mers(spark):
     """Super-k-mers count what a row per k-mer would, for any barcode number; the flag says when some are cut."""
     import random
 
-    from taxolith.operators.cells import kmer_evidence, super_kmers
+    from taxolith.functions.kmers import codes_of, super_kmers
+    from taxolith.operators.cells import kmer_evidence
 
     draw, k = random.Random(2), 15
     core = "".join(draw.choice("ACGT") for _ in range(60))
@@ -229,10 +231,12 @@ def test_kmer_evidence_against_all_k_mers(spark):
     assert all(near[b][0] == t and abs(near[b][1] - d) <= 0.05 * d + 1 for b, (t, d, _) in got.items())
     few = kmer_evidence(reads.where("barcode IS NOT NULL"), k, max_barcodes=3).collect()
     assert sorted(r["barcode"] for r in few) == sorted(b for b in want if b)[:3] and all(r["capped"] for r in few)
-    text = (core + "N" + core[:k] + "\n" + core[: k - 1]).encode()
-    starts, ends, _ = super_kmers(text, k)
+    texts = [core + "N" + core[:k], core[: k - 1], "", core]
+    codes, bad, _ = codes_of(texts, "ACGT")
+    starts, ends, _ = super_kmers(codes, bad, k)
     covered = sorted(j for a, b in zip(starts, ends) for j in range(a, b - k + 1))
-    assert covered == [j for j in range(len(text) - k + 1) if set(text[j : j + k]) <= set(b"ACGT")]
+    whole = "\0".join(texts)
+    assert covered == [j for j in range(len(whole) - k + 1) if set(whole[j : j + k]) <= set("ACGT")]
     assert kmer_evidence(reads.where("false"), k).collect() == []
 
 
@@ -259,3 +263,32 @@ def test_match_names_finds_what_comparing_all_does(spark):
     got = match_names(spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame([(q,) for q in queries], "query string"))
     rows = [tuple(r) for r in got.collect()]
     assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+def test_mask_regions_against_all_k_mers(spark, monkeypatch):
+    """Regions by super-k-mers equal those of every place; other alphabets, short and empty sequences, crowded minimisers."""
+    import random
+
+    draw, k = random.Random(6), 9
+    words = ["".join(draw.choice("ACGTé") for _ in range(40)) for _ in range(6)]
+    host = [(f"h{i}", "".join(draw.choice([*words, "A" * draw.randint(0, 30), draw.choice("ACGT")]) for _ in range(12))) for i in range(30)] + [("none", ""), ("null", None), ("short", "ACGT")]
+    protected = [("p", words[0][5:30]), ("p", words[2]), ("q", "A" * 12), ("q", "ACG"), ("q", None)]
+    known = {s[j : j + k] for _, s in protected if s for j in range(len(s) - k + 1)}
+    want = set()
+    for name, seq in host:
+        flags = [False] * (len(seq or "") + 1)
+        for j in range(len(seq or "") - k + 1):
+            if seq[j : j + k] in known:
+                flags[j : j + k] = [True] * k
+        start = None
+        for j, f in enumerate(flags):
+            if f and start is None:
+                start = j
+            if not f and start is not None:
+                want.add((name, start, j))
+                start = None
+    frames = spark.createDataFrame(host, "name string, seq string"), spark.createDataFrame(protected, "name string, seq string")
+    for crowd in (100_000, 5):
+        monkeypatch.setattr(R, "CROWD", crowd)
+        assert {tuple(r) for r in R.mask_regions(*frames, k).select("name", "start", "end").collect()} == want
+    assert R.mask_regions(frames[0], frames[1].where("false"), k).collect() == []
