@@ -203,8 +203,3 @@ def padding_share(pieces: DataFrame, max_tokens: int = 1024) -> DataFrame:
     each = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n"))
     filled = F.when(F.col("n").bitwiseAND(F.col("n") - 1) == 0, F.col("n")).otherwise(F.lit(max_tokens))
     return each.agg(F.count("*").alias("sequences"), F.sum("n").alias("ids"), (1 - F.sum("n") / F.sum(filled)).alias("padding"))
-
-
-def expected_windows(n_tokens: int, max_tokens: int = 1024) -> int:
-    """The fewest sequences that ``n_tokens`` ids need."""
-    return math.ceil(n_tokens / max_tokens)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from taxolith.llm.packing import VOCABULARY, pack_documents, padding_share, tail, windows
-from taxolith.llm.token_bins import best_fit, token_bins
+from taxolith.llm.token_bins import best_fit, token_bins, write_token_bins
 
 
 @pytest.fixture(scope="module")
@@ -128,3 +128,16 @@ def test_token_bins_round_trip(spark, docs, odd, tokenizer):
         want = tokenizer.encode(t or "", add_special_tokens=False).ids + [0]
         parts = sorted(found[i])
         assert [x for _, p in parts[:: 2 if i == 9 else 1] for x in p] == want
+
+
+def test_token_bins_are_written_and_read_back(spark, docs, odd, tmp_path):
+    rows = token_bins(docs(odd), max_tokens=64)
+    write_token_bins(rows.repartition(3), str(tmp_path / "bins"))
+    back = spark.read.parquet(str(tmp_path / "bins"))
+    assert back.schema.simpleString() == rows.schema.simpleString()
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+    for part in (tmp_path / "bins").glob("part-*"):
+        own = [r["sequence_id"] for r in spark.read.parquet(str(part)).collect()]
+        assert own == sorted(own)
+    write_token_bins(rows.where("false"), str(tmp_path / "bins"))
+    assert spark.read.schema(rows.schema).parquet(str(tmp_path / "bins")).count() == 0
