@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from taxolith.functions import scalar as S
+from taxolith.functions import windows as W
 from taxolith.operators import abundance as A
 from taxolith.operators import accounting as AC
 from taxolith.operators import cells as C
@@ -323,3 +324,25 @@ def agg15_gene_lengths(spark, d):
 @query("SELECT taxid, count, total_rows, total_rows > 40 AS capped FROM (SELECT taxid, SUM(count) AS count, COUNT(*) OVER () AS total_rows FROM cohort GROUP BY taxid ORDER BY SUM(count) DESC, taxid LIMIT 40)", T.COHORT)
 def top4_capped(spark, d):
     return A.capped(T.cohort(spark, d).groupBy("taxid").agg(F.sum("count").alias("count")), F.col("count"), 40, ["taxid"]).drop("measure")
+
+
+# lineage ----------------------------------------------------------------------------------
+
+
+@query("SELECT COALESCE('S' || (l_suppkey % 7), CAST(l_suppkey AS VARCHAR)) AS taxid, COUNT(*) AS n FROM lineitem WHERE l_suppkey % 3 = 0 GROUP BY 1 UNION ALL SELECT CAST(l_suppkey AS VARCHAR), COUNT(*) FROM lineitem WHERE l_suppkey % 3 > 0 GROUP BY 1")
+def joi12_resolve_merged(spark, d):
+    """A third of the suppliers have been merged into seven others."""
+    own = T.table(spark, d, "lineitem").select(text(F.col("l_suppkey")).alias("taxid"))
+    merged = T.table(spark, d, "supplier").where("s_suppkey % 3 = 0").select(text(F.col("s_suppkey")).alias("old"), text("S", F.col("s_suppkey") % 7).alias("new"))
+    return L.resolve_merged(own, merged).groupBy("taxid").agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT s_suppkey AS id, r_name AS phylum, CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE r_name END AS family, CASE WHEN s_suppkey % 5 > 0 THEN s_name WHEN n_nationkey % 2 = 0 THEN n_name ELSE r_name END AS species
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+)
+def win8_forward_fill(spark, d):
+    """Every other family and a fifth of the species have no name."""
+    rows = T.table(spark, d, "supplier").join(T.table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(T.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    named = rows.select(F.col("s_suppkey").alias("id"), F.col("r_name").alias("phylum"), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).alias("family"), F.when(F.col("s_suppkey") % 5 > 0, F.col("s_name")).alias("species"))
+    return named.select("id", *W.forward_fill(["phylum", "family", "species"]))
