@@ -165,14 +165,14 @@ def shared_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def merged_intervals(intervals: DataFrame, key: str) -> DataFrame:
+def merged_intervals(intervals: DataFrame, *key: str) -> DataFrame:
     """``key, spans``: the union of each key's half-open ``start, end`` intervals, as sorted disjoint spans."""
-    order = Window.partitionBy(key).orderBy("start", "end")
+    order = Window.partitionBy(*key).orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     islands = intervals.withColumn("_new", F.coalesce((F.col("start") > reach).cast("int"), F.lit(1)))
     islands = islands.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = islands.groupBy(key, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    return spans.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    spans = islands.groupBy(*key, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return spans.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 #: Bits of a bitmap row, and the most rows (8 MB) that are broadcast.

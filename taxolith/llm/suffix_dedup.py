@@ -86,40 +86,41 @@ class Anchors:
 
 
 def anchor_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``doc_id, anchor, context, at, n``: strings at..at+n-1 of a document have one anchor."""
+    """``doc_id, version, anchor, context, at, n``: strings at..at+n-1 of a document of ``docs(doc_id, version, text)`` have one anchor."""
 
     def compute(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         anchors = Anchors(length, gram)
-        held: list[tuple[int, int, bytes]] = []
+        held: list[tuple[int, int, int, bytes]] = []
         size = 0
 
         def out():
-            starts = np.cumsum([0, *(len(b) for _, _, b in held[:-1])])
-            sizes = [len(b) for _, _, b in held]
-            anchor, context, stretch, at, n = anchors(b"".join(b for _, _, b in held), starts, sizes)
-            ids, offsets = np.array([h[0] for h in held]), np.array([h[1] for h in held])
+            bodies = [h[3] for h in held]
+            sizes = [len(b) for b in bodies]
+            starts = np.cumsum([0, *sizes[:-1]])
+            anchor, context, stretch, at, n = anchors(b"".join(bodies), starts, sizes)
+            ids, versions, offsets = (np.array([h[k] for h in held]) for k in range(3))
             held.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids[stretch], pa.int64()), pa.array(anchor), pa.array(context), pa.array(offsets[stretch] + at, pa.int64()), pa.array(n, pa.int64())],
-                names=["doc_id", "anchor", "context", "at", "n"],
+                [pa.array(ids[stretch], pa.int64()), pa.array(versions[stretch], pa.int64()), pa.array(anchor), pa.array(context), pa.array(offsets[stretch] + at, pa.int64()), pa.array(n, pa.int64())],
+                names=["doc_id", "version", "anchor", "context", "at", "n"],
             )
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, version, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 for at in range(0, max(len(data) - length + 1, 0), STRETCH):
-                    held.append((doc_id, at, data[at : at + STRETCH + length - 1]))
-                    size += len(held[-1][2])
+                    held.append((doc_id, version, at, data[at : at + STRETCH + length - 1]))
+                    size += len(held[-1][3])
                     if size >= STRETCH:
                         yield out()
                         size = 0
         if held:
             yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(compute, "doc_id long, anchor long, context long, at long, n long")
+    return docs.select("doc_id", "version", "text").mapInArrow(compute, "doc_id long, version long, anchor long, context long, at long, n long")
 
 
 def repeated_strings(contexts: list[bytes], length: int):
@@ -217,15 +218,15 @@ def refine_crowded(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 64, crowd: int = 4096) -> DataFrame:
-    """``doc_id, spans``: bytes of ``docs(doc_id, text)`` that lie in a string of ``length`` bytes found again."""
+    """``doc_id, version, spans``: bytes of ``docs(doc_id, version, text)`` that lie in a string of ``length`` bytes found again."""
     anchors = shared_table(anchor_table(docs, length, gram))
     # what is joined is a table of its own, so that Spark can split a crowded key of the other side
     again = shared_table(anchors.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").drop("c"))
     anchors = shared_table(may_hold(anchors, "anchor", again, "held").where("held").drop("held").join(again, "anchor"))
     # places with equal contexts repeat each other whole; one of them stands for all
-    kinds = shared_table(anchors.groupBy("anchor", "context").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "at", "n")).alias("one")).select("anchor", "context", "c", "one.*"))
+    kinds = shared_table(anchors.groupBy("anchor", "context").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "version", "at", "n")).alias("one")).select("anchor", "context", "c", "one.*"))
     wide = shared_table(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"))
-    wanted = kinds.join(wide, "anchor").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "context", "kinds", "at", "n")).alias("parts"))
+    wanted = kinds.join(wide, "anchor").groupBy("doc_id", "version").agg(F.collect_list(F.struct("anchor", "context", "kinds", "at", "n")).alias("parts"))
     wanted = shared_table(wanted)
     data = F.col("text").cast("binary")
     cut_out = F.transform(
@@ -235,16 +236,16 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 64, crowd: in
             F.substring(data, (p["at"] + 1).cast("int"), (p["n"] + length - 1).cast("int")).alias("body"),
         ),
     )
-    # rows that share an id have one text here
+    # equal rows are one here
     holders = may_hold(docs, "doc_id", wanted.select("doc_id"), "held").where("held").drop("held")
-    bodies = shared_table(holders.join(wanted, "doc_id").select(F.inline(cut_out)))
+    bodies = shared_table(holders.join(wanted, ["doc_id", "version"]).select(F.inline(cut_out)))
     partial = refine_buckets(bodies.where(F.col("kinds") <= crowd), length)
     partial = partial.union(refine_crowded(bodies.where(F.col("kinds") > crowd), length))
     whole = kinds.where("c > 1").select("anchor", "context", F.lit(0).cast("long").alias("s"), F.col("n").alias("e"))
     marks = whole.union(partial.join(kinds.where("c > 1").select("anchor", "context"), ["anchor", "context"], "left_anti"))
     found = anchors.join(marks, ["anchor", "context"])
-    found = found.select("doc_id", (F.col("at") + F.col("s")).alias("start"), (F.col("at") + F.col("e") + length - 1).alias("end"))
-    return shared_table(merged_intervals(found, "doc_id"))
+    found = found.select("doc_id", "version", (F.col("at") + F.col("s")).alias("start"), (F.col("at") + F.col("e") + length - 1).alias("end"))
+    return shared_table(merged_intervals(found, "doc_id", "version"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 64, crowd: int = 4096) -> DataFrame:
@@ -264,10 +265,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null texts count as empty; texts shorter than ``length`` bytes keep everything; rows
     with a null id keep everything and are not compared; repeated rows repeat each other;
-    rows that share an id get the removals of all of them; an empty table gives no rows;
-    other columns are left out.
+    rows that share an id but not the text are told apart by a 64-bit hash of the text; an
+    empty table gives no rows; other columns are left out.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("version", F.xxhash64("text"))
     spans = repeated_spans(rows.where("doc_id is not null"), length, gram, crowd)
 
     def compute(batches: Iterator) -> Iterator:
@@ -286,6 +288,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # only texts with removals are shuffled
     marked = may_hold(rows, "doc_id", spans.select("doc_id"), "held")
-    joined = marked.where("held").join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+    joined = marked.where("held").join(spans, ["doc_id", "version"], "left").select("doc_id", "text", "spans")
     joined = joined.union(marked.where("not held").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType)))
     return joined.mapInArrow(compute, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")

@@ -90,3 +90,13 @@ def test_long_documents_are_read_in_stretches(spark, docs, monkeypatch):
             a, _, _, first, n = anchors(part, [0], [len(part)])
             whole |= {at + k + j for k, m in zip(first.tolist(), n.tolist()) for j in range(m)}
         assert whole == set(range(len(data) - 39))
+
+
+def test_rows_of_one_id_lose_their_own_repeats_only(docs):
+    a, b, c = (prose(k, 120) for k in (41, 42, 43))
+    rows = [(1, a + b), (2, b + c), (1, c[:50] + prose(44, 200)), (3, prose(45, 200)), (3, prose(46, 200))]
+    got = sorted((r["doc_id"], bytes(r["kept"]).decode("utf-8", "replace"), r["n_bytes"]) for r in remove_repeats(docs(rows), length=200).collect())
+    whole = {t for _, t in rows}
+    assert [k for _, k, _ in got].count(rows[2][1]) == 1 and rows[3][1] in [k for _, k, _ in got] and rows[4][1] in [k for _, k, _ in got]
+    lost = [n - len(k.encode()) for i, k, n in got if k not in whole]
+    assert len(lost) == 2 and all(n >= len(b.encode()) for n in lost)
