@@ -316,15 +316,24 @@ def forward(fits: Projections, given: list[int], places: dict[str, list[int]], e
 def group_table(view: DataFrame, groups: DataFrame) -> DataFrame:
     """Per taxon: two groups by rank sum with continuity correction, more by Kruskal-Wallis; BH over taxa (STA-7).
 
-    ``view(sample, taxid, count)`` and ``groups(sample, group)``.
+    ``view(sample, taxid, count)`` and ``groups(sample, group)``. Only positive counts are ranked; the zeros of a taxon
+    share the ranks before them, whose sums are in closed form.
     """
-    rows = average_rank(dense(view).join(groups, "sample"), "count", ["taxid"], "_rank")
-    ties = rows.groupBy("taxid", "count").agg(F.count("*").alias("_c")).groupBy("taxid").agg(F.sum(F.col("_c") * F.col("_c") * F.col("_c") - F.col("_c")).cast("double").alias("_ties"))
-    cell = rows.groupBy("taxid", "group").agg(F.sum("_rank").alias("_r"), F.count("*").alias("_n"))
+    members = groups.join(view.select("sample").distinct(), "sample", "left_semi").select("sample", "group")
+    sizes = members.groupBy("group").agg(F.count("*").cast("double").alias("_n"))
+    whole = sizes.agg(F.sum("_n").alias("n"))
+    cells = G.summed(view).where("count > 0").join(members, "sample")
+    ranked = average_rank(cells, "count", ["taxid"], "_rank")
+    ties = ranked.groupBy("taxid", "count").agg(F.count("*").cast("double").alias("_c")).groupBy("taxid").agg(F.sum(F.col("_c") * F.col("_c") * F.col("_c") - F.col("_c")).alias("_ties"), F.sum("_c").alias("_k"))
+    own = ranked.groupBy("taxid", "group").agg(F.sum("_rank").alias("_r"), F.count("*").cast("double").alias("_kg"))
+    # a row for every taxon and group, of which there are few
+    cell = view.select("taxid").distinct().crossJoin(F.broadcast(sizes)).crossJoin(F.broadcast(whole)).join(ties, "taxid", "left").join(own, ["taxid", "group"], "left").na.fill(0, ["_ties", "_k", "_r", "_kg"])
+    zeros = F.col("n") - F.col("_k")
+    cell = cell.withColumn("_r", F.col("_r") + F.col("_kg") * zeros + (F.col("_n") - F.col("_kg")) * (zeros + 1) / 2).withColumn("_ties", F.col("_ties") + zeros * zeros * zeros - zeros)
     per = cell.groupBy("taxid").agg(
-        F.sum("_n").cast("double").alias("n"), F.count("*").alias("groups"), F.min("_n").alias("smallest"), F.sum(F.col("_r") * F.col("_r") / F.col("_n")).alias("_h"),
-        F.min_by("_r", "group").alias("_r1"), F.min_by("_n", "group").cast("double").alias("_n1"),
-    ).join(ties, "taxid")
+        F.max("n").alias("n"), F.count("*").alias("groups"), F.min("_n").cast("long").alias("smallest"), F.sum(F.col("_r") * F.col("_r") / F.col("_n")).alias("_h"),
+        F.min_by("_r", "group").alias("_r1"), F.min_by("_n", "group").alias("_n1"), F.max("_ties").alias("_ties"),
+    )
     n = F.col("n")
     correction = 1 - F.try_divide(F.col("_ties"), n * n * n - n)
     h = F.try_divide(12 * F.col("_h") / (n * (n + 1)) - 3 * (n + 1), correction)
@@ -338,9 +347,18 @@ def group_table(view: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def group_medians(view: DataFrame, groups: DataFrame) -> DataFrame:
-    """Median, mean and sum of each taxon in each group, absent cells being zero (AGG-10)."""
-    rows = dense(view).join(groups, "sample")
-    return rows.groupBy("group", "taxid").agg(F.median("count").alias("median"), F.avg("count").alias("mean"), F.sum("count").alias("total"))
+    """Median, mean and sum of each taxon in each group, absent cells being zero (AGG-10).
+
+    The zeros of a taxon and group are one row with their number as its weight.
+    """
+    members = groups.join(view.select("sample").distinct(), "sample", "left_semi").select("sample", "group")
+    sizes = members.groupBy("group").agg(F.count("*").alias("_n"))
+    cells = G.summed(view).where("count <> 0").join(members, "sample").select("group", "taxid", "count", F.lit(1).cast("long").alias("_w"))
+    held = cells.groupBy("group", "taxid").agg(F.count("*").alias("_k"))
+    zeros = view.select("taxid").distinct().crossJoin(F.broadcast(sizes)).join(held, ["group", "taxid"], "left")  # groups are few
+    zeros = zeros.select("group", "taxid", F.lit(0.0).alias("count"), (F.col("_n") - F.coalesce("_k", F.lit(0))).alias("_w"))
+    rows = cells.union(zeros).where("_w > 0")
+    return rows.groupBy("group", "taxid").agg(F.percentile("count", F.lit(0.5), F.col("_w")).alias("median"), (F.sum("count") / F.sum("_w")).alias("mean"), F.sum("count").alias("total"))
 
 
 def pairwise_wilcoxon(view: DataFrame, groups: DataFrame, min_n: int = 2) -> DataFrame:
