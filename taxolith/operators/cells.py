@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from taxolith.functions.distributions import fisher_greater, hypergeom_cdf, hypergeom_sf, norm_cdf, norm_ppf, rank_correlation_p
 from taxolith.functions.kmers import BASES, codes_of, super_kmers
 from taxolith.functions.scalar import has_homopolymer, kmer_runs, kmers_at, lineage_share, log2_ratio
-from taxolith.functions.windows import adjusted, average_rank, correlation, first_n, upper_median
+from taxolith.functions.windows import adjusted, average_rank, correlation, upper_median
 
 
 def read_reasons(reads: DataFrame, lineage: DataFrame, host: str | None = None, min_fraction: float = 0.5, homopolymer: int = 0) -> DataFrame:
