@@ -125,7 +125,9 @@ def leaks(
     window = shared_table(window.withColumn("window", F.xxhash64("shingles")))
     # a passage that many documents share is one window
     distinct = shared_table(window.groupBy("n_words", "window").agg(F.first("shingles").alias("shingles")).withColumn("fingerprint", simhash("shingles")))
-    index = items.withColumn("item_fingerprint", simhash("item_shingles")).select("item_id", "n_words", "item_fingerprint", F.explode(blocks("item_fingerprint", radius)).alias("b"))
+    # a table of its own, or else each block of each item would work the fingerprint out anew
+    prints = shared_table(items.select("item_id", "n_words", simhash("item_shingles").alias("item_fingerprint")))
+    index = prints.select("item_id", "n_words", "item_fingerprint", F.explode(blocks("item_fingerprint", radius)).alias("b"))
     probe = distinct.select("n_words", "window", "fingerprint", F.explode(blocks("fingerprint", radius)).alias("b"))
     near = probe.join(small(index, weight * (radius + 1)), ["n_words", "b"])
     near = near.where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))) <= radius)
