@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from taxolith.llm.common import may_hold, merged_intervals, shared_table
 
-#: Bytes that are hashed at a time; a longer document is read in overlapping stretches.
-STRETCH = 1 << 20
+#: Bytes that are hashed at a time, in some 40 MB of arrays; a longer document is read in overlapping stretches.
+STRETCH = 1 << 18
 PLACE_BITS = 22
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
