@@ -92,11 +92,14 @@ def n50(df: DataFrame, by: Sequence[str], length: str) -> DataFrame:
 
 
 def merge_intervals(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Union of half-open intervals within ``by``; touching ones join (WIN-6)."""
+    """Union of half-open intervals within ``by``; touching ones join (WIN-6).
+
+    Equal intervals are peers of one frame, so it does not matter which of them is first.
+    """
     order = Window.partitionBy(*by).orderBy(start, end)
     reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = df.withColumn("_new", F.coalesce((F.col(start) > reach).cast("int"), F.lit(1)))
-    rows = rows.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("_island", F.sum("_new").over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
     return rows.groupBy(*by, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
 
 

@@ -351,7 +351,7 @@ def win5_n50(spark, d):
 @query(
     """, rows AS (SELECT o_custkey AS customer, EPOCH(o_orderdate)::BIGINT // 86400 AS s, EPOCH(o_orderdate)::BIGINT // 86400 + 60 AS e FROM orders),
     marked AS (SELECT *, CASE WHEN s > MAX(e) OVER (PARTITION BY customer ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) IS NOT FALSE THEN 1 ELSE 0 END AS fresh FROM rows),
-    islands AS (SELECT *, SUM(fresh) OVER (PARTITION BY customer ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM marked)
+    islands AS (SELECT *, SUM(fresh) OVER (PARTITION BY customer ORDER BY s, e RANGE UNBOUNDED PRECEDING) AS island FROM marked)
     SELECT customer, MIN(s) AS "start", MAX(e) AS "end" FROM islands GROUP BY customer, island"""
 )
 def win6_merge_intervals(spark, d):

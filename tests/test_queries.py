@@ -44,3 +44,17 @@ def test_queries_without_sql_take_all_rows(spark):
     assert core.QUERIES["cmp20_host_microbe"](spark, FOLDER).select("gene").distinct().count() == 97
     own, _ = core.clusters(spark, FOLDER)
     assert own.count() == spark.read.parquet(f"{FOLDER}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey").distinct().count()
+
+
+def test_merged_intervals_with_ties(spark, tmp_path):
+    """Which of equal intervals comes first is left open, and changes nothing."""
+    import duckdb
+
+    path = str(tmp_path / "orders.parquet")
+    day = "TIMESTAMP '2000-01-01' + INTERVAL (CAST(k // 3 * 90 + c % 7 AS INTEGER)) DAY"
+    duckdb.sql(f"COPY (SELECT c * 100 + k AS o_orderkey, c AS o_custkey, {day} AS o_orderdate FROM RANGE(20000) a(c), RANGE(18) b(k)) TO '{path}' (FORMAT PARQUET)")
+    got = core.QUERIES["win6_merge_intervals"](spark, str(tmp_path))
+    assert got.count() == 20000 * 6 and got.where("end - start = 60").count() == 20000 * 6
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{path}'")
+    assert con.sql(f'SELECT COUNT(*), COUNT(*) FILTER (WHERE "end" - "start" = 60) FROM ({core.SQL["win6_merge_intervals"]})').fetchall() == [(20000 * 6, 20000 * 6)]
