@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,57 +13,131 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from taxolith.functions.scalar import carries_host
 
 
+#: Members that a task holds at once, and groups of one batch of results.
+HELD, OUT = 500_000, 10_000
+
+
 class Release(StatefulProcessor):
-    """Members of an open group as a map, the number that is expected as a value, and a timer."""
+    """Groups of a bucket: those that a batch brings whole never touch the state, the others are held in maps.
+
+    ``open`` has for each open group the number that is expected, the number that is there and when its time
+    is up; ``members`` has its members by number, ``seen`` the same by name.
+    """
 
-    def __init__(self, timeout_ms: int):
-        self.timeout_ms = timeout_ms
+    def __init__(self, timeout_ms: int, held: int = HELD):
+        self.timeout_ms, self.held = timeout_ms, held
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.members = handle.getMapState("members", "member string", "seen boolean")
-        self.open = handle.getValueState("open", "expected long, members long, timer long")
+        self.open = handle.getMapState("open", "key string", "expected long, members long, due long")
+        self.members = handle.getMapState("members", "key string, place long", "member string")
+        self.seen = handle.getMapState("seen", "key string, member string", "seen boolean")
+        self.groups = handle.getValueState("groups", "n long, timer long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = self.open.get() if self.open.exists() else None
-        expected, n, timer = before or (0, 0, None)
+        due = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms
+        count, timer = self.groups.get() if self.groups.exists() else (0, None)
+        before, full, fresh, expected, held = count, set(), {}, {}, 0
+
+        def keep(known: bool) -> None:
+            nonlocal count
+            for group, own in fresh.items():
+                more, done = self.keep(group, own, expected[group], due, known)
+                count += more
+                if done:
+                    full.add(group)
+
         for batch in rows:
-            expected = max(expected, int(batch["expected"].max()))
-            for member in batch["member"].unique():
-                if not self.members.containsKey((member,)):
-                    self.members.updateValue((member,), (True,))
-                    n += 1
-        if timer is not None:
-            self.handle.deleteTimer(timer)
-        if n >= expected:
-            yield self.released(key, True)
-            return
-        timer = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms
-        self.handle.registerTimer(timer)
-        self.open.update((expected, n, timer))
+            for group, member, most in zip(batch["key"].tolist(), batch["member"].tolist(), batch["expected"].tolist()):
+                own = fresh.setdefault(group, set())
+                held += member not in own
+                own.add(member)
+                expected[group] = max(expected.get(group, 0), int(most))
+            if held > self.held:  # whether a group is whole is known at the end of the batch only
+                keep(count > 0)
+                fresh, expected, held = {}, {}, 0
+        known = count > 0
+        whole = [g for g, own in fresh.items() if len(own) >= expected[g] and not (known and self.open.containsKey((g,)))]
+        yield from released((g, ordered(fresh.pop(g)), True) for g in whole)
+        keep(known)
+        for group in full:
+            most, n, _ = self.open.getValue((group,))
+            if n >= most:
+                yield from released([(group, self.taken(group), True)])
+                count -= 1
+        if count and timer is None:
+            timer = due
+            self.handle.registerTimer(timer)
+        if count or before:
+            self.settle(count, timer)
+
+    def keep(self, group, own: set, expected: int, due: int, known: bool) -> tuple[bool, bool]:
+        """Adds members to a group's state; whether it was not open, and whether all are there."""
+        last, n, _ = (self.open.getValue((group,)) if known and self.open.containsKey((group,)) else None) or (0, 0, 0)
+        fresh = n == 0
+        for member in own:
+            if fresh or not self.seen.containsKey((group, member)):
+                self.seen.updateValue((group, member), (True,))
+                self.members.updateValue((group, n), (member,))
+                n += 1
+        self.open.updateValue((group,), (max(last, expected), n, due))
+        return fresh, n >= max(last, expected)
+
+    def taken(self, group) -> list:
+        """The members of an open group, which is open no more."""
+        own = [self.members.getValue((group, k))[0] for k in range(self.open.getValue((group,))[1])]
+        for k, member in enumerate(own):
+            self.members.removeKey((group, k))
+            self.seen.removeKey((group, member))
+        self.open.removeKey((group,))
+        return ordered(own)
+
+    def settle(self, count: int, timer: int | None) -> None:
+        if count:
+            self.groups.update((count, timer))
+        else:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.groups.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self.released(key, False)
-
-    def released(self, key, complete: bool) -> pd.DataFrame:
-        held = sorted(k[0] for k in self.members.keys())
-        self.members.clear()
-        self.open.clear()
-        return pd.DataFrame({"key": [key[0]], "members": [held], "complete": [complete]})
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        late, later = [], []
+        for k, v in self.open.iterator():
+            (late if v[2] <= now else later).append((k[0], v[2]))
+        yield from released((group, self.taken(group), False) for group, _ in late)
+        timer = min((due for _, due in later), default=None)
+        if timer is not None:
+            self.handle.registerTimer(timer)
+        self.settle(len(later), timer)
 
     def close(self) -> None:
         pass
 
 
-def release_groups(members: DataFrame, timeout_ms: int = 60_000) -> DataFrame:
+def ordered(members) -> list:
+    return sorted(members, key=lambda m: (m is not None, m))
+
+
+def released(groups: Iterable) -> Iterator[pd.DataFrame]:
+    groups = iter(groups)
+    while some := list(islice(groups, OUT)):
+        key, members, complete = zip(*some)
+        yield pd.DataFrame({"key": list(key), "members": list(members), "complete": list(complete)})
+
+
+def release_groups(members: DataFrame, timeout_ms: int = 60_000, buckets: int = 4096) -> DataFrame:
     """Release a group as soon as its expected members are there, the rest after a timeout (STR-1).
 
     ``members(key string, member string, expected long)``. Repeated members count once.
-    Returns ``key, members array<string>, complete``. A batch adds its members to the group's state and reads
-    the whole group only when it is released; each arrival sets the timer anew. Needs the
-    RocksDB state store (``use_state_store``).
+    Returns ``key, members array<string>, complete``. Groups are dealt to ``buckets`` by a hash of
+    their key, and a bucket has one timer, so that a batch costs a call for a bucket, not several for every
+    group. A batch adds its members to an open group's state and reads the whole group only when it is
+    released; a group that one batch brings whole takes no state; each arrival sets a group's time
+    anew. Needs the RocksDB state store (``use_state_store``).
     """
-    return members.groupBy("key").transformWithStateInPandas(Release(timeout_ms), "key string, members array<string>, complete boolean", "Append", "ProcessingTime")
+    dealt = members.select("key", "member", "expected", F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
+    return dealt.groupBy("bucket").transformWithStateInPandas(Release(timeout_ms), "key string, members array<string>, complete boolean", "Append", "ProcessingTime")
 
 
 def use_state_store(spark: SparkSession) -> None:

@@ -1,6 +1,6 @@
 import time
 
-from taxolith.streaming.groups import first_runs, release_groups, running_taxa, use_state_store
+from taxolith.streaming.groups import Release, first_runs, release_groups, running_taxa, use_state_store
 
 
 def drain(frame, name, mode, rows):
@@ -56,3 +56,92 @@ def test_running_counts_and_first_runs(spark, tmp_path):
     assert sorted((r.taxid, r.reads, r.host_reads) for r in got) == [("7", 2, 1), ("8", 1, 0)]
     once = drain(first_runs(stream.selectExpr("taxid AS run")), "runs", "append", 2)
     assert sorted(r.run for r in once) == ["7", "8"]
+
+
+class Held:
+    """State of one bucket in a dictionary, which counts its calls."""
+
+    def __init__(self):
+        self.maps, self.calls, self.timers = {}, 0, set()
+
+    def getMapState(self, name, *_):
+        return HeldMap(self, self.maps.setdefault(name, {}))
+
+    getValueState = getMapState
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+
+class HeldMap:
+    def __init__(self, of, own):
+        self.of, self.own = of, own
+
+    def __getattribute__(self, name):
+        if name not in ("of", "own"):
+            self.of.calls += 1
+        return object.__getattribute__(self, name)
+
+    def containsKey(self, key):
+        return key in self.own
+
+    exists = lambda self: None in self.own
+    get = lambda self: self.own[None]
+    clear = lambda self: self.own.clear()
+    getValue = lambda self, key: self.own[key]
+    iterator = lambda self: iter(list(self.own.items()))
+
+    def update(self, value):
+        self.own[None] = value
+
+    def updateValue(self, key, value):
+        self.own[key] = value
+
+    def removeKey(self, key):
+        del self.own[key]
+
+
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentProcessingTimeInMs
+
+
+def batch(rows):
+    import pandas as pd
+
+    return pd.DataFrame(rows, columns=["key", "member", "expected"])
+
+
+def flat(frames):
+    return sorted((k, list(m), c) for f in frames for k, m, c in f.itertuples(index=False))
+
+
+def test_groups_that_come_whole_take_no_state():
+    held, release = Held(), Release(1000)
+    release.init(held)
+    rows = [(f"k{k}", f"m{m}", 3) for k in range(5000) for m in (2, 0, 1)]
+    got = flat(release.handleInputRows((7,), iter([batch(rows[:8000]), batch(rows[8000:])]), Clock(0)))
+    assert got == sorted((f"k{k}", ["m0", "m1", "m2"], True) for k in range(5000))
+    assert held.calls <= 3 and not held.timers
+
+
+def test_open_groups_of_a_bucket():
+    for most in (1, 500):  # members that are held at once
+        held, release = Held(), Release(1000, most)
+        release.init(held)
+        assert flat(release.handleInputRows((7,), iter([batch([("a", "x", 2), ("b", "x", 3)]), batch([("b", "y", 3), ("b", "x", 3), ("c", "z", 1), ("c", "z", 1)])]), Clock(0))) == [("c", ["z"], True)]
+        assert held.timers == {1000}
+        assert flat(release.handleInputRows((7,), iter([batch([("a", "x", 2), ("b", "w", 4)])]), Clock(600))) == []
+        assert flat(release.handleExpiredTimer((7,), Clock(0), Clock(1000))) == []  # each arrival sets the time anew
+        assert flat(release.handleInputRows((7,), iter([batch([("a", "y", 2), ("d", "x", 2)])]), Clock(1100))) == [("a", ["x", "y"], True)]
+        assert flat(release.handleExpiredTimer((7,), Clock(0), Clock(1600))) == [("b", ["w", "x", "y"], False)]
+        assert flat(release.handleExpiredTimer((7,), Clock(0), Clock(2100))) == [("d", ["x"], False)]
+        assert not any(held.maps.values())
