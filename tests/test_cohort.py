@@ -101,6 +101,20 @@ def test_pair_products_in_blocks(spark, counts, view, block, monkeypatch):
         assert (r["total_a"], r["square_b"]) == pytest.approx((x.sum(), (y * y).sum()))
 
 
+def test_sparcc_keeps_no_pairs(spark, counts, view, monkeypatch):
+    """What it writes down is a row per taxon or cell; only results of pairs leave their task."""
+    kept = []
+    plain = CO.cut
+    monkeypatch.setattr(CO, "cut", lambda df: kept.append(plain(df)) or kept[-1])
+    got = {(r["a"], r["b"]): r["rho"] for r in CO.sparcc(view).collect()}
+    assert all(not {"a", "b"} <= set(df.columns) and df.count() <= SAMPLES * TAXA for df in kept)
+    names = sorted(f"t{j}" for j in range(TAXA))
+    logs = np.log(np.array([[counts[i][int(t[1:])] for i in range(SAMPLES)] for t in names]) + 0.5)
+    want = CO.basis_correlations(logs)
+    assert got == pytest.approx({(a, b): want[i, j] for i, a in enumerate(names) for j, b in enumerate(names) if i < j})
+    assert CO.log_ratio_variance(view).columns == ["a", "b", "variance"]
+
+
 @pytest.mark.parametrize("method", [lambda v: CO.aitchison(v), lambda v: CO.log_ratio_variance(v), lambda v: CO.beta_distance(v, "bray")])
 def test_distances_fill_no_grid(view, method):
     plan = method(view)._jdf.queryExecution().optimizedPlan().toString()
