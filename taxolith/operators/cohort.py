@@ -386,18 +386,27 @@ def rarefaction(abundance: DataFrame, points: int = 20, cap: bool = False) -> Da
     top = F.least("total", "_least") if cap else F.col("total")
     rows = rows.withColumn("depth", F.explode(F.sequence(F.lit(1).cast("long"), top, F.col("_step"))))
 
-    @F.pandas_udf("double")
-    def missed(total: pd.Series, x: pd.Series, depth: pd.Series) -> pd.Series:
-        def one(n: int, x: int, d: int) -> float:
-            if n - x < d:
-                return 0.0
-            g = math.lgamma
-            return math.exp(g(n - x + 1) - g(n - x - d + 1) - g(n + 1) + g(n - d + 1))
+    rows = rows.withColumn("_seen", F.col("taxa") * (1 - missed(F.col("total"), F.col("x"), F.col("depth"))))
+    return rows.groupBy("sample", "depth").agg(F.sum("_seen").alias("richness"))
 
-        return pd.Series([one(int(n), int(a), int(d)) for n, a, d in zip(total, x, depth)])
 
-    rows = rows.withColumn("_seen", F.col("taxa") * (1 - missed("total", "x", "depth")))
-    return rows.groupBy("sample", "depth").agg(F.sum("_seen").alias("richness"))
+def missed(total: Column, x: Column, depth: Column) -> Column:
+    """C(N - x, d) / C(N, d), the chance that a draw of ``depth`` of ``total`` has none of ``x``.
+
+    From differences of Stirling's series, in which the large terms are taken out before they are worked
+    out: four log-gammas of a large N leave no digit of a chance near one.
+    """
+    # log-gamma less (z - 1/2) ln z - z + ln(2 pi) / 2: the series from 10 on, known values below
+    small = F.array(*[F.lit(math.lgamma(k) - (k - 0.5) * math.log(k) + k - 0.5 * math.log(2 * math.pi)) for k in range(1, 10)])
+
+    def rest(z: Column) -> Column:
+        series = (1 / F.lit(12.0) - (1 / F.lit(360.0) - (1 / F.lit(1260.0) - 1 / F.lit(1680.0) / (z * z)) / (z * z)) / (z * z)) / z
+        return F.when(z < 10, F.get(small, F.least(z, F.lit(9.0)).cast("int") - 1)).otherwise(series)
+
+    n, m = (total + 1).cast("double"), (total - depth + 1).cast("double")
+    own = x.cast("double")
+    log = own * F.log1p(-depth / n) - (m - own - 0.5) * F.log1p(-own / m) + (n - own - 0.5) * F.log1p(-own / n) + rest(m) - rest(m - own) - rest(n) + rest(n - own)
+    return F.when(total - x < depth, 0.0).otherwise(F.exp(log))
 
 
 def decontam_prevalence(abundance: DataFrame, metadata: DataFrame, above: float = 0) -> DataFrame:

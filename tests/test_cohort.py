@@ -101,6 +101,18 @@ def test_pair_products_in_blocks(spark, counts, view, block, monkeypatch):
         assert (r["total_a"], r["square_b"]) == pytest.approx((x.sum(), (y * y).sum()))
 
 
+def test_missed_chance_of_large_tables(spark):
+    from fractions import Fraction
+
+    cases = [(n, x, d) for n in (9, 40, 3000, 180_000_000, 9_000_000_000) for x in (1, 3, 8) for d in (1, 5, n // 20 + 1, n // 3, n - x, n - 1) if d >= 1]
+    rows = spark.createDataFrame(cases, "n long, x long, d long")
+    for n, x, d, p in rows.select("n", "x", "d", CO.missed(F.col("n"), F.col("x"), F.col("d"))).collect():
+        want = Fraction(1)
+        for k in range(x):
+            want *= Fraction(max(n - d - k, 0), n - k)
+        assert p == pytest.approx(float(want), rel=0, abs=1e-12)
+
+
 def test_sparcc_keeps_no_pairs(spark, counts, view, monkeypatch):
     """What it writes down is a row per taxon or cell; only results of pairs leave their task."""
     kept = []
