@@ -104,27 +104,46 @@ def fragment_stats(reads: DataFrame) -> DataFrame:
     return reads.groupBy("sample").agg(F.count("*").alias("reads"), F.avg(F.length("seq")).alias("mean_length"), (F.sum(gc) / F.sum(F.length("seq"))).alias("gc"))
 
 
-#: Stretches of one minimiser that one task compares.
-CROWD = 100_000
+#: Stretches of one minimiser that one task compares, and letters that are split at a time.
+CROWD, LETTERS = 100_000, 1 << 18
+
+
+def windows(texts: list[str], k: int) -> Iterator[tuple[list[int], list[int], list[str]]]:
+    """Numbers, starts and letters of texts, at most ``LETTERS`` at a time; longer texts in windows, each k-mer in one of them."""
+    numbers, starts, parts, held = [], [], [], 0
+    for number, whole in enumerate(texts):
+        for start in range(0, max(len(whole) - k + 1, 0), LETTERS):
+            part = whole[start : start + LETTERS + k - 1]
+            if held and held + len(part) > LETTERS:
+                yield numbers, starts, parts
+                numbers, starts, parts, held = [], [], [], 0
+            numbers.append(number)
+            starts.append(start)
+            parts.append(part)
+            held += len(part)
+    if parts:
+        yield numbers, starts, parts
 
 
 def stretches(sequences: DataFrame, k: int) -> DataFrame:
-    """``name, start, minimiser, piece``: super-k-mers of ``(name, seq)``; sequences may have any letters."""
+    """``name, start, minimiser, piece``: super-k-mers of ``(name, seq)``; sequences may have any letters.
+
+    They may be nearly as many as letters, so a bounded number of letters is split at a time.
+    """
 
     def split(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            if not texts:
-                continue
-            codes, bad, begins = codes_of(texts)
-            starts, ends, minimisers = super_kmers(codes, bad, k)
-            own = np.searchsorted(begins, starts, side="right") - 1
-            at = starts - begins[own]
-            pieces = [texts[t][a : a + n] for t, a, n in zip(own.tolist(), at.tolist(), (ends - starts).tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), pa.array(at), pa.array(minimisers), pa.array(pieces, pa.string())], names=["name", "start", "minimiser", "piece"])
+            for numbers, offsets, texts in windows([t or "" for t in batch.column(1).to_pylist()], k):
+                codes, bad, begins = codes_of(texts)
+                starts, ends, minimisers = super_kmers(codes, bad, k)
+                own = np.searchsorted(begins, starts, side="right") - 1
+                at = starts - begins[own]
+                pieces = [texts[t][a : a + n] for t, a, n in zip(own.tolist(), at.tolist(), (ends - starts).tolist())]
+                names = batch.column(0).take(pa.array(np.array(numbers)[own]))
+                yield pa.RecordBatch.from_arrays([names, pa.array(at + np.array(offsets)[own]), pa.array(minimisers), pa.array(pieces, pa.string())], names=["name", "start", "minimiser", "piece"])
 
     kind = sequences.schema["name"].dataType.simpleString()
     return sequences.select("name", F.col("seq").cast("string")).mapInArrow(split, f"name {kind}, start long, minimiser long, piece string")
