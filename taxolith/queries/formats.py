@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxolith.plans.materialise import shared_folder
+from taxolith.plans.materialise import cut, shared_folder
 from taxolith.queries import tables as T
 from taxolith.queries.core import query
 from taxolith.sources import reports as R
@@ -325,12 +325,15 @@ def snk2_evidence(spark, d):
 @query("SELECT taxid, sample, count FROM abundance WHERE count > 0", T.ABUNDANCE)
 def snk4_biom(spark, d):
     """Read back from the format's one document."""
-    rows, path = T.abundance(spark, d), folder(spark)
+    rows, path = cut(T.abundance(spark, d)), folder(spark)
     K.write_biom(rows, rows, rows.select("sample").distinct().withColumn("kind", F.lit("x")), path)
     schema = "rows array<struct<id: string>>, columns array<struct<id: string>>, data array<array<double>>"
-    table = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("t")).select("t.rows", "t.columns", F.explode("t.data").alias("c"))
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("t"))
+    ids = lambda part, name: whole.select(F.posexplode(f"t.{part}.id").alias(part, name))
     at = lambda k: F.get("c", F.lit(k))
-    return table.select(F.get("rows", at(0).cast("int"))["id"].alias("taxid"), F.get("columns", at(1).cast("int"))["id"].alias("sample"), at(2).alias("count"))
+    # a cell carries its two numbers, not the lists of all names
+    cells = whole.select(F.explode("t.data").alias("c")).select(at(0).cast("int").alias("rows"), at(1).cast("int").alias("columns"), at(2).alias("count"))
+    return cells.join(ids("rows", "taxid"), "rows").join(ids("columns", "sample"), "columns").select("taxid", "sample", "count")
 
 
 @query("SELECT url || CASE WHEN page_id % 2 = 0 THEN '.bracken.combined.tsv' ELSE '.zip' END AS path, CASE WHEN page_id % 2 = 0 THEN ['bracken_combined'] ELSE [] END AS formats FROM pages GROUP BY ALL")

@@ -78,7 +78,7 @@ def write_biom(abundance: DataFrame, keep: DataFrame, metadata: DataFrame, path:
     The document is written line by line, a row for every taxon, sample and cell, sorted and
     streamed by the one task that a single document needs; nothing is gathered in memory.
     """
-    cells = cut(biom_triplets(abundance, keep, metadata))
+    cells = cut(biom_triplets(cut(abundance), keep, metadata))  # read six times
     if cells.isEmpty():
         raise ValueError("no cell is left to export")
     ends = cells.agg(F.max("row"), F.max("col"), F.max(F.struct("row", "col"))).first()
