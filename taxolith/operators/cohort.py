@@ -676,8 +676,11 @@ def host_microbe(host: DataFrame, microbes: DataFrame, max_genes: int = 2000, ma
     n = shared.count()
     if n < 3:
         raise ValueError(f"{n} samples are shared by both tables; at least 3 are needed")
-    genes = cpm_log(dense(host.join(shared, "sample", "left_semi"), "gene"))
-    taxa = cpm_log(dense(microbes.join(shared, "sample", "left_semi")))
+    genes = cut(cpm_log(dense(host.join(shared, "sample", "left_semi"), "gene")))
+    taxa = cut(cpm_log(dense(microbes.join(shared, "sample", "left_semi"))))
+    # both are read several times, and a sum a cell is little beside what it may come from
+    host = cut(host.groupBy("sample", "gene").agg(F.sum("count").alias("count")))
+    microbes = cut(microbes.groupBy("sample", "taxid").agg(F.sum("count").alias("count")))
     genes = genes.join(varying(genes, "gene", "count", min_samples, n), "gene", "left_semi")
     taxa = taxa.join(varying(taxa, "taxid", "count", min_samples, n), "taxid", "left_semi")
     genes = genes.join(F.broadcast(top_by(genes, "gene", spread("log_cpm", n), max_genes)).select("gene"), "gene", "left_semi")
