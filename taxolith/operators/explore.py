@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from taxolith.functions.scalar import plain_name, stratum_taxon
 from taxolith.operators.abundance import capped, top_by
+from taxolith.plans.materialise import cut
 
 #: Letters by which names and queries meet.
 KEY = 3
@@ -112,14 +113,15 @@ def stratified_search(families: DataFrame, queries: Sequence[str] = (), most: in
 
     ``families(feature, sample, value)``; no query finds all.
     """
-    rows = families.where(F.col("feature").contains("|")).withColumn("family", F.substring_index("feature", "|", 1)).withColumn("taxon", stratum_taxon(F.col("feature")))
+    # names are read once for a feature, not for every row that the sums come from
+    per = cut(families.where(F.col("feature").contains("|")).groupBy("feature").agg(F.sum("value").alias("value")))
+    rows = per.withColumn("family", F.substring_index("feature", "|", 1)).withColumn("taxon", stratum_taxon(F.col("feature")))
     if queries:
         cond = F.lit(False)
         for q in queries:
             cond = cond | plain_name(F.col("taxon")).contains(plain_name(F.lit(q)))
         rows = rows.where(cond)
-    per = rows.groupBy("feature", "family", "taxon").agg(F.sum("value").alias("value"))
-    return capped(per, F.col("value"), most, ["feature"])
+    return capped(rows.select("feature", "family", "taxon", "value"), F.col("value"), most, ["feature"])
 
 
 def humann_summary(families: DataFrame) -> DataFrame:
