@@ -483,10 +483,15 @@ def clr_group_test(abundance: DataFrame, groups: DataFrame, reference: str, draw
     a hash of draw, sample and taxon, so partitions do not matter; CLR, Welch's test and BH
     follow for each.
     """
-    cells = dense(abundance).join(groups, "sample").withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+    spark = abundance.sparkSession
+    table = cut(dense(cut(G.summed(abundance))).join(groups, "sample"))
+    # a taxon's samples are in one task before they are drawn, so no draw is shuffled; few bytes, much work: tasks are not joined
+    dealt = table.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "taxid")
+    cells = dealt.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
     counter = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in ("draw", "sample", "taxid")])
     cells = cells.withColumn("_log", log_gamma(F.col("count") + 0.5, counter))
-    cells = cells.withColumn("clr", F.col("_log") - F.avg("_log").over(Window.partitionBy("draw", "sample")))
+    means = cut(cells.groupBy("draw", "sample").agg(F.avg("_log").alias("_mean")))  # draws x samples numbers; a second pass makes the same variates
+    cells = cells.join(F.broadcast(means), ["draw", "sample"]).withColumn("clr", F.col("_log") - F.col("_mean"))
     rows = welch(cells, "clr", F.col("group") != reference, ["draw", "taxid"])
     rows = adjusted(rows, "p", ["draw"], ["taxid"])
     return rows.groupBy("taxid").agg(F.avg("difference").alias("effect"), F.avg("p").alias("p"), F.avg("q").alias("q"))
