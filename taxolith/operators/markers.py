@@ -19,11 +19,12 @@ def coreness(clusters: DataFrame, genomes: DataFrame) -> DataFrame:
     return per.join(size, "taxid").withColumn("coreness", F.col("genomes") / F.col("n"))
 
 
-def marker_candidates(clusters: DataFrame, genes: DataFrame, genomes: DataFrame, keep: int = 800, few: int = 100, max_species: int = 10) -> DataFrame:
+def marker_candidates(clusters: DataFrame, genes: DataFrame | None, genomes: DataFrame, keep: int = 800, few: int = 100, max_species: int = 10) -> DataFrame:
     """Core clusters of each species with the gene of median length (CMP-27).
 
     The threshold is the ``keep``-th highest coreness, but 0.6 at least for species of less
     than ``few`` genomes and 0.5 for others; clusters in more than ``max_species`` species are skipped.
+    Without ``genes(gene, length)`` a gene's length is a column of ``clusters``, and nothing is looked up.
     """
     rows = coreness(clusters, genomes)
     rows = rows.withColumn("_species", F.count("*").over(Window.partitionBy("cluster"))).where(F.col("_species") <= max_species)
@@ -32,7 +33,8 @@ def marker_candidates(clusters: DataFrame, genes: DataFrame, genomes: DataFrame,
     at = F.max(F.when(F.col("_rn") == keep, F.col("coreness"))).over(Window.partitionBy("taxid"))
     threshold = F.greatest(F.coalesce(at, F.lit(0.0)), F.when(F.col("n") < few, 0.6).otherwise(0.5))
     rows = rows.withColumn("threshold", threshold).where("coreness >= threshold")
-    own = clusters.join(genomes, "genome").join(genes.select("gene", "length"), "gene")
+    own = clusters.join(genomes, "genome")
+    own = own if genes is None else own.drop("length").join(genes.select("gene", "length"), "gene")
     lengths = Window.partitionBy("cluster", "taxid")
     place = F.row_number().over(lengths.orderBy("length", "gene"))
     middle = own.withColumn("_k", place).withColumn("_n", F.count("*").over(lengths)).where("_k = floor(_n / 2) + 1").select("cluster", "taxid", "gene", "length")
