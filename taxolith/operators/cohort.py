@@ -245,6 +245,7 @@ def beta_variance(
     import numpy as np
 
     spark = abundance.sparkSession
+    abundance = cut(G.summed(abundance))
     schema = "variable string, levels int, n int, r2_adj double, f double, p double, permanova_r2 double, condition string, strata string, p_adj double, cumulative_r2_adj double"
     meta = metadata.join(abundance.select("sample").distinct(), "sample", "left_semi").dropDuplicates(["sample"]).toPandas()  # a row per sample
     variables = [c for c in metadata.columns if c != "sample"] if variables is None else list(variables)

@@ -51,7 +51,7 @@ def log_ratios(abundance: DataFrame) -> Sparse:
     The centred log-ratio of a cell is its value less the sample's total over the number of
     taxa; of an absent cell it is that second term alone.
     """
-    counts = summed(abundance)
+    counts = cut(summed(abundance))  # read five times
     least = counts.where("count > 0").groupBy("sample").agg(F.min("count").alias("_least"))
     rows = counts.join(least, "sample", "left")
     return sparse(rows, "sample", "taxid", F.when(F.col("count") > 0, F.log(F.col("count")) - F.log(F.col("_least") / 2)).otherwise(0.0))
