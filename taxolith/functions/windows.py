@@ -83,11 +83,12 @@ def keep_first(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFr
     return first.select("_row.*")
 
 
-def n50(df: DataFrame, by: Sequence[str], length: str) -> DataFrame:
-    """The length at which the longest pieces hold half of all (WIN-5)."""
+def n50(df: DataFrame, by: Sequence[str], length: str, times: str | None = None) -> DataFrame:
+    """The length at which the longest pieces hold half of all (WIN-5); a row may stand for ``times`` pieces."""
+    held = F.col(length) if times is None else F.col(length) * F.col(times)
     order = Window.partitionBy(*by).orderBy(F.desc(length))
-    whole = F.sum(length).over(Window.partitionBy(*by))
-    run = F.sum(length).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    whole = F.sum(held).over(Window.partitionBy(*by))
+    run = F.sum(held).over(order.rowsBetween(Window.unboundedPreceding, 0))
     return df.withColumn("_run", run).withColumn("_all", whole).where("2 * _run >= _all").groupBy(*by).agg(F.max(length).alias("n50"))
 
 

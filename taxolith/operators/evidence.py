@@ -9,6 +9,7 @@ from taxolith.functions.distributions import rank_correlation_p
 from taxolith.functions.scalar import carries_host, rank_word
 from taxolith.functions.windows import adjusted, average_rank, correlation, n50
 from taxolith.operators.lineage import credit_ancestors
+from taxolith.plans.materialise import cut
 
 
 def best_evidence(reports: DataFrame) -> DataFrame:
@@ -124,12 +125,15 @@ def contig_evidence(contigs: DataFrame, lineage: DataFrame, abundance: DataFrame
 
     ``contigs(pool, contig, taxid, length)``; taxa are those of the abundance table.
     """
-    spread = contigs.join(lineage.select("taxid", F.explode(F.array_append("ancestors", F.col("taxid"))).alias("_node")), "taxid")
-    own = spread.select(F.col("_node").alias("taxid"), "pool", "contig", "length")
+    # contigs of a taxon, pool and length are one row before they go to every taxon above it
+    alike = contigs.groupBy("taxid", "pool", "length").agg(F.count("*").alias("_c"))
+    spread = alike.join(lineage.select("taxid", F.explode(F.array_append("ancestors", F.col("taxid"))).alias("_node")), "taxid")
+    own = cut(spread.groupBy(F.col("_node").alias("taxid"), "pool", "length").agg(F.sum("_c").alias("_c")))
+    total = F.sum(F.col("length") * F.col("_c"))
     per = own.groupBy("taxid").agg(
-        F.count("*").alias("contigs"), F.count_if(F.col("length") >= min_length).alias("qualifying"), F.sum("length").alias("bp"), F.max("length").alias("longest"),
-        F.avg("length").alias("mean_length"), F.count_distinct("pool").alias("pools"),
-    ).join(n50(own, ["taxid"], "length"), "taxid")
+        F.sum("_c").alias("contigs"), F.coalesce(F.sum(F.when(F.col("length") >= min_length, F.col("_c"))), F.lit(0)).alias("qualifying"), total.alias("bp"), F.max("length").alias("longest"),
+        F.try_divide(total.cast("double"), F.sum(F.when(F.col("length").isNotNull(), F.col("_c")))).alias("mean_length"), F.count_distinct("pool").alias("pools"),
+    ).join(n50(own.groupBy("taxid", "length").agg(F.sum("_c").alias("_c")), ["taxid"], "length", "_c"), "taxid")
     reads = abundance.groupBy("taxid").agg(F.sum("count").alias("reads"))
     rows = reads.join(per, "taxid", "left").na.fill(0, ["contigs", "qualifying", "bp", "longest", "pools", "n50"])
     verdict = F.when(F.col("reads") < min_reads, "below_read_gate").when(F.col("qualifying") >= min_contigs, "supported").otherwise("no_contig")
