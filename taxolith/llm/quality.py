@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from taxolith.llm.common import unused
+from taxolith.llm.common import ChunkTokenizer, unused
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Stands for a token that repeats the one before it.
@@ -115,6 +115,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, learners: in
     def learn(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        ChunkTokenizer.forget()
         features, learner, seen, own = Features(bits, order), None, [], None
 
         def done():
@@ -151,6 +152,7 @@ def score(docs: DataFrame, weights, bits: int = 18, order: int = 2, name: str =
         import numpy as np
         import pyarrow as pa
 
+        ChunkTokenizer.forget()
         features, w = Features(bits, order), shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from taxolith.llm.common import components, cut, may_hold, shared_table, texts, unused
+from taxolith.llm.common import components, cut, may_hold, shared_table, small_batches, texts, unused
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 WORD_BITS = 64
@@ -513,7 +513,8 @@ def keep_first(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> Da
     but not the text all stay, unless each of them is in the group of a smaller id; an empty
     table stays empty. Only rows that may go are shuffled.
     """
-    groups = shared_table(similar_groups(docs, shingle, similarity))
+    with small_batches(docs.sparkSession):
+        groups = shared_table(similar_groups(docs, shingle, similarity))
     own = groups.groupBy("doc_id").agg(F.min(F.col("doc_id") != F.col("component_id")).alias("gone"), F.count("*").alias("n"))
     fate, held = unused(docs, "_gone"), unused(docs, "_held")
     own = shared_table(own.where("gone or n > 1").select(F.col("doc_id").alias(unused(docs, "_own")), F.col("gone").alias(fate)))

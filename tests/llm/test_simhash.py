@@ -248,3 +248,28 @@ def test_parity_bitmaps_never_differ_by_more_than_the_sets():
         b = np.unique(np.concatenate([a[: n // 2], draw.integers(0, 2**63, n // 3).astype(np.uint64)]))
         apart = int(np.bitwise_count((parity(a) ^ parity(b)).view(np.uint64)).sum())
         assert apart <= len(np.setxor1d(a, b)) and apart % 2 == len(np.setxor1d(a, b)) % 2
+
+
+def test_near_copies_reach_python_in_small_batches(spark, docs, monkeypatch):
+    """An executor's tasks hold a few megabytes of texts each, whatever Spark's own bound; it holds again afterwards."""
+    from taxolith.llm import simhash
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    seen, write = [], simhash.shingle_prefixes
+    monkeypatch.setattr(simhash, "shingle_prefixes", lambda *a: seen.append(int(spark.conf.get(name).rstrip("b"))) or write(*a))
+    before = spark.conf.get(name)
+    assert keep_first(docs([(1, prose(1, 50)), (2, prose(1, 50)), (3, None)])).count() == 2
+    assert seen and max(seen) <= 1 << 22 and spark.conf.get(name) == before
+
+
+def test_a_worker_gives_up_the_chunks_of_a_tokenizer():
+    """Before texts are hashed, and not while a tokenizer's own operator runs."""
+    import pyarrow as pa
+
+    from taxolith.llm import common
+
+    common.ChunkTokenizer.get("byte_bpe_50k.json").encode("some words to know")
+    assert common._TOKENIZERS
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3], pa.int64()), pa.array(["é" * 3_000_000, None, "x" * 1_500_000])], names=["doc_id", "text"])
+    assert [(k, [len(t or "") for t in v]) for k, v in common.texts([batch, batch.slice(0, 0)], "doc_id", "text")] == [([1, 2, 3], [3_000_000, 0, 1_500_000])]
+    assert not common._TOKENIZERS
