@@ -18,8 +18,8 @@ WORD_BITS = 64
 LEVEL_BITS = 16
 #: Times that a crowded bucket is dealt anew.
 SPLITS = 3
-#: Frequent shingles that every task is told of.
-FREQUENT = 200_000
+#: Bits of the buckets that shingles are counted in, and buckets to a row.
+BUCKET_BITS, PART = 22, 1 << 10
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -357,38 +357,79 @@ def parity(hashes):
     return np.packbits(flips.astype(np.uint8)).view(np.int64)
 
 
-def frequent_shingles(rows: DataFrame, size: int):
-    """Hashes of the shingles that many texts share, sorted, and how frequent each is (a power of two).
+def level(counts):
+    """Counts as bytes, eight steps for a factor of two."""
+    import numpy as np
+
+    return np.rint(8 * np.log2(1 + counts)).clip(0, 255).astype(np.uint8)
+
+
+def count_shingles(rows: DataFrame, size: int, levels: bool = False) -> DataFrame:
+    """``part, counts``: how many shingles of texts fall into each bucket, ``PART`` buckets to a row; parts that are missing hold zeros.
+
+    A bucket is the first ``BUCKET_BITS`` bits of a hash. Every shingle of every text is counted, once for a
+    text. A task adds up an array of fixed size and sends those of its parts that are not empty, in as
+    few bytes as hold them. Counts are longs or, with ``levels``, bytes (``level``).
+    """
+
+    def count(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        counts = np.zeros(1 << BUCKET_BITS, np.uint32)
+        for _, values in texts(batches, "doc_id", "text"):
+            for text in values:
+                np.add.at(counts, np.unique(shingle_hashes(text, size)) >> np.uint64(64 - BUCKET_BITS), 1)
+        counts = counts.reshape(-1, PART)
+        most = counts.max(axis=1)
+        held = np.flatnonzero(most)
+        packed = [counts[k].astype(np.min_scalar_type(most[k])).tobytes() for k in held]
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(packed, pa.binary())], names=["part", "counts"])
+
+    def add(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        sums = {}
+        for batch in batches:
+            for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[part] = sums.get(part, 0) + np.frombuffer(packed, f"u{len(packed) // PART}").astype(np.int64)
+        found = [(level(x) if levels else x).tobytes() for x in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(found, pa.binary())], names=["part", "counts"])
+
+    kind = "part int, counts binary"
+    return rows.select("doc_id", "text").mapInArrow(count, kind).repartition("part").mapInArrow(add, kind)
+
+
+def shingle_levels(rows: DataFrame, size: int):
+    """How frequent the shingles of each bucket are (``count_shingles``), a byte for each: eight steps for a factor of two.
 
-    They are counted in a sample of the texts (one in 16, or about 20,000 where that is
-    more), and only the ``FREQUENT`` most common ones go to the driver. They decide in
-    which order shingles are tried, never which pairs are found.
+    The counts are those of all texts. A shingle that many texts share makes its bucket a frequent one, so it is
+    tried late; a rare one beside it comes late too. That decides in which order
+    shingles are tried, never which pairs are found. The driver gets one byte for a bucket, 4 MB whatever the input.
     """
     import numpy as np
 
-    step = max(1, min(16, rows.count() // 20_000))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
-    counted = shingle_sets(sample, size).select(F.explode("hashes").alias("h")).groupBy("h").agg(F.count("*").alias("c")).where("c >= 4")
-    found = counted.orderBy(F.desc("c"), "h").limit(FREQUENT).collect()
-    hashes = np.array([r["h"] for r in found], np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], np.array([r["c"].bit_length() for r in found], np.int64)[order]
+    levels = np.zeros(1 << BUCKET_BITS, np.uint8).reshape(-1, PART)
+    for part, found in count_shingles(rows, size, levels=True).collect():
+        levels[part] = np.frombuffer(found, np.uint8)
+    return levels.ravel()
 
 
 def shingle_prefixes(rows: DataFrame, size: int, similarity: float) -> DataFrame:
     """``doc_id, same, fingerprint, n, bits, prefix``: SimHash, number, parity bitmap of the different shingles, and the first of them in a fixed order.
 
-    The order is the same for all texts: rare shingles before frequent ones, then by hash.
+    The order is the same for all texts: rare shingles before frequent ones (``shingle_levels``), then by hash.
     ``same`` is equal for equal sets of shingles only (128-bit hash as a string).
     """
-    known = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows, size))
+    known = rows.sparkSession.sparkContext.broadcast(shingle_levels(rows, size))
 
     def compute(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         import xxhash
 
-        common, level = known.value
+        levels = known.value
         for keys, values in texts(batches, "doc_id", "text"):
             same, prints, sizes, bits, prefixes = [], [], [], [], []
             for text in values:
@@ -397,9 +438,7 @@ def shingle_prefixes(rows: DataFrame, size: int, similarity: float) -> DataFrame
                 prints.append(simhash(own))
                 sizes.append(len(own))
                 bits.append(parity(own))
-                if len(common) and len(own):
-                    place = np.minimum(np.searchsorted(common, own), len(common) - 1)
-                    own = own[np.argsort(np.where(common[place] == own, level[place], 0), kind="stable")]
+                own = own[np.argsort(levels[own >> np.uint64(64 - BUCKET_BITS)], kind="stable")]
                 prefixes.append(own[: prefix_size(len(own), similarity)].view(np.int64))
             lists = [pa.array(v, pa.list_(pa.int64())) for v in (bits, prefixes)]
             columns = [pa.array(keys, pa.int64()), pa.array(same), pa.array(prints, pa.int64()), pa.array(sizes, pa.int32()), *lists]

@@ -273,3 +273,33 @@ def test_a_worker_gives_up_the_chunks_of_a_tokenizer():
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3], pa.int64()), pa.array(["é" * 3_000_000, None, "x" * 1_500_000])], names=["doc_id", "text"])
     assert [(k, [len(t or "") for t in v]) for k, v in common.texts([batch, batch.slice(0, 0)], "doc_id", "text")] == [([1, 2, 3], [3_000_000, 0, 1_500_000])]
     assert not common._TOKENIZERS
+
+
+def test_shingles_are_counted_in_all_texts(spark):
+    """A passage in 60 texts of 50,000, none of which a sample of every other id holds, is tried after what is rare."""
+    from taxolith.llm.simhash import BUCKET_BITS, shingle_hashes, shingle_levels, shingle_prefixes
+
+    few = spark.range(50_000, 50_400).where("pmod(xxhash64(id), 2) = 1").limit(60).selectExpr("id as doc_id", "concat('one two three four five own', id) as text")
+    rows = few.union(spark.range(50_000).selectExpr("id", "concat('w', id)"))
+    passage = int(shingle_hashes("one two three four five", 5)[0])
+    found = shingle_prefixes(rows, 5, 0.8).where("doc_id >= 50000").collect()
+    assert len(found) == 60 and all(len(r.prefix) == 1 and r.prefix[0] & (1 << 64) - 1 != passage for r in found)
+    levels = shingle_levels(rows, 5)
+    assert levels.shape == (1 << BUCKET_BITS,) and levels[passage >> 64 - BUCKET_BITS] in range(47, 50)  # 8 log2(61) = 47.4
+    assert not shingle_levels(rows.limit(0), 5).any()
+
+
+def test_shingle_counts_match_brute_force(spark, odd, monkeypatch):
+    """Also where a task's counts take more than a byte, and over any number of tasks."""
+    from collections import Counter
+
+    import numpy as np
+
+    from taxolith.llm.simhash import BUCKET_BITS, PART, count_shingles, shingle_hashes
+
+    pairs = [(k, t) for k, (_, t) in enumerate(odd * 300)]
+    want = Counter(int(h) >> 64 - BUCKET_BITS for _, t in odd for h in np.unique(shingle_hashes(t, 5)))
+    for tasks in (1, 7):
+        got = count_shingles(spark.createDataFrame(pairs, "doc_id long, text string").repartition(tasks), 5).collect()
+        counts = {r.part * PART + k: n for r in got for k, n in enumerate(np.frombuffer(r.counts, np.int64).tolist()) if n}
+        assert len({r.part for r in got}) == len(got) and counts == {b: 300 * n for b, n in want.items()}
