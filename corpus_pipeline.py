@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxolith.llm.common import shared_table, table
+from taxolith.llm.common import keep_batches_small, shared_table, table
 from taxolith.llm.decontam import decontaminate
 from taxolith.llm.line_dedup import dedup_lines
 from taxolith.llm.packing import pack_documents
@@ -23,6 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have the score of the intercept, a null id is scored by its text, a very
     long text is scored whole, repeated rows share their fate, further columns stay, an empty table stays empty.
     """
+    keep_batches_small(spark)
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -63,7 +64,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     need; null ids stay null; repeated rows are packed once each; further columns are left
     out; an empty table gives no rows.
     """
-    return pack_documents(docs, max_tokens=1024)
+    keep_batches_small(spark)
+    return pack_documents(docs, max_tokens=1024, remember=100_000)
 
 
 STAGES: list[tuple[str, Stage]] = [

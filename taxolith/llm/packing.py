@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxolith.llm.common import ChunkTokenizer
+from taxolith.llm.common import REMEMBER, ChunkTokenizer
 
 VOCABULARY = "byte_bpe_50k.json"
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -61,11 +61,11 @@ def tail(length: int, size: int, penalty: float) -> list[int]:
 class Stream:
     """Packs documents in the order they come, in blocks of bounded size."""
 
-    def __init__(self, vocabulary: str, size: int, block: int, end_id: int, sentence: float, within: float, step: int, first_id: int):
+    def __init__(self, vocabulary: str, size: int, block: int, end_id: int, sentence: float, within: float, step: int, first_id: int, remember: int = REMEMBER):
         import numpy as np
 
         self.np, self.size, self.block, self.sentence, self.within, self.step = np, size, block, sentence, within, step
-        self.tokenizer = ChunkTokenizer.get(vocabulary)
+        self.tokenizer = ChunkTokenizer.get(vocabulary, remember)
         self.ends, self.end = self.tokenizer.ends(), self.tokenizer.pack([end_id])
         self.sequence, self.base = first_id, 0
         self.parts: list[bytes] = []
@@ -157,6 +157,7 @@ def pack_documents(
     block_tokens: int = 1 << 18,
     order_by: str | None = None,
     partitions: int | None = None,
+    remember: int = REMEMBER,
 ) -> DataFrame:
     """Pack documents into sequences of at most ``max_tokens`` ids without reordering them.
 
@@ -171,7 +172,8 @@ def pack_documents(
 
     Returns one row per piece: ``doc_id, start, length`` (in ids of the document),
     ``doc_tokens``, ``sequence_id``, ``offset`` (in the sequence) and ``ids``, the piece as
-    little-endian unsigned 32-bit ids. Every id lies in exactly one piece.
+    little-endian unsigned 32-bit ids. Every id lies in exactly one piece. A worker remembers
+    the ids of ``remember`` chunks of text; fewer take less memory and more time.
 
     Null and empty texts are the end id alone. Null ids stay null, repeated rows and ids are
     packed once each, an empty table gives no rows, and other columns are left out, whatever
@@ -186,7 +188,7 @@ def pack_documents(
     def pack(batches: Iterator) -> Iterator:
         from pyspark import TaskContext
 
-        stream = Stream(vocabulary, max_tokens, block_tokens, end_id, sentence_penalty, within_penalty, within_step, TaskContext.get().partitionId() << 40)
+        stream = Stream(vocabulary, max_tokens, block_tokens, end_id, sentence_penalty, within_penalty, within_step, TaskContext.get().partitionId() << 40, remember)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if stream.add(doc_id, text.as_py()):

@@ -47,6 +47,29 @@ def test_run(spark, folder):
     assert all(r.length <= 1024 for r in rows)
 
 
+@pytest.mark.parametrize("name", ["quality", "packing"])
+def test_texts_reach_python_in_small_batches(spark, folder, name):
+    """Of lazy stages too, whose result runs after they have returned."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(bound, None)
+    try:
+        spark.conf.unset(bound)
+        dict(corpus_pipeline.STAGES)[name](spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        assert int(spark.conf.get(bound)) <= 1 << 22
+    finally:
+        spark.conf.unset(bound) if before is None else spark.conf.set(bound, before)
+
+
+def test_packing_remembers_fewer_chunks(spark, folder, monkeypatch):
+    """Pieces are the same however many are remembered."""
+    rows = spark.read.parquet(f"{folder}/documents.parquet")
+    asked, pack = [], corpus_pipeline.pack_documents
+    monkeypatch.setattr(corpus_pipeline, "pack_documents", lambda *a, **k: asked.append(k["remember"]) or pack(*a, **k))
+    got = corpus_pipeline.packing(spark, rows, folder).collect()
+    assert asked[0] <= 100_000
+    assert sorted(got) == sorted(pack(rows, remember=2).collect()) == sorted(pack(rows).collect())
+
+
 @pytest.fixture(scope="module")
 def odd_folder(spark, docs, odd, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("odd"))
