@@ -7,10 +7,12 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxolith.llm.common import may_hold, merged_intervals, shared_table
+from taxolith.llm.common import keep_batches_small, may_hold, merged_intervals, shared_table
 
 #: Bytes that are hashed at a time, in some 40 MB of arrays; a longer document is read in overlapping stretches.
 STRETCH = 1 << 18
+#: Bytes of contexts that are refined at a time, in some 100 times as many bytes of arrays; an anchor's contexts stay together.
+REFINED = 1 << 19
 PLACE_BITS = 22
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
@@ -170,36 +172,37 @@ def runs(flags):
     return list(zip(change[::2].tolist(), change[1::2].tolist()))
 
 
-def refine_buckets(contexts: DataFrame, length: int) -> DataFrame:
-    """``anchor, context, s, e``: repeated strings s..e-1 of each context of ``(anchor, context, body)``.
+def refined(batches: Iterator, length: int) -> Iterator:
+    """Arrow batches ``anchor, context, s, e`` of ``refine_buckets``, from batches ``anchor, context, body`` sorted by anchor."""
+    import pyarrow as pa
 
-    All contexts of an anchor meet in one task; tasks work through them a few megabytes at a time.
-    """
+    held: list[tuple[int, int, bytes]] = []
+    size = 0
 
-    def compute(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+    def out():
+        rows = [(a, c, s, e) for (a, c, _), f in zip(held, repeated_strings([h[2] for h in held], length)) for s, e in runs(f)]
+        held.clear()
+        columns = list(zip(*rows)) or [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["anchor", "context", "s", "e"])
 
-        held: list[tuple[int, int, bytes]] = []
-        size = 0
+    for batch in batches:
+        for a, c, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            if size >= REFINED and a != held[-1][0]:
+                yield out()
+                size = 0
+            held.append((a, c, body.as_py()))
+            size += len(held[-1][2])
+    if held:
+        yield out()
 
-        def out():
-            rows = [(a, c, s, e) for (a, c, _), f in zip(held, repeated_strings([h[2] for h in held], length)) for s, e in runs(f)]
-            held.clear()
-            columns = list(zip(*rows)) or [[]] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["anchor", "context", "s", "e"])
 
-        for batch in batches:
-            for a, c, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                if size >= 2_000_000 and a != held[-1][0]:
-                    yield out()
-                    size = 0
-                held.append((a, c, body.as_py()))
-                size += len(held[-1][2])
-        if held:
-            yield out()
+def refine_buckets(contexts: DataFrame, length: int) -> DataFrame:
+    """``anchor, context, s, e``: repeated strings s..e-1 of each context of ``(anchor, context, body)``.
 
+    All contexts of an anchor meet in one task; tasks work through them half a megabyte at a time.
+    """
     dealt = contexts.repartition("anchor").sortWithinPartitions("anchor", "context")
-    return dealt.select("anchor", "context", "body").mapInArrow(compute, "anchor long, context long, s long, e long")
+    return dealt.select("anchor", "context", "body").mapInArrow(lambda batches: refined(batches, length), "anchor long, context long, s long, e long")
 
 
 def refine_crowded(contexts: DataFrame, length: int) -> DataFrame:
@@ -268,6 +271,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows that share an id but not the text are told apart by a 64-bit hash of the text; an
     empty table gives no rows; other columns are left out.
     """
+    keep_batches_small(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("version", F.xxhash64("text"))
     spans = repeated_spans(rows.where("doc_id is not null"), length, gram, crowd)

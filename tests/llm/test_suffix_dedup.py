@@ -92,6 +92,37 @@ def test_long_documents_are_read_in_stretches(spark, docs, monkeypatch):
         assert whole == set(range(len(data) - 39))
 
 
+def test_contexts_are_refined_half_a_megabyte_at_a_time(monkeypatch):
+    """An anchor's contexts stay together; what repeats is found in each of them."""
+    import pyarrow as pa
+
+    import taxolith.llm.suffix_dedup as module
+
+    draw = random.Random(5)
+    rows = [(a, c, draw.randbytes(300) + b"=" * 220 + draw.randbytes(8)) for a in range(1500) for c in range(2)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[k : k + 700])], names=["anchor", "context", "body"]) for k in range(0, len(rows), 700)]
+    sizes, refine = [], module.repeated_strings
+    monkeypatch.setattr(module, "repeated_strings", lambda contexts, length: sizes.append(sum(map(len, contexts))) or refine(contexts, length))
+    found = [r for b in module.refined(iter(batches), 200) for r in b.to_pylist()]
+    assert sum(sizes) == 3000 * 528 and max(sizes) <= (1 << 19) + 2 * 528
+    assert sorted((r["anchor"], r["context"]) for r in found) == [(a, c) for a, c, _ in rows] and all(r["s"] <= 300 and r["e"] >= 321 for r in found)
+
+
+def test_texts_reach_python_in_small_batches(spark, docs):
+    """What ``remove_repeats`` returns is lazy, so the bound holds on; a bound of the session's own is left alone."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        remove_repeats(docs([(1, "x")]))
+        assert int(spark.conf.get(name)) <= 1 << 22
+        spark.conf.set(name, "8388608")
+        remove_repeats(docs([(1, "x")]))
+        assert spark.conf.get(name) == "8388608"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def test_rows_of_one_id_lose_their_own_repeats_only(docs):
     a, b, c = (prose(k, 120) for k in (41, 42, 43))
     rows = [(1, a + b), (2, b + c), (1, c[:50] + prose(44, 200)), (3, prose(45, 200)), (3, prose(46, 200))]
