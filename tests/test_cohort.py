@@ -101,6 +101,54 @@ def test_pair_products_in_blocks(spark, counts, view, block, monkeypatch):
         assert (r["total_a"], r["square_b"]) == pytest.approx((x.sum(), (y * y).sum()))
 
 
+def test_row_pairs_in_chunks(spark):
+    draw = np.random.default_rng(5)
+    table = draw.poisson(3, (45, 6)) * (draw.random((45, 6)) > 0.4)
+    table[7] = 0
+    rows = [(f"r{i:02}", f"c{j}", float(table[i, j])) for i in range(45) for j in range(6)] + [(None, "c1", 4.0)]
+    view = spark.createDataFrame(rows, "row string, col string, count double").repartition(3)
+    own = G.sparse(view, "row", "col", F.col("count"))
+    got = G.row_pairs(own, {"dot": lambda p: p["dot"], "far": lambda p: p["total_a"] - p["square_b"], "one": lambda p: np.float64(1)}).collect()
+    want = {(f"r{i:02}", f"r{j:02}"): (table[i] @ table[j], table[i].sum() - (table[j] ** 2).sum(), 1) for i in range(45) for j in range(i + 1, 45)}
+    assert len(got) == len(want) and {(r["a"], r["b"]): (r["dot"], r["far"], r["one"]) for r in got} == want
+    # every row of one table with every one of another, which has a column more and numbers as names
+    few = [(k, f"c{j}", float(k + j)) for k in range(3) for j in range(1, 7)]
+    other = G.sparse(spark.createDataFrame(few, "row int, col string, count double"), "row", "col", F.col("count"))
+    got = G.row_pairs(other, {"dot": lambda p: p["dot"], "total_b": lambda p: p["total_b"]}, ["total"], own).collect()
+    want = {(k, f"r{i:02}"): (sum((k + j) * table[i, j] for j in range(1, 6)), table[i].sum()) for k in range(3) for i in range(45)}
+    assert len(got) == len(want) and {(r["a"], r["b"]): (r["dot"], r["total_b"]) for r in got} == want
+    nothing = own._replace(cells=own.cells.where("false"))
+    assert [r["dot"] for r in G.row_pairs(nothing, {"dot": lambda p: p["dot"]}).collect()] == [0.0] * (45 * 44 // 2)
+    assert G.row_pairs(own._replace(rows=own.rows.where("false")), {}).collect() == []
+
+
+def shuffled(spark) -> int:
+    """Rows that the session has written for shuffles."""
+    context, gateway = spark.sparkContext._jsc.sc(), spark.sparkContext._gateway
+    stages = context.statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+
+def test_cells_without_a_sample_are_no_part_of_variances(spark, view):
+    odd = view.union(spark.createDataFrame([(None, "t1", 4.0), (None, "t0", 9.0)], view.schema))
+    want, got = ({(r["a"], r["b"]): r["variance"] for r in CO.log_ratio_variance(v).collect()} for v in (view, odd))
+    assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("method", [CO.log_ratio_variance])
+def test_no_cells_are_copied_for_pairs(spark, monkeypatch, method):
+    """What is shuffled grows with the cells and not with the blocks of rows that they meet."""
+    monkeypatch.setattr(G, "BLOCK", 20)
+    monkeypatch.setattr(G, "MOST", 20)
+    draw = np.random.default_rng(9)
+    table = draw.poisson(20, (400, 6)) + 1
+    view = spark.createDataFrame([(f"s{j}", f"t{i:03}", float(table[i, j])) for i in range(400) for j in range(6)], "sample string, taxid string, count double").repartition(4).cache()
+    view.count()
+    before = shuffled(spark)
+    assert len(method(view).collect()) == 400 * 399 // 2
+    assert shuffled(spark) - before < 10 * 2400
+
+
 def test_missed_chance_of_large_tables(spark):
     from fractions import Fraction
 
