@@ -135,7 +135,7 @@ def test_cells_without_a_sample_are_no_part_of_variances(spark, view):
     assert got == pytest.approx(want)
 
 
-@pytest.mark.parametrize("method", [CO.log_ratio_variance])
+@pytest.mark.parametrize("method", [CO.log_ratio_variance, CO.sparcc])
 def test_no_cells_are_copied_for_pairs(spark, monkeypatch, method):
     """What is shuffled grows with the cells and not with the blocks of rows that they meet."""
     monkeypatch.setattr(G, "BLOCK", 20)
