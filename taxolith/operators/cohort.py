@@ -13,12 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from taxolith.functions.distributions import chi2_sf, norm_cdf, student_p
+from taxolith.functions.distributions import chi2_sf, norm_cdf, spearman_ps, student_p
 from taxolith.functions.draws import key_array, log_gamma, word_array
 from taxolith.functions.windows import adjusted, average_rank
 from taxolith.operators import geometry as G
-from taxolith.operators.abundance import cpm_log, dense, spread, top_by, varying
-from taxolith.operators.cells import rank_sum, spearman
+from taxolith.operators.abundance import dense, spread, top_by, varying
+from taxolith.operators.cells import rank_sum
 from taxolith.plans.materialise import cut
 
 
@@ -671,32 +671,54 @@ def feasible(n: int, tests: int, alpha: float = 0.05, reps: int | None = None) -
     return least <= alpha / max(tests, 1)
 
 
-def host_microbe(host: DataFrame, microbes: DataFrame, max_genes: int = 2000, max_taxa: int = 50, min_samples: int = 3, alpha: float = 0.05, check: bool = True) -> DataFrame:
-    """Rank correlations of host genes and microbes over shared samples (CMP-20, JOI-5, JOI-10).
+def host_microbe(host: DataFrame, microbes: DataFrame, max_genes: int | None = None, max_taxa: int | None = None, min_samples: int = 3, alpha: float = 0.05, check: bool = True) -> DataFrame:
+    """Rank correlations of all host genes and microbes over shared samples (CMP-20, JOI-5, JOI-10).
 
-    ``host(sample, gene, count)`` and ``microbes(sample, taxid, count)``. Both sides are cut
-    to their most spread genes and most abundant taxa first, so the grid is bounded; a grid that no p
-    could pass is refused before it is run.
+    ``host(sample, gene, count)`` and ``microbes(sample, taxid, count)``. Features that are too rare or constant
+    are not tested; ``max_genes`` and ``max_taxa`` are for a caller who wants the most spread genes and the most abundant taxa alone. Every
+    feature is ranked once and pairs are products of ranks; a grid that no p could pass is refused before it is run.
     """
     # both are read several times, and a sum a cell is little beside what it may come from
     host = cut(host.groupBy("sample", "gene").agg(F.sum("count").alias("count")))
     microbes = cut(microbes.groupBy("sample", "taxid").agg(F.sum("count").alias("count")))
-    shared = host.select("sample").distinct().intersect(microbes.select("sample").distinct())
+    shared = host.select("sample").distinct().intersect(microbes.select("sample").distinct()).where("sample is not null")
     n = shared.count()
     if n < 3:
         raise ValueError(f"{n} samples are shared by both tables; at least 3 are needed")
-    genes = cut(cpm_log(dense(host.join(shared, "sample", "left_semi"), "gene")))
-    taxa = cut(cpm_log(dense(microbes.join(shared, "sample", "left_semi"))))
-    genes = genes.join(varying(genes, "gene", "count", min_samples, n), "gene", "left_semi")
-    taxa = taxa.join(varying(taxa, "taxid", "count", min_samples, n), "taxid", "left_semi")
-    genes = genes.join(F.broadcast(top_by(genes, "gene", spread("log_cpm", n), max_genes)).select("gene"), "gene", "left_semi")
-    taxa = taxa.join(F.broadcast(top_by(taxa, "taxid", F.sum("count"), max_taxa)).select("taxid"), "taxid", "left_semi")
+    genes = feature_ranks(host.join(F.broadcast(shared), "sample", "left_semi"), "gene", n, min_samples, spread("log_cpm", n), max_genes)
+    taxa = feature_ranks(microbes.join(F.broadcast(shared), "sample", "left_semi"), "taxid", n, min_samples, F.sum("count"), max_taxa)
     if check:
-        tests = genes.select("gene").distinct().count() * taxa.select("taxid").distinct().count()
+        tests = genes.rows.count() * taxa.rows.count()
         if not feasible(n, tests, alpha):
             raise ValueError(f"no p over {n} samples could pass {tests} tests")
-    grid = genes.select("sample", "gene", F.col("log_cpm").alias("x")).join(taxa.select("sample", "taxid", F.col("log_cpm").alias("y")), "sample")
-    return adjusted(spearman(grid, "x", "y", ["gene", "taxid"]), "p", [], ["gene", "taxid"])
+
+    def rho(pairs: dict):
+        import numpy as np
+
+        a, b = pairs["total_a"], pairs["total_b"]
+        own = (n * pairs["square_a"] - a * a) * (n * pairs["square_b"] - b * b)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(own > 0, np.clip((n * pairs["dot"] - a * b) / np.sqrt(own), -1.0, 1.0), np.nan)
+
+    rows = G.row_pairs(genes, {"rho": rho, "p": lambda pairs: spearman_ps(rho(pairs), n)}, other=taxa)
+    known = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)
+    rows = rows.select(F.col("a").alias("gene"), F.col("b").alias("taxid"), F.lit(n).cast("long").alias("n"), known("rho"), known("p"))
+    return adjusted(rows, "p", [], ["gene", "taxid"])
+
+
+def feature_ranks(counts: DataFrame, feature: str, n: int, min_samples: int, measure: Column, most: int | None) -> G.Sparse:
+    """Ranks of log2(CPM + 1) over ``n`` samples of each feature that varies, less that of its zeros.
+
+    Zeros share one rank, so they add nothing and need no rows; shifting all ranks of a feature changes no correlation.
+    """
+    totals = counts.groupBy("sample").agg(F.sum("count").alias("_total"))
+    cells = counts.where("count > 0").join(F.broadcast(totals), "sample").withColumn("log_cpm", F.log2(1e6 * F.col("count") / F.col("_total") + 1))
+    cells = cells.join(varying(counts, feature, "count", min_samples, n), feature, "left_semi")
+    if most is not None:
+        cells = cells.join(F.broadcast(top_by(cells, feature, measure, most)).select(feature), feature, "left_semi")
+    cells = average_rank(cells.where("log_cpm > 0"), "log_cpm", [feature]).withColumn("_zeros", n - F.count("*").over(Window.partitionBy(feature)))
+    cells = cut(cells.select(feature, "sample", (F.col("rank") + (F.col("_zeros") - 1) / 2).alias("_above")))
+    return G.sparse(cells, feature, "sample", F.col("_above"), n)
 
 
 def network(abundance: DataFrame, min_prevalence: float = 0.5, min_reads: float = 10, top: int = 200, reps: int = 100, min_rho: float = 0.3, alpha: float = 0.05) -> DataFrame:

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from taxolith.functions.distributions import spearman_p, spearman_ps
 from taxolith.functions.draws import key_array, log_gamma, word_array
 from taxolith.operators import cohort as CO
 from taxolith.operators import geometry as G
@@ -149,6 +150,57 @@ def test_no_cells_are_copied_for_pairs(spark, monkeypatch, method):
     assert shuffled(spark) - before < 10 * 2400
 
 
+def test_p_of_many_rank_correlations():
+    for n in (2, 3, 5, 13, 40):
+        rho = np.array([[-1.0, 1.0, 0.0], [0.25, -0.25, np.nan]])
+        want = [np.nan if r != r else spearman_p(r, n) for r in rho.ravel()]
+        assert spearman_ps(rho, n).ravel() == pytest.approx(want, nan_ok=True)
+
+
+def test_host_microbe_tests_all_pairs(spark):
+    """More taxa than 50 and more genes than 2000; ties, zeros and features that are not tested."""
+    draw = np.random.default_rng(11)
+    n = 13
+    genes, taxa = draw.poisson(4, (2004, n)), draw.poisson(2, (53, n)) + np.eye(53, n, dtype=int)
+    genes[0], genes[1, 2:], taxa[1] = 0, 0, 7  # never, too seldom, constant counts
+    genes[2], genes[3] = 5 * taxa[2] + 1, np.arange(n) + 1
+    rows = lambda table, p: [(f"s{j:02}", f"{p}{i:04}", float(table[i, j])) for i in range(len(table)) for j in range(n) if table[i, j] or i % 2]
+    host = spark.createDataFrame([*rows(genes, "g"), ("alone", "g0005", 9.0)], "sample string, gene string, count double")
+    microbes = spark.createDataFrame(rows(taxa, "t"), "sample string, taxid string, count double")
+
+    def ranks(table):
+        x = np.log2(1e6 * table / table.sum(axis=0) + 1)
+        low, same = (x[:, None, :] < x[:, :, None]).sum(axis=2), (x[:, None, :] == x[:, :, None]).sum(axis=2)
+        keep = ((table > 0).sum(axis=1) >= 3) & (table.min(axis=1) < table.max(axis=1))
+        return keep, low + (same + 1) / 2
+
+    (some_g, rank_g), (some_t, rank_t) = ranks(genes), ranks(taxa)
+    centred = lambda r: r - r.mean(axis=1, keepdims=True)
+    inner = centred(rank_g) @ centred(rank_t).T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        rho = inner / np.sqrt((centred(rank_g) ** 2).sum(axis=1)[:, None] * (centred(rank_t) ** 2).sum(axis=1))
+    got = CO.host_microbe(host, microbes).collect()
+    assert sorted((r["gene"], r["taxid"]) for r in got) == [(f"g{i:04}", f"t{j:04}") for i in np.flatnonzero(some_g) for j in np.flatnonzero(some_t)]
+    assert some_g.sum() > 2000 and some_t.sum() > 50 and {r["n"] for r in got} == {n}
+    at = [(int(r["gene"][1:]), int(r["taxid"][1:])) for r in got]
+    assert np.allclose([r["rho"] for r in got], [rho[k] for k in at], atol=1e-12)
+    p = np.array([r["p"] for r in got])
+    for k in range(0, len(got), 5000):
+        assert p[k] == pytest.approx(spearman_p(got[k]["rho"], n))
+    order = np.argsort(p)
+    q = np.minimum.accumulate((p[order] * len(p) / np.arange(1, len(p) + 1))[::-1])[::-1]
+    assert np.allclose(np.array([r["q"] for r in got])[order], np.minimum(q, 1))
+    few = CO.host_microbe(host, microbes, max_genes=10, max_taxa=5)
+    assert few.count() == 50 and few.select("taxid").distinct().count() == 5
+
+
+def test_host_microbe_of_constant_shares(spark):
+    """Counts that vary with the depth alone have no rank correlation."""
+    host = spark.createDataFrame([(f"s{j}", "g", float(j)) for j in range(1, 14)], "sample string, gene string, count double")
+    microbes = spark.createDataFrame([(f"s{j}", f"t{i}", float(1 + i * j % 7)) for j in range(1, 14) for i in (1, 2)], "sample string, taxid string, count double")
+    assert [(r["taxid"], r["n"], r["rho"], r["p"], r["q"]) for r in CO.host_microbe(host, microbes).orderBy("taxid").collect()] == [(t, 13, None, None, None) for t in ("t1", "t2")]
+
+
 def test_missed_chance_of_large_tables(spark):
     from fractions import Fraction
 
